@@ -141,3 +141,297 @@ def q_daily_metrics(spark, sf_dir):
     ta = ta_full(spark, sf_dir)
     dm = M.daily_metrics(tra_full(spark, sf_dir, ta), ta, price_source(spark, sf_dir), P.CHAIN, P.FLOORS)
     return daily_output(dm)
+
+
+# -- incremental windows and materializations ----------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from codetrail import schemas as S  # noqa: E402
+from codetrail.functions.keys import surrogate_key  # noqa: E402
+from codetrail.functions.windows import tx_window  # noqa: E402
+from codetrail.operators import export as X  # noqa: E402
+from codetrail.operators import quality as QL  # noqa: E402
+from codetrail.operators import reports as R  # noqa: E402
+from codetrail.operators import upsert as U  # noqa: E402
+from codetrail.plans import models as MD  # noqa: E402
+from codetrail.session import scratch_path  # noqa: E402
+
+
+def cut(df: DataFrame, as_of, col: str = "block_time") -> DataFrame:
+    """What had arrived by ``as_of``: source rows up to that instant."""
+    return df.where(F.col(col) <= F.lit(as_of))
+
+
+def read_tx_table(spark, path) -> DataFrame:
+    return spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in S.TX_ATTRIBUTED_COLUMNS])
+
+
+def read_transfer_table(spark, path) -> DataFrame:
+    return spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in S.TRANSFERS_ATTRIBUTED_COLUMNS])
+
+
+def q_incremental_window(spark, sf_dir):
+    tx = cut(tx_source(spark, sf_dir), P.AS_OF_NEXT)
+    return portable(A.attribute_transactions(tx, P.FLOORS, tx_window(P.AS_OF_NEXT)))
+
+
+def q_upsert_delete_insert(spark, sf_dir):
+    target = scratch_path(spark, "upsert-delete-insert") + "/transactions_attributed"
+    tx = tx_source(spark, sf_dir)
+    MD.run_transactions(spark, cut(tx, P.AS_OF_FIRST), target, None, P.FLOORS)         # first run
+    MD.run_transactions(spark, cut(tx, P.AS_OF_NEXT), target, P.AS_OF_NEXT, P.FLOORS)  # incremental run
+    return portable(read_tx_table(spark, target))
+
+
+def q_upsert_merge(spark, sf_dir):
+    paths = MD.ModelPaths.under(scratch_path(spark, "upsert-merge"))
+    tx, tr = tx_source(spark, sf_dir), transfer_source(spark, sf_dir)
+    for as_of, win in ((P.AS_OF_FIRST, None), (P.AS_OF_NEXT, P.AS_OF_NEXT)):
+        MD.run_transactions(spark, cut(tx, as_of), paths.transactions_attributed, win, P.FLOORS)
+        MD.run_transfers(spark, cut(tr, as_of), paths.transactions_attributed, paths.transfers_attributed, win,
+                         P.CHAIN, P.FLOORS, strategy="merge")
+    return portable(read_transfer_table(spark, paths.transfers_attributed))
+
+
+def restated(df: DataFrame) -> DataFrame:
+    """A later version of the same transfers: updated an hour later with a corrected amount."""
+    return df.withColumns({
+        "_updated_at": F.col("_updated_at") + F.expr("INTERVAL 1 HOUR"),
+        "amount_usd": F.col("amount_usd") * 2,
+    })
+
+
+def q_append_dedup(spark, sf_dir):
+    target = scratch_path(spark, "append-dedup") + "/transfers"
+    tr = transfer_source(spark, sf_dir)
+    U.append(spark, A.select_transfers(cut(tr, P.AS_OF_FIRST), P.CHAIN, P.FLOORS), target, S.TRANSFER_KEY,
+             S.TRANSFER_PARTITION)
+    batch = A.select_transfers(cut(tr, P.AS_OF_NEXT), P.CHAIN, P.FLOORS, tx_window(P.AS_OF_NEXT))
+    U.append(spark, batch.unionByName(restated(batch)), target, S.TRANSFER_KEY, S.TRANSFER_PARTITION,
+             dedupe_order_by="_updated_at", skip_existing=True)
+    return portable(spark.read.parquet(target).select(*[F.col(f"`{c}`") for c in S.TRANSFER_PASSTHROUGH]))
+
+
+def q_upsert_target_predicate(spark, sf_dir):
+    target = scratch_path(spark, "upsert-predicate") + "/transactions_attributed"
+    tx = tx_source(spark, sf_dir)
+    MD.run_transactions(spark, cut(tx, P.AS_OF_FIRST), target, None, P.FLOORS)
+    batch = A.attribute_transactions(cut(tx, P.AS_OF_NEXT), P.FLOORS, tx_window(P.AS_OF_NEXT))
+    U.delete_insert(spark, batch, target, S.TX_KEY, S.TX_PARTITION,
+                    target_predicate=F.col("block_time") >= F.lit(P.AS_OF_FIRST))
+    return portable(read_tx_table(spark, target))
+
+
+def q_daily_recompute(spark, sf_dir):
+    paths = MD.ModelPaths.under(scratch_path(spark, "daily-recompute"))
+    tx, tr, pr = tx_source(spark, sf_dir), transfer_source(spark, sf_dir), price_source(spark, sf_dir)
+    for as_of, win in ((P.AS_OF_FIRST, None), (P.AS_OF_METRIC, P.AS_OF_METRIC)):
+        MD.run_all(spark, cut(tx, as_of), cut(tr, as_of), cut(pr, as_of, "timestamp"), paths, win, P.CHAIN,
+                   P.FLOORS)
+    return daily_output(spark.read.parquet(paths.daily_metric))
+
+
+# -- joins, unions, keys, reports ------------------------------------------------
+
+JOIN_START, JOIN_END = _dt.date(2024, 1, 10), _dt.date(2024, 1, 12)
+
+
+def q_hash_date_inner_join(spark, sf_dir):
+    tr = A.select_transfers(transfer_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+    j = R.transfers_with_tx(tr, ta_full(spark, sf_dir), JOIN_START, JOIN_END)
+    return j.select(F.col("t.unique_key"), hex_text(F.col("t.tx_hash")).alias("tx_hash"), F.col("t.block_date"),
+                    F.col("a.has_builder_code"), F.col("a.builder_code"), F.col("t.amount_usd"))
+
+
+def q_union_tagged(spark, sf_dir):
+    tr = transfer_source(spark, sf_dir)
+    cols = ["unique_key", "block_date", "amount_usd"]
+    named = {c: A.select_transfers(tr, c, P.FLOORS).select(*cols) for c in ("celo", "other")}
+    return R.union_tagged(named, "chain_tag")
+
+
+def q_surrogate_key(spark, sf_dir):
+    tra = tra_full(spark, sf_dir)
+    return tra.select("unique_key", surrogate_key(hex_text("tx_hash"), "evt_index", "builder_code2").alias("sk"))
+
+
+def _daily(spark, sf_dir):
+    ta = ta_full(spark, sf_dir)
+    return M.daily_metrics(tra_full(spark, sf_dir, ta), ta, price_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+
+
+def q_top_codes(spark, sf_dir):
+    top = R.top_k(R.code_totals(_daily(spark, sf_dir)), P.TOP_K, "volume_usd", ["builder_code"])
+    return top.select("builder_code", F.round("volume_usd", P.ROUND_USD).alias("volume_usd"), "tx_count",
+                      F.round("chain_fees_usd", P.ROUND_FEE).alias("chain_fees_usd"))
+
+
+# -- data quality -------------------------------------------------------------------
+
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def q_dq_not_null(spark, sf_dir):
+    ta = ta_full(spark, sf_dir)
+    tra = tra_full(spark, sf_dir, ta)
+    dm = M.daily_metrics(tra, ta, price_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+    src = A.select_transfers(transfer_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+    return (QL.TRANSACTIONS_RULES.run(ta).where(F.col("rule") == "not_null")
+            .unionByName(QL.TRANSFERS_RULES.run(tra).where(F.col("rule") == "not_null"))
+            .unionByName(QL.not_null_summary(dm, QL.DAILY_RULES.not_null, QL.DAILY_RULES.model))
+            .unionByName(QL.not_null_summary(src, ["amount_usd"], "transfers")))
+
+
+def q_dq_unique(spark, sf_dir):
+    ta = ta_full(spark, sf_dir)
+    parts = [
+        QL.count_summary(QL.unique_failures(_table(spark, sf_dir, "events"), "event_id"), "events", "unique", "event_id"),
+        QL.count_summary(QL.unique_failures(_table(spark, sf_dir, "orders"), "o_custkey"), "orders", "unique",
+                         "o_custkey"),
+        QL.count_summary(QL.unique_failures(ta, "hash"), "transactions_attributed", "unique", "hash"),
+        QL.count_summary(QL.unique_failures(tra_full(spark, sf_dir, ta), "unique_key"), "transfers_attributed",
+                         "unique", "unique_key"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_dq_unique_combination(spark, sf_dir):
+    rule = "unique_combination_of_columns"
+    parts = [
+        QL.count_summary(QL.unique_combination_failures(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]),
+                         "lineitem", rule, "l_orderkey,l_linenumber"),
+        QL.count_summary(QL.unique_combination_failures(transfer_source(spark, sf_dir), ["tx_hash", "evt_index"]), "transfers",
+                         rule, "tx_hash,evt_index"),
+        QL.count_summary(QL.unique_combination_failures(_daily(spark, sf_dir), ["day", "builder_code"]),
+                         "buildercode_daily_metric", rule, "day,builder_code"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+ORDER_STATUS = ["F", "O", "P"]
+
+
+def q_dq_accepted_values(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders")
+    a = QL.count_summary(QL.accepted_values_failures(orders, "o_orderstatus", ORDER_STATUS), "orders",
+                         "accepted_values", "o_orderstatus:F,O,P")
+    b = QL.count_summary(QL.accepted_values_failures(orders, "o_orderstatus", ORDER_STATUS[:2]), "orders",
+                         "accepted_values", "o_orderstatus:F,O")
+    c = QL.count_summary(QL.accepted_values_failures(tra_full(spark, sf_dir), "blockchain", [P.CHAIN]),
+                         "transfers_attributed", "accepted_values", "blockchain:celo")
+    return a.unionByName(b).unionByName(c)
+
+
+def q_dq_relationships(spark, sf_dir):
+    a = QL.count_summary(QL.relationships_failures(_table(spark, sf_dir, "nation"), "n_regionkey",
+                                                   _table(spark, sf_dir, "region"), "r_regionkey"),
+                         "nation", "relationships", "n_regionkey->region.r_regionkey")
+    tr = A.select_transfers(transfer_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+    b = QL.count_summary(QL.relationships_failures(tr, "tx_hash", ta_full(spark, sf_dir), "hash"),
+                         "transfers", "relationships", "tx_hash->transactions_attributed.hash")
+    return a.unionByName(b)
+
+
+def q_dq_invariants(spark, sf_dir):
+    ta = ta_full(spark, sf_dir)
+    tra = tra_full(spark, sf_dir, ta)
+    dm = M.daily_metrics(tra, ta, price_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+    custom = QL.ModelRules("buildercode_daily_metric", custom={
+        "non_negative_fees": lambda d: d.where(F.col("chain_fees_usd") < 0)})
+    return (QL.count_summary(QL.tx_invariant_failures(ta), "transactions_attributed", "invariant", "flag_codes")
+            .unionByName(QL.count_summary(QL.transfer_invariant_failures(tra, P.CHAIN), "transfers_attributed",
+                                          "invariant", "flag_codes_chain"))
+            .unionByName(QL.count_summary(QL.daily_invariant_failures(dm), "buildercode_daily_metric", "invariant",
+                                          "counts_bounded"))
+            .unionByName(custom.run(dm)))
+
+
+# -- export ---------------------------------------------------------------------------
+
+EXPORT_META = {"export": {
+    "enabled": True,
+    "time_column": "block_time",
+    "time_start": P.EXPORT_START,
+    "time_start_incremental": lambda as_of: as_of - _dt.timedelta(days=1),
+}}
+EXPORT_SECOND_RUN = P.EXPORT_END + _dt.timedelta(days=2)
+
+
+def _export(spark, sf_dir):
+    root = scratch_path(spark, "export")
+    src = f"{root}/transactions_attributed"
+    U.full_refresh(spark, ta_full(spark, sf_dir), src, S.TX_PARTITION)
+    table = spark.read.parquet(src)
+    dest, log = f"{root}/export/transactions_attributed", f"{root}/export_runs"
+    w1 = X.resolve_window(EXPORT_META, "incremental", S.TX_KEY, P.EXPORT_END, is_incremental=False)
+    X.sync(spark, table, "transactions_attributed", w1, dest, log, P.EXPORT_END, S.TX_PARTITION)
+    w2 = X.resolve_window(EXPORT_META, "incremental", S.TX_KEY, EXPORT_SECOND_RUN, is_incremental=True)
+    X.sync(spark, table, "transactions_attributed", w2, dest, log, EXPORT_SECOND_RUN, S.TX_PARTITION)
+    return dest, log
+
+
+def q_export_window(spark, sf_dir):
+    dest, _ = _export(spark, sf_dir)
+    return portable(spark.read.parquet(dest).select("hash", "block_time", "block_date", "has_builder_code",
+                                                    "builder_code"))
+
+
+def _log_out(df):
+    return df.select("source_table", "time_column", F.concat_ws(",", "unique_key_columns").alias("unique_key_columns"),
+                     "time_start", "time_end", "full_refresh", "rows_synced", "created_at")
+
+
+def q_export_runs(spark, sf_dir):
+    _, log = _export(spark, sf_dir)
+    return _log_out(X.runs(spark, log, "transactions_attributed"))
+
+
+def q_export_log_latest(spark, sf_dir):
+    _, log = _export(spark, sf_dir)
+    return _log_out(X.latest_runs(spark, log, 1, "transactions_attributed"))
+
+
+# -- streaming ---------------------------------------------------------------------------
+
+from codetrail.streaming import attribution_stream as ST  # noqa: E402
+
+STREAM_FILES_PER_TRIGGER = 10
+
+
+def _tx_dir(spark, sf_dir):
+    return fixtures.materialize(spark, sf_dir)["transactions"]
+
+
+def q_stream_attributed(spark, sf_dir):
+    root = scratch_path(spark, "stream-attributed")
+    q = ST.start_transactions_stream(spark, _tx_dir(spark, sf_dir), f"{root}/transactions_attributed",
+                                     f"{root}/_checkpoint", P.FLOORS,
+                                     max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    q.awaitTermination()
+    return portable(read_tx_table(spark, f"{root}/transactions_attributed"))
+
+
+def q_stream_dedup(spark, sf_dir):
+    root = scratch_path(spark, "stream-dedup")
+    src = f"{root}/source"
+    tx = tx_source(spark, sf_dir)
+    tx.write.mode("append").parquet(src)   # first delivery
+    tx.write.mode("append").parquet(src)   # re-delivery of the same transactions
+    q = ST.start_transactions_stream(spark, src, f"{root}/transactions_attributed", f"{root}/_checkpoint",
+                                     P.FLOORS, dedup_delay="12 hours")
+    q.awaitTermination()
+    return portable(read_tx_table(spark, f"{root}/transactions_attributed"))
+
+
+def q_stream_daily(spark, sf_dir):
+    paths = MD.ModelPaths.under(scratch_path(spark, "stream-daily"))
+    q = ST.start_daily_stream(spark, _tx_dir(spark, sf_dir), transfer_source(spark, sf_dir),
+                              price_source(spark, sf_dir), paths, paths.daily_metric + "_checkpoint", P.CHAIN,
+                              P.FLOORS, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    q.awaitTermination()
+    return daily_output(spark.read.parquet(paths.daily_metric))

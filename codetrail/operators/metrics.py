@@ -115,6 +115,20 @@ def token_prices(prices: DataFrame, used: DataFrame, chain: str = "celo", floors
     return df.groupBy(_day("timestamp").alias("day"), F.col("contract_address")).agg(F.avg("price").alias("price"))
 
 
+def daily_prices(prices: DataFrame, chain: str = "celo", floors: Floors = Floors(),
+                 window: Lookback | None = None) -> DataFrame:
+    """Mean price per (day, token) of one chain, without the used-token semi join.
+
+    Used by :func:`daily_metrics`: the left join of fee totals on (day, token) keeps only
+    used tokens anyway, so the averages it picks are the same as with the semi join, and
+    the transaction side is not scanned a second time just to list the used tokens.
+    """
+    df = prices.where((F.col("blockchain") == F.lit(chain)) & floors.price_pred())
+    if window is not None:
+        df = df.where(window.ts_pred("timestamp"))
+    return df.groupBy(_day("timestamp").alias("day"), F.col("contract_address")).agg(F.avg("price").alias("price"))
+
+
 def fee_metrics(totals: DataFrame, prices: DataFrame) -> DataFrame:
     """Fees in USD per (day, code); a missing price counts as 0."""
     p = prices.withColumnRenamed("contract_address", "price_address")
@@ -135,8 +149,7 @@ def daily_metrics(tra: DataFrame, ta: DataFrame, prices: DataFrame, chain: str =
     txm = tx_metrics(atx)
     tm = transfer_metrics(attributed_transfers(tra, floors, window))
     totals = fee_totals(tx_fees(atx, mapping))
-    tp = token_prices(prices, totals, chain, floors, window)
-    fm = fee_metrics(totals, tp)
+    fm = fee_metrics(totals, daily_prices(prices, chain, floors, window))
     out = txm.join(tm, KEY, "left").join(fm, KEY, "left")
     return out.select(
         "day",

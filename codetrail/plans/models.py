@@ -36,9 +36,12 @@ def is_incremental(spark: SparkSession, target: str, full_refresh: bool) -> bool
     return (not full_refresh) and path_exists(spark, target)
 
 
-def _materialize(spark, df, target, key, partition_by, incremental) -> upsert.UpsertResult:
+STRATEGIES = {"delete+insert": upsert.delete_insert, "merge": upsert.merge}
+
+
+def _materialize(spark, df, target, key, partition_by, incremental, strategy="delete+insert") -> upsert.UpsertResult:
     if incremental:
-        return upsert.delete_insert(spark, df, target, key, partition_by)
+        return STRATEGIES[strategy](spark, df, target, key, partition_by)
     return upsert.full_refresh(spark, df, target, partition_by)
 
 
@@ -52,14 +55,15 @@ def run_transactions(spark: SparkSession, tx: DataFrame, target: str, as_of: dt.
 
 def run_transfers(spark: SparkSession, tr: DataFrame, tx_attributed_path: str, target: str,
                   as_of: dt.datetime | None = None, chain: str = "celo", floors: Floors = Floors(),
-                  full_refresh: bool = False, tagged_only: bool = False) -> upsert.UpsertResult:
+                  full_refresh: bool = False, tagged_only: bool = False,
+                  strategy: str = "delete+insert") -> upsert.UpsertResult:
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
     w = tx_window(as_of) if inc else None
     ta = spark.read.parquet(tx_attributed_path)
     keys = attribution.attribution_keys(ta, floors, w, tagged_only=tagged_only)
     df = attribution.attribute_transfers(attribution.select_transfers(tr, chain, floors, w), keys)
-    return _materialize(spark, df, target, schemas.TRANSFER_KEY, schemas.TRANSFER_PARTITION, inc)
+    return _materialize(spark, df, target, schemas.TRANSFER_KEY, schemas.TRANSFER_PARTITION, inc, strategy)
 
 
 def run_daily(spark: SparkSession, prices: DataFrame, tx_attributed_path: str, transfers_attributed_path: str,
