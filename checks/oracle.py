@@ -478,3 +478,15 @@ SQL["export_log_latest"] = with_models(BASE, body=_run_row(_S2, _E2, False, _W2,
 SQL["stream_attributed"] = SQL["tx_attributed"]
 SQL["stream_dedup"] = SQL["tx_attributed"]
 SQL["stream_daily"] = SQL["daily_metrics"]
+
+SQL["view_spot_check"] = with_models(BASE, body=(
+    "SELECT 'transactions' AS model, has_builder_code, COUNT(*) AS n FROM ta GROUP BY has_builder_code "
+    "UNION ALL SELECT 'transfers' AS model, has_builder_code, COUNT(*) AS n FROM tra GROUP BY has_builder_code"))
+SQL["full_refresh"] = SQL["tx_attributed"]
+SQL["compaction"] = SQL["tx_attributed"]
+SQL["address_left_join"] = with_models(BASE, (
+    "users AS (SELECT substr(sha256('user-' || CAST(user_id AS VARCHAR)), 1, 40) AS address, "
+    "MIN(ts) AS first_seen, COUNT(*) AS n_events FROM ev GROUP BY user_id)"), body=(
+    'SELECT t.hash, t."from", t.block_time, t.builder_code, u.first_seen, u.n_events '
+    'FROM ta t LEFT JOIN users u ON t."from" = u.address'))
+SQL["transfers_attributed_tagged"] = SQL["transfers_attributed"]

@@ -435,3 +435,67 @@ def q_stream_daily(spark, sf_dir):
                               P.FLOORS, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
     return daily_output(spark.read.parquet(paths.daily_metric))
+
+
+# -- more materializations and joins ------------------------------------------------------
+
+from codetrail.sources.catalog import register_view  # noqa: E402
+
+
+def q_view_spot_check(spark, sf_dir):
+    """K1 + SQL: models registered as views, spot-checked with SQL."""
+    ta = ta_full(spark, sf_dir)
+    register_view(ta, "transactions_attributed")
+    register_view(tra_full(spark, sf_dir, ta), "transfers_attributed")
+    return spark.sql("""
+        SELECT 'transactions' AS model, has_builder_code, COUNT(*) AS n
+        FROM transactions_attributed GROUP BY has_builder_code
+        UNION ALL
+        SELECT 'transfers' AS model, has_builder_code, COUNT(*) AS n
+        FROM transfers_attributed GROUP BY has_builder_code
+    """)
+
+
+def q_full_refresh(spark, sf_dir):
+    """K6: after incremental runs, a full refresh rebuilds the table from the floors."""
+    target = scratch_path(spark, "full-refresh") + "/transactions_attributed"
+    tx = tx_source(spark, sf_dir)
+    MD.run_transactions(spark, cut(tx, P.AS_OF_FIRST), target, None, P.FLOORS)
+    MD.run_transactions(spark, cut(tx, P.AS_OF_NEXT), target, P.AS_OF_NEXT, P.FLOORS)
+    MD.run_transactions(spark, tx, target, None, P.FLOORS, full_refresh=True)
+    return portable(read_tx_table(spark, target))
+
+
+def q_compaction(spark, sf_dir):
+    """K9: a table written in many small increments, compacted; the rows are unchanged."""
+    target = scratch_path(spark, "compaction") + "/transactions_attributed"
+    ta = ta_full(spark, sf_dir)
+    for part in range(4):  # four appends of disjoint slices -> several files per partition
+        U.write_table(ta.where(F.pmod(F.hash("hash"), F.lit(4)) == part), target, S.TX_PARTITION, mode="append")
+    U.compact(spark, target, S.TX_PARTITION, max_files=2)
+    return portable(read_tx_table(spark, target))
+
+
+def users(spark, sf_dir) -> DataFrame:
+    """A user dimension derived from events: address, first activity and event count."""
+    ev = fixtures.load_events(spark, sf_dir)
+    return ev.groupBy("user_id").agg(F.min("ts").alias("first_seen"), F.count(F.lit(1)).alias("n_events")).select(
+        F.unhex(F.substring(F.sha2(F.concat(F.lit("user-"), F.col("user_id").cast("string")), 256), 1, 40))
+        .alias("address"), "first_seen", "n_events")
+
+
+def q_address_left_join(spark, sf_dir):
+    """Transactions LEFT JOIN a user dimension ON from = address."""
+    t = ta_full(spark, sf_dir).select("hash", "from", "block_time", "builder_code").alias("t")
+    u = users(spark, sf_dir).alias("u")
+    j = t.join(u, F.col("t.from") == F.col("u.address"), "left")
+    return j.select(hex_text(F.col("t.hash")).alias("hash"), hex_text(F.col("t.from")).alias("from"),
+                    F.col("t.block_time"), F.col("t.builder_code"), F.col("u.first_seen"), F.col("u.n_events"))
+
+
+def q_transfers_attributed_tagged(spark, sf_dir):
+    """J1 with the right side pruned to tagged transactions (same result when hash is unique)."""
+    ta = ta_full(spark, sf_dir)
+    keys = A.attribution_keys(ta, P.FLOORS, tagged_only=True)
+    tr = A.select_transfers(transfer_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+    return portable(A.attribute_transfers(tr, keys))

@@ -23,6 +23,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +117,16 @@ def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key,
     The batch is not de-duplicated (use :func:`dedupe_latest` first if needed).
     """
     ensure_conf(spark)
+    # The batch is used up to three times (partition stats, old-key lookup, write): keep it
+    # once. Lost blocks are recomputed from lineage, so executor loss is tolerated.
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy)
+    finally:
+        batch.unpersist()
+
+
+def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy) -> UpsertResult:
     keys = _cols(unique_key)
     batch_parts: set = set()
     if partition_by is None:
@@ -183,8 +194,13 @@ def _kept(scope: DataFrame, key_df: DataFrame, keys: list[str], target_predicate
 def merge(spark: SparkSession, batch: DataFrame, path: str, unique_key, partition_by: str | None = None,
           target_predicate: Column | None = None) -> UpsertResult:
     """K4: update-or-insert by key. Requires unique batch keys; then equal to delete+insert."""
-    assert_unique_keys(batch, unique_key)
-    return delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy="merge")
+    ensure_conf(spark)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        assert_unique_keys(batch, unique_key)
+        return _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, "merge")
+    finally:
+        batch.unpersist()
 
 
 def dedupe_latest(df: DataFrame, unique_key, order_by: str | list[str]) -> DataFrame:
