@@ -45,3 +45,39 @@ def test_daily_metrics_plan_shape(spark):
 def test_top_k_is_take_ordered(spark):
     p = plan(Q.q_top_codes(spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+def test_hot_tx_hash_is_split_by_aqe(spark):
+    """A third of all transfers on one transaction: AQE splits the skewed left partition of J1."""
+    from pyspark.sql import functions as F
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 120000
+        h = F.unhex(F.sha2(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("string"), 256))
+        tr = spark.range(n).select(F.col("id").cast("string").alias("unique_key"), h.alias("tx_hash"))
+        keys = spark.range(n).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("hash"),
+                                     F.lit(True).alias("has_builder_code"), F.lit("x").alias("multi_code"),
+                                     F.lit("x").alias("builder_code"), F.lit(None).cast("string").alias("builder_code2"))
+        t, a = tr.alias("t"), keys.alias("a")
+        j = t.join(a, F.col("t.tx_hash") == F.col("a.hash"), "left").select("t.unique_key", "a.multi_code")
+        assert len(j.collect()) == n
+        p = plan(j)
+        assert "SortMergeJoin(skew=true)" in p and "AQEShuffleRead skewed" in p
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
