@@ -85,9 +85,16 @@ def _swap_in(spark: SparkSession, new_path: str, path: str) -> None:
         fs.delete(backup, True)
 
 
+def balanced(df: DataFrame, partition_by: str | list[str] | None = None) -> DataFrame:
+    """AQE ``rebalance`` before a write: rows of one output partition are gathered into a few
+    tasks (split or merged to the advisory size), so a write does not leave one small file per
+    task in every partition directory it touches."""
+    return df.hint("rebalance", *_cols(partition_by)) if partition_by else df.hint("rebalance")
+
+
 def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None = None, mode: str = "overwrite") -> None:
     """Table materialization (optionally partitioned, K7)."""
-    w = df.write.mode(mode)
+    w = balanced(df, partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*_cols(partition_by))
     w.parquet(path)
@@ -173,7 +180,8 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
 
     new = kept.unionByName(batch)
     # Dynamic overwrite replaces exactly the partitions present in `new`.
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    (balanced(new, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part).parquet(path))
     fs, _ = hadoop_fs(spark, path)
     jpath = spark._jvm.org.apache.hadoop.fs.Path
     for v in emptied:
