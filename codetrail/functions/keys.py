@@ -27,15 +27,15 @@ def hex_text(col: str | Column) -> Column:
 
 def portable(df: DataFrame) -> DataFrame:
     """Render a result for engine-neutral comparison: binary -> lower hex, decimal -> text,
-    nested -> text. Names and order are kept."""
-    cols = []
+    nested -> text. Names and order are kept. Built as one ``selectExpr``."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, T.BinaryType):
-            c = hex_text(c)
-        elif isinstance(f.dataType, T.DecimalType):
-            c = c.cast("string")
-        elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
-            c = c.cast("string")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"lower(hex({q}))"
+        elif isinstance(f.dataType, (T.DecimalType, T.ArrayType, T.StructType, T.MapType)):
+            e = f"cast({q} as string)"
+        else:
+            e = q
+        exprs.append(f"{e} AS {q}")
+    return df.selectExpr(*exprs)

@@ -216,12 +216,18 @@ def fixture_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{checkpoint_root(spark)}/codetrail/fixtures/{tag}"
 
 
+_MATERIALIZED: dict[tuple[int, str], dict[str, str]] = {}
+
+
 def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the three derived sources once (atomic rename into place); return their paths."""
     import uuid
 
     from codetrail.session import hadoop_fs
 
+    memo = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if memo in _MATERIALIZED:
+        return _MATERIALIZED[memo]
     root = fixture_root(spark, sf_dir)
     out = {}
     for name, build in _BUILDERS.items():
@@ -238,6 +244,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             if not fs.rename(tp, p):  # another writer won; keep theirs
                 fs.delete(tp, True)
         out[name] = final
+    _MATERIALIZED[memo] = out
     return out
 
 
