@@ -198,15 +198,21 @@ def register_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # ---------------------------------------------------------------------------
-# Materialized form: derived once per data folder into the shared checkpoint folder,
-# then scanned like production sources (typed Parquet, partitioned by date).
+# Materialized form: derived once per data folder into the shared checkpoint folder, laid
+# out like production sources under a SourceCatalog, and scanned through it (typed Parquet,
+# partitioned by date).
 
-FIXTURE_VERSION = "v1"
+FIXTURE_VERSION = "v2"
 _BUILDERS = {"transactions": transactions, "transfers": transfers, "prices": prices}
-_SCHEMAS = {"transactions": schemas.TRANSACTIONS, "transfers": schemas.TRANSFERS, "prices": schemas.PRICES}
 _PARTITION = {"transactions": "block_date", "transfers": "block_date", "prices": None}
 
 
+def _source_names():
+    from codetrail.sources import catalog as C
+
+    return {"transactions": C.TRANSACTIONS, "transfers": C.TRANSFERS, "prices": C.PRICES}
+
+
 def fixture_root(spark: SparkSession, sf_dir: str) -> str:
     import hashlib
 
@@ -216,6 +222,12 @@ def fixture_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{checkpoint_root(spark)}/codetrail/fixtures/{tag}"
 
 
+def fixture_catalog(spark: SparkSession, sf_dir: str):
+    from codetrail.sources.catalog import SourceCatalog
+
+    return SourceCatalog(fixture_root(spark, sf_dir))
+
+
 _MATERIALIZED: dict[tuple[int, str], dict[str, str]] = {}
 
 
@@ -228,13 +240,13 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     memo = (id(spark._jsparkSession), sf_dir.rstrip("/"))
     if memo in _MATERIALIZED:
         return _MATERIALIZED[memo]
-    root = fixture_root(spark, sf_dir)
+    cat = fixture_catalog(spark, sf_dir)
     out = {}
     for name, build in _BUILDERS.items():
-        final = f"{root}/{name}"
+        final = cat.path(*_source_names()[name])
         fs, p = hadoop_fs(spark, final)
         if not fs.exists(p):
-            tmp = f"{root}/_tmp-{name}-{uuid.uuid4().hex[:8]}"
+            tmp = f"{cat.root}/_tmp-{name}-{uuid.uuid4().hex[:8]}"
             w = build(spark, sf_dir).write.mode("overwrite")
             if _PARTITION[name]:
                 w = w.partitionBy(_PARTITION[name])
@@ -249,8 +261,11 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a materialized derived source with its fixed schema (columns in schema order)."""
-    ensure_conf(spark)
-    path = materialize(spark, sf_dir)[name]
-    sch = _SCHEMAS[name]
-    return spark.read.schema(sch).parquet(path).select(*[F.col(f"`{f.name}`") for f in sch.fields])
+    """Scan a materialized derived source through the catalog (columns in schema order)."""
+    from codetrail.sources.catalog import SOURCE_SCHEMAS
+
+    materialize(spark, sf_dir)
+    source = _source_names()[name]
+    sch = SOURCE_SCHEMAS[source]
+    df = fixture_catalog(spark, sf_dir).read(spark, *source)
+    return df.select(*[f.name if f.name not in ("from", "to", "index") else f"`{f.name}`" for f in sch.fields])
