@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from codetrail.functions.literals import typed_lit
 
 from checks import params as P
 from codetrail.functions.keys import hex_text, portable
@@ -160,7 +161,7 @@ from codetrail.session import scratch_path  # noqa: E402
 
 def cut(df: DataFrame, as_of, col: str = "block_time") -> DataFrame:
     """What had arrived by ``as_of``: source rows up to that instant."""
-    return df.where(F.col(col) <= F.lit(as_of))
+    return df.where(F.col(col) <= typed_lit(as_of))
 
 
 def read_tx_table(spark, path) -> DataFrame:
@@ -219,7 +220,7 @@ def q_upsert_target_predicate(spark, sf_dir):
     MD.run_transactions(spark, cut(tx, P.AS_OF_FIRST), target, None, P.FLOORS)
     batch = A.attribute_transactions(cut(tx, P.AS_OF_NEXT), P.FLOORS, tx_window(P.AS_OF_NEXT))
     U.delete_insert(spark, batch, target, S.TX_KEY, S.TX_PARTITION,
-                    target_predicate=F.col("block_time") >= F.lit(P.AS_OF_FIRST))
+                    target_predicate=F.col("block_time") >= typed_lit(P.AS_OF_FIRST))
     return portable(read_tx_table(spark, target))
 
 

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from codetrail.functions.literals import typed_lit
+
 # The historical floors of the reference models.
 DEFAULT_FLOOR_DATE = dt.date(2026, 5, 1)
 DEFAULT_FLOOR_TIME = dt.datetime(2026, 5, 1, 23, 22, 42)
@@ -35,16 +37,16 @@ class Floors:
     price_time: dt.datetime = DEFAULT_PRICE_FLOOR
 
     def date_pred(self, date_col: str = "block_date") -> Column:
-        return F.col(date_col) >= F.lit(self.date)
+        return F.col(date_col) >= typed_lit(self.date)
 
     def time_pred(self, time_col: str = "block_time") -> Column:
-        return F.col(time_col) >= F.lit(self.time)
+        return F.col(time_col) >= typed_lit(self.time)
 
     def tx_pred(self, date_col: str = "block_date", time_col: str = "block_time") -> Column:
         return self.date_pred(date_col) & self.time_pred(time_col)
 
     def price_pred(self, ts_col: str = "timestamp") -> Column:
-        return F.col(ts_col) >= F.lit(self.price_time)
+        return F.col(ts_col) >= typed_lit(self.price_time)
 
 
 @dataclass(frozen=True)
@@ -72,17 +74,17 @@ class Lookback:
         return dt.datetime.combine(self.date_bound, dt.time())
 
     def date_pred(self, date_col: str = "block_date") -> Column:
-        return F.col(date_col) >= F.lit(self.date_bound)
+        return F.col(date_col) >= typed_lit(self.date_bound)
 
     def pred(self, date_col: str = "block_date", time_col: str = "block_time") -> Column:
         p = self.date_pred(date_col)
         if self.time_bound is not None:
-            p = p & (F.col(time_col) >= F.lit(self.time_bound))
+            p = p & (F.col(time_col) >= typed_lit(self.time_bound))
         return p
 
     def ts_pred(self, ts_col: str) -> Column:
         """Timestamp column against the date bound (prices: ``timestamp >= current_date - 2 days``)."""
-        return F.col(ts_col) >= F.lit(self.day_start)
+        return F.col(ts_col) >= typed_lit(self.day_start)
 
 
 def tx_window(as_of: dt.datetime | None) -> Lookback | None:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from codetrail.functions.literals import typed_lit
 from pyspark.sql import types as T
 
 from codetrail.operators import upsert
@@ -82,9 +84,9 @@ def resolve_window(meta: dict | None, materialized: str, model_unique_key, as_of
 def window_rows(df: DataFrame, w: ExportWindow) -> DataFrame:
     """Rows of the window; a missing start means no lower bound."""
     c = F.col(f"`{w.time_column}`")
-    cond = c < F.lit(w.time_end)
+    cond = c < typed_lit(w.time_end)
     if w.time_start is not None:
-        cond = (c >= F.lit(w.time_start)) & cond
+        cond = (c >= typed_lit(w.time_start)) & cond
     return df.where(cond)
 
 
@@ -98,13 +100,25 @@ def sync(spark: SparkSession, df: DataFrame, source_table: str, w: ExportWindow,
     else:
         upsert.delete_insert(spark, rows, dest, w.unique_key, partition_by)
     n = spark.read.parquet(dest).transform(lambda d: window_rows(d, w)).count()
-    log = spark.createDataFrame(
-        [(source_table, w.time_column, w.unique_key, w.time_start, w.time_end, w.full_refresh, int(n), as_of)],
-        LOG_SCHEMA)
-    log.write.mode("append").parquet(log_path)
+    log_row(spark, source_table, w, n, as_of).write.mode("append").parquet(log_path)
     return int(n)
 
 
+def log_row(spark: SparkSession, source_table: str, w: ExportWindow, rows_synced: int, as_of: dt.datetime) -> DataFrame:
+    """One run-log row, built from typed literals (instants are read in the session zone)."""
+    vals = {
+        "source_table": F.lit(source_table),
+        "time_column": F.lit(w.time_column),
+        "unique_key_columns": F.array(*[F.lit(k) for k in w.unique_key]),
+        "time_start": typed_lit(w.time_start) if w.time_start is not None else F.lit(None),
+        "time_end": typed_lit(w.time_end),
+        "full_refresh": F.lit(bool(w.full_refresh)),
+        "rows_synced": F.lit(int(rows_synced)),
+        "created_at": typed_lit(as_of),
+    }
+    return spark.range(1).select(*[vals[f.name].cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields])
+
+
 def runs(spark: SparkSession, log_path: str, source_table: str | None = None) -> DataFrame:
     """Run history, newest first."""
     df = spark.read.schema(LOG_SCHEMA).parquet(log_path)

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codetrail.functions.literals import typed_lit
+
 
 def row_count(df: DataFrame, label: str, label_col: str = "model") -> DataFrame:
     """One labelled global count."""
@@ -57,7 +59,7 @@ def transfers_with_tx(transfers: DataFrame, ta: DataFrame, start: dt.date, end:
     A transfer lives in its transaction's block, so ``block_date`` is a co-key: it is a
     partition column on both tables, both scans prune to the bound, and the join keys carry it.
     """
-    t = transfers.where(F.col("block_date").between(F.lit(start), F.lit(end))).alias("t")
-    a = ta.where(F.col("block_date").between(F.lit(start), F.lit(end))).alias("a")
+    t = transfers.where(F.col("block_date").between(typed_lit(start), typed_lit(end))).alias("t")
+    a = ta.where(F.col("block_date").between(typed_lit(start), typed_lit(end))).alias("a")
     return t.join(a, (F.col("t.tx_hash") == F.col("a.hash")) & (F.col("t.block_date") == F.col("a.block_date")),
                   "inner")

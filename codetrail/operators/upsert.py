@@ -27,6 +27,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codetrail.functions.literals import isin
+
 from codetrail.session import ensure_conf, hadoop_fs, path_exists
 
 
@@ -169,13 +171,13 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
             old = old.where(F.coalesce(target_predicate, F.lit(False)))
         old_parts = {r[0] for r in old.select(part).distinct().collect()}
     touched = sorted(batch_parts | old_parts)
-    scope = target.where(F.col(part).isin(touched)) if touched else target.limit(0)
+    scope = target.where(isin(F.col(part), touched)) if touched else target.limit(0)
     kept = _kept(scope, key_df, keys, target_predicate)
 
     candidates = sorted(old_parts - batch_parts)
     emptied: list = []
     if candidates:
-        alive = {r[0] for r in kept.where(F.col(part).isin(candidates)).select(part).distinct().collect()}
+        alive = {r[0] for r in kept.where(isin(F.col(part), candidates)).select(part).distinct().collect()}
         emptied = [p for p in candidates if p not in alive]
 
     new = kept.unionByName(batch)

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from codetrail.functions.literals import isin
 from pyspark.sql.streaming import StreamingQuery
 
 from codetrail import schemas
@@ -62,14 +64,14 @@ def recompute_days(spark: SparkSession, days: list, transfers_source: DataFrame,
     """Rebuild transfers_attributed and the daily metric for ``days`` (dates) from the tables."""
     if not days:
         return
-    ta = spark.read.parquet(paths.transactions_attributed).where(F.col("block_date").isin(days))
-    tr = attribution.select_transfers(transfers_source.where(F.col("block_date").isin(days)), chain, floors)
+    ta = spark.read.parquet(paths.transactions_attributed).where(isin(F.col("block_date"), days))
+    tr = attribution.select_transfers(transfers_source.where(isin(F.col("block_date"), days)), chain, floors)
     keys = attribution.attribution_keys(ta, floors)
     tra_batch = attribution.attribute_transfers(tr, keys)
     upsert.delete_insert(spark, tra_batch, paths.transfers_attributed, schemas.TRANSFER_KEY,
                          schemas.TRANSFER_PARTITION)
-    tra = spark.read.parquet(paths.transfers_attributed).where(F.col("block_date").isin(days))
-    day_prices = prices.where(F.to_date("timestamp").isin(days))
+    tra = spark.read.parquet(paths.transfers_attributed).where(isin(F.col("block_date"), days))
+    day_prices = prices.where(isin(F.to_date("timestamp"), days))
     dm = metrics.daily_metrics(tra, ta, day_prices, chain, floors, None)
     # Replace whole days: keyed on day alone, so a (day, code) that vanished is removed too.
     upsert.delete_insert(spark, dm, paths.daily_metric, ["day"], None)

@@ -81,3 +81,23 @@ def test_hot_tx_hash_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_time_bounds_do_not_depend_on_driver_time_zone(spark):
+    import os
+    import time
+
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        tx = Q.tx_source(spark, SF_SMALL)
+        p = formatted(A.attribute_transactions(tx, P.FLOORS, tx_window(dt.datetime(2024, 1, 20, 6))))
+        assert "GreaterThanOrEqual(block_time,2024-01-19 18:00:00.0)" in p
+        assert "GreaterThanOrEqual(block_time,2024-01-02 07:30:00.0)" in p
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
