@@ -64,15 +64,12 @@ def q_tx_attributed(spark, sf_dir):
 
 
 def q_flag_counts(spark, sf_dir):
-    return ta_full(spark, sf_dir).groupBy("has_builder_code").agg(F.count(F.lit(1)).alias("n"))
+    return R.flag_counts(ta_full(spark, sf_dir))
 
 
 def q_model_counts(spark, sf_dir):
     ta = ta_full(spark, sf_dir)
-    a = ta.agg(F.count(F.lit(1)).alias("n")).select(F.lit("transactions_attributed").alias("model"), "n")
-    b = tra_full(spark, sf_dir, ta).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("transfers_attributed").alias("model"), "n")
-    return a.unionByName(b)
+    return R.labelled_counts({"transactions_attributed": ta, "transfers_attributed": tra_full(spark, sf_dir, ta)})
 
 
 # -- model 2 -----------------------------------------------------------------

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from codetrail import schemas
 from codetrail.functions.windows import Floors, metric_window, tx_window
 from codetrail.operators import attribution, metrics, upsert
+from codetrail.sources.catalog import read_table
 from codetrail.session import ensure_conf, path_exists
 
 
@@ -60,7 +61,7 @@ def run_transfers(spark: SparkSession, tr: DataFrame, tx_attributed_path: str, t
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
     w = tx_window(as_of) if inc else None
-    ta = spark.read.parquet(tx_attributed_path)
+    ta = read_table(spark, tx_attributed_path)
     keys = attribution.attribution_keys(ta, floors, w, tagged_only=tagged_only)
     df = attribution.attribute_transfers(attribution.select_transfers(tr, chain, floors, w), keys)
     return _materialize(spark, df, target, schemas.TRANSFER_KEY, schemas.TRANSFER_PARTITION, inc, strategy)
@@ -73,8 +74,8 @@ def run_daily(spark: SparkSession, prices: DataFrame, tx_attributed_path: str, t
     removed); the default keys on (day, builder_code) like the reference."""
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
-    ta = spark.read.parquet(tx_attributed_path)
-    tra = spark.read.parquet(transfers_attributed_path)
+    ta = read_table(spark, tx_attributed_path)
+    tra = read_table(spark, transfers_attributed_path)
     df = metrics.daily_metrics(tra, ta, prices, chain, floors, metric_window(as_of) if inc else None)
     key = ["day"] if replace_days else schemas.DAILY_KEY
     # Small table (days x codes): unpartitioned, rewritten whole and swapped in.

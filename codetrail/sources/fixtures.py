@@ -189,14 +189,6 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def register_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Register the three derived sources as temp views ``transactions``, ``transfers``, ``prices``."""
-    out = {"transactions": transactions(spark, sf_dir), "transfers": transfers(spark, sf_dir), "prices": prices(spark, sf_dir)}
-    for name, df in out.items():
-        df.createOrReplaceTempView(name)
-    return out
-
-
 # ---------------------------------------------------------------------------
 # Materialized form: derived once per data folder into the shared checkpoint folder, laid
 # out like production sources under a SourceCatalog, and scanned through it (typed Parquet,

@@ -67,3 +67,13 @@ def test_export_window_resolution():
 def test_export_skips(meta, mat):
     with pytest.raises(X.ExportSkipped):
         X.resolve_window(meta, mat, "k", AS_OF, True)
+
+
+def test_failing_row_queries(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, "b"), (None, "x")], "k int, v string")
+    assert QL.not_null_failures(df, "v").count() == 1
+    assert [tuple(r) for r in QL.unique_failures(df, "k").collect()] == [(2, 2)]
+    assert QL.unique_combination_failures(df, ["k", "v"]).count() == 0
+    assert [tuple(r) for r in QL.accepted_values_failures(df, "v", ["a", "b"]).collect()] == [("x", 1)]
+    parent = spark.createDataFrame([(1,)], "id int")
+    assert sorted(r["k"] for r in QL.relationships_failures(df, "k", parent, "id").collect()) == [2, 2]
