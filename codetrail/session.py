@@ -57,13 +57,20 @@ def ensure_conf(spark: SparkSession, force: bool = False) -> SparkSession:
     return spark
 
 
+_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the SparkContext checkpoint dir).
     Only when neither is set -- local tests -- a private folder is created and registered.
+    The answer is fixed per SparkContext, so every caller sees the same folder.
     """
     sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _ROOTS:
+        return _ROOTS[key]
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         try:
@@ -71,10 +78,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - older API
             root = None
     if not root:
+        # spark.checkpoint.dir is a core setting and cannot be changed at run time; the
+        # SparkContext checkpoint dir can.
         root = tempfile.mkdtemp(prefix="codetrail-ckpt-")
         sc.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    _ROOTS[key] = root.rstrip("/")
+    return _ROOTS[key]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -17,10 +17,8 @@ def spark():
     from codetrail.session import build_session
 
     s = build_session("local[4]", shuffle_partitions=8, app="codetrail-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="codetrail-test-ckpt-")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="codetrail-test-ckpt-"))
     yield s
     s.stop()
 
