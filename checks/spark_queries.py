@@ -380,8 +380,9 @@ def q_export_window(spark, sf_dir):
 
 
 def _log_out(df):
-    return df.select("source_table", "time_column", F.concat_ws(",", "unique_key_columns").alias("unique_key_columns"),
-                     "time_start", "time_end", "full_refresh", "rows_synced", "created_at")
+    return portable(df.select("source_table", "time_column",
+                              F.concat_ws(",", "unique_key_columns").alias("unique_key_columns"),
+                              "time_start", "time_end", "full_refresh", "rows_synced", "created_at"))
 
 
 def q_export_runs(spark, sf_dir):
@@ -487,8 +488,8 @@ def q_address_left_join(spark, sf_dir):
     t = ta_full(spark, sf_dir).select("hash", "from", "block_time", "builder_code").alias("t")
     u = users(spark, sf_dir).alias("u")
     j = t.join(u, F.col("t.from") == F.col("u.address"), "left")
-    return j.select(hex_text(F.col("t.hash")).alias("hash"), hex_text(F.col("t.from")).alias("from"),
-                    F.col("t.block_time"), F.col("t.builder_code"), F.col("u.first_seen"), F.col("u.n_events"))
+    return portable(j.select(F.col("t.hash"), F.col("t.from"), F.col("t.block_time"), F.col("t.builder_code"),
+                             F.col("u.first_seen"), F.col("u.n_events")))
 
 
 def q_transfers_attributed_tagged(spark, sf_dir):

@@ -27,7 +27,8 @@ def hex_text(col: str | Column) -> Column:
 
 def portable(df: DataFrame) -> DataFrame:
     """Render a result for engine-neutral comparison: binary -> lower hex, decimal -> text,
-    nested -> text. Names and order are kept. Built as one ``selectExpr``."""
+    nested -> text, instants -> UTC wall-clock ``timestamp_ntz`` (so collecting them does not
+    depend on the client's local zone). Names and order are kept. Built as one ``selectExpr``."""
     exprs = []
     for f in df.schema.fields:
         q = "`" + f.name.replace("`", "``") + "`"
@@ -35,6 +36,8 @@ def portable(df: DataFrame) -> DataFrame:
             e = f"lower(hex({q}))"
         elif isinstance(f.dataType, (T.DecimalType, T.ArrayType, T.StructType, T.MapType)):
             e = f"cast({q} as string)"
+        elif isinstance(f.dataType, T.TimestampType):
+            e = f"cast({q} as timestamp_ntz)"
         else:
             e = q
         exprs.append(f"{e} AS {q}")
