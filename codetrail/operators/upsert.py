@@ -137,25 +137,17 @@ def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key,
 
 def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy) -> UpsertResult:
     keys = _cols(unique_key)
-    batch_parts: set = set()
-    if partition_by is None:
-        assert_no_null_keys(batch, keys)
-    else:
-        # One pass over the batch yields both its partitions and the NULL-key check.
-        stats = batch.groupBy(partition_by).agg(
-            F.sum(F.when(null_key_rows(batch, keys), 1).otherwise(0)).alias("null_keys")).collect()
-        if any(r["null_keys"] for r in stats):
-            raise KeyError_(f"batch has NULL values in unique key {keys}")
-        batch_parts = {r[0] for r in stats}
-    if not path_exists(spark, path):
-        write_table(batch, path, partition_by)
-        return UpsertResult(path, strategy, True, sorted(batch_parts), [])
-
-    target = spark.read.parquet(path)
-    batch = batch.select(*[F.col(f"`{c}`") for c in target.columns])
+    exists = path_exists(spark, path)
+    target = spark.read.parquet(path) if exists else None
+    if target is not None:
+        batch = batch.select(*[F.col(f"`{c}`") for c in target.columns])
     key_df = batch.select(*[F.col(f"`{c}`") for c in keys])
 
     if partition_by is None:
+        assert_no_null_keys(batch, keys)
+        if target is None:
+            write_table(batch, path)
+            return UpsertResult(path, strategy, True, [], [])
         new = _kept(target, key_df, keys, target_predicate).unionByName(batch)
         tmp = f"{path}.__new-{uuid.uuid4().hex[:8]}"
         write_table(new, tmp)
@@ -163,18 +155,30 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
         return UpsertResult(path, strategy, False, [], [])
 
     part = partition_by
-    old_parts: set = set()
-    if part not in keys:
-        # Old rows of a batch key may live in another partition (the key moved).
+    # One job answers three questions: which partitions the batch writes, whether it has NULL
+    # keys, and -- only when the key lacks the partition column, so an old row of a batch key
+    # may sit in another partition -- which partitions hold old rows of the batch keys.
+    marks = batch.select(F.col(part).alias("_p"), F.when(null_key_rows(batch, keys), 1).otherwise(0).alias("_null"),
+                         F.lit(1).alias("_batch"))
+    if target is not None and part not in keys:
         old = target.join(key_df, keys, "left_semi")
         if target_predicate is not None:
             old = old.where(F.coalesce(target_predicate, F.lit(False)))
-        old_parts = {r[0] for r in old.select(part).distinct().collect()}
-    touched = sorted(batch_parts | old_parts)
+        marks = marks.unionByName(old.select(F.col(part).alias("_p"), F.lit(0).alias("_null"),
+                                             F.lit(0).alias("_batch")))
+    stats = marks.groupBy("_p").agg(F.sum("_null").alias("null_keys"), F.max("_batch").alias("in_batch")).collect()
+    if any(r["null_keys"] for r in stats):
+        raise KeyError_(f"batch has NULL values in unique key {keys}")
+    batch_parts = {r["_p"] for r in stats if r["in_batch"]}
+    if target is None:
+        write_table(batch, path, part)
+        return UpsertResult(path, strategy, True, sorted(batch_parts), [])
+
+    touched = sorted(r["_p"] for r in stats)
+    candidates = sorted(r["_p"] for r in stats if not r["in_batch"])   # old rows only, nothing new
     scope = target.where(isin(F.col(part), touched)) if touched else target.limit(0)
     kept = _kept(scope, key_df, keys, target_predicate)
 
-    candidates = sorted(old_parts - batch_parts)
     emptied: list = []
     if candidates:
         alive = {r[0] for r in kept.where(isin(F.col(part), candidates)).select(part).distinct().collect()}
