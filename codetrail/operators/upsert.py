@@ -28,11 +28,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetrail.functions.literals import isin
-
 from codetrail.session import ensure_conf, hadoop_fs, path_exists
 
 
-class KeyError_(ValueError):
+class UniqueKeyViolation(ValueError):
     """A unique-key precondition of the upsert does not hold."""
 
 
@@ -59,14 +58,14 @@ def null_key_rows(df: DataFrame, keys) -> Column:
 
 def assert_no_null_keys(df: DataFrame, keys) -> None:
     if df.where(null_key_rows(df, keys)).limit(1).count() > 0:
-        raise KeyError_(f"batch has NULL values in unique key {list(_cols(keys))}")
+        raise UniqueKeyViolation(f"batch has NULL values in unique key {list(_cols(keys))}")
 
 
 def assert_unique_keys(df: DataFrame, keys) -> None:
     k = _cols(keys)
     dup = df.groupBy(*[F.col(f"`{c}`") for c in k]).count().where(F.col("count") > 1)
     if dup.limit(1).count() > 0:
-        raise KeyError_(f"batch has duplicate values of unique key {k}")
+        raise UniqueKeyViolation(f"batch has duplicate values of unique key {k}")
 
 
 def _swap_in(spark: SparkSession, new_path: str, path: str) -> None:
@@ -111,10 +110,19 @@ def full_refresh(spark: SparkSession, df: DataFrame, path: str, partition_by=Non
     return UpsertResult(path, "full_refresh", True, [], [])
 
 
-def _partition_dir(path: str, part: str, value) -> str:
-    from urllib.parse import quote
+def _delete_partitions(spark: SparkSession, path: str, part: str, values) -> None:
+    """Remove the directories of the given partition values (found by listing, so the
+    directory-name escaping is Spark's own)."""
+    from urllib.parse import unquote
 
-    return f"{path}/{part}={quote(str(value), safe='')}"
+    wanted = {str(v) for v in values}
+    if not wanted:
+        return
+    fs, p = hadoop_fs(spark, path)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{part}=") and unquote(name.split("=", 1)[1]) in wanted:
+            fs.delete(st.getPath(), True)
 
 
 def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key, partition_by: str | None = None,
@@ -168,7 +176,7 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
                                              F.lit(0).alias("_batch")))
     stats = marks.groupBy("_p").agg(F.sum("_null").alias("null_keys"), F.max("_batch").alias("in_batch")).collect()
     if any(r["null_keys"] for r in stats):
-        raise KeyError_(f"batch has NULL values in unique key {keys}")
+        raise UniqueKeyViolation(f"batch has NULL values in unique key {keys}")
     batch_parts = {r["_p"] for r in stats if r["in_batch"]}
     if target is None:
         write_table(batch, path, part)
@@ -188,10 +196,7 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
     # Dynamic overwrite replaces exactly the partitions present in `new`.
     (balanced(new, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).parquet(path))
-    fs, _ = hadoop_fs(spark, path)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path
-    for v in emptied:
-        fs.delete(jpath(_partition_dir(path, part, v)), True)
+    _delete_partitions(spark, path, part, emptied)
     return UpsertResult(path, strategy, False, touched, emptied)
 
 

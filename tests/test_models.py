@@ -92,13 +92,13 @@ def test_key_moves_partition_and_emptied_partition(spark, scratch):
 
 
 def test_null_key_rejected(spark, scratch):
-    with pytest.raises(upsert.KeyError_):
+    with pytest.raises(upsert.UniqueKeyViolation):
         upsert.delete_insert(spark, _frame(spark, [(None, dt.date(2024, 1, 1), 1)]), scratch + "/t", ["k"], "d")
 
 
 def test_merge_rejects_duplicate_batch_keys(spark, scratch):
     d1 = dt.date(2024, 1, 1)
-    with pytest.raises(upsert.KeyError_):
+    with pytest.raises(upsert.UniqueKeyViolation):
         upsert.merge(spark, _frame(spark, [("a", d1, 1), ("a", d1, 2)]), scratch + "/t", ["k"], "d")
 
 
