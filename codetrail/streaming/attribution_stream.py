@@ -10,7 +10,8 @@
   each micro-batch recomputes the *days it touched* from the written tables -- transfers of
   those days re-attributed against transactions of the same days (a transfer shares its
   transaction's block and so its ``block_date``), then the daily metric of those days --
-  and replaces those days. The list of touched days is the only driver-side value.
+  and replaces those days. The touched days come back from the upsert of the micro-batch
+  and are the only driver-side value.
 """
 
 from __future__ import annotations
@@ -50,9 +51,9 @@ def start_transactions_stream(spark: SparkSession, source_dir: str, target: str,
     out = attributed_stream(read_transactions_stream(spark, source_dir, max_files_per_trigger), floors, dedup_delay)
 
     def write_batch(bdf: DataFrame, batch_id: int) -> None:
-        upsert.delete_insert(bdf.sparkSession, bdf, target, schemas.TX_KEY, schemas.TX_PARTITION)
+        result = upsert.delete_insert(bdf.sparkSession, bdf, target, schemas.TX_KEY, schemas.TX_PARTITION)
         if on_batch is not None:
-            on_batch(bdf, batch_id)
+            on_batch(bdf.sparkSession, result, batch_id)
 
     w = out.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -82,9 +83,9 @@ def start_daily_stream(spark: SparkSession, source_dir: str, transfers_source: D
                        max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
     """Transactions stream -> tx table upsert -> exact recompute of the touched days."""
 
-    def after(bdf: DataFrame, batch_id: int) -> None:
-        days = sorted(r[0] for r in bdf.select("block_date").distinct().collect())
-        recompute_days(bdf.sparkSession, days, transfers_source, prices, paths, chain, floors)
+    def after(session: SparkSession, result: upsert.UpsertResult, batch_id: int) -> None:
+        # Touched partitions = days of the batch plus days an updated key moved away from.
+        recompute_days(session, result.touched_partitions, transfers_source, prices, paths, chain, floors)
 
     return start_transactions_stream(spark, source_dir, paths.transactions_attributed, checkpoint, floors,
                                      None, max_files_per_trigger, available_now, on_batch=after)
