@@ -162,11 +162,13 @@ def cut(df: DataFrame, as_of, col: str = "block_time") -> DataFrame:
 
 
 def read_tx_table(spark, path) -> DataFrame:
-    return spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in S.TX_ATTRIBUTED_COLUMNS])
+    return spark.read.schema(S.TX_ATTRIBUTED).parquet(path).select(
+        *[F.col(f"`{c}`") for c in S.TX_ATTRIBUTED_COLUMNS])
 
 
 def read_transfer_table(spark, path) -> DataFrame:
-    return spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in S.TRANSFERS_ATTRIBUTED_COLUMNS])
+    return spark.read.schema(S.TRANSFERS_ATTRIBUTED).parquet(path).select(
+        *[F.col(f"`{c}`") for c in S.TRANSFERS_ATTRIBUTED_COLUMNS])
 
 
 def q_incremental_window(spark, sf_dir):

@@ -99,7 +99,7 @@ def sync(spark: SparkSession, df: DataFrame, source_table: str, w: ExportWindow,
         upsert.full_refresh(spark, rows, dest, partition_by)
     else:
         upsert.delete_insert(spark, rows, dest, w.unique_key, partition_by)
-    n = spark.read.parquet(dest).transform(lambda d: window_rows(d, w)).count()
+    n = window_rows(spark.read.schema(rows.schema).parquet(dest), w).count()
     log_row(spark, source_table, w, n, as_of).write.mode("append").parquet(log_path)
     return int(n)
 

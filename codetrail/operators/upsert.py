@@ -146,9 +146,8 @@ def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key,
 def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy) -> UpsertResult:
     keys = _cols(unique_key)
     exists = path_exists(spark, path)
-    target = spark.read.parquet(path) if exists else None
-    if target is not None:
-        batch = batch.select(*[F.col(f"`{c}`") for c in target.columns])
+    # Read the target with the batch's schema: an existing table may hold no files at all.
+    target = spark.read.schema(batch.schema).parquet(path) if exists else None
     key_df = batch.select(*[F.col(f"`{c}`") for c in keys])
 
     if partition_by is None:

@@ -61,7 +61,7 @@ def run_transfers(spark: SparkSession, tr: DataFrame, tx_attributed_path: str, t
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
     w = tx_window(as_of) if inc else None
-    ta = read_table(spark, tx_attributed_path)
+    ta = read_table(spark, tx_attributed_path, schemas.TX_ATTRIBUTED)
     keys = attribution.attribution_keys(ta, floors, w, tagged_only=tagged_only)
     df = attribution.attribute_transfers(attribution.select_transfers(tr, chain, floors, w), keys)
     return _materialize(spark, df, target, schemas.TRANSFER_KEY, schemas.TRANSFER_PARTITION, inc, strategy)
@@ -74,8 +74,8 @@ def run_daily(spark: SparkSession, prices: DataFrame, tx_attributed_path: str, t
     removed); the default keys on (day, builder_code) like the reference."""
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
-    ta = read_table(spark, tx_attributed_path)
-    tra = read_table(spark, transfers_attributed_path)
+    ta = read_table(spark, tx_attributed_path, schemas.TX_ATTRIBUTED)
+    tra = read_table(spark, transfers_attributed_path, schemas.TRANSFERS_ATTRIBUTED)
     df = metrics.daily_metrics(tra, ta, prices, chain, floors, metric_window(as_of) if inc else None)
     key = ["day"] if replace_days else schemas.DAILY_KEY
     # Small table (days x codes): unpartitioned, rewritten whole and swapped in.

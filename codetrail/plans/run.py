@@ -17,9 +17,11 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from codetrail import schemas
 from codetrail.functions.windows import Floors
 from codetrail.operators import quality
 from codetrail.plans import models
+from codetrail.session import shuffle_partitions_for
 from codetrail.sources import catalog as C
 
 ORDER = ["transactions_attributed", "transfers_attributed", "buildercode_daily_metric"]
@@ -68,12 +70,12 @@ def run(spark: SparkSession, cat: C.SourceCatalog, paths: models.ModelPaths, sel
 
 def test(spark: SparkSession, paths: models.ModelPaths, selected: list[str]):
     """Declared rules of the selected models; returns the failing ones as rows."""
-    where = {"transactions_attributed": paths.transactions_attributed,
-             "transfers_attributed": paths.transfers_attributed,
-             "buildercode_daily_metric": paths.daily_metric}
+    where = {"transactions_attributed": (paths.transactions_attributed, schemas.TX_ATTRIBUTED),
+             "transfers_attributed": (paths.transfers_attributed, schemas.TRANSFERS_ATTRIBUTED),
+             "buildercode_daily_metric": (paths.daily_metric, schemas.DAILY_METRIC)}
     out = []
     for m in selected:
-        out += quality.failing(RULES[m].run(spark.read.parquet(where[m]))).collect()
+        out += quality.failing(RULES[m].run(C.read_table(spark, *where[m]))).collect()
     return out
 
 
@@ -87,14 +89,22 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--full-refresh", action="store_true")
     ap.add_argument("--test", action="store_true")
     ap.add_argument("--chain", default="celo")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="default: sized from the source files, ~256 MB of input per partition")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("codetrail-models").getOrCreate()
+    cat = C.SourceCatalog(args.sources, args.database)
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
+    else:
+        sources = [cat.path(*C.TRANSACTIONS), cat.path(*C.TRANSFERS), cat.path(*C.PRICES)]
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(spark, sources)))
     as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc).replace(
         tzinfo=None)
     selected = select_models(args.select)
     paths = models.ModelPaths.under(args.target)
-    run(spark, C.SourceCatalog(args.sources, args.database), paths, selected, as_of, args.full_refresh, args.chain)
+    run(spark, cat, paths, selected, as_of, args.full_refresh, args.chain)
     if args.test:
         bad = test(spark, paths, selected)
         for r in bad:

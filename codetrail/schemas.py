@@ -96,3 +96,25 @@ DAILY_KEY = ["day", "builder_code"]
 TX_PARTITION = "block_date"
 TRANSFER_PARTITION = "block_date"
 DAILY_PARTITION = "day"
+
+# Output schemas: tables are always read back with these, so an empty table (a partitioned
+# write of zero rows leaves no files) reads as empty instead of failing schema inference.
+ATTRIBUTION_FIELDS = [
+    T.StructField("has_builder_code", T.BooleanType()),
+    T.StructField("multi_code", T.StringType()),
+    T.StructField("builder_code", T.StringType()),
+    T.StructField("builder_code2", T.StringType()),
+]
+_TX_FIELDS = {f.name: f for f in TRANSACTIONS.fields}
+TX_ATTRIBUTED = T.StructType(
+    [_TX_FIELDS[c] for c in TX_ATTRIBUTED_COLUMNS if c in _TX_FIELDS] + ATTRIBUTION_FIELDS)
+TRANSFERS_ATTRIBUTED = T.StructType(list(TRANSFERS.fields) + ATTRIBUTION_FIELDS)
+DAILY_METRIC = T.StructType([
+    T.StructField("day", T.TimestampType()),
+    T.StructField("builder_code", T.StringType()),
+    T.StructField("volume_usd", T.DoubleType()),
+    T.StructField("tx_count", T.LongType()),
+    T.StructField("token_transfers_tx", T.LongType()),
+    T.StructField("unique_addresses", T.LongType()),
+    T.StructField("chain_fees_usd", T.DoubleType()),
+])

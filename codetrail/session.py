@@ -102,3 +102,25 @@ def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    total = 0
+    for path in paths:
+        fs, p = hadoop_fs(spark, path)
+        if fs.exists(p):
+            total += int(fs.getContentSummary(p).getLength())
+    return total
+
+
+def shuffle_partitions_for(spark: SparkSession, paths, bytes_per_partition: int = 256 * 1024 * 1024,
+                           cap: int = 100_000) -> int:
+    """Shuffle partitions so that each holds about ``bytes_per_partition`` of input.
+
+    Sized on the input rather than left at a fixed number, so a full refresh over the whole
+    history does not spill while an hourly run stays small (AQE coalesces what is too small).
+    """
+    floor = 2 * spark.sparkContext.defaultParallelism
+    need = -(-input_bytes(spark, paths) // bytes_per_partition)
+    return int(min(cap, max(floor, need)))

@@ -27,6 +27,7 @@ from codetrail.functions.windows import Floors
 from codetrail.operators import attribution, metrics, upsert
 from codetrail.plans.models import ModelPaths
 from codetrail.session import ensure_conf
+from codetrail.sources.catalog import read_table
 
 
 def read_transactions_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -65,13 +66,15 @@ def recompute_days(spark: SparkSession, days: list, transfers_source: DataFrame,
     """Rebuild transfers_attributed and the daily metric for ``days`` (dates) from the tables."""
     if not days:
         return
-    ta = spark.read.parquet(paths.transactions_attributed).where(isin(F.col("block_date"), days))
+    ta = read_table(spark, paths.transactions_attributed, schemas.TX_ATTRIBUTED).where(
+        isin(F.col("block_date"), days))
     tr = attribution.select_transfers(transfers_source.where(isin(F.col("block_date"), days)), chain, floors)
     keys = attribution.attribution_keys(ta, floors)
     tra_batch = attribution.attribute_transfers(tr, keys)
     upsert.delete_insert(spark, tra_batch, paths.transfers_attributed, schemas.TRANSFER_KEY,
                          schemas.TRANSFER_PARTITION)
-    tra = spark.read.parquet(paths.transfers_attributed).where(isin(F.col("block_date"), days))
+    tra = read_table(spark, paths.transfers_attributed, schemas.TRANSFERS_ATTRIBUTED).where(
+        isin(F.col("block_date"), days))
     day_prices = prices.where(isin(F.to_date("timestamp"), days))
     dm = metrics.daily_metrics(tra, ta, day_prices, chain, floors, None)
     # Replace whole days: keyed on day alone, so a (day, code) that vanished is removed too.

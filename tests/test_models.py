@@ -146,3 +146,18 @@ def test_full_refresh_swaps_whole_table(spark, scratch):
     upsert.full_refresh(spark, _frame(spark, [("a", dt.date(2024, 1, 1), 1)]), path, "d")
     upsert.full_refresh(spark, _frame(spark, [("b", dt.date(2024, 1, 2), 2)]), path, "d")
     assert rows(spark.read.parquet(path), ["k", "v"]) == [("b", 2)]
+
+
+def test_empty_first_run_keeps_tables_readable(spark, scratch):
+    """Nothing passes the floors: the (partitioned) tables hold no files yet stay readable,
+    and later runs still work."""
+    from codetrail.functions.windows import Floors
+
+    late = Floors(dt.date(2030, 1, 1), dt.datetime(2030, 1, 1), dt.datetime(2030, 1, 1))
+    paths = MD.ModelPaths.under(scratch)
+    tx, tr, pr = srcs(spark)
+    for as_of in (None, dt.datetime(2024, 1, 20)):
+        MD.run_all(spark, tx, tr, pr, paths, as_of, P.CHAIN, late)
+    assert Q.read_tx_table(spark, paths.transactions_attributed).count() == 0
+    assert Q.read_transfer_table(spark, paths.transfers_attributed).count() == 0
+    assert spark.read.schema(schemas.DAILY_METRIC).parquet(paths.daily_metric).count() == 0

@@ -30,3 +30,21 @@ def test_run_and_test_models(spark, scratch):
     again = R.run(spark, cat, paths, R.ORDER, dt.datetime(2024, 1, 31), floors=P.FLOORS)
     assert not any(r.first_run for r in again.values())
     assert R.test(spark, paths, R.ORDER) == []
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from codetrail.session import input_bytes, shuffle_partitions_for
+
+    paths = list(fixtures.materialize(spark, SF_SMALL).values())
+    assert input_bytes(spark, paths) > 0
+    floor = 2 * spark.sparkContext.defaultParallelism
+    assert shuffle_partitions_for(spark, paths) == floor          # small input: the floor
+    assert shuffle_partitions_for(spark, paths, bytes_per_partition=1024) > floor
+
+
+def test_main_runs_end_to_end(spark, scratch):
+    fixtures.materialize(spark, SF_SMALL)
+    cat = fixtures.fixture_catalog(spark, SF_SMALL)
+    code = R.main(["--sources", cat.root, "--target", scratch, "--as-of", "2024-01-31T00:00:00",
+                   "--select", "+buildercode_daily_metric", "--test"])
+    assert code == 0
