@@ -93,19 +93,25 @@ def balanced(df: DataFrame, partition_by: str | list[str] | None = None) -> Data
     return df.hint("rebalance", *_cols(partition_by)) if partition_by else df.hint("rebalance")
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None = None, mode: str = "overwrite") -> None:
-    """Table materialization (optionally partitioned, K7)."""
-    w = balanced(df, partition_by).write.mode(mode)
+def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None = None, mode: str = "overwrite",
+                rebalance: bool = True) -> None:
+    """Table materialization (optionally partitioned, K7).
+
+    ``rebalance=False`` skips the shuffle when every task already holds one output partition's
+    rows -- a map-only projection of a source partitioned the same way (model 1).
+    """
+    w = (balanced(df, partition_by) if rebalance else df).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*_cols(partition_by))
     w.parquet(path)
 
 
-def full_refresh(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> UpsertResult:
+def full_refresh(spark: SparkSession, df: DataFrame, path: str, partition_by=None,
+                 rebalance: bool = True) -> UpsertResult:
     """K2/K6: build into a new directory, then swap it in; readers never see a half table."""
     ensure_conf(spark)
     tmp = f"{path}.__new-{uuid.uuid4().hex[:8]}"
-    write_table(df, tmp, partition_by)
+    write_table(df, tmp, partition_by, rebalance=rebalance)
     _swap_in(spark, tmp, path)
     return UpsertResult(path, "full_refresh", True, [], [])
 
@@ -126,7 +132,8 @@ def _delete_partitions(spark: SparkSession, path: str, part: str, values) -> Non
 
 
 def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key, partition_by: str | None = None,
-                  target_predicate: Column | None = None, strategy: str = "delete+insert") -> UpsertResult:
+                  target_predicate: Column | None = None, strategy: str = "delete+insert",
+                  rebalance: bool = True) -> UpsertResult:
     """K3: delete target rows whose key is in the batch, insert the whole batch.
 
     ``target_predicate`` (K8) limits which target rows may be deleted; rows outside it are
@@ -138,12 +145,13 @@ def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key,
     # once. Lost blocks are recomputed from lineage, so executor loss is tolerated.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy)
+        return _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy, rebalance)
     finally:
         batch.unpersist()
 
 
-def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy) -> UpsertResult:
+def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy,
+                   rebalance=True) -> UpsertResult:
     keys = _cols(unique_key)
     exists = path_exists(spark, path)
     # Read the target with the batch's schema: an existing table may hold no files at all.
@@ -178,7 +186,7 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
         raise UniqueKeyViolation(f"batch has NULL values in unique key {keys}")
     batch_parts = {r["_p"] for r in stats if r["in_batch"]}
     if target is None:
-        write_table(batch, path, part)
+        write_table(batch, path, part, rebalance=rebalance)
         return UpsertResult(path, strategy, True, sorted(batch_parts), [])
 
     touched = sorted(r["_p"] for r in stats)
@@ -193,8 +201,8 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
 
     new = kept.unionByName(batch)
     # Dynamic overwrite replaces exactly the partitions present in `new`.
-    (balanced(new, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part).parquet(path))
+    ((balanced(new, part) if rebalance else new).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
     _delete_partitions(spark, path, part, emptied)
     return UpsertResult(path, strategy, False, touched, emptied)
 
@@ -210,13 +218,13 @@ def _kept(scope: DataFrame, key_df: DataFrame, keys: list[str], target_predicate
 
 
 def merge(spark: SparkSession, batch: DataFrame, path: str, unique_key, partition_by: str | None = None,
-          target_predicate: Column | None = None) -> UpsertResult:
+          target_predicate: Column | None = None, rebalance: bool = True) -> UpsertResult:
     """K4: update-or-insert by key. Requires unique batch keys; then equal to delete+insert."""
     ensure_conf(spark)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         assert_unique_keys(batch, unique_key)
-        return _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, "merge")
+        return _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, "merge", rebalance)
     finally:
         batch.unpersist()
 

@@ -40,10 +40,11 @@ def is_incremental(spark: SparkSession, target: str, full_refresh: bool) -> bool
 STRATEGIES = {"delete+insert": upsert.delete_insert, "merge": upsert.merge}
 
 
-def _materialize(spark, df, target, key, partition_by, incremental, strategy="delete+insert") -> upsert.UpsertResult:
+def _materialize(spark, df, target, key, partition_by, incremental, strategy="delete+insert",
+                 rebalance=True) -> upsert.UpsertResult:
     if incremental:
-        return STRATEGIES[strategy](spark, df, target, key, partition_by)
-    return upsert.full_refresh(spark, df, target, partition_by)
+        return STRATEGIES[strategy](spark, df, target, key, partition_by, rebalance=rebalance)
+    return upsert.full_refresh(spark, df, target, partition_by, rebalance=rebalance)
 
 
 def run_transactions(spark: SparkSession, tx: DataFrame, target: str, as_of: dt.datetime | None = None,
@@ -51,7 +52,9 @@ def run_transactions(spark: SparkSession, tx: DataFrame, target: str, as_of: dt.
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
     df = attribution.attribute_transactions(tx, floors, tx_window(as_of) if inc else None)
-    return _materialize(spark, df, target, schemas.TX_KEY, schemas.TX_PARTITION, inc)
+    # Map-only over a source partitioned by the same date: every task already writes one date,
+    # so no rebalance shuffle of the largest table (model 2 and 3 outputs come out of shuffles).
+    return _materialize(spark, df, target, schemas.TX_KEY, schemas.TX_PARTITION, inc, rebalance=False)
 
 
 def run_transfers(spark: SparkSession, tr: DataFrame, tx_attributed_path: str, target: str,
