@@ -51,8 +51,13 @@ def start_transactions_stream(spark: SparkSession, source_dir: str, target: str,
     """Stream transactions into ``transactions_attributed`` with keyed upserts."""
     out = attributed_stream(read_transactions_stream(spark, source_dir, max_files_per_trigger), floors, dedup_delay)
 
+    # Without dedup a micro-batch is a map-only decode of date-partitioned files: no rebalance
+    # needed before the write. The dedup shuffles by hash, so rows of many dates meet per task.
+    rebalance = dedup_delay is not None
+
     def write_batch(bdf: DataFrame, batch_id: int) -> None:
-        result = upsert.delete_insert(bdf.sparkSession, bdf, target, schemas.TX_KEY, schemas.TX_PARTITION)
+        result = upsert.delete_insert(bdf.sparkSession, bdf, target, schemas.TX_KEY, schemas.TX_PARTITION,
+                                      rebalance=rebalance)
         if on_batch is not None:
             on_batch(bdf.sparkSession, result, batch_id)
 
