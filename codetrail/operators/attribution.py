@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from codetrail import schemas
 from codetrail.functions import trailer
 from codetrail.functions.windows import Floors, Lookback, apply_window
+from codetrail.session import ensure_conf
 
 HELPER_COLUMNS = ["calldata", "calldata_len", "tail_marker", "schema_id", "code_len"]
 
@@ -21,6 +22,7 @@ def select_transactions(tx: DataFrame, floors: Floors = Floors(), window: Lookba
 
     Rows whose calldata is NULL or at most 18 bytes are dropped (not flagged).
     """
+    ensure_conf(tx.sparkSession)
     df = tx.where((trailer.byte_length("data") > trailer.MIN_CALLDATA_BYTES) & floors.tx_pred())
     df = apply_window(df, window)
     return df.select(
@@ -66,6 +68,7 @@ def attribute_transactions(tx: DataFrame, floors: Floors = Floors(), window: Loo
 def select_transfers(tr: DataFrame, chain: str = "celo", floors: Floors = Floors(),
                      window: Lookback | None = None) -> DataFrame:
     """Transfers of one chain above the floors, inside the window."""
+    ensure_conf(tr.sparkSession)
     df = tr.where((F.col("blockchain") == F.lit(chain)) & floors.tx_pred())
     df = apply_window(df, window)
     return df.select(*[F.col(f"`{c}`") for c in schemas.TRANSFER_PASSTHROUGH])
@@ -81,6 +84,7 @@ def attribution_keys(ta: DataFrame, floors: Floors = Floors(), window: Lookback
     shrinks to the tagged fraction. Off by default: with a duplicated hash the reference fans
     out on untagged duplicates too.
     """
+    ensure_conf(ta.sparkSession)
     df = ta.where(floors.date_pred())
     df = apply_window(df, window)
     if tagged_only:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from codetrail.functions import fees as feefn
 from codetrail.functions.trailer import effective_code
 from codetrail.functions.windows import Floors, Lookback
+from codetrail.session import ensure_conf
 
 KEY = ["day", "builder_code"]
 
@@ -33,6 +34,7 @@ def _day(ts: str) -> F.Column:
 
 def attributed_transfers(tra: DataFrame, floors: Floors = Floors(), window: Lookback | None = None) -> DataFrame:
     """Attributed transfer rows with day and effective code."""
+    ensure_conf(tra.sparkSession)
     df = tra.where(F.col("builder_code").isNotNull() & floors.date_pred())
     if window is not None:
         df = df.where(window.date_pred())
@@ -54,6 +56,7 @@ def transfer_metrics(at: DataFrame) -> DataFrame:
 
 def attributed_txs(ta: DataFrame, floors: Floors = Floors(), window: Lookback | None = None) -> DataFrame:
     """Tagged transactions with day, effective code, sender and fee inputs."""
+    ensure_conf(ta.sparkSession)
     df = ta.where(F.col("has_builder_code") & floors.date_pred())
     if window is not None:
         df = df.where(window.date_pred())
@@ -102,6 +105,7 @@ def used_prices(prices: DataFrame, used: DataFrame, chain: str = "celo", floors:
     distinct gas tokens are few, and Catalyst/AQE pick a broadcast semi join from sizes
     measured at run time.
     """
+    ensure_conf(prices.sparkSession)
     df = prices.where((F.col("blockchain") == F.lit(chain)) & floors.price_pred())
     if window is not None:
         df = df.where(window.ts_pred("timestamp"))
@@ -123,6 +127,7 @@ def daily_prices(prices: DataFrame, chain: str = "celo", floors: Floors = Floors
     used tokens anyway, so the averages it picks are the same as with the semi join, and
     the transaction side is not scanned a second time just to list the used tokens.
     """
+    ensure_conf(prices.sparkSession)
     df = prices.where((F.col("blockchain") == F.lit(chain)) & floors.price_pred())
     if window is not None:
         df = df.where(window.ts_pred("timestamp"))

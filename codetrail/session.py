@@ -39,21 +39,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-_CONFIGURED: set[int] = set()
+def ensure_conf(spark: SparkSession) -> SparkSession:
+    """Apply the session settings the operators need (UTC day boundaries, dynamic overwrite).
 
-
-def ensure_conf(spark: SparkSession, force: bool = False) -> SparkSession:
-    """Apply the session settings the operators need (time zone, overwrite mode).
-
-    Checked once per session object; ``force=True`` re-checks.
+    Called by every model operator and reader; two cheap conf reads when nothing changed.
     """
-    key = id(spark._jsparkSession)
-    if key in _CONFIGURED and not force:
-        return spark
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-    _CONFIGURED.add(key)
     return spark
 
 

@@ -101,3 +101,14 @@ def test_time_bounds_do_not_depend_on_driver_time_zone(spark):
         else:
             os.environ["TZ"] = old
         time.tzset()
+
+
+def test_operators_pin_the_session_time_zone(spark):
+    """Day boundaries are UTC even if the session was switched to another zone."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        tx = Q.tx_source(spark, SF_SMALL)
+        A.attribute_transactions(tx, P.FLOORS)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
