@@ -490,3 +490,4 @@ SQL["address_left_join"] = with_models(BASE, (
     'SELECT t.hash, t."from", t.block_time, t.builder_code, u.first_seen, u.n_events '
     'FROM ta t LEFT JOIN users u ON t."from" = u.address'))
 SQL["transfers_attributed_tagged"] = SQL["transfers_attributed"]
+SQL["stream_restart"] = SQL["tx_attributed"]

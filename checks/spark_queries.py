@@ -500,3 +500,20 @@ def q_transfers_attributed_tagged(spark, sf_dir):
     keys = A.attribution_keys(ta, P.FLOORS, tagged_only=True)
     tr = A.select_transfers(transfer_source(spark, sf_dir), P.CHAIN, P.FLOORS)
     return portable(A.attribute_transfers(tr, keys))
+
+
+RESTART_SPLIT = _dt.date(2024, 1, 15)
+REDELIVERY_FROM = _dt.date(2024, 1, 10)
+
+
+def q_stream_restart(spark, sf_dir):
+    """T5 across a restart: files arrive after the query stopped (some days delivered twice);
+    the restarted query resumes from its checkpoint and the keyed upsert absorbs re-deliveries."""
+    root = scratch_path(spark, "stream-restart")
+    src, target, ckpt = f"{root}/source", f"{root}/transactions_attributed", f"{root}/_checkpoint"
+    tx = tx_source(spark, sf_dir)
+    tx.where(F.col("block_date") < typed_lit(RESTART_SPLIT)).write.mode("append").parquet(src)
+    ST.start_transactions_stream(spark, src, target, ckpt, P.FLOORS).awaitTermination()
+    tx.where(F.col("block_date") >= typed_lit(REDELIVERY_FROM)).write.mode("append").parquet(src)
+    ST.start_transactions_stream(spark, src, target, ckpt, P.FLOORS).awaitTermination()
+    return portable(read_tx_table(spark, target))
