@@ -4,15 +4,27 @@ so they can be compared with the DuckDB oracle in ``checks.oracle``."""
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from codetrail.functions.literals import typed_lit
 
 from checks import params as P
-from codetrail.functions.keys import hex_text, portable
+from codetrail import schemas as S
+from codetrail.functions.keys import hex_text, portable, surrogate_key
+from codetrail.functions.literals import typed_lit
+from codetrail.functions.windows import tx_window
 from codetrail.operators import attribution as A
+from codetrail.operators import export as X
 from codetrail.operators import metrics as M
+from codetrail.operators import quality as QL
+from codetrail.operators import reports as R
+from codetrail.operators import upsert as U
+from codetrail.plans import models as MD
+from codetrail.session import scratch_path
 from codetrail.sources import fixtures
+from codetrail.sources.catalog import register_view
+from codetrail.streaming import attribution_stream as ST
 
 
 # -- sources -----------------------------------------------------------------
@@ -143,18 +155,6 @@ def q_daily_metrics(spark, sf_dir):
 
 # -- incremental windows and materializations ----------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from codetrail import schemas as S  # noqa: E402
-from codetrail.functions.keys import surrogate_key  # noqa: E402
-from codetrail.functions.windows import tx_window  # noqa: E402
-from codetrail.operators import export as X  # noqa: E402
-from codetrail.operators import quality as QL  # noqa: E402
-from codetrail.operators import reports as R  # noqa: E402
-from codetrail.operators import upsert as U  # noqa: E402
-from codetrail.plans import models as MD  # noqa: E402
-from codetrail.session import scratch_path  # noqa: E402
-
 
 def cut(df: DataFrame, as_of, col: str = "block_time") -> DataFrame:
     """What had arrived by ``as_of``: source rows up to that instant."""
@@ -399,7 +399,6 @@ def q_export_log_latest(spark, sf_dir):
 
 # -- streaming ---------------------------------------------------------------------------
 
-from codetrail.streaming import attribution_stream as ST  # noqa: E402
 
 STREAM_FILES_PER_TRIGGER = 10
 
@@ -440,8 +439,6 @@ def q_stream_daily(spark, sf_dir):
 
 # -- more materializations and joins ------------------------------------------------------
 
-from codetrail.sources.catalog import register_view  # noqa: E402
-
 
 def q_view_spot_check(spark, sf_dir):
     """K1 + SQL: models registered as views, spot-checked with SQL."""
