@@ -206,11 +206,14 @@ def _source_names():
 
 
 def fixture_root(spark: SparkSession, sf_dir: str) -> str:
+    """One folder per (Spark application, data folder): concurrent applications never write
+    into the same place (a directory rename onto an existing one would nest it)."""
     import hashlib
 
     from codetrail.session import checkpoint_root
 
-    tag = hashlib.sha1(f"{FIXTURE_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+    app = spark.sparkContext.applicationId
+    tag = hashlib.sha1(f"{FIXTURE_VERSION}:{sf_dir.rstrip('/')}:{app}".encode()).hexdigest()[:16]
     return f"{checkpoint_root(spark)}/codetrail/fixtures/{tag}"
 
 
@@ -238,15 +241,15 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         final = cat.path(*_source_names()[name])
         fs, p = hadoop_fs(spark, final)
         if not fs.exists(p):
+            # Written aside and renamed into place, so a half-written source is never read.
             tmp = f"{cat.root}/_tmp-{name}-{uuid.uuid4().hex[:8]}"
             w = build(spark, sf_dir).write.mode("overwrite")
             if _PARTITION[name]:
                 w = w.partitionBy(_PARTITION[name])
             w.parquet(tmp)
             fs.mkdirs(p.getParent())
-            tp = spark._jvm.org.apache.hadoop.fs.Path(tmp)
-            if not fs.rename(tp, p):  # another writer won; keep theirs
-                fs.delete(tp, True)
+            if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(tmp), p):
+                raise IOError(f"cannot move {tmp} to {final}")
         out[name] = final
     _MATERIALIZED[memo] = out
     return out
