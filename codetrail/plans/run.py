@@ -1,8 +1,10 @@
 """Job entry point: run the models, then their declared quality rules.
 
-    spark-submit -m codetrail.plans.run --sources s3://lake --target s3://out \\
+    spark-submit --py-files codetrail.zip codetrail/plans/run.py --sources <root> --target <root> \\
         --as-of 2026-05-02T06:00:00 [--select transfers_attributed+] [--full-refresh] [--test]
 
+(or ``python -m codetrail.plans.run ...`` where a Spark environment is configured).
+
 ``--select`` takes model names; ``+name`` adds its upstream models, ``name+`` its downstream
 models (the three models form a chain). ``--as-of`` is the run instant used by the look-back
 windows (defaults to the current UTC time). ``--test`` runs the declared rules of the selected
