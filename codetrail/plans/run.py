@@ -52,7 +52,8 @@ def select_models(spec: list[str] | None) -> list[str]:
 
 
 def run(spark: SparkSession, cat: C.SourceCatalog, paths: models.ModelPaths, selected: list[str],
-        as_of: dt.datetime | None, full_refresh: bool = False, chain: str = "celo", floors: Floors = Floors()):
+        as_of: dt.datetime | None, full_refresh: bool = False, chain: str = "celo", floors: Floors = Floors(),
+        replace_days: bool = False):
     results = {}
     if "transactions_attributed" in selected:
         tx = cat.read(spark, *C.TRANSACTIONS)
@@ -66,7 +67,7 @@ def run(spark: SparkSession, cat: C.SourceCatalog, paths: models.ModelPaths, sel
         pr = cat.read(spark, *C.PRICES)
         results["buildercode_daily_metric"] = models.run_daily(
             spark, pr, paths.transactions_attributed, paths.transfers_attributed, paths.daily_metric, as_of, chain,
-            floors, full_refresh)
+            floors, full_refresh, replace_days)
     return results
 
 
@@ -91,6 +92,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--full-refresh", action="store_true")
     ap.add_argument("--test", action="store_true")
     ap.add_argument("--chain", default="celo")
+    ap.add_argument("--floor-date", default=None, help="historical start date (default: the models' floor)")
+    ap.add_argument("--floor-time", default=None, help="historical start instant of transactions/transfers")
+    ap.add_argument("--price-floor", default=None, help="historical start instant of prices")
+    ap.add_argument("--replace-days", action="store_true",
+                    help="daily metric: replace whole recomputed days (drops codes that vanished upstream)")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="default: sized from the source files, ~256 MB of input per partition")
     args = ap.parse_args(argv)
@@ -106,7 +112,13 @@ def main(argv: list[str] | None = None) -> int:
         tzinfo=None)
     selected = select_models(args.select)
     paths = models.ModelPaths.under(args.target)
-    run(spark, cat, paths, selected, as_of, args.full_refresh, args.chain)
+    d = Floors()
+    floors = Floors(
+        dt.date.fromisoformat(args.floor_date) if args.floor_date else d.date,
+        dt.datetime.fromisoformat(args.floor_time) if args.floor_time else d.time,
+        dt.datetime.fromisoformat(args.price_floor) if args.price_floor else d.price_time,
+    )
+    run(spark, cat, paths, selected, as_of, args.full_refresh, args.chain, floors, args.replace_days)
     if args.test:
         bad = test(spark, paths, selected)
         for r in bad:

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from checks import params as P
+from checks import spark_queries as Q
 from codetrail.plans import models
 from codetrail.plans import run as R
 from codetrail.sources import fixtures
@@ -48,3 +49,18 @@ def test_main_runs_end_to_end(spark, scratch):
     code = R.main(["--sources", cat.root, "--target", scratch, "--as-of", "2024-01-31T00:00:00",
                    "--select", "+buildercode_daily_metric", "--test"])
     assert code == 0
+
+
+def test_main_with_floors_and_replace_days(spark, scratch):
+    from codetrail import schemas
+
+    fixtures.materialize(spark, SF_SMALL)
+    cat = fixtures.fixture_catalog(spark, SF_SMALL)
+    args = ["--sources", cat.root, "--target", scratch, "--as-of", "2024-01-31T00:00:00",
+            "--floor-date", "2024-01-02", "--floor-time", "2024-01-02T07:30:00", "--price-floor", "2024-01-02"]
+    assert R.main(args) == 0
+    assert R.main(args + ["--replace-days", "--select", "buildercode_daily_metric", "--test"]) == 0
+    paths = models.ModelPaths.under(scratch)
+    got = spark.read.schema(schemas.DAILY_METRIC).parquet(paths.daily_metric)
+    want = Q.q_daily_metrics(spark, SF_SMALL)
+    assert got.count() == want.count() > 0
