@@ -229,7 +229,7 @@ def q_daily_recompute(spark, sf_dir):
     for as_of, win in ((P.AS_OF_FIRST, None), (P.AS_OF_METRIC, P.AS_OF_METRIC)):
         MD.run_all(spark, cut(tx, as_of), cut(tr, as_of), cut(pr, as_of, "timestamp"), paths, win, P.CHAIN,
                    P.FLOORS)
-    return daily_output(spark.read.parquet(paths.daily_metric))
+    return daily_output(spark.read.schema(S.DAILY_METRIC).parquet(paths.daily_metric))
 
 
 # -- joins, unions, keys, reports ------------------------------------------------
@@ -434,7 +434,7 @@ def q_stream_daily(spark, sf_dir):
                               price_source(spark, sf_dir), paths, paths.daily_metric + "_checkpoint", P.CHAIN,
                               P.FLOORS, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
-    return daily_output(spark.read.parquet(paths.daily_metric))
+    return daily_output(spark.read.schema(S.DAILY_METRIC).parquet(paths.daily_metric))
 
 
 # -- more materializations and joins ------------------------------------------------------

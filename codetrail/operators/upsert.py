@@ -254,7 +254,7 @@ def append(spark: SparkSession, batch: DataFrame, path: str, unique_key=None, pa
         batch = dedupe_latest(batch, unique_key, dedupe_order_by)
     first = not path_exists(spark, path)
     if skip_existing and not first:
-        target = spark.read.parquet(path)
+        target = spark.read.schema(batch.schema).parquet(path)
         batch = batch.join(target.select(*_cols(unique_key)), _cols(unique_key), "left_anti")
     write_table(batch, path, partition_by, mode="append")
     return UpsertResult(path, "append", first, [], [])
