@@ -120,6 +120,8 @@ class ModelRules:
             parts.append(count_summary(accepted_values_failures(df, c, vals), self.model, "accepted_values", c))
         for name, fn in self.custom.items():
             parts.append(count_summary(fn(df), self.model, "custom", name))
+        if not parts:
+            raise ValueError(f"no rules declared for {self.model}")
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
