@@ -63,3 +63,12 @@ def transfers_with_tx(transfers: DataFrame, ta: DataFrame, start: dt.date, end:
     a = ta.where(F.col("block_date").between(typed_lit(start), typed_lit(end))).alias("a")
     return t.join(a, (F.col("t.tx_hash") == F.col("a.hash")) & (F.col("t.block_date") == F.col("a.block_date")),
                   "inner")
+
+
+def spot_check(df: DataFrame, n: int = 10) -> DataFrame:
+    """``SELECT * ... LIMIT n`` -- a few arbitrary rows for eyeballing a model.
+
+    Planned as ``CollectLimit``: tasks stop after ``n`` rows, so the whole table is never scanned
+    for it. The rows are unordered by design (use :func:`top_k` for a ranked report).
+    """
+    return df.limit(n)

@@ -77,3 +77,11 @@ def test_failing_row_queries(spark):
     assert [tuple(r) for r in QL.accepted_values_failures(df, "v", ["a", "b"]).collect()] == [("x", 1)]
     parent = spark.createDataFrame([(1,)], "id int")
     assert sorted(r["k"] for r in QL.relationships_failures(df, "k", parent, "id").collect()) == [2, 2]
+
+
+def test_spot_check_returns_at_most_n_rows(spark):
+    from codetrail.operators import reports as R
+
+    ta = Q.ta_full(spark, SF_SMALL)
+    rows = R.spot_check(ta, 5).collect()
+    assert len(rows) == 5 and set(rows[0].asDict()) == set(ta.columns)
