@@ -22,6 +22,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Skip PySpark's per-call capture of Python call sites for error messages: four py4j round
+    # trips per Column function, i.e. most of the driver-side plan construction time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
