@@ -101,7 +101,10 @@ def main(argv: list[str] | None = None) -> int:
                     help="default: sized from the source files, ~256 MB of input per partition")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName("codetrail-models").getOrCreate()
+    spark = (SparkSession.builder.appName("codetrail-models")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+             .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+             .getOrCreate())
     cat = C.SourceCatalog(args.sources, args.database)
     if args.shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
