@@ -85,3 +85,16 @@ def test_spot_check_returns_at_most_n_rows(spark):
     ta = Q.ta_full(spark, SF_SMALL)
     rows = R.spot_check(ta, 5).collect()
     assert len(rows) == 5 and set(rows[0].asDict()) == set(ta.columns)
+
+
+def test_export_window_without_start(spark, scratch):
+    from pyspark.sql import functions as F
+
+    df = spark.range(10).select(F.col("id").cast("string").alias("k"),
+                                (F.lit("2024-01-01").cast("timestamp") + F.expr("make_interval(0,0,0,id)")).alias("t"))
+    w = X.ExportWindow("t", ["k"], None, dt.datetime(2024, 1, 6), True)
+    assert X.window_rows(df, w).count() == 5
+    n = X.sync(spark, df, "demo", w, f"{scratch}/dest", f"{scratch}/log", dt.datetime(2024, 1, 6))
+    assert n == 5
+    latest = X.latest_runs(spark, f"{scratch}/log", 1).first()
+    assert latest["time_start"] is None and latest["rows_synced"] == 5 and latest["full_refresh"]
