@@ -112,3 +112,19 @@ def test_operators_pin_the_session_time_zone(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_dedupe_of_a_hot_key_is_combined_map_side(spark):
+    """A third of all rows share one key: the max is partially aggregated before the shuffle."""
+    from pyspark.sql import functions as F
+
+    from codetrail.operators.upsert import dedupe_latest
+
+    n = 30000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+                               F.col("id").alias("ts"), (F.col("id") * 2).alias("v"))
+    out = dedupe_latest(df, "k", "ts")
+    rows = {r["k"]: (r["ts"], r["v"]) for r in out.collect()}
+    assert len(rows) == n - n // 3 + 1 and rows[-1] == (n - 3, 2 * (n - 3))
+    p = plan(out)
+    assert "partial_max" in p and "Window" not in p
