@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .simhash_dedup import simhash_dedup
+
+
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_exact_dedup,)}
+QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
