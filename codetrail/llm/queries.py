@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import decontaminate
 from .common import table
 from .exact_dedup import exact_dedup
 from .simhash_dedup import simhash_dedup
@@ -13,13 +14,42 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op3_decontaminate, op10_exact_dedup)}
 
 ORACLE_SQL = {
+    "op3_decontaminate": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        b AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+        sizes AS (SELECT DISTINCT least(13, len(w)) AS s FROM b WHERE len(w) > 0),
+        items AS (
+            SELECT DISTINCT item, s, array_to_string(w[p:p + s - 1], ' ') AS gram
+            FROM (SELECT item, w, least(13, len(w)) AS s, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM b WHERE len(w) > 0)),
+        windows AS (
+            SELECT doc_id, s, p, array_to_string(w[p:p + s - 1], ' ') AS gram
+            FROM (SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS p FROM d CROSS JOIN sizes WHERE len(w) >= s)),
+        found AS (SELECT doc_id, p, windows.s, item FROM windows JOIN items ON windows.s = items.s AND windows.gram = items.gram),
+        hits AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(p, p + s)) AS x FROM found) GROUP BY doc_id),
+        names AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(names.n, 0) AS n_items,
+               sha256(coalesce(names.l, '')) AS items_sha256,
+               coalesce(hits.n, 0) > 0 AND 20 * coalesce(hits.n, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN names USING (doc_id)
+    """,
     "op10_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
