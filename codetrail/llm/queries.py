@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import decontaminate
 from .common import table
 from .exact_dedup import exact_dedup
+from .mixing import mix
 from .simhash_dedup import simhash_dedup
 
 
@@ -18,11 +19,15 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3, share=1.0, seed=42)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op3_decontaminate, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op3_decontaminate, op4_mixing, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_decontaminate": r"""
@@ -50,6 +55,34 @@ ORACLE_SQL = {
                coalesce(hits.n, 0) > 0 AND 20 * coalesce(hits.n, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN names USING (doc_id)
     """,
+    "op4_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                   md5('42|' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k
+            FROM documents),
+        s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS total,
+                   [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+            FROM d GROUP BY source),
+        -- if the j sources with the least size for their weight stop at three times their size, the others share the rest
+        r AS (
+            SELECT *, row_number() OVER o AS j, CAST(sum(total) OVER () AS BIGINT) AS everything,
+                   CAST(coalesce(sum(3 * total) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS stopped,
+                   CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS sharing
+            FROM s WINDOW o AS (ORDER BY total / weight, source NULLS LAST)),
+        level AS (
+            SELECT CAST(everything - stopped AS DOUBLE) / sharing AS l
+            FROM r WHERE weight * (CAST(everything - stopped AS DOUBLE) / sharing) <= 3 * total ORDER BY j LIMIT 1),
+        t AS (SELECT source, total, least(CAST(3 * total AS DOUBLE), weight * l) AS target FROM s CROSS JOIN level),
+        b AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS budget FROM t),
+        x AS (
+            SELECT d.doc_id, d.size, b.total, b.target, CASE WHEN total > 0 THEN budget // total ELSE 0 END AS epochs, budget,
+                   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+        SELECT doc_id, size, total AS source_size, target,
+               CAST(epochs * size + greatest(0, least(size, budget - epochs * total - before)) AS BIGINT) AS taken
+        FROM x
+    """,
     "op10_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
