@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate
+from . import decontaminate, toxicity
 from .common import table
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .simhash_dedup import simhash_dedup
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3, mod=4, held=2)
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
@@ -27,7 +31,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op3_decontaminate, op4_mixing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_decontaminate": r"""
