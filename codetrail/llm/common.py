@@ -7,6 +7,8 @@ that size; only a document larger than the slice makes a larger one.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,14 +23,42 @@ MULT = 0x9E3779B97F4A7C15
 MULT_INV = pow(MULT, -1, 1 << 64)
 
 
+#: Bytes of an Arrow batch while an operator writes a table: a task then holds little beside its arrays.
+BATCH_BYTES = 8 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Smaller Arrow batches for the actions inside; the caller's setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def positional(docs: DataFrame, **roles: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` under names by role and place, and those names: no column clashes with an operator's own.
+
+    ``out.select(*names).toDF(*docs.columns)`` gives the names back.
+    """
+    names = [f"col_{i}" for i in range(len(docs.columns))]
+    for role, column in roles.items():
+        names[docs.columns.index(column)] = role
+    return docs.toDF(*names), names
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,6 +79,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
+def texts(column: pa.Array):
+    """The texts of a string column as bytes, one by one; nulls are empty."""
+    raw, offs = utf8(column)
+    for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
+        yield raw[a:b].tobytes()
+
+
 def slices(offs: np.ndarray, size: int = SLICE):
     """Ranges of documents whose bytes fit in ``size`` (at least one document each)."""
     n, i = len(offs) - 1, 0

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import positional, texts, written
 from .components import components
 
 SEED = 42
@@ -61,7 +61,7 @@ def fingerprint(text: bytes, shingle: int) -> int:
 def _fingerprints(shingle: int):
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(t or b"", shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            fps = [fingerprint(t, shingle) for t in texts(batch.column(1))]
             yield pa.record_batch([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["id", "fp"])
 
     return run
@@ -268,6 +268,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Repeated rows of that id stay together. All columns are returned.
     """
-    classes = simhash_dedup(docs, id_col, text_col, **params)
-    gone = written(classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct(), "simhash-gone")
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    plain, names = positional(docs, id=id_col, text=text_col)
+    classes = simhash_dedup(plain, "id", "text", **params)
+    gone = written(classes.where("id != component_id").select(F.col("id").alias("__gone")).distinct(), "simhash-gone")
+    return plain.join(gone, F.col("id") == F.col("__gone"), "left_anti").toDF(*docs.columns)
