@@ -258,9 +258,10 @@ def contaminated() -> F.Column:
     return (F.col("__hit") > 0) & (20 * F.col("__hit") >= F.col("__words"))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **params) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    return find_matches(docs, benchmark, **params).where(~contaminated()).select(*docs.columns)
+    plain, names = common.positional(docs, text=text_col)
+    return find_matches(plain, benchmark, "text", **params).where(~contaminated()).select(*names).toDF(*docs.columns)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:

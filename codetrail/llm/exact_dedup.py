@@ -28,7 +28,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import written
+from .common import positional, texts, written
 
 #: Characters that normalisation deletes: U+0020 and U+0009 to U+000D.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -75,12 +75,8 @@ def golomb_decode(data: bytes) -> np.ndarray:
 
 # ---------------------------------------------------------------- tasks
 
-def _normal(text: bytes | None) -> bytes:
-    return (text or b"").translate(None, SPACES)
-
-
 def _texts(column: pa.Array) -> list[bytes]:
-    return [_normal(t) for t in column.cast(pa.binary()).to_pylist()]
+    return [t.translate(None, SPACES) for t in texts(column)]
 
 
 def _owner(fps: np.ndarray, bits: int) -> np.ndarray:
@@ -346,7 +342,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-def _marker(shared, text_at: int, schema: pa.Schema):
+def _marker(shared, text_at: int):
     def run(batches):
         flt = shared.value
         for batch in batches:
@@ -369,18 +365,16 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows outside the suspect filter pass through without a shuffle; the others meet the keys
     ``(id, sha, length)`` that go. Repeated rows under one key leave one row.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    done = decide(docs, id_col, text_col, **params)
+    plain, names = positional(docs, id=id_col, text=text_col)
+    done = decide(plain, "id", "text", **params)
     gone = written(done.rows.where("group_size > 1").groupBy("id", "sha", "chars").agg(F.max("kept").alias("stays"))
                    .where("not stays").select(F.col("id").alias("__k"), F.col("sha").alias("__s"), F.col("chars").alias("__c")),
                    "dedup-gone")
     shared = docs.sparkSession.sparkContext.broadcast(done.suspects)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__hit", T.BooleanType()),
+    schema = T.StructType([*plain.schema.fields, T.StructField("__hit", T.BooleanType()),
                            T.StructField("__sha", T.BinaryType()), T.StructField("__chars", T.LongType())])
-    at = docs.columns.index(text_col)
-    marked = docs.mapInArrow(_marker(shared, at, to_arrow_schema(docs.schema)), schema)
-    passed = marked.where(~F.col("__hit")).select(*docs.columns)
+    marked = plain.mapInArrow(_marker(shared, names.index("text")), schema)
+    passed = marked.where(~F.col("__hit")).select(*names)
     met = marked.where("__hit").join(gone, on=[
-        F.col(id_col).eqNullSafe(F.col("__k")), F.col("__sha") == F.col("__s"), F.col("__chars") == F.col("__c")], how="left_anti")
-    return passed.unionByName(met.dropDuplicates([id_col, "__sha", "__chars"]).select(*docs.columns))
+        F.col("id").eqNullSafe(F.col("__k")), F.col("__sha") == F.col("__s"), F.col("__chars") == F.col("__c")], how="left_anti")
+    return passed.union(met.dropDuplicates(["id", "__sha", "__chars"]).select(*names)).toDF(*docs.columns)

@@ -19,7 +19,7 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import written
+from .common import positional, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -127,6 +127,8 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Columns of ``docs`` named like a result column are replaced by it.
     """
-    keyed, plan = _plan(docs, id_col, text_col, source_col, weights, max_epochs, share, seed, bucket_rows)
     own = ["size", "source_size", "target", "taken"]
-    return _taken(keyed.drop(*own), plan, id_col).where("taken > 0").select(*[c for c in docs.columns if c not in own], *own)
+    docs = docs.drop(*own)
+    plain, names = positional(docs, __mix_id=id_col, __mix_text=text_col, __mix_src=source_col)
+    keyed, plan = _plan(plain, "__mix_id", "__mix_text", "__mix_src", weights, max_epochs, share, seed, bucket_rows)
+    return _taken(keyed, plan, "__mix_id").where("taken > 0").select(*names, *own).toDF(*docs.columns, *own)

@@ -379,4 +379,5 @@ def report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, **params) -> DataFrame:
     """The documents whose score stays below the threshold, with all their columns."""
     model = fit(docs, labels, text_col=text_col, **params)
-    return score(docs, model, text_col).where(F.col("__score") < threshold).select(*docs.columns)
+    plain, names = common.positional(docs, text=text_col)
+    return score(plain, model, "text").where(F.col("__score") < threshold).select(*names).toDF(*docs.columns)
