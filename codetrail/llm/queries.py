@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, toxicity
+from . import decontaminate, licenses, toxicity
 from .common import table
 from .exact_dedup import exact_dedup
 from .mixing import mix
@@ -27,11 +27,15 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3, share=1.0, seed=42)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), threshold=0.5, containment=0.6)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_decontaminate": r"""
