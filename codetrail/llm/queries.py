@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, secrets, toxicity
+from . import decontaminate, langid, licenses, secrets, token_count, toxicity
 from .common import table
 from .exact_dedup import exact_dedup
 from .mixing import mix
@@ -39,11 +39,15 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"), max_ratio=2.0)
 
 
+def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.report(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op8_token_count, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_decontaminate": r"""
