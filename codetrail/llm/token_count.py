@@ -17,9 +17,9 @@ those of the whole text.
 
 from __future__ import annotations
 
+import math
 import re
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -29,7 +29,7 @@ from . import common
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_BELOW = 10.0
-REMEMBER, REMEMBER_LENGTH = 300_000, 48
+REMEMBER, REMEMBER_LENGTH = 400_000, 48
 
 
 class Vocabulary:
@@ -66,13 +66,22 @@ class Counter:
         self.unknown = min(scores, default=0.0) - UNKNOWN_BELOW
         crosses = any(MARK in p.lstrip(MARK) for p in have)
         self.apart = MARK in have and not crosses and all(float(s).is_integer() for s in scores)
-        self.known: dict[str, tuple[int, int]] = {}
+        self.single = {p for p in have if len(p) == 1}
+        self.known: dict[str, int] = {}  # word -> pieces + unknown characters << 32
 
     def run(self, text: str) -> tuple[int, int]:
         """(pieces, unknown characters) of the best path through ``text`` as it is."""
         n = len(text)
         if not n:
             return 0, 0
+        if self.single.issuperset(text):  # no character can be unknown
+            score, count = [0.0] + [-math.inf] * n, [0] * (n + 1)
+            for e, (length, s) in self.auto.iter(text):  # by end, the longest piece first
+                e += 1
+                s += score[e - length]
+                if s > score[e]:
+                    score[e], count[e] = s, count[e - length] + 1
+            return count[n], 0
         score, count, odd, last = [0.0] * (n + 1), [0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
         matches = self.auto.iter(text) if len(self.auto) else iter(())
         at, found = next(matches, (n, None))
@@ -94,15 +103,13 @@ class Counter:
                     score[e + 1], count[e + 1], odd[e + 1], last[e + 1] = s, count[e] + size, odd[e] + 1, True
         return count[n], odd[n]
 
-    def word(self, word: str) -> tuple[int, int]:
-        got = self.known.get(word)
-        if got is None:
-            got = self.run(MARK + word)
-            if len(word) <= REMEMBER_LENGTH:
-                if len(self.known) >= REMEMBER:
-                    self.known.clear()
-                self.known[word] = got
-        return got
+    def word(self, word: str) -> int:
+        pieces, unknown = self.run(MARK + word)
+        if len(word) <= REMEMBER_LENGTH:
+            if len(self.known) >= REMEMBER:
+                self.known.clear()
+            self.known[word] = pieces + (unknown << 32)
+        return pieces + (unknown << 32)
 
     def __call__(self, text: str) -> tuple[int, int]:
         """(pieces, unknown characters) of a whole text."""
@@ -114,10 +121,12 @@ class Counter:
         if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
             text = text.replace(" ", MARK)
             text = text if text.startswith(MARK) else MARK + text
-            parts = [self.word(w[1:]) for w in re.findall(f"{MARK}+[^{MARK}]*", text)]
+            words = [w[1:] for w in re.findall(f"{MARK}+[^{MARK}]*", text)]
         else:
-            parts = list(map(self.word, text.split(" ")))
-        return sum(p[0] for p in parts), sum(p[1] for p in parts)
+            words = text.split(" ")
+        known = self.known.get
+        total = sum(known(w) or self.word(w) for w in words)
+        return total & 0xFFFFFFFF, total >> 32
 
 
 def _count(shared, text_at: int):
