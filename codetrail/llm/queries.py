@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, secrets, token_count, toxicity
+from . import decontaminate, langid, licenses, quality, secrets, token_count, toxicity
 from .common import table
 from .exact_dedup import exact_dedup
 from .mixing import mix
@@ -43,11 +43,15 @@ def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.report(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5, mod=3, held=1)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op8_token_count, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op8_token_count, op9_quality, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_decontaminate": r"""
