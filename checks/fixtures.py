@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from codetrail import schemas
 from codetrail.functions import fees
 from codetrail.functions.trailer import MARKER_HEX
-from codetrail.session import ensure_conf
+from codetrail.session import use_utc
 
 # Fixed values of the derivation rules (shared with the SQL oracle).
 TRANSFER_SELECTOR_HEX = "a9059cbb"
@@ -40,7 +40,7 @@ def _address(prefix: str, col: Column) -> Column:
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_conf(spark)
+    use_utc(spark)
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     return ev.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
@@ -232,6 +232,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
     from codetrail.session import hadoop_fs
 
+    use_utc(spark)
     memo = (id(spark._jsparkSession), sf_dir.rstrip("/"))
     if memo in _MATERIALIZED:
         return _MATERIALIZED[memo]

@@ -1,9 +1,9 @@
-"""DuckDB oracle SQL for the driver queries.
+"""DuckDB oracle SQL for the driver queries, written from the prose rules of the models.
 
-Independent of the Spark code path: the three sources are re-derived from ``events`` in
-SQL, binary values are carried as lower-case hex text, and the trailer is decoded by
-slicing that text. The model logic follows the reference semantics row by row (for
-example the fee join is done per transaction row, not on pre-aggregated totals).
+The three sources are derived again from ``events`` in SQL, with binary values as lower-case hex
+text. Everything is per-row facts: a transaction carries what its last bytes say, a transfer looks
+its transaction up, and each figure of a (day, code) is a subquery of its own over those facts.
+Constants are stated here on their own, not taken from the code under test.
 """
 
 from __future__ import annotations
@@ -11,9 +11,20 @@ from __future__ import annotations
 import datetime as dt
 
 from checks import params as P
-from codetrail.functions import fees as FEES
-from codetrail.functions.trailer import MARKER_HEX
-from codetrail.sources import fixtures as FX
+
+# The trailer's marker, the gas tokens and the rules of the derived sources.
+MARKER = "80218021802180218021802180218021"
+GAS_TOKENS = {
+    "2f25deb3848c207fc8e0c34035b3ba7fc157602b": "ceba9300f2b948710d2653dd7b07f33a8b32118c",
+    "0e2a3e05bc9a16f5292a6170456a710cb89c6f72": "48065fbbe25f71c9282ddf5e1cd6d6a887483d5e",
+}
+USDC_ADAPTER, USDT_ADAPTER = GAS_TOKENS
+USDC, USDT = GAS_TOKENS.values()
+NATIVE = "471ece3750da237f93b8e339c536989b8978a438"
+ZERO = "0" * 40
+SELECTOR, DIRECT, UNPRICED, UNUSED = "a9059cbb", "ab" * 20, "cd" * 20, "ef" * 20
+CHAIN, OTHER_CHAIN = "celo", "other"
+PRICED = [NATIVE, USDC, USDT, DIRECT, UNUSED]
 
 TX_COLS = ["block_time", "block_date", "block_number", "value", "gas_limit", "gas_price", "gas_used",
            "max_fee_per_gas", "max_priority_fee_per_gas", "priority_fee_per_gas", "nonce", '"index"', "success",
@@ -27,10 +38,6 @@ TR_COLS = ["unique_key", "blockchain", "block_month", "block_date", "block_time"
            "contract_address", "symbol", "amount_raw", "amount", "price_usd", "amount_usd", "_updated_at"]
 
 
-def lo(h: str) -> str:
-    return h.lower()
-
-
 def d(x: dt.date) -> str:
     return f"DATE '{x.isoformat()}'"
 
@@ -40,10 +47,9 @@ def ts(x: dt.datetime) -> str:
 
 
 def source_ctes() -> str:
-    m = MARKER_HEX
-    p = FX.TRANSFER_SELECTOR_HEX
-    tok_rows = ", ".join(f"({o}, '{lo(a)}', '{FX.CHAIN}')" for o, a in FX.PRICED_TOKENS)
-    tok_rows += f", (100, '{lo(FEES.NATIVE_TOKEN)}', '{FX.OTHER_CHAIN}')"
+    m, p = MARKER, SELECTOR
+    tok_rows = ", ".join(f"({o}, '{a}', '{CHAIN}')" for o, a in enumerate(PRICED))
+    tok_rows += f", (100, '{NATIVE}', '{OTHER_CHAIN}')"
     return f"""
 ev AS (
   SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value FROM events
@@ -81,8 +87,8 @@ tx_src AS (
     CASE WHEN event_id % 3 = 0 THEN 'legacy' ELSE 'eip1559' END AS type,
     CAST(NULL AS VARCHAR) AS access_list,
     CAST(42220 AS BIGINT) AS chain_id,
-    CASE user_id % 6 WHEN 1 THEN '{FEES.ZERO_ADDRESS}' WHEN 2 THEN '{lo(FEES.USDC_ADAPTER)}'
-         WHEN 3 THEN '{lo(FEES.USDT_ADAPTER)}' WHEN 4 THEN '{FX.PRICED_DIRECT}' WHEN 5 THEN '{FX.UNPRICED}' END
+    CASE user_id % 6 WHEN 1 THEN '{ZERO}' WHEN 2 THEN '{USDC_ADAPTER}'
+         WHEN 3 THEN '{USDT_ADAPTER}' WHEN 4 THEN '{DIRECT}' WHEN 5 THEN '{UNPRICED}' END
       AS fee_currency,
     CASE WHEN k IN (0, 1, 8, 9) THEN '{p}' || chex || clen || '00' || '{m}'
          WHEN k = 2 THEN '{p}' || chex || clen || '00' || 'ff' || '{m[2:]}'
@@ -96,7 +102,7 @@ tx_src AS (
 tr_src AS (
   SELECT
     sha256('tr-' || CAST(event_id AS VARCHAR) || '-' || CAST(i AS VARCHAR)) AS unique_key,
-    CASE WHEN i = 1 AND event_id % 5 = 0 THEN '{FX.OTHER_CHAIN}' ELSE '{FX.CHAIN}' END AS blockchain,
+    CASE WHEN i = 1 AND event_id % 5 = 0 THEN '{OTHER_CHAIN}' ELSE '{CHAIN}' END AS blockchain,
     CAST(date_trunc('month', ts) AS DATE) AS block_month,
     CAST(ts AS DATE) AS block_date,
     ts AS block_time,
@@ -110,8 +116,8 @@ tr_src AS (
     event_id % 50 AS tx_index,
     substr(sha256('src-' || CAST(user_id AS VARCHAR) || '-' || CAST(i AS VARCHAR)), 1, 40) AS "from",
     substr(sha256('dst-' || CAST(event_id % 97 AS VARCHAR)), 1, 40) AS "to",
-    CASE i WHEN 0 THEN '{lo(FEES.USDC_TOKEN)}' WHEN 1 THEN '{lo(FEES.USDT_TOKEN)}'
-           ELSE '{lo(FEES.NATIVE_TOKEN)}' END AS contract_address,
+    CASE i WHEN 0 THEN '{USDC}' WHEN 1 THEN '{USDT}'
+           ELSE '{NATIVE}' END AS contract_address,
     CASE i WHEN 0 THEN 'USDC' WHEN 1 THEN 'USDT' ELSE 'CELO' END AS symbol,
     CAST(ROUND(value * (i + 1) * 100) AS DECIMAL(38,0)) AS amount_raw,
     value * (i + 1) AS amount,
@@ -130,261 +136,181 @@ pr_src AS (
          addr AS contract_address,
          CAST(0.5 + 0.25 * day(pd) + o + delta AS DOUBLE) AS price
   FROM pr_days, pr_tok, pr_side
-  WHERE NOT (addr = '{lo(FEES.USDT_TOKEN)}' AND day(pd) % 3 = 0)
+  WHERE NOT (addr = '{USDT}' AND day(pd) % 3 = 0)
 )"""
 
 
-def _windows(cut, as_of, metric_as_of):
-    w = {"cut_tx": "", "cut_pr": "", "win": "", "mwin": "", "mwin_pr": ""}
-    if cut is not None:
-        w["cut_tx"] = f" AND block_time <= {ts(cut)}"
-        w["cut_pr"] = f" AND \"timestamp\" <= {ts(cut)}"
-    if as_of is not None:
-        w["win"] = (f" AND block_date >= {d(as_of.date() - dt.timedelta(days=1))}"
-                    f" AND block_time >= {ts(as_of - dt.timedelta(hours=12))}")
-    if metric_as_of is not None:
-        md = metric_as_of.date() - dt.timedelta(days=2)
-        w["mwin"] = f" AND block_date >= {d(md)}"
-        w["mwin_pr"] = f" AND \"timestamp\" >= {ts(dt.datetime.combine(md, dt.time()))}"
-    return w
-
-
-def ta_ctes(p: str = "", cut=None, as_of=None, floors=P.FLOORS) -> str:
-    """Model 1 over the derived source: ``{p}tx_sel`` .. ``{p}ta``."""
-    m = MARKER_HEX
-    w = _windows(cut, as_of, None)
-    fl_d, fl_t = d(floors.date), ts(floors.time)
-    return f"""
-{p}tx_sel AS (
-  SELECT {", ".join(TX_COLS)}, data AS calldata, CAST(length(data) // 2 AS INTEGER) AS calldata_len
-  FROM tx_src
-  WHERE length(data) // 2 > 18 AND block_date >= {fl_d} AND block_time >= {fl_t}{w["cut_tx"]}{w["win"]}
-),
-{p}tx_parsed AS (
-  SELECT *,
-    substr(calldata, 2 * calldata_len - 31, 32) AS tail_marker,
-    substr(calldata, 2 * calldata_len - 33, 2) AS schema_id,
-    CAST('0x' || substr(calldata, 2 * calldata_len - 35, 2) AS BIGINT) AS code_len
-  FROM {p}tx_sel
-),
-{p}tx_ext AS (
-  SELECT *,
-    CASE WHEN tail_marker = '{m}' AND schema_id = '00' AND code_len BETWEEN 1 AND 255
-              AND calldata_len > 17 + code_len
-         THEN decode(unhex(substr(calldata, 2 * (calldata_len - 17 - code_len) - 1, 2 * code_len)))
-    END AS multi_code
-  FROM {p}tx_parsed
-),
-{p}ta AS (
-  SELECT {", ".join(TA_COLS)} FROM (
-    SELECT *, multi_code IS NOT NULL AS has_builder_code,
-           split_part(multi_code, ',', 1) AS builder_code,
-           NULLIF(split_part(multi_code, ',', 2), '') AS builder_code2
-    FROM {p}tx_ext)
-)"""
+# -- facts -------------------------------------------------------------------------------
 
 
-def tra_ctes(p: str = "", ta_rel: str = "ta", cut=None, as_of=None, floors=P.FLOORS, chain: str = P.CHAIN,
-             tagged_only: bool = False) -> str:
-    """Model 2: ``{p}tr_sel``, ``{p}ta_keys``, ``{p}tra`` (attribution read from ``ta_rel``)."""
-    w = _windows(cut, as_of, None)
-    fl_d, fl_t = d(floors.date), ts(floors.time)
-    tagged = " AND has_builder_code" if tagged_only else ""
-    tr_select = ", ".join(f"t.{c}" for c in TR_COLS)
-    return f"""
-{p}tr_sel AS (
-  SELECT * FROM tr_src
-  WHERE blockchain = '{chain}' AND block_date >= {fl_d} AND block_time >= {fl_t}{w["cut_tx"]}{w["win"]}
-),
-{p}ta_keys AS (
-  SELECT hash, has_builder_code, multi_code, builder_code, builder_code2 FROM {ta_rel}
-  WHERE block_date >= {fl_d}{w["win"]}{tagged}
-),
-{p}tra AS (
-  SELECT {tr_select}, COALESCE(a.has_builder_code, false) AS has_builder_code,
-         a.multi_code, a.builder_code, a.builder_code2
-  FROM {p}tr_sel t LEFT JOIN {p}ta_keys a ON t.tx_hash = a.hash
-)"""
+def _seen(until: dt.datetime | None, run: dt.datetime | None, time: str = "block_time") -> str:
+    """What had arrived by ``until`` and lies in the look-back of a run at ``run``."""
+    out = f" AND {time} <= {ts(until)}" if until else ""
+    if run:
+        out += f" AND block_date + 1 >= {d(run.date())} AND block_time + INTERVAL 12 HOUR >= {ts(run)}"
+    return out
 
 
-def dm_ctes(p: str = "", ta_rel: str = "ta", tra_rel: str = "tra", cut=None, metric_as_of=None, floors=P.FLOORS,
-            chain: str = P.CHAIN) -> str:
-    """Model 3: ``{p}atr`` .. ``{p}dm`` from the two upstream relations."""
-    w = _windows(cut, None, metric_as_of)
-    fl_d, fl_p = d(floors.date), ts(floors.price_time)
-    return f"""
-{p}atr AS (
-  SELECT date_trunc('day', block_time) AS day, tx_hash,
-         COALESCE(NULLIF(builder_code2, ''), builder_code) AS app_code, amount_usd
-  FROM {tra_rel} WHERE builder_code IS NOT NULL AND block_date >= {fl_d}{w["mwin"]}
-),
-{p}tm AS (
-  SELECT day, app_code AS builder_code, SUM(amount_usd) AS volume_usd,
-         COUNT(DISTINCT tx_hash) AS token_transfers_tx
-  FROM {p}atr GROUP BY day, app_code
-),
-{p}atx AS (
-  SELECT date_trunc('day', block_time) AS day, hash AS tx_hash,
-         COALESCE(NULLIF(builder_code2, ''), builder_code) AS app_code,
-         "from" AS user_address, gas_used, gas_price, fee_currency
-  FROM {ta_rel} WHERE has_builder_code AND block_date >= {fl_d}{w["mwin"]}
-),
-{p}txm AS (
-  SELECT day, app_code AS builder_code, COUNT(DISTINCT tx_hash) AS tx_count,
-         COUNT(DISTINCT user_address) AS unique_addresses
-  FROM {p}atx GROUP BY day, app_code
-),
-{p}fees AS (
-  SELECT day, app_code, tx_hash,
-    CAST(gas_used AS DOUBLE) * CAST(gas_price AS DOUBLE) / 1e18 AS fee_token_amount,
-    CASE WHEN fee_currency = '{lo(FEES.USDC_ADAPTER)}' THEN '{lo(FEES.USDC_TOKEN)}'
-         WHEN fee_currency = '{lo(FEES.USDT_ADAPTER)}' THEN '{lo(FEES.USDT_TOKEN)}'
-         WHEN fee_currency IS NULL OR fee_currency = '{FEES.ZERO_ADDRESS}' THEN '{lo(FEES.NATIVE_TOKEN)}'
-         ELSE fee_currency END AS price_address
-  FROM {p}atx
-),
-{p}pr_used AS (
-  SELECT * FROM pr_src
-  WHERE blockchain = '{chain}' AND "timestamp" >= {fl_p}{w["cut_pr"]}{w["mwin_pr"]}
-    AND contract_address IN (SELECT DISTINCT price_address FROM {p}fees)
-),
-{p}tp AS (
-  SELECT date_trunc('day', "timestamp") AS day, contract_address, AVG(price) AS price
-  FROM {p}pr_used GROUP BY 1, 2
-),
-{p}fm AS (
-  SELECT f.day, f.app_code, SUM(f.fee_token_amount * COALESCE(pp.price, 0)) AS chain_fees_usd
-  FROM {p}fees f LEFT JOIN {p}tp pp ON f.day = pp.day AND f.price_address = pp.contract_address
-  GROUP BY f.day, f.app_code
-),
-{p}dm AS (
-  SELECT x.day, x.builder_code, COALESCE(t.volume_usd, 0) AS volume_usd, x.tx_count,
-         COALESCE(t.token_transfers_tx, 0) AS token_transfers_tx, x.unique_addresses,
-         COALESCE(f.chain_fees_usd, 0) AS chain_fees_usd
-  FROM {p}txm x
-  LEFT JOIN {p}tm t ON t.day = x.day AND t.builder_code = x.builder_code
-  LEFT JOIN {p}fm f ON x.day = f.day AND x.builder_code = f.app_code
-)"""
+def _above_floors() -> str:
+    return f"block_date >= {d(P.FLOORS.date)} AND block_time >= {ts(P.FLOORS.time)}"
 
 
-def model_ctes(p: str = "", cut=None, as_of=None, metric_as_of=None, floors=P.FLOORS, chain: str = P.CHAIN,
-               tagged_only: bool = False) -> str:
-    """All three models over the derived sources, in one run.
+def calls(name: str = "calls", until=None, run=None) -> str:
+    """Transactions with more than 18 bytes, and what their ends say (read leftwards from the last byte).
 
-    ``cut``: sources hold only rows up to this instant (what had arrived).
-    ``as_of``: incremental run of models 1-2 (1 day + 12 hour look-back).
-    ``metric_as_of``: incremental run of model 3 (2-day look-back).
+    ``said``: the comma-separated parts of the code, null without a valid trailer.
     """
-    return ",".join([
-        ta_ctes(p, cut, as_of, floors),
-        tra_ctes(p, f"{p}ta", cut, as_of, floors, chain, tagged_only),
-        dm_ctes(p, f"{p}ta", f"{p}tra", cut, metric_as_of, floors, chain),
-    ])
+    return f"""{name} AS (
+  SELECT *, said IS NOT NULL AS has_builder_code, array_to_string(said, ',') AS multi_code,
+         said[1] AS builder_code, CASE WHEN said[2] <> '' THEN said[2] END AS builder_code2
+  FROM (
+    SELECT *, CASE WHEN ending = '00{MARKER}' AND code_len > 0 AND strlen(calldata) >= 2 * code_len + 36
+                   THEN string_split(decode(unhex(left(right(calldata, 2 * code_len + 36), 2 * code_len))), ',') END AS said
+    FROM (
+      SELECT * EXCLUDE (data), data AS calldata, CAST(strlen(data) / 2 AS INTEGER) AS calldata_len,
+             right(data, 34) AS ending, CAST('0x' || left(right(data, 36), 2) AS BIGINT) AS code_len
+      FROM tx_src WHERE strlen(data) >= 38 AND {_above_floors()}{_seen(until, run)})))"""
+
+
+def moves(name: str = "moves", of: str = "calls", until=None, run=None, chain: str = CHAIN) -> str:
+    """Transfers of a chain; ``a``: the attribution of their transaction, looked up row by row."""
+    return f"""{name} AS (
+  SELECT *, (SELECT any_value({{'f': c.has_builder_code, 'm': c.multi_code, 'one': c.builder_code, 'two': c.builder_code2}})
+             FROM {of} c WHERE c.hash = s.tx_hash AND c.block_date >= {d(P.FLOORS.date)}{_seen(None, run).replace("block_", "c.block_")}) AS a
+  FROM (SELECT * FROM tr_src WHERE blockchain = '{chain}' AND {_above_floors()}{_seen(until, run)}) s)"""
+
+
+ATTRIBUTION = "coalesce(a.f, false) AS has_builder_code, a.m AS multi_code, a.one AS builder_code, a.two AS builder_code2"
+#: The second code where there is one.
+TX_CODE = "ifnull(builder_code2, builder_code)"
+MOVE_CODE = "ifnull(nullif(a.two, ''), a.one)"
 
 
-def with_models(*variants: str, body: str) -> str:
-    return "WITH " + ",".join([source_ctes(), *variants]) + "\n" + body
+def paid(name: str = "paid", of: str = "calls") -> str:
+    """Tagged transactions: day, code, fee in gas tokens and the token whose price counts."""
+    pairs = ", ".join(f"'{k}': '{v}'" for k, v in GAS_TOKENS.items())
+    return f"""{name} AS (
+  SELECT CAST(block_time AS DATE) AS day, {TX_CODE} AS code, hash, "from" AS sender,
+         CAST(gas_used AS DOUBLE) * CAST(gas_price AS DOUBLE) / 1e18 AS fee,
+         coalesce(MAP {{{pairs}}}[fee_currency], nullif(fee_currency, '{ZERO}'), '{NATIVE}') AS token
+  FROM {of} WHERE has_builder_code)"""
 
 
-BASE = model_ctes()
+def usd(token: str, day: str) -> str:
+    """Mean price of a token on a day, null if it has none."""
+    return (f"(SELECT avg(q.price) FROM pr_src q WHERE q.blockchain = '{CHAIN}' AND q.\"timestamp\" >= {ts(P.FLOORS.price_time)} "
+            f"AND q.contract_address = {token} AND CAST(q.\"timestamp\" AS DATE) = {day})")
 
 
-def daily_select(rel: str) -> str:
-    return (f"SELECT CAST(day AS DATE) AS day, builder_code, ROUND(volume_usd, {P.ROUND_USD}) AS volume_usd, "
-            f"tx_count, token_transfers_tx, unique_addresses, "
-            f"ROUND(chain_fees_usd, {P.ROUND_FEE}) AS chain_fees_usd FROM {rel}")
+def daily(name: str = "days", tx: str = "paid", tr: str = "moves") -> str:
+    """One row for each day and code with a tagged transaction; every figure by itself."""
+    return f"""priced AS (SELECT *, fee * coalesce({usd('token', 'day')}, 0) AS usd FROM {tx}),
+sent AS (SELECT CAST(block_time AS DATE) AS day, {MOVE_CODE} AS code, amount_usd, tx_hash FROM {tr} WHERE a.one IS NOT NULL),
+{name} AS (
+  SELECT k.day, k.code AS builder_code,
+         coalesce((SELECT sum(x.amount_usd) FROM sent x WHERE x.day = k.day AND x.code = k.code), 0) AS volume_usd,
+         (SELECT count(DISTINCT x.hash) FROM {tx} x WHERE x.day = k.day AND x.code = k.code) AS tx_count,
+         (SELECT count(DISTINCT x.tx_hash) FROM sent x WHERE x.day = k.day AND x.code = k.code) AS token_transfers_tx,
+         (SELECT count(DISTINCT x.sender) FROM {tx} x WHERE x.day = k.day AND x.code = k.code) AS unique_addresses,
+         (SELECT sum(x.usd) FROM priced x WHERE x.day = k.day AND x.code = k.code) AS chain_fees_usd
+  FROM (SELECT DISTINCT day, code FROM {tx}) k)"""
 
 
+def with_models(*facts: str, body: str) -> str:
+    return "WITH " + ",\n".join([source_ctes(), *facts]) + "\n" + body
+
+
+def days_out(source: str = "days") -> str:
+    return (f"SELECT day, builder_code, ROUND(volume_usd, {P.ROUND_USD}) AS volume_usd, tx_count, token_transfers_tx, "
+            f"unique_addresses, ROUND(chain_fees_usd, {P.ROUND_FEE}) AS chain_fees_usd FROM {source}")
+
+
+CALLS, MOVES, PAID, DAYS = calls(), moves(), paid(), daily()
 TX_OUT = ", ".join(TA_COLS)
-TR_OUT = ", ".join(TR_COLS) + ", has_builder_code, multi_code, builder_code, builder_code2"
+TR_ALL = ", ".join(TR_COLS)
+TR_OUT = f"{TR_ALL}, {ATTRIBUTION}"
 
 SQL: dict[str, str] = {
-    "tx_select": with_models(BASE, body=f"SELECT {', '.join(TX_COLS)}, calldata, calldata_len FROM tx_sel"),
-    "trailer_fields": with_models(BASE, body="SELECT hash, calldata_len, tail_marker, schema_id, code_len FROM tx_parsed"),
-    "trailer_decode": with_models(BASE, body="SELECT hash, code_len, multi_code FROM tx_ext"),
-    "tx_attributed": with_models(BASE, body=f"SELECT {TX_OUT} FROM ta"),
-    "flag_counts": with_models(BASE, body="SELECT has_builder_code, COUNT(*) AS n FROM ta GROUP BY has_builder_code"),
-    "model_counts": with_models(BASE, body=(
-        "SELECT 'transactions_attributed' AS model, COUNT(*) AS n FROM ta "
-        "UNION ALL SELECT 'transfers_attributed' AS model, COUNT(*) AS n FROM tra")),
-    "transfers_select": with_models(BASE, body=f"SELECT {', '.join(TR_COLS)} FROM tr_sel"),
-    "transfers_attributed": with_models(BASE, body=f"SELECT {TR_OUT} FROM tra"),
-    "effective_code": with_models(BASE, body=(
-        "SELECT CAST(day AS DATE) AS day, tx_hash, app_code AS builder_code, amount_usd FROM atr")),
-    "transfer_metrics": with_models(BASE, body=(
-        f"SELECT CAST(day AS DATE) AS day, builder_code, ROUND(volume_usd, {P.ROUND_USD}) AS volume_usd, "
-        "token_transfers_tx FROM tm")),
-    "tx_metrics": with_models(BASE, body=(
-        "SELECT CAST(day AS DATE) AS day, builder_code, tx_count, unique_addresses FROM txm")),
-    "tx_fees": with_models(BASE, body=(
-        "SELECT CAST(day AS DATE) AS day, app_code AS builder_code, tx_hash, fee_token_amount, price_address "
-        "FROM fees")),
-    "price_semi_join": with_models(BASE, body='SELECT blockchain, "timestamp", contract_address, price FROM pr_used'),
-    "token_prices": with_models(BASE, body="SELECT CAST(day AS DATE) AS day, contract_address, price FROM tp"),
-    "fee_metrics": with_models(BASE, body=(
-        f"SELECT CAST(day AS DATE) AS day, app_code AS builder_code, ROUND(chain_fees_usd, {P.ROUND_FEE}) "
-        "AS chain_fees_usd FROM fm")),
-    "daily_metrics": with_models(BASE, body=daily_select("dm")),
+    "tx_select": with_models(CALLS, body=f"SELECT {', '.join(TX_COLS)}, calldata, calldata_len FROM calls"),
+    "trailer_fields": with_models(CALLS, body=(
+        "SELECT hash, calldata_len, right(ending, 32) AS tail_marker, left(ending, 2) AS schema_id, code_len FROM calls")),
+    "trailer_decode": with_models(CALLS, body="SELECT hash, code_len, multi_code FROM calls"),
+    "tx_attributed": with_models(CALLS, body=f"SELECT {TX_OUT} FROM calls"),
+    "flag_counts": with_models(CALLS, body="SELECT has_builder_code, COUNT(*) AS n FROM calls GROUP BY ALL"),
+    "model_counts": with_models(CALLS, MOVES, body=(
+        "SELECT 'transactions_attributed' AS model, (SELECT COUNT(*) FROM calls) AS n "
+        "UNION ALL SELECT 'transfers_attributed', (SELECT COUNT(*) FROM moves)")),
+    "transfers_select": with_models(CALLS, MOVES, body=f"SELECT {TR_ALL} FROM moves"),
+    "transfers_attributed": with_models(CALLS, MOVES, body=f"SELECT {TR_OUT} FROM moves"),
+    "effective_code": with_models(CALLS, MOVES, body=(
+        f"SELECT CAST(block_time AS DATE) AS day, tx_hash, {MOVE_CODE} AS builder_code, amount_usd FROM moves WHERE a.one IS NOT NULL")),
+    "transfer_metrics": with_models(CALLS, MOVES, PAID, DAYS, body=(
+        f"SELECT day, code AS builder_code, ROUND(SUM(amount_usd), {P.ROUND_USD}) AS volume_usd, "
+        "COUNT(DISTINCT tx_hash) AS token_transfers_tx FROM sent GROUP BY ALL")),
+    "tx_metrics": with_models(CALLS, PAID, body=(
+        "SELECT day, code AS builder_code, COUNT(DISTINCT hash) AS tx_count, COUNT(DISTINCT sender) AS unique_addresses FROM paid GROUP BY ALL")),
+    "tx_fees": with_models(CALLS, PAID, body=(
+        "SELECT day, code AS builder_code, hash AS tx_hash, fee AS fee_token_amount, token AS price_address FROM paid")),
+    "price_semi_join": with_models(CALLS, PAID, body=(
+        f"SELECT blockchain, \"timestamp\", contract_address, price FROM pr_src WHERE blockchain = '{CHAIN}' "
+        f"AND \"timestamp\" >= {ts(P.FLOORS.price_time)} AND EXISTS (SELECT 1 FROM paid WHERE token = contract_address)")),
+    "token_prices": with_models(CALLS, PAID, body=(
+        f"SELECT day, token AS contract_address, {usd('token', 'day')} AS price FROM ("
+        f"SELECT DISTINCT CAST(\"timestamp\" AS DATE) AS day, contract_address AS token FROM pr_src WHERE blockchain = '{CHAIN}' "
+        f"AND \"timestamp\" >= {ts(P.FLOORS.price_time)} AND contract_address IN (SELECT paid.token FROM paid))")),
+    "fee_metrics": with_models(CALLS, MOVES, PAID, DAYS, body=(
+        f"SELECT day, code AS builder_code, ROUND(SUM(usd), {P.ROUND_FEE}) AS chain_fees_usd FROM priced GROUP BY ALL")),
+    "daily_metrics": with_models(CALLS, MOVES, PAID, DAYS, body=days_out()),
 }
 
-
-# -- wave 2: incremental runs, materializations, reports, quality, export, streams ----
-
-def upsert_sql(target: str, batch: str, keys: list[str], cols: str) -> str:
-    cond = " AND ".join(f"b.{k} = t.{k}" for k in keys)
-    return (f"SELECT {cols} FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {batch} b WHERE {cond}) "
-            f"UNION ALL SELECT {cols} FROM {batch}")
-
-
-F_, N_ = P.AS_OF_FIRST, P.AS_OF_NEXT
-TA_F, TA_N = ta_ctes("f_", cut=F_), ta_ctes("n_", cut=N_, as_of=N_)
-
-SQL["incremental_window"] = with_models(ta_ctes("w_", cut=N_, as_of=N_), body=f"SELECT {TX_OUT} FROM w_ta")
-SQL["upsert_delete_insert"] = with_models(TA_F, TA_N, body=upsert_sql("f_ta", "n_ta", ["hash"], TX_OUT))
-SQL["upsert_merge"] = with_models(
-    TA_F, tra_ctes("f_", "f_ta", cut=F_), TA_N,
-    f"t_ta AS ({upsert_sql('f_ta', 'n_ta', ['hash'], '*')})",
-    tra_ctes("n_", "t_ta", cut=N_, as_of=N_),
-    body=upsert_sql("f_tra", "n_tra", ["unique_key"], TR_OUT))
-SQL["append_dedup"] = with_models(
-    TA_F, tra_ctes("f_", "f_ta", cut=F_), TA_N, tra_ctes("n_", "n_ta", cut=N_, as_of=N_),
-    "cand AS (SELECT * REPLACE (_updated_at + INTERVAL 1 HOUR AS _updated_at, amount_usd * 2 AS amount_usd) "
-    "FROM n_tr_sel UNION ALL SELECT * FROM n_tr_sel)",
-    "dd AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY _updated_at DESC) = 1)",
-    body=(f"SELECT {', '.join(TR_COLS)} FROM f_tr_sel UNION ALL SELECT {', '.join(TR_COLS)} FROM dd "
-          "WHERE NOT EXISTS (SELECT 1 FROM f_tr_sel b WHERE b.unique_key = dd.unique_key)"))
-SQL["upsert_target_predicate"] = with_models(TA_F, TA_N, body=(
-    f"SELECT {TX_OUT} FROM f_ta t WHERE NOT (t.block_time >= {ts(F_)} AND "
-    f"EXISTS (SELECT 1 FROM n_ta b WHERE b.hash = t.hash)) UNION ALL SELECT {TX_OUT} FROM n_ta"))
-
-_M = P.AS_OF_METRIC
-SQL["daily_recompute"] = with_models(
-    model_ctes("f_", cut=F_),
-    ta_ctes("n_", cut=_M, as_of=_M),
-    f"t_ta AS ({upsert_sql('f_ta', 'n_ta', ['hash'], '*')})",
-    tra_ctes("n_", "t_ta", cut=_M, as_of=_M),
-    f"t_tra AS ({upsert_sql('f_tra', 'n_tra', ['unique_key'], '*')})",
-    dm_ctes("n_", "t_ta", "t_tra", cut=_M, metric_as_of=_M),
-    f"r_dm AS ({upsert_sql('f_dm', 'n_dm', ['day', 'builder_code'], '*')})",
-    body=daily_select("r_dm"))
+# -- runs that end in a whole table ----------------------------------------------------------
+
+SQL["incremental_window"] = with_models(calls("calls", P.AS_OF_NEXT, P.AS_OF_NEXT), body=f"SELECT {TX_OUT} FROM calls")
+for _name in ("upsert_delete_insert", "upsert_target_days", "full_refresh", "stream_attributed", "stream_dedup", "stream_restart"):
+    SQL[_name] = SQL["tx_attributed"]
+for _name in ("upsert_merge", "transfers_attributed_tagged"):
+    SQL[_name] = SQL["transfers_attributed"]
+for _name in ("daily_recompute", "stream_daily", "daily_replace_days"):
+    SQL[_name] = SQL["daily_metrics"]
+
+# Rows above the first run's instant came in restated batches only.
+SQL["append_dedup"] = with_models(CALLS, MOVES, body=(
+    f"SELECT {TR_ALL} FROM (SELECT * REPLACE (CASE WHEN late THEN _updated_at + INTERVAL 1 HOUR ELSE _updated_at END AS _updated_at, "
+    f"CASE WHEN late THEN 2 * amount_usd ELSE amount_usd END AS amount_usd) FROM (SELECT *, block_time > {ts(P.AS_OF_FIRST)} AS late FROM moves))"))
+# Old rows outside the predicate stay beside the ones that both later runs insert.
+SQL["upsert_target_predicate"] = with_models(CALLS, body=(
+    f"SELECT {TX_OUT} FROM calls, (VALUES (1), (2), (3)) AS copy(i) WHERE i = 1 OR (block_date + 1 >= {d(P.AS_OF_NEXT.date())} "
+    f"AND block_time + INTERVAL 12 HOUR >= {ts(P.AS_OF_NEXT)} AND block_time < {ts(P.AS_OF_FIRST)})"))
+# A day whose rows moved to the next day, and a day whose rows were restated.
+SQL["upsert_changed_rows"] = with_models(CALLS, body=(
+    f"SELECT {TX_OUT} FROM (SELECT * REPLACE (block_time + to_days(moved) AS block_time, CAST(block_date + moved AS DATE) AS block_date, "
+    f"CASE WHEN restated THEN 2 * gas_used ELSE gas_used END AS gas_used) FROM (SELECT *, CASE WHEN block_date = {d(P.MOVED_DAY)} THEN 1 ELSE 0 END AS moved, "
+    f"block_date = {d(P.RESTATED_DAY)} AS restated FROM calls))"))
+SQL["compaction"] = with_models(CALLS, body=(
+    "SELECT block_date, COUNT(*) AS n, CAST(SUM(block_number) AS BIGINT) AS numbers, COUNT(DISTINCT hash) AS hashes, "
+    "true AS one_file, true AS settled FROM calls GROUP BY block_date"))
+SQL["daily_replace_days"] = with_models(
+    calls("every"), f"calls AS (SELECT * FROM every WHERE block_date <> {d(P.EMPTIED_DAY)})", MOVES, PAID, DAYS, body=days_out())
+SQL["spot_check"] = with_models(CALLS, body=f"SELECT {P.SPOT_ROWS} AS n, COUNT(*) AS columns, true AS stored FROM (DESCRIBE SELECT {TX_OUT} FROM calls)")
 
 _J0, _J1 = dt.date(2024, 1, 10), dt.date(2024, 1, 12)
-SQL["hash_date_inner_join"] = with_models(BASE, body=(
-    "SELECT t.unique_key, t.tx_hash, t.block_date, a.has_builder_code, a.builder_code, t.amount_usd "
-    "FROM tr_sel t JOIN ta a ON t.tx_hash = a.hash AND t.block_date = a.block_date "
-    f"WHERE t.block_date BETWEEN {d(_J0)} AND {d(_J1)} AND a.block_date BETWEEN {d(_J0)} AND {d(_J1)}"))
-SQL["union_tagged"] = with_models(BASE, tra_ctes("o_", "ta", chain="other"), body=(
-    "SELECT 'celo' AS chain_tag, unique_key, block_date, amount_usd FROM tr_sel "
-    "UNION ALL SELECT 'other' AS chain_tag, unique_key, block_date, amount_usd FROM o_tr_sel"))
-SQL["surrogate_key"] = with_models(BASE, body=(
+SQL["hash_date_inner_join"] = with_models(CALLS, MOVES, body=(
+    "SELECT t.unique_key, t.tx_hash, t.block_date, c.has_builder_code, c.builder_code, t.amount_usd "
+    f"FROM moves t, calls c WHERE c.hash = t.tx_hash AND c.block_date = t.block_date AND c.block_date BETWEEN {d(_J0)} AND {d(_J1)}"))
+SQL["union_tagged"] = with_models(body=(
+    f"SELECT blockchain AS chain_tag, unique_key, block_date, amount_usd FROM tr_src WHERE {_above_floors()}"))
+SQL["surrogate_key"] = with_models(CALLS, MOVES, body=(
     "SELECT unique_key, sha256(concat_ws('-', coalesce(tx_hash, '_null_'), "
-    "coalesce(CAST(evt_index AS VARCHAR), '_null_'), coalesce(builder_code2, '_null_'))) AS sk FROM tra"))
-SQL["top_codes"] = with_models(BASE, body=(
-    f"SELECT builder_code, ROUND(volume_usd, {P.ROUND_USD}) AS volume_usd, tx_count, "
-    f"ROUND(chain_fees_usd, {P.ROUND_FEE}) AS chain_fees_usd FROM ("
-    "SELECT builder_code, SUM(volume_usd) AS volume_usd, CAST(SUM(tx_count) AS BIGINT) AS tx_count, "
-    "SUM(chain_fees_usd) AS chain_fees_usd FROM dm GROUP BY builder_code "
-    f"ORDER BY volume_usd DESC, builder_code ASC LIMIT {P.TOP_K})"))
+    "coalesce(CAST(evt_index AS VARCHAR), '_null_'), coalesce(a.two, '_null_'))) AS sk FROM moves"))
+SQL["top_codes"] = with_models(CALLS, MOVES, PAID, DAYS, body=(
+    f"SELECT builder_code, ROUND(v, {P.ROUND_USD}) AS volume_usd, t AS tx_count, ROUND(f, {P.ROUND_FEE}) AS chain_fees_usd FROM ("
+    "SELECT builder_code, SUM(volume_usd) AS v, CAST(SUM(tx_count) AS BIGINT) AS t, SUM(chain_fees_usd) AS f FROM days GROUP BY ALL) "
+    f"QUALIFY row_number() OVER (ORDER BY v DESC, builder_code) <= {P.TOP_K}"))
+
+# -- quality ---------------------------------------------------------------------------------
+
+MODELS = (CALLS, MOVES, PAID, DAYS,
+          f"ta AS (SELECT {TX_OUT} FROM calls)", f"tra AS (SELECT {TR_OUT} FROM moves)")
 
 
 def _nn(model: str, rel: str, cols: list[str]) -> list[str]:
@@ -397,14 +323,14 @@ def _cnt(model: str, rule: str, column: str, query: str) -> str:
             f"CAST(COUNT(*) AS BIGINT) AS failing_rows FROM ({query})")
 
 
-SQL["dq_not_null"] = with_models(BASE, body=" UNION ALL ".join(
+SQL["dq_not_null"] = with_models(*MODELS, body=" UNION ALL ".join(
     _nn("transactions_attributed", "ta", ["block_time", "block_date", "block_number", "hash", '"from"',
                                           "has_builder_code"])
     + _nn("transfers_attributed", "tra", ["unique_key", "blockchain", "block_date", "block_time", "block_number",
                                           "tx_hash", "has_builder_code"])
-    + _nn("buildercode_daily_metric", "dm", ["day", "builder_code"])
-    + _nn("transfers", "tr_sel", ["amount_usd"])))
-SQL["dq_unique"] = with_models(BASE, body=" UNION ALL ".join([
+    + _nn("buildercode_daily_metric", "days", ["day", "builder_code"])
+    + _nn("transfers", "moves", ["amount_usd"])))
+SQL["dq_unique"] = with_models(*MODELS, body=" UNION ALL ".join([
     _cnt("events", "unique", "event_id",
          "SELECT event_id FROM events WHERE event_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1"),
     _cnt("orders", "unique", "o_custkey",
@@ -415,15 +341,15 @@ SQL["dq_unique"] = with_models(BASE, body=" UNION ALL ".join([
          "SELECT unique_key FROM tra WHERE unique_key IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1"),
 ]))
 _UC = "unique_combination_of_columns"
-SQL["dq_unique_combination"] = with_models(BASE, body=" UNION ALL ".join([
+SQL["dq_unique_combination"] = with_models(*MODELS, body=" UNION ALL ".join([
     _cnt("lineitem", _UC, "l_orderkey,l_linenumber",
          "SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1"),
     _cnt("transfers", _UC, "tx_hash,evt_index",
          "SELECT tx_hash, evt_index FROM tr_src GROUP BY 1, 2 HAVING COUNT(*) > 1"),
     _cnt("buildercode_daily_metric", _UC, "day,builder_code",
-         "SELECT day, builder_code FROM dm GROUP BY 1, 2 HAVING COUNT(*) > 1"),
+         "SELECT day, builder_code FROM days GROUP BY 1, 2 HAVING COUNT(*) > 1"),
 ]))
-SQL["dq_accepted_values"] = with_models(BASE, body=" UNION ALL ".join([
+SQL["dq_accepted_values"] = with_models(*MODELS, body=" UNION ALL ".join([
     _cnt("orders", "accepted_values", "o_orderstatus:F,O,P",
          "SELECT o_orderstatus FROM orders WHERE o_orderstatus IS NOT NULL "
          "AND o_orderstatus NOT IN ('F', 'O', 'P') GROUP BY 1"),
@@ -433,15 +359,15 @@ SQL["dq_accepted_values"] = with_models(BASE, body=" UNION ALL ".join([
     _cnt("transfers_attributed", "accepted_values", "blockchain:celo",
          "SELECT blockchain FROM tra WHERE blockchain IS NOT NULL AND blockchain NOT IN ('celo') GROUP BY 1"),
 ]))
-SQL["dq_relationships"] = with_models(BASE, body=" UNION ALL ".join([
+SQL["dq_relationships"] = with_models(*MODELS, body=" UNION ALL ".join([
     _cnt("nation", "relationships", "n_regionkey->region.r_regionkey",
          "SELECT * FROM nation c WHERE n_regionkey IS NOT NULL AND NOT EXISTS "
          "(SELECT 1 FROM region p WHERE p.r_regionkey = c.n_regionkey)"),
     _cnt("transfers", "relationships", "tx_hash->transactions_attributed.hash",
-         "SELECT * FROM tr_sel c WHERE tx_hash IS NOT NULL AND NOT EXISTS "
+         "SELECT * FROM moves c WHERE tx_hash IS NOT NULL AND NOT EXISTS "
          "(SELECT 1 FROM ta p WHERE p.hash = c.tx_hash)"),
 ]))
-SQL["dq_invariants"] = with_models(BASE, body=" UNION ALL ".join([
+SQL["dq_invariants"] = with_models(*MODELS, body=" UNION ALL ".join([
     _cnt("transactions_attributed", "invariant", "flag_codes",
          "SELECT * FROM ta WHERE has_builder_code IS NULL OR has_builder_code <> (multi_code IS NOT NULL) "
          "OR (NOT has_builder_code AND (builder_code IS NOT NULL OR builder_code2 IS NOT NULL))"),
@@ -450,44 +376,42 @@ SQL["dq_invariants"] = with_models(BASE, body=" UNION ALL ".join([
          "OR (NOT has_builder_code AND (multi_code IS NOT NULL OR builder_code IS NOT NULL "
          "OR builder_code2 IS NOT NULL))"),
     _cnt("buildercode_daily_metric", "invariant", "counts_bounded",
-         "SELECT * FROM dm WHERE token_transfers_tx > tx_count OR unique_addresses > tx_count"),
-    _cnt("buildercode_daily_metric", "custom", "non_negative_fees", "SELECT * FROM dm WHERE chain_fees_usd < 0"),
+         "SELECT * FROM days WHERE token_transfers_tx > tx_count OR unique_addresses > tx_count"),
+    _cnt("buildercode_daily_metric", "custom", "non_negative_fees", "SELECT * FROM days WHERE chain_fees_usd < 0"),
 ]))
 
+# -- export: a first run, an incremental one, and a re-sync of the second window after rows vanished ---
+
 _S1, _E1 = P.EXPORT_START, P.EXPORT_END
 _E2 = P.EXPORT_END + dt.timedelta(days=2)
 _S2 = _E2 - dt.timedelta(days=1)
+_E3 = _E2 + dt.timedelta(days=1)
+_GONE = f"block_time >= {ts(_S2)} AND block_time < {ts(_S2 + dt.timedelta(hours=6))}"
 _W1 = f"block_time >= {ts(_S1)} AND block_time < {ts(_E1)}"
 _W2 = f"block_time >= {ts(_S2)} AND block_time < {ts(_E2)}"
-SQL["export_window"] = with_models(BASE, body=(
-    f"SELECT hash, block_time, block_date, has_builder_code, builder_code FROM ta WHERE ({_W1}) OR ({_W2})"))
-
+_W3 = f"{_W2} AND NOT ({_GONE})"
+SQL["export_window"] = with_models(CALLS, body=(
+    f"SELECT hash, block_time, block_date, has_builder_code, builder_code FROM calls WHERE ({_W1}) OR ({_W2})"))
 
-def _run_row(start, end, full: bool, window: str, created) -> str:
-    return (f"SELECT 'transactions_attributed' AS source_table, 'block_time' AS time_column, "
-            f"'hash' AS unique_key_columns, {ts(start)} AS time_start, {ts(end)} AS time_end, "
-            f"{'true' if full else 'false'} AS full_refresh, "
-            f"(SELECT CAST(COUNT(*) AS BIGINT) FROM ta WHERE {window}) AS rows_synced, {ts(created)} AS created_at")
 
+def _run_row(table: str, column: str, key: str, start, end, full: bool, rows: str, created) -> str:
+    return (f"SELECT '{table}' AS source_table, '{column}' AS time_column, '{key}' AS unique_key_columns, "
+            f"{ts(start) if start else 'CAST(NULL AS TIMESTAMP)'} AS time_start, {ts(end)} AS time_end, "
+            f"{'true' if full else 'false'} AS full_refresh, (SELECT CAST(COUNT(*) AS BIGINT) FROM {rows}) AS rows_synced, {ts(created)} AS created_at")
 
-SQL["export_runs"] = with_models(BASE, body=(
-    _run_row(_S1, _E1, True, _W1, _E1) + " UNION ALL " + _run_row(_S2, _E2, False, _W2, _E2)))
-SQL["export_log_latest"] = with_models(BASE, body=_run_row(_S2, _E2, False, _W2, _E2))
 
-# Streams end in the same tables as the batch models.
-SQL["stream_attributed"] = SQL["tx_attributed"]
-SQL["stream_dedup"] = SQL["tx_attributed"]
-SQL["stream_daily"] = SQL["daily_metrics"]
+_T = ("transactions_attributed", "block_time", "hash")
+SQL["export_runs"] = with_models(CALLS, MOVES, PAID, DAYS, body=" UNION ALL ".join([
+    _run_row(*_T, _S1, _E1, True, f"calls WHERE {_W1}", _E1), _run_row(*_T, _S2, _E2, False, f"calls WHERE {_W2}", _E2),
+    _run_row(*_T, _S2, _E2, False, f"calls WHERE {_W3}", _E3),
+    _run_row("buildercode_daily_metric", "day", "day,builder_code", None, _E2, True, f"days WHERE day < {ts(_E2)}", _E2)]))
+SQL["export_log_latest"] = with_models(CALLS, body=_run_row(*_T, _S2, _E2, False, f"calls WHERE {_W3}", _E3))
 
-SQL["view_spot_check"] = with_models(BASE, body=(
-    "SELECT 'transactions' AS model, has_builder_code, COUNT(*) AS n FROM ta GROUP BY has_builder_code "
-    "UNION ALL SELECT 'transfers' AS model, has_builder_code, COUNT(*) AS n FROM tra GROUP BY has_builder_code"))
-SQL["full_refresh"] = SQL["tx_attributed"]
-SQL["compaction"] = SQL["tx_attributed"]
-SQL["address_left_join"] = with_models(BASE, (
+SQL["view_spot_check"] = with_models(CALLS, MOVES, body=(
+    "SELECT 'transactions' AS model, has_builder_code, COUNT(*) AS n FROM calls GROUP BY ALL "
+    "UNION ALL SELECT 'transfers' AS model, coalesce(a.f, false) AS has_builder_code, COUNT(*) AS n FROM moves GROUP BY ALL"))
+SQL["address_left_join"] = with_models(CALLS, (
     "users AS (SELECT substr(sha256('user-' || CAST(user_id AS VARCHAR)), 1, 40) AS address, "
     "MIN(ts) AS first_seen, COUNT(*) AS n_events FROM ev GROUP BY user_id)"), body=(
     'SELECT t.hash, t."from", t.block_time, t.builder_code, u.first_seen, u.n_events '
-    'FROM ta t LEFT JOIN users u ON t."from" = u.address'))
-SQL["transfers_attributed_tagged"] = SQL["transfers_attributed"]
-SQL["stream_restart"] = SQL["tx_attributed"]
+    'FROM calls t LEFT JOIN users u ON t."from" = u.address'))

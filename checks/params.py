@@ -17,3 +17,8 @@ EXPORT_END = dt.datetime(2024, 1, 15, 0, 0, 0)
 TOP_K = 10
 ROUND_USD = 6
 ROUND_FEE = 12
+# Changed rows: a day whose rows move to the next one, a day whose rows are restated, a day that empties.
+MOVED_DAY = dt.date(2024, 1, 5)
+RESTATED_DAY = dt.date(2024, 1, 8)
+EMPTIED_DAY = dt.date(2024, 1, 19)
+SPOT_ROWS = 10

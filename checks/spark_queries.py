@@ -22,7 +22,7 @@ from codetrail.operators import reports as R
 from codetrail.operators import upsert as U
 from codetrail.plans import models as MD
 from codetrail.session import scratch_path
-from codetrail.sources import fixtures
+from checks import fixtures
 from codetrail.sources.catalog import register_view
 from codetrail.streaming import attribution_stream as ST
 
@@ -51,6 +51,28 @@ def tra_full(spark, sf_dir, ta: DataFrame | None = None) -> DataFrame:
                                  A.attribution_keys(ta, P.FLOORS))
 
 
+_MODEL_TABLES: dict[tuple[int, str], MD.ModelPaths] = {}
+
+
+def model_tables(spark, sf_dir) -> MD.ModelPaths:
+    """The first two models as written tables, built once for each session and data folder; the daily
+    metric reads them, so calldata is decoded once, by the model that owns it."""
+    memo = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if memo not in _MODEL_TABLES:
+        paths = MD.ModelPaths.under(scratch_path(spark, "models"))
+        MD.run_transactions(spark, tx_source(spark, sf_dir), paths.transactions_attributed, None, P.FLOORS)
+        MD.run_transfers(spark, transfer_source(spark, sf_dir), paths.transactions_attributed, paths.transfers_attributed,
+                         None, P.CHAIN, P.FLOORS)
+        _MODEL_TABLES[memo] = paths
+    return _MODEL_TABLES[memo]
+
+
+def _daily(spark, sf_dir) -> DataFrame:
+    paths = model_tables(spark, sf_dir)
+    return M.daily_metrics(read_transfer_table(spark, paths.transfers_attributed), read_tx_table(spark, paths.transactions_attributed),
+                           price_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+
+
 def _as_date(col: str = "day") -> F.Column:
     return F.to_date(F.col(col)).alias(col)
 
@@ -148,17 +170,15 @@ def daily_output(df: DataFrame) -> DataFrame:
 
 
 def q_daily_metrics(spark, sf_dir):
-    ta = ta_full(spark, sf_dir)
-    dm = M.daily_metrics(tra_full(spark, sf_dir, ta), ta, price_source(spark, sf_dir), P.CHAIN, P.FLOORS)
-    return daily_output(dm)
+    return daily_output(_daily(spark, sf_dir))
 
 
 # -- incremental windows and materializations ----------------------------------
 
 
 def cut(df: DataFrame, as_of, col: str = "block_time") -> DataFrame:
-    """What had arrived by ``as_of``: source rows up to that instant."""
-    return df.where(F.col(col) <= typed_lit(as_of))
+    """What had arrived by ``as_of``: source rows up to that instant (None: all)."""
+    return df if as_of is None else df.where(F.col(col) <= typed_lit(as_of))
 
 
 def read_tx_table(spark, path) -> DataFrame:
@@ -181,13 +201,38 @@ def q_upsert_delete_insert(spark, sf_dir):
     tx = tx_source(spark, sf_dir)
     MD.run_transactions(spark, cut(tx, P.AS_OF_FIRST), target, None, P.FLOORS)         # first run
     MD.run_transactions(spark, cut(tx, P.AS_OF_NEXT), target, P.AS_OF_NEXT, P.FLOORS)  # incremental run
+    MD.run_transactions(spark, tx, target, P.AS_OF_NEXT, P.FLOORS)                     # catch-up: all that came since
+    return portable(read_tx_table(spark, target))
+
+
+def q_upsert_target_days(spark, sf_dir):
+    """Like ``upsert_delete_insert``, looking for old rows in the last two days only."""
+    target = scratch_path(spark, "upsert-target-days") + "/transactions_attributed"
+    tx = tx_source(spark, sf_dir)
+    MD.run_transactions(spark, cut(tx, P.AS_OF_FIRST), target, None, P.FLOORS)
+    MD.run_transactions(spark, cut(tx, P.AS_OF_NEXT), target, P.AS_OF_NEXT, P.FLOORS, target_days=2)
+    MD.run_transactions(spark, tx, target, P.AS_OF_NEXT, P.FLOORS, date_in_key=True)
+    return portable(read_tx_table(spark, target))
+
+
+def q_upsert_changed_rows(spark, sf_dir):
+    """New values win, rows move to another date, and the date that they leave is emptied."""
+    target = scratch_path(spark, "upsert-changed") + "/transactions_attributed"
+    ta = ta_full(spark, sf_dir)
+    U.full_refresh(spark, ta, target, S.TX_PARTITION)
+    day = F.col("block_date")
+    moved = ta.where(day == typed_lit(P.MOVED_DAY)).withColumns({
+        "block_time": F.col("block_time") + F.expr("INTERVAL 1 DAY"), "block_date": F.date_add("block_date", 1)})
+    restated_rows = ta.where(day == typed_lit(P.RESTATED_DAY)).withColumn("gas_used", F.col("gas_used") * 2)
+    result = U.delete_insert(spark, moved.unionByName(restated_rows), target, S.TX_KEY, S.TX_PARTITION)
+    assert result.emptied_partitions == [P.MOVED_DAY]
     return portable(read_tx_table(spark, target))
 
 
 def q_upsert_merge(spark, sf_dir):
     paths = MD.ModelPaths.under(scratch_path(spark, "upsert-merge"))
     tx, tr = tx_source(spark, sf_dir), transfer_source(spark, sf_dir)
-    for as_of, win in ((P.AS_OF_FIRST, None), (P.AS_OF_NEXT, P.AS_OF_NEXT)):
+    for as_of, win in ((P.AS_OF_FIRST, None), (P.AS_OF_NEXT, P.AS_OF_NEXT), (None, P.AS_OF_NEXT)):
         MD.run_transactions(spark, cut(tx, as_of), paths.transactions_attributed, win, P.FLOORS)
         MD.run_transfers(spark, cut(tr, as_of), paths.transactions_attributed, paths.transfers_attributed, win,
                          P.CHAIN, P.FLOORS, strategy="merge")
@@ -207,28 +252,42 @@ def q_append_dedup(spark, sf_dir):
     tr = transfer_source(spark, sf_dir)
     U.append(spark, A.select_transfers(cut(tr, P.AS_OF_FIRST), P.CHAIN, P.FLOORS), target, S.TRANSFER_KEY,
              S.TRANSFER_PARTITION)
-    batch = A.select_transfers(cut(tr, P.AS_OF_NEXT), P.CHAIN, P.FLOORS, tx_window(P.AS_OF_NEXT))
-    U.append(spark, batch.unionByName(restated(batch)), target, S.TRANSFER_KEY, S.TRANSFER_PARTITION,
-             dedupe_order_by="_updated_at", skip_existing=True)
+    for until in (P.AS_OF_NEXT, None):
+        batch = A.select_transfers(cut(tr, until), P.CHAIN, P.FLOORS, tx_window(P.AS_OF_NEXT))
+        U.append(spark, batch.unionByName(restated(batch)), target, S.TRANSFER_KEY, S.TRANSFER_PARTITION,
+                 dedupe_order_by="_updated_at", skip_existing=True)
     return portable(spark.read.parquet(target).select(*[F.col(f"`{c}`") for c in S.TRANSFER_PASSTHROUGH]))
 
 
 def q_upsert_target_predicate(spark, sf_dir):
+    """Old rows before the predicate's instant are not looked at: later runs put theirs beside them."""
     target = scratch_path(spark, "upsert-predicate") + "/transactions_attributed"
     tx = tx_source(spark, sf_dir)
+    bound = F.col("block_time") >= typed_lit(P.AS_OF_FIRST)
     MD.run_transactions(spark, cut(tx, P.AS_OF_FIRST), target, None, P.FLOORS)
-    batch = A.attribute_transactions(cut(tx, P.AS_OF_NEXT), P.FLOORS, tx_window(P.AS_OF_NEXT))
-    U.delete_insert(spark, batch, target, S.TX_KEY, S.TX_PARTITION,
-                    target_predicate=F.col("block_time") >= typed_lit(P.AS_OF_FIRST))
+    for until in (P.AS_OF_NEXT, None):
+        MD.run_transactions(spark, cut(tx, until), target, P.AS_OF_NEXT, P.FLOORS, target_predicate=bound)
     return portable(read_tx_table(spark, target))
 
 
 def q_daily_recompute(spark, sf_dir):
     paths = MD.ModelPaths.under(scratch_path(spark, "daily-recompute"))
     tx, tr, pr = tx_source(spark, sf_dir), transfer_source(spark, sf_dir), price_source(spark, sf_dir)
-    for as_of, win in ((P.AS_OF_FIRST, None), (P.AS_OF_METRIC, P.AS_OF_METRIC)):
-        MD.run_all(spark, cut(tx, as_of), cut(tr, as_of), cut(pr, as_of, "timestamp"), paths, win, P.CHAIN,
-                   P.FLOORS)
+    # the last run catches up: its window starts at the last run that saw everything
+    for until, win in ((P.AS_OF_FIRST, None), (P.AS_OF_METRIC, P.AS_OF_METRIC), (None, P.AS_OF_FIRST)):
+        MD.run_all(spark, cut(tx, until), cut(tr, until), cut(pr, until, "timestamp"), paths, win, P.CHAIN, P.FLOORS)
+    return daily_output(spark.read.schema(S.DAILY_METRIC).parquet(paths.daily_metric))
+
+
+def q_daily_replace_days(spark, sf_dir):
+    """Whole days of the window are replaced: a day emptied upstream leaves the daily metric too."""
+    paths = MD.ModelPaths.under(scratch_path(spark, "daily-replace"))
+    tx, tr, pr = tx_source(spark, sf_dir), transfer_source(spark, sf_dir), price_source(spark, sf_dir)
+    MD.run_all(spark, tx, tr, pr, paths, None, P.CHAIN, P.FLOORS)
+    gone = F.col("block_date") == typed_lit(P.EMPTIED_DAY)
+    U.full_refresh(spark, A.attribute_transactions(tx.where(~gone), P.FLOORS), paths.transactions_attributed, S.TX_PARTITION)
+    MD.run_daily(spark, pr, paths.transactions_attributed, paths.transfers_attributed, paths.daily_metric, P.AS_OF_METRIC,
+                 P.CHAIN, P.FLOORS, replace_days=True)
     return daily_output(spark.read.schema(S.DAILY_METRIC).parquet(paths.daily_metric))
 
 
@@ -256,11 +315,6 @@ def q_surrogate_key(spark, sf_dir):
     return tra.select("unique_key", surrogate_key(hex_text("tx_hash"), "evt_index", "builder_code2").alias("sk"))
 
 
-def _daily(spark, sf_dir):
-    ta = ta_full(spark, sf_dir)
-    return M.daily_metrics(tra_full(spark, sf_dir, ta), ta, price_source(spark, sf_dir), P.CHAIN, P.FLOORS)
-
-
 def q_top_codes(spark, sf_dir):
     top = R.top_k(R.code_totals(_daily(spark, sf_dir)), P.TOP_K, "volume_usd", ["builder_code"])
     return top.select("builder_code", F.round("volume_usd", P.ROUND_USD).alias("volume_usd"), "tx_count",
@@ -274,9 +328,10 @@ def _table(spark, sf_dir, name):
 
 
 def q_dq_not_null(spark, sf_dir):
-    ta = ta_full(spark, sf_dir)
-    tra = tra_full(spark, sf_dir, ta)
-    dm = M.daily_metrics(tra, ta, price_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+    paths = model_tables(spark, sf_dir)
+    ta = read_tx_table(spark, paths.transactions_attributed)
+    tra = read_transfer_table(spark, paths.transfers_attributed)
+    dm = _daily(spark, sf_dir)
     src = A.select_transfers(transfer_source(spark, sf_dir), P.CHAIN, P.FLOORS)
     return (QL.TRANSACTIONS_RULES.run(ta).where(F.col("rule") == "not_null")
             .unionByName(QL.TRANSFERS_RULES.run(tra).where(F.col("rule") == "not_null"))
@@ -338,9 +393,10 @@ def q_dq_relationships(spark, sf_dir):
 
 
 def q_dq_invariants(spark, sf_dir):
-    ta = ta_full(spark, sf_dir)
-    tra = tra_full(spark, sf_dir, ta)
-    dm = M.daily_metrics(tra, ta, price_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+    paths = model_tables(spark, sf_dir)
+    ta = read_tx_table(spark, paths.transactions_attributed)
+    tra = read_transfer_table(spark, paths.transfers_attributed)
+    dm = _daily(spark, sf_dir)
     custom = QL.ModelRules("buildercode_daily_metric", custom={
         "non_negative_fees": lambda d: d.where(F.col("chain_fees_usd") < 0)})
     return (QL.count_summary(QL.tx_invariant_failures(ta), "transactions_attributed", "invariant", "flag_codes")
@@ -359,20 +415,29 @@ EXPORT_META = {"export": {
     "time_start": P.EXPORT_START,
     "time_start_incremental": lambda as_of: as_of - _dt.timedelta(days=1),
 }}
+DAILY_EXPORT = {"export": {"enabled": True, "time_column": "day", "time_start": None, "time_start_incremental": None}}
 EXPORT_SECOND_RUN = P.EXPORT_END + _dt.timedelta(days=2)
+EXPORT_THIRD_RUN = P.EXPORT_END + _dt.timedelta(days=3)
 
 
 def _export(spark, sf_dir):
+    """A first export, an incremental one with a table model beside it, then a manual re-sync of the
+    same window from which rows have vanished upstream (the destination keeps them)."""
     root = scratch_path(spark, "export")
-    src = f"{root}/transactions_attributed"
-    U.full_refresh(spark, ta_full(spark, sf_dir), src, S.TX_PARTITION)
-    table = spark.read.parquet(src)
-    dest, log = f"{root}/export/transactions_attributed", f"{root}/export_runs"
-    w1 = X.resolve_window(EXPORT_META, "incremental", S.TX_KEY, P.EXPORT_END, is_incremental=False)
-    X.sync(spark, table, "transactions_attributed", w1, dest, log, P.EXPORT_END, S.TX_PARTITION)
-    w2 = X.resolve_window(EXPORT_META, "incremental", S.TX_KEY, EXPORT_SECOND_RUN, is_incremental=True)
-    X.sync(spark, table, "transactions_attributed", w2, dest, log, EXPORT_SECOND_RUN, S.TX_PARTITION)
-    return dest, log
+    ta = ta_full(spark, sf_dir)
+    src, daily, dest = f"{root}/transactions_attributed", f"{root}/daily", f"{root}/export"
+    U.full_refresh(spark, ta, src, S.TX_PARTITION)
+    U.full_refresh(spark, _daily(spark, sf_dir), daily)
+    tx = X.ExportedModel("transactions_attributed", src, S.TX_KEY, EXPORT_META, partition_by=S.TX_PARTITION)
+    table = X.ExportedModel("buildercode_daily_metric", daily, S.DAILY_KEY, DAILY_EXPORT, "table")
+    X.sync_models(spark, [tx], dest, P.EXPORT_END, is_incremental=False)
+    X.sync_models(spark, [tx, table], dest, EXPORT_SECOND_RUN, is_incremental=True)
+    start = EXPORT_SECOND_RUN - _dt.timedelta(days=1)
+    t = F.col("block_time")
+    kept = ta.where(~((t >= typed_lit(start)) & (t < typed_lit(start + _dt.timedelta(hours=6)))))
+    U.full_refresh(spark, kept, src, S.TX_PARTITION)
+    X.sync_models(spark, [tx], dest, EXPORT_THIRD_RUN, is_incremental=True, time_start=start, time_end=EXPORT_SECOND_RUN)
+    return f"{dest}/transactions_attributed", f"{dest}/_runs"
 
 
 def q_export_window(spark, sf_dir):
@@ -389,7 +454,7 @@ def _log_out(df):
 
 def q_export_runs(spark, sf_dir):
     _, log = _export(spark, sf_dir)
-    return _log_out(X.runs(spark, log, "transactions_attributed"))
+    return _log_out(X.runs(spark, log))
 
 
 def q_export_log_latest(spark, sf_dir):
@@ -416,24 +481,36 @@ def q_stream_attributed(spark, sf_dir):
     return portable(read_tx_table(spark, f"{root}/transactions_attributed"))
 
 
+def _deliver(df: DataFrame, path: str) -> None:
+    """One file that arrives after the ones before it."""
+    df.coalesce(1).write.mode("append").parquet(path)
+
+
 def q_stream_dedup(spark, sf_dir):
+    """Four micro-batches, the newest days first, then everything once more: nothing is too late."""
     root = scratch_path(spark, "stream-dedup")
     src = f"{root}/source"
-    tx = tx_source(spark, sf_dir)
-    tx.write.mode("append").parquet(src)   # first delivery
-    tx.write.mode("append").parquet(src)   # re-delivery of the same transactions
+    tx, day = tx_source(spark, sf_dir), F.dayofmonth("block_date")
+    for part in (tx.where(day > 20), tx.where((day > 10) & (day <= 20)), tx.where(day <= 10), tx.unionByName(tx.where(day == 7))):
+        _deliver(part, src)
     q = ST.start_transactions_stream(spark, src, f"{root}/transactions_attributed", f"{root}/_checkpoint",
-                                     P.FLOORS, dedup_delay="12 hours")
+                                     P.FLOORS, dedup=True, max_files_per_trigger=1)
     q.awaitTermination()
     return portable(read_tx_table(spark, f"{root}/transactions_attributed"))
 
 
 def q_stream_daily(spark, sf_dir):
-    paths = MD.ModelPaths.under(scratch_path(spark, "stream-daily"))
-    q = ST.start_daily_stream(spark, _tx_dir(spark, sf_dir), transfer_source(spark, sf_dir),
-                              price_source(spark, sf_dir), paths, paths.daily_metric + "_checkpoint", P.CHAIN,
-                              P.FLOORS, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
-    q.awaitTermination()
+    """Transfers of some days arrive after their transactions' micro-batch, and touch their days again."""
+    root = scratch_path(spark, "stream-daily")
+    paths = MD.ModelPaths.under(root)
+    tr, day = transfer_source(spark, sf_dir), F.dayofmonth("block_date")
+    late, ckpt = f"{root}/transfers", f"{root}/_checkpoint"
+    start = lambda: ST.start_daily_stream(spark, _tx_dir(spark, sf_dir), late, price_source(spark, sf_dir), paths, ckpt,
+                                          P.CHAIN, P.FLOORS, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    _deliver(tr.where(day % 3 != 0), late)
+    start().awaitTermination()
+    _deliver(tr.where(day % 3 == 0), late)
+    start().awaitTermination()
     return daily_output(spark.read.schema(S.DAILY_METRIC).parquet(paths.daily_metric))
 
 
@@ -455,23 +532,37 @@ def q_view_spot_check(spark, sf_dir):
 
 
 def q_full_refresh(spark, sf_dir):
-    """K6: after incremental runs, a full refresh rebuilds the table from the floors."""
+    """K6: after runs over restated rows, a full refresh rebuilds the table from the floors."""
     target = scratch_path(spark, "full-refresh") + "/transactions_attributed"
     tx = tx_source(spark, sf_dir)
-    MD.run_transactions(spark, cut(tx, P.AS_OF_FIRST), target, None, P.FLOORS)
-    MD.run_transactions(spark, cut(tx, P.AS_OF_NEXT), target, P.AS_OF_NEXT, P.FLOORS)
+    wrong = tx.withColumn("gas_used", F.col("gas_used") + 1)
+    MD.run_transactions(spark, cut(wrong, P.AS_OF_FIRST), target, None, P.FLOORS)
+    MD.run_transactions(spark, cut(wrong, P.AS_OF_NEXT), target, P.AS_OF_NEXT, P.FLOORS)
     MD.run_transactions(spark, tx, target, None, P.FLOORS, full_refresh=True)
     return portable(read_tx_table(spark, target))
 
 
 def q_compaction(spark, sf_dir):
-    """K9: a table written in many small increments, compacted; the rows are unchanged."""
+    """K9: a table written in many small increments, compacted: same rows, one file a day, and settled."""
     target = scratch_path(spark, "compaction") + "/transactions_attributed"
     ta = ta_full(spark, sf_dir)
     for part in range(4):  # four appends of disjoint slices -> several files per partition
         U.write_table(ta.where(F.pmod(F.hash("hash"), F.lit(4)) == part), target, S.TX_PARTITION, mode="append")
-    U.compact(spark, target, S.TX_PARTITION, max_files=2)
-    return portable(read_tx_table(spark, target))
+    assert U.compact(spark, target, S.TX_PARTITION, max_files=1)
+    files = U.file_counts(spark, target, S.TX_PARTITION).select(
+        F.to_date(F.regexp_extract("directory", "=(.*)$", 1)).alias("block_date"), (F.col("files") == 1).alias("one_file"))
+    settled = not U.compact(spark, target, S.TX_PARTITION, max_files=1)
+    rows = read_tx_table(spark, target).groupBy("block_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("block_number").alias("numbers"), F.count_distinct("hash").alias("hashes"))
+    return rows.join(files, "block_date").withColumn("settled", F.lit(settled))
+
+
+def q_spot_check(spark, sf_dir):
+    """``select * limit n`` has no fixed rows; their number and columns are, and that they are the model's."""
+    ta = ta_full(spark, sf_dir)
+    some = R.spot_check(ta, P.SPOT_ROWS)
+    found = some.select("hash").join(ta.select(F.col("hash").alias("h"), F.lit(True).alias("stored")), F.col("hash") == F.col("h"), "left")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.lit(len(some.columns)).cast("long").alias("columns"), F.bool_and("stored").alias("stored"))
 
 
 def users(spark, sf_dir) -> DataFrame:

@@ -49,6 +49,11 @@ class Floors:
         return F.col(ts_col) >= typed_lit(self.price_time)
 
 
+def utc_naive(instant: dt.datetime) -> dt.datetime:
+    """The instant as UTC wall-clock time; one without an offset is UTC already."""
+    return instant if instant.tzinfo is None else instant.astimezone(dt.timezone.utc).replace(tzinfo=None)
+
+
 @dataclass(frozen=True)
 class Lookback:
     """Incremental window: rows with date >= as_of_date - days and time >= as_of - hours.
@@ -60,6 +65,9 @@ class Lookback:
     days: int
     hours: int | None = None
 
+    def __post_init__(self):
+        object.__setattr__(self, "as_of", utc_naive(self.as_of))
+
     @property
     def date_bound(self) -> dt.date:
         return self.as_of.date() - dt.timedelta(days=self.days)
@@ -96,6 +104,11 @@ def metric_window(as_of: dt.datetime | None) -> Lookback | None:
     return None if as_of is None else Lookback(as_of, METRIC_LOOKBACK_DAYS)
 
 
+def target_bound(as_of: dt.datetime | None, target_days: int | None, date_col: str = "block_date") -> Column | None:
+    """Rows of a target table that an incremental run may replace: the last ``target_days`` days (None: all)."""
+    return None if as_of is None or target_days is None else Lookback(as_of, target_days).date_pred(date_col)
+
+
 def apply_window(df, window: Lookback | None, date_col: str = "block_date", time_col: str = "block_time"):
     """Conditional filter: only on incremental runs."""
     return df if window is None else df.where(window.pred(date_col, time_col))

@@ -18,7 +18,7 @@ from codetrail.functions.literals import typed_lit
 from pyspark.sql import types as T
 
 from codetrail.operators import upsert
-from codetrail.session import ensure_conf
+from codetrail.session import ensure_conf, path_exists
 
 LOG_SCHEMA = T.StructType([
     T.StructField("source_table", T.StringType(), False),
@@ -55,7 +55,7 @@ def resolve_window(meta: dict | None, materialized: str, model_unique_key, as_of
     - an explicit argument wins; otherwise an incremental run uses ``time_start_incremental``
       (falling back to ``time_start``) and a full refresh uses ``time_start``;
     - ``time_end`` defaults to the run instant; the key defaults to the model key;
-    - full refresh: explicit flag, else a table model or a non-incremental run.
+    - full refresh: always for a table model, else the explicit flag, else a non-incremental run.
     Values may be datetimes or callables of ``as_of``.
     """
     cfg = (meta or {}).get("export") if isinstance(meta, dict) else None
@@ -65,15 +65,18 @@ def resolve_window(meta: dict | None, materialized: str, model_unique_key, as_of
         raise ExportSkipped("export is not enabled")
     if materialized not in ("incremental", "table"):
         raise ExportSkipped(f"materialization {materialized!r} is not incremental/table")
-    if full_refresh is None:
-        full_refresh = materialized == "table" or not is_incremental
+    if materialized == "table":
+        full_refresh = True
+    elif full_refresh is None:
+        full_refresh = not is_incremental
 
     def ev(v):
         return v(as_of) if callable(v) else v
 
     if time_start is None:
-        inc_start = cfg.get("time_start_incremental", cfg.get("time_start"))
-        time_start = cfg.get("time_start") if full_refresh else inc_start
+        time_start = cfg.get("time_start")
+        if not full_refresh and cfg.get("time_start_incremental") is not None:
+            time_start = cfg["time_start_incremental"]
     if time_end is None:
         time_end = cfg.get("time_end", as_of)
     key = unique_key or cfg.get("unique_key_columns") or model_unique_key
@@ -92,14 +95,15 @@ def window_rows(df: DataFrame, w: ExportWindow) -> DataFrame:
 
 def sync(spark: SparkSession, df: DataFrame, source_table: str, w: ExportWindow, dest: str, log_path: str,
          as_of: dt.datetime, partition_by: str | None = None) -> int:
-    """Write the window to ``dest`` and append a run-log row. Returns rows synced."""
+    """Write the window to ``dest`` and append a run-log row. Returns rows synced: those of the
+    window in the source, not what the destination holds."""
     ensure_conf(spark)
     rows = window_rows(df, w)
     if w.full_refresh:
         upsert.full_refresh(spark, rows, dest, partition_by)
+        n = spark.read.schema(rows.schema).parquet(dest).count()  # just what was written; from file footers
     else:
-        upsert.delete_insert(spark, rows, dest, w.unique_key, partition_by)
-    n = window_rows(spark.read.schema(rows.schema).parquet(dest), w).count()
+        n = upsert.delete_insert(spark, rows, dest, w.unique_key, partition_by).rows
     log_row(spark, source_table, w, n, as_of).write.mode("append").parquet(log_path)
     return int(n)
 
@@ -130,3 +134,34 @@ def runs(spark: SparkSession, log_path: str, source_table: str | None = None) ->
 def latest_runs(spark: SparkSession, log_path: str, n: int = 1, source_table: str | None = None) -> DataFrame:
     """Top-n most recent runs (ORDER BY ... LIMIT n -> TakeOrderedAndProject)."""
     return runs(spark, log_path, source_table).limit(n)
+
+
+@dataclass(frozen=True)
+class ExportedModel:
+    """A model table that is exported after its run: its key, materialization and ``meta``."""
+
+    table: str
+    path: str
+    unique_key: list[str]
+    meta: dict
+    materialized: str = "incremental"
+    partition_by: str | None = None
+
+
+def sync_models(spark: SparkSession, models: list[ExportedModel], dest_root: str, as_of: dt.datetime, is_incremental: bool,
+                full_refresh: bool | None = None, time_start=None, time_end=None) -> dict[str, int]:
+    """The post-run step, and the manual re-sync when a window or ``full_refresh`` is given.
+
+    Models that are not configured for export are left out. Returns the rows synced by model.
+    """
+    out = {}
+    for m in models:
+        dest = f"{dest_root.rstrip('/')}/{m.table}"
+        try:
+            # a first export has nothing to merge into
+            w = resolve_window(m.meta, m.materialized, m.unique_key, as_of, is_incremental and path_exists(spark, dest),
+                               full_refresh, time_start, time_end)
+        except ExportSkipped:
+            continue
+        out[m.table] = sync(spark, spark.read.parquet(m.path), m.table, w, dest, f"{dest_root.rstrip('/')}/_runs", as_of, m.partition_by)
+    return out

@@ -1,21 +1,25 @@
 """Materializations on plain Parquet: table, full refresh, keyed delete+insert, merge,
-append with de-duplication, and compaction.
+replacement by predicate, append with de-duplication, and compaction.
 
 There is no MERGE/DELETE on plain Parquet, so a keyed upsert rewrites only the
 *partitions it touches*:
 
-1. reject NULL keys (a NULL key never matches, so it would be inserted again and again);
+1. reject a batch whose columns differ from the table's, NULL keys (a NULL key never matches, so
+   it would be inserted again and again) and NULL partition values;
 2. touched = partitions of the batch, plus -- only when the key does not contain the
-   partition column -- partitions holding an old row with a batch key;
+   partition columns -- partitions holding an old row with a batch key;
 3. new = target[touched] minus rows whose key is in the batch (left anti join), plus the batch;
 4. write ``new`` with dynamic partition overwrite, so untouched partitions are not read,
    shuffled or rewritten; partitions that became empty are removed afterwards.
 
+Step 2 reads the key column of the whole target unless ``target_predicate`` bounds it (a bound on
+the partition column prunes partitions) or the key contains the partition columns.
+
 Unpartitioned tables (the small daily metric table) are rewritten whole into a fresh
 directory that is then swapped in, mirroring temp -> rename -> drop.
 
-The only driver-side values are the list of touched partition values (bounded by the
-number of partitions, not rows) and the pass/fail counts of the key checks.
+The only driver-side values are the touched partition values (at most ``MAX_PARTITIONS``; more
+are refused) and the pass/fail counts of the key checks.
 """
 
 from __future__ import annotations
@@ -30,18 +34,33 @@ from pyspark.sql import functions as F
 from codetrail.functions.literals import isin
 from codetrail.session import ensure_conf, hadoop_fs, path_exists
 
+#: Partition values that one upsert may touch (they are listed on the driver).
+MAX_PARTITIONS = 100_000
+NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
+
 
 class UniqueKeyViolation(ValueError):
     """A unique-key precondition of the upsert does not hold."""
 
 
+class SchemaChanged(ValueError):
+    """The batch's columns differ from the table's; only a full refresh may change them."""
+
+
+class TooManyPartitions(ValueError):
+    """The batch touches more partitions than an upsert lists on the driver."""
+
+
 @dataclass
 class UpsertResult:
+    """``touched_partitions``: values (tuples for several partition columns); ``rows``: rows of the batch, None if not counted."""
+
     path: str
     strategy: str
     first_run: bool
     touched_partitions: list
     emptied_partitions: list
+    rows: int | None = None
 
 
 def _cols(keys) -> list[str]:
@@ -116,29 +135,78 @@ def full_refresh(spark: SparkSession, df: DataFrame, path: str, partition_by=Non
     return UpsertResult(path, "full_refresh", True, [], [])
 
 
-def _delete_partitions(spark: SparkSession, path: str, part: str, values) -> None:
-    """Remove the directories of the given partition values (found by listing, so the
-    directory-name escaping is Spark's own)."""
+def _delete_partitions(spark: SparkSession, path: str, columns: list[str], values) -> None:
+    """Remove the directories of the given partition values (found by listing level by level, so
+    the directory-name escaping is Spark's own)."""
     from urllib.parse import unquote
 
-    wanted = {str(v) for v in values}
+    wanted = [tuple(NULL_DIRECTORY if x is None else str(x) for x in v) for v in values]
     if not wanted:
         return
-    fs, p = hadoop_fs(spark, path)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{part}=") and unquote(name.split("=", 1)[1]) in wanted:
-            fs.delete(st.getPath(), True)
+    fs, root = hadoop_fs(spark, path)
+    level = [(root, ())]
+    for i, column in enumerate(columns):
+        heads, below = {w[: i + 1] for w in wanted}, []
+        for folder, so_far in level:
+            for st in fs.listStatus(folder):
+                name = st.getPath().getName()
+                if st.isDirectory() and name.startswith(f"{column}="):
+                    value = (*so_far, unquote(name.split("=", 1)[1]))
+                    if value in heads:
+                        below.append((st.getPath(), value))
+        level = below
+    for folder, _ in level:
+        fs.delete(folder, True)
+
+
+def _in_partitions(columns: list[str], values: list[tuple]) -> Column:
+    """Rows of the given partitions; literals, so the scan prunes directories."""
+    if len(columns) == 1:
+        c = F.col(f"`{columns[0]}`")
+        some = [v[0] for v in values if v[0] is not None]
+        cond = isin(c, some) if some else F.lit(False)
+        return cond | c.isNull() if len(some) < len(values) else cond
+    by_first: dict = {}
+    for first, *rest in values:
+        by_first.setdefault(first, []).append(tuple(rest))
+    cond = F.lit(False)
+    for first, rest in by_first.items():
+        cond = cond | (_in_partitions(columns[:1], [(first,)]) & _in_partitions(columns[1:], rest))
+    return cond
 
 
-def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key, partition_by: str | None = None,
+def check_schema(spark: SparkSession, path: str, batch: DataFrame, partition_by: list[str]) -> None:
+    """Raise unless the stored table has the batch's columns (names, and types outside the partition columns)."""
+    try:
+        stored = spark.read.parquet(path).schema
+    except Exception as e:  # a table without files has no columns to compare
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return
+        raise
+    have = {f.name: None if f.name in partition_by else f.dataType.simpleString() for f in stored.fields}
+    want = {f.name: None if f.name in partition_by else f.dataType.simpleString() for f in batch.schema.fields}
+    if have != want:
+        changed = sorted(c for c in have.keys() | want.keys() if have.get(c, "-") != want.get(c, "-"))
+        raise SchemaChanged(f"columns {changed} differ between the batch and {path}; run a full refresh")
+
+
+def _order(values) -> list:
+    return sorted(values, key=lambda v: tuple((x is None, x) for x in v))
+
+
+def _plain(columns: list[str], values: list[tuple]) -> list:
+    """Partition values as callers see them: bare for one column."""
+    return [v[0] for v in values] if len(columns) == 1 else list(values)
+
+
+def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key, partition_by: str | list[str] | None = None,
                   target_predicate: Column | None = None, strategy: str = "delete+insert",
                   rebalance: bool = True) -> UpsertResult:
     """K3: delete target rows whose key is in the batch, insert the whole batch.
 
-    ``target_predicate`` (K8) limits which target rows may be deleted; rows outside it are
-    kept even when their key is in the batch (so duplicates can remain, as documented).
-    The batch is not de-duplicated (use :func:`dedupe_latest` first if needed).
+    ``target_predicate`` (K8) limits which target rows are looked at and may be deleted; rows
+    outside it are kept even when their key is in the batch (so duplicates can remain, as
+    documented). The batch is not de-duplicated (use :func:`dedupe_latest` first if needed).
     """
     ensure_conf(spark)
     # The batch is used up to three times (partition stats, old-key lookup, write): keep it
@@ -152,59 +220,93 @@ def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key,
 
 def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy,
                    rebalance=True) -> UpsertResult:
-    keys = _cols(unique_key)
+    keys, parts = _cols(unique_key), _cols(partition_by) if partition_by else []
     exists = path_exists(spark, path)
+    if exists:
+        check_schema(spark, path, batch, parts)
     # Read the target with the batch's schema: an existing table may hold no files at all.
     target = spark.read.schema(batch.schema).parquet(path) if exists else None
     key_df = batch.select(*[F.col(f"`{c}`") for c in keys])
 
-    if partition_by is None:
-        assert_no_null_keys(batch, keys)
+    if not parts:
+        counts = batch.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(null_key_rows(batch, keys), 1)).alias("bad")).first()
+        if counts["bad"]:
+            raise UniqueKeyViolation(f"batch has NULL values in unique key {keys}")
         if target is None:
             write_table(batch, path)
-            return UpsertResult(path, strategy, True, [], [])
+            return UpsertResult(path, strategy, True, [], [], counts["n"])
         new = _kept(target, key_df, keys, target_predicate).unionByName(batch)
-        tmp = f"{path}.__new-{uuid.uuid4().hex[:8]}"
-        write_table(new, tmp)
-        _swap_in(spark, tmp, path)
-        return UpsertResult(path, strategy, False, [], [])
+        _rewrite(spark, new, path)
+        return UpsertResult(path, strategy, False, [], [], counts["n"])
 
-    part = partition_by
     # One job answers three questions: which partitions the batch writes, whether it has NULL
-    # keys, and -- only when the key lacks the partition column, so an old row of a batch key
+    # keys, and -- only when the key lacks a partition column, so an old row of a batch key
     # may sit in another partition -- which partitions hold old rows of the batch keys.
-    marks = batch.select(F.col(part).alias("_p"), F.when(null_key_rows(batch, keys), 1).otherwise(0).alias("_null"),
-                         F.lit(1).alias("_batch"))
-    if target is not None and part not in keys:
-        old = target.join(key_df, keys, "left_semi")
-        if target_predicate is not None:
-            old = old.where(F.coalesce(target_predicate, F.lit(False)))
-        marks = marks.unionByName(old.select(F.col(part).alias("_p"), F.lit(0).alias("_null"),
-                                             F.lit(0).alias("_batch")))
-    stats = marks.groupBy("_p").agg(F.sum("_null").alias("null_keys"), F.max("_batch").alias("in_batch")).collect()
+    values = [F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(parts)]
+    marks = batch.select(*values, F.when(null_key_rows(batch, keys), 1).otherwise(0).alias("_null"), F.lit(1).alias("_batch"))
+    if target is not None and not set(parts) <= set(keys):
+        seen = target if target_predicate is None else target.where(target_predicate)
+        old = seen.join(key_df, keys, "left_semi")
+        marks = marks.unionByName(old.select(*values, F.lit(0).alias("_null"), F.lit(0).alias("_batch")))
+    stats = (marks.groupBy(*[f"_p{i}" for i in range(len(parts))])
+             .agg(F.sum("_null").alias("null_keys"), F.sum("_batch").alias("n")).limit(MAX_PARTITIONS + 1).collect())
+    if len(stats) > MAX_PARTITIONS:
+        raise TooManyPartitions(f"the batch touches more than {MAX_PARTITIONS} partitions of {path}")
     if any(r["null_keys"] for r in stats):
         raise UniqueKeyViolation(f"batch has NULL values in unique key {keys}")
-    batch_parts = {r["_p"] for r in stats if r["in_batch"]}
+    by_value = {tuple(r[f"_p{i}"] for i in range(len(parts))): r["n"] for r in stats}
+    if any(n and None in v for v, n in by_value.items()):
+        raise UniqueKeyViolation(f"batch has NULL values in partition columns {parts}")
+    rows, touched = sum(by_value.values()), _order(by_value)
     if target is None:
-        write_table(batch, path, part, rebalance=rebalance)
-        return UpsertResult(path, strategy, True, sorted(batch_parts), [])
+        write_table(batch, path, parts, rebalance=rebalance)
+        return UpsertResult(path, strategy, True, _plain(parts, touched), [], rows)
 
-    touched = sorted(r["_p"] for r in stats)
-    candidates = sorted(r["_p"] for r in stats if not r["in_batch"])   # old rows only, nothing new
-    scope = target.where(isin(F.col(part), touched)) if touched else target.limit(0)
+    candidates = _order(v for v, n in by_value.items() if not n)   # old rows only, nothing new
+    scope = target.where(_in_partitions(parts, touched)) if touched else target.limit(0)
     kept = _kept(scope, key_df, keys, target_predicate)
 
     emptied: list = []
     if candidates:
-        alive = {r[0] for r in kept.where(isin(F.col(part), candidates)).select(part).distinct().collect()}
-        emptied = [p for p in candidates if p not in alive]
+        alive = {tuple(r) for r in kept.where(_in_partitions(parts, candidates)).select(*[F.col(f"`{c}`") for c in parts]).distinct().collect()}
+        emptied = [v for v in candidates if v not in alive]
 
     new = kept.unionByName(batch)
     # Dynamic overwrite replaces exactly the partitions present in `new`.
-    ((balanced(new, part) if rebalance else new).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
-    _delete_partitions(spark, path, part, emptied)
-    return UpsertResult(path, strategy, False, touched, emptied)
+    ((balanced(new, parts) if rebalance else new).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    _delete_partitions(spark, path, parts, emptied)
+    return UpsertResult(path, strategy, False, _plain(parts, touched), _plain(parts, emptied), rows)
+
+
+def _rewrite(spark: SparkSession, df: DataFrame, path: str) -> None:
+    tmp = f"{path}.__new-{uuid.uuid4().hex[:8]}"
+    write_table(df, tmp)
+    _swap_in(spark, tmp, path)
+
+
+def replace_where(spark: SparkSession, batch: DataFrame, path: str, predicate: Column) -> UpsertResult:
+    """Replace all rows of an unpartitioned table for which ``predicate`` holds by the batch.
+
+    Rows that vanished are removed even if the batch has nothing in their place. Every row of the
+    batch must satisfy the predicate.
+    """
+    ensure_conf(spark)
+    inside = F.coalesce(predicate, F.lit(False))
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = batch.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~inside, 1)).alias("bad")).first()
+        if counts["bad"]:
+            raise ValueError(f"{counts['bad']} rows of the batch lie outside the replaced range")
+        first = not path_exists(spark, path)
+        if first:
+            write_table(batch, path)
+        else:
+            check_schema(spark, path, batch, [])
+            _rewrite(spark, spark.read.schema(batch.schema).parquet(path).where(~inside).unionByName(batch), path)
+        return UpsertResult(path, "replace", first, [], [], counts["n"])
+    finally:
+        batch.unpersist()
 
 
 def _kept(scope: DataFrame, key_df: DataFrame, keys: list[str], target_predicate: Column | None) -> DataFrame:
@@ -213,11 +315,11 @@ def _kept(scope: DataFrame, key_df: DataFrame, keys: list[str], target_predicate
     p = F.coalesce(target_predicate, F.lit(False))
     cols = scope.columns
     outside = scope.where(~p)
-    inside = scope.where(p).join(key_df, keys, "left_anti").select(*cols)
+    inside = scope.where(p).join(key_df, keys, "left_anti").select(*[F.col(f"`{c}`") for c in cols])
     return outside.unionByName(inside)
 
 
-def merge(spark: SparkSession, batch: DataFrame, path: str, unique_key, partition_by: str | None = None,
+def merge(spark: SparkSession, batch: DataFrame, path: str, unique_key, partition_by: str | list[str] | None = None,
           target_predicate: Column | None = None, rebalance: bool = True) -> UpsertResult:
     """K4: update-or-insert by key. Requires unique batch keys; then equal to delete+insert."""
     ensure_conf(spark)
@@ -246,7 +348,7 @@ def dedupe_latest(df: DataFrame, unique_key, order_by: str | list[str]) -> DataF
     return agg.select(*[F.col(f"`{c}`") for c in keys], *named).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def append(spark: SparkSession, batch: DataFrame, path: str, unique_key=None, partition_by: str | None = None,
+def append(spark: SparkSession, batch: DataFrame, path: str, unique_key=None, partition_by: str | list[str] | None = None,
            dedupe_order_by=None, skip_existing: bool = False) -> UpsertResult:
     """K5: append only. Optionally de-duplicate the batch (W1) and skip keys already stored."""
     ensure_conf(spark)
@@ -260,52 +362,55 @@ def append(spark: SparkSession, batch: DataFrame, path: str, unique_key=None, pa
     return UpsertResult(path, "append", first, [], [])
 
 
-def file_counts(spark: SparkSession, path: str, partition_by: str) -> dict[str, tuple[int, int]]:
-    """Files and bytes per partition directory (file-system metadata only)."""
-    fs, p = hadoop_fs(spark, path)
-    out: dict[str, tuple[int, int]] = {}
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        fp = st.getPath()
-        name = fp.getName()
-        if not name.endswith(".parquet"):
-            continue
-        parent = fp.getParent().getName()
-        if not parent.startswith(f"{partition_by}="):
-            continue
-        n, b = out.get(parent, (0, 0))
-        out[parent] = (n + 1, b + st.getLen())
-    return out
-
-
-def compact(spark: SparkSession, path: str, partition_by: str, max_files: int = 4,
+def file_counts(spark: SparkSession, path: str, partition_by: str | list[str]) -> DataFrame:
+    """``directory, files, bytes`` of every partition directory (metadata only, listed by Spark's own file source)."""
+    columns = _cols(partition_by)
+    pattern = "((?:/[^/]+=[^/]*){%d})/[^/]+$" % len(columns)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(path).select("path", "length"))
+    return (files.select(F.regexp_extract("path", pattern, 1).alias("directory"), "length")
+            .where(F.col("directory").startswith(f"/{columns[0]}="))
+            .groupBy("directory").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
+
+
+def compact(spark: SparkSession, path: str, partition_by: str | list[str], max_files: int = 4,
             target_file_bytes: int = 128 * 1024 * 1024) -> list[str]:
-    """K9: rewrite partitions holding more than ``max_files`` files into ~target-sized files.
+    """K9: rewrite fragmented partitions into files of about ``target_file_bytes``.
 
-    Uses the AQE ``rebalance`` hint keyed by the partition column: AQE splits or merges the
-    shuffle partitions to the advisory size, so each partition ends as few, full files.
-    Returns the rewritten partition directory names.
+    A partition is fragmented if it has more than ``max_files`` files and more than its bytes
+    need. Its rows are dealt by hash to just as many tasks as it needs files, so a second call
+    finds nothing to do. Returns the rewritten partition directories.
     """
     from urllib.parse import unquote
 
+    columns = _cols(partition_by)
     ensure_conf(spark)
-    counts = file_counts(spark, path, partition_by)
-    chosen = sorted(d for d, (n, _) in counts.items() if n > max_files)
+    need = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_file_bytes)).cast("int")
+    chosen = (file_counts(spark, path, columns).withColumn("need", need)
+              .where((F.col("files") > max_files) & (F.col("files") > F.col("need"))).limit(MAX_PARTITIONS).collect())
     if not chosen:
         return []
     target = spark.read.parquet(path)
-    dtype = dict(target.dtypes)[partition_by]
-    values = [F.lit(unquote(d.split("=", 1)[1])).cast(dtype) for d in chosen]
-    part = target.where(F.col(partition_by).isin(values))
-    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_file_bytes))
-    try:
-        (part.hint("rebalance", partition_by).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
-    finally:
-        if prev is None:
-            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-        else:
-            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
-    return chosen
+    dtypes = dict(target.dtypes)
+    plan = {}
+    for r in chosen:
+        names = [unquote(x.split("=", 1)[1]) for x in r["directory"].strip("/").split("/")]
+        plan[tuple(None if n == NULL_DIRECTORY else n for n in names)] = r["need"]
+    values = list(plan)
+    wanted = spark.createDataFrame([(*v, n) for v, n in plan.items()], ", ".join([*(f"_p{i} string" for i in range(len(columns))), "_need int"]))
+    typed = [[F.lit(v).cast(dtypes[c]) if v is not None else None for v, c in zip(vs, columns)] for vs in values]
+    cond = F.lit(False)
+    for vs in typed:
+        one = F.lit(True)
+        for v, c in zip(vs, columns):
+            one = one & (F.col(f"`{c}`").isNull() if v is None else F.col(f"`{c}`") == v)
+        cond = cond | one
+    rows = target.where(cond)
+    dealt = rows.join(F.broadcast(wanted), [F.col(f"`{c}`").cast("string").eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(columns)])
+    plain = [F.col(f"`{c}`") for c, t in dtypes.items() if "map<" not in t and c not in columns]
+    dealt = dealt.withColumn("_file", F.pmod(F.xxhash64(*plain), F.col("_need")))
+    n = sum(plan.values())
+    (dealt.repartition(n, *[F.col(f"`{c}`") for c in columns], F.col("_file"))
+     .select(*[F.col(f"`{c}`") for c in target.columns]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path))
+    return sorted(r["directory"].strip("/") for r in chosen)

@@ -11,10 +11,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from codetrail import schemas
-from codetrail.functions.windows import Floors, metric_window, tx_window
+from codetrail.functions.windows import Floors, metric_window, target_bound, tx_window
 from codetrail.operators import attribution, metrics, upsert
 from codetrail.sources.catalog import read_table
 from codetrail.session import ensure_conf, path_exists
@@ -41,57 +41,78 @@ STRATEGIES = {"delete+insert": upsert.delete_insert, "merge": upsert.merge}
 
 
 def _materialize(spark, df, target, key, partition_by, incremental, strategy="delete+insert",
-                 rebalance=True) -> upsert.UpsertResult:
+                 rebalance=True, target_predicate: Column | None = None) -> upsert.UpsertResult:
     if incremental:
-        return STRATEGIES[strategy](spark, df, target, key, partition_by, rebalance=rebalance)
+        # rows of one date come out of many tasks once the anti join shuffles: always rebalance
+        return STRATEGIES[strategy](spark, df, target, key, partition_by, target_predicate=target_predicate)
     return upsert.full_refresh(spark, df, target, partition_by, rebalance=rebalance)
 
 
+def _bound(as_of, target_days, target_predicate, date_col) -> Column | None:
+    return target_predicate if target_predicate is not None else target_bound(as_of, target_days, date_col)
+
+
+def _key(key: list[str], partition: str, date_in_key: bool) -> list[str]:
+    return [*key, partition] if date_in_key and partition not in key else key
+
+
 def run_transactions(spark: SparkSession, tx: DataFrame, target: str, as_of: dt.datetime | None = None,
-                     floors: Floors = Floors(), full_refresh: bool = False) -> upsert.UpsertResult:
+                     floors: Floors = Floors(), full_refresh: bool = False, target_days: int | None = None,
+                     target_predicate: Column | None = None, date_in_key: bool = False) -> upsert.UpsertResult:
+    """An incremental run looks for old rows of its keys in the whole table (exact) unless it is bounded:
+    ``target_days`` looks at the last days only (partition pruning), ``target_predicate`` at any
+    part, ``date_in_key=True`` at the batch's own dates. An old row outside the bound is then not
+    replaced, so a bound must cover how far back a key's date can move."""
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
     df = attribution.attribute_transactions(tx, floors, tx_window(as_of) if inc else None)
-    # Map-only over a source partitioned by the same date: every task already writes one date,
-    # so no rebalance shuffle of the largest table (model 2 and 3 outputs come out of shuffles).
-    return _materialize(spark, df, target, schemas.TX_KEY, schemas.TX_PARTITION, inc, rebalance=False)
+    # First run: map-only over a source partitioned by the same date, every task already writes one
+    # date, so no rebalance shuffle of the largest table (models 2 and 3 come out of shuffles).
+    return _materialize(spark, df, target, _key(schemas.TX_KEY, schemas.TX_PARTITION, date_in_key), schemas.TX_PARTITION, inc,
+                        rebalance=False, target_predicate=_bound(as_of, target_days, target_predicate, schemas.TX_PARTITION))
 
 
 def run_transfers(spark: SparkSession, tr: DataFrame, tx_attributed_path: str, target: str,
                   as_of: dt.datetime | None = None, chain: str = "celo", floors: Floors = Floors(),
-                  full_refresh: bool = False, tagged_only: bool = False,
-                  strategy: str = "delete+insert") -> upsert.UpsertResult:
+                  full_refresh: bool = False, tagged_only: bool = False, strategy: str = "delete+insert",
+                  target_days: int | None = None, target_predicate: Column | None = None,
+                  date_in_key: bool = False) -> upsert.UpsertResult:
+    """Bounds as in :func:`run_transactions`."""
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
     w = tx_window(as_of) if inc else None
     ta = read_table(spark, tx_attributed_path, schemas.TX_ATTRIBUTED)
     keys = attribution.attribution_keys(ta, floors, w, tagged_only=tagged_only)
     df = attribution.attribute_transfers(attribution.select_transfers(tr, chain, floors, w), keys)
-    return _materialize(spark, df, target, schemas.TRANSFER_KEY, schemas.TRANSFER_PARTITION, inc, strategy)
+    return _materialize(spark, df, target, _key(schemas.TRANSFER_KEY, schemas.TRANSFER_PARTITION, date_in_key),
+                        schemas.TRANSFER_PARTITION, inc, strategy,
+                        target_predicate=_bound(as_of, target_days, target_predicate, schemas.TRANSFER_PARTITION))
 
 
 def run_daily(spark: SparkSession, prices: DataFrame, tx_attributed_path: str, transfers_attributed_path: str,
               target: str, as_of: dt.datetime | None = None, chain: str = "celo", floors: Floors = Floors(),
               full_refresh: bool = False, replace_days: bool = False) -> upsert.UpsertResult:
-    """``replace_days=True`` replaces whole days (so a (day, code) that vanished upstream is
-    removed); the default keys on (day, builder_code) like the reference."""
+    """``replace_days=True`` replaces all days of the window, so a (day, code) or a whole day that
+    vanished upstream is removed; the default keys on (day, builder_code) like the reference."""
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
     ta = read_table(spark, tx_attributed_path, schemas.TX_ATTRIBUTED)
     tra = read_table(spark, transfers_attributed_path, schemas.TRANSFERS_ATTRIBUTED)
-    df = metrics.daily_metrics(tra, ta, prices, chain, floors, metric_window(as_of) if inc else None)
-    key = ["day"] if replace_days else schemas.DAILY_KEY
+    window = metric_window(as_of) if inc else None
+    df = metrics.daily_metrics(tra, ta, prices, chain, floors, window)
+    if window is not None and replace_days:
+        return upsert.replace_where(spark, df, target, window.ts_pred("day"))
     # Small table (days x codes): unpartitioned, rewritten whole and swapped in.
-    return _materialize(spark, df, target, key, None, inc)
+    return _materialize(spark, df, target, schemas.DAILY_KEY, None, inc)
 
 
 def run_all(spark: SparkSession, tx: DataFrame, tr: DataFrame, prices: DataFrame, paths: ModelPaths,
             as_of: dt.datetime | None = None, chain: str = "celo", floors: Floors = Floors(),
-            full_refresh: bool = False) -> dict[str, upsert.UpsertResult]:
+            full_refresh: bool = False, target_days: int | None = None, replace_days: bool = False) -> dict[str, upsert.UpsertResult]:
     """The DAG in dependency order: transactions -> transfers -> daily metric."""
-    r1 = run_transactions(spark, tx, paths.transactions_attributed, as_of, floors, full_refresh)
+    r1 = run_transactions(spark, tx, paths.transactions_attributed, as_of, floors, full_refresh, target_days)
     r2 = run_transfers(spark, tr, paths.transactions_attributed, paths.transfers_attributed, as_of, chain, floors,
-                       full_refresh)
+                       full_refresh, target_days=target_days)
     r3 = run_daily(spark, prices, paths.transactions_attributed, paths.transfers_attributed, paths.daily_metric,
-                   as_of, chain, floors, full_refresh)
+                   as_of, chain, floors, full_refresh, replace_days)
     return {"transactions_attributed": r1, "transfers_attributed": r2, "buildercode_daily_metric": r3}

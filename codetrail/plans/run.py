@@ -8,7 +8,10 @@
 ``--select`` takes model names; ``+name`` adds its upstream models, ``name+`` its downstream
 models (the three models form a chain). ``--as-of`` is the run instant used by the look-back
 windows (defaults to the current UTC time). ``--test`` runs the declared rules of the selected
-models and fails the job when any rule has failing rows.
+models and fails the job when any rule has failing rows. ``--target-days`` bounds how far back an
+incremental run looks for old rows of its keys. Fragmented partitions are compacted after the
+writes (``--no-compact`` leaves them), and ``--export-root`` exports the tables of the run;
+``--export-start``, ``--export-end`` and ``--export-full`` ask for a manual window or re-sync.
 """
 
 from __future__ import annotations
@@ -20,10 +23,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from codetrail import schemas
-from codetrail.functions.windows import Floors
-from codetrail.operators import quality
+from codetrail.functions.windows import Floors, tx_window, utc_naive
+from codetrail.operators import export, quality, upsert
 from codetrail.plans import models
-from codetrail.session import shuffle_partitions_for
+from codetrail.session import TIME_ZONE, input_bytes, shuffle_partitions_for
 from codetrail.sources import catalog as C
 
 ORDER = ["transactions_attributed", "transfers_attributed", "buildercode_daily_metric"]
@@ -53,16 +56,17 @@ def select_models(spec: list[str] | None) -> list[str]:
 
 def run(spark: SparkSession, cat: C.SourceCatalog, paths: models.ModelPaths, selected: list[str],
         as_of: dt.datetime | None, full_refresh: bool = False, chain: str = "celo", floors: Floors = Floors(),
-        replace_days: bool = False):
+        replace_days: bool = False, target_days: int | None = None):
     results = {}
     if "transactions_attributed" in selected:
         tx = cat.read(spark, *C.TRANSACTIONS)
         results["transactions_attributed"] = models.run_transactions(
-            spark, tx, paths.transactions_attributed, as_of, floors, full_refresh)
+            spark, tx, paths.transactions_attributed, as_of, floors, full_refresh, target_days)
     if "transfers_attributed" in selected:
         tr = cat.read(spark, *C.TRANSFERS)
         results["transfers_attributed"] = models.run_transfers(
-            spark, tr, paths.transactions_attributed, paths.transfers_attributed, as_of, chain, floors, full_refresh)
+            spark, tr, paths.transactions_attributed, paths.transfers_attributed, as_of, chain, floors, full_refresh,
+            target_days=target_days)
     if "buildercode_daily_metric" in selected:
         pr = cat.read(spark, *C.PRICES)
         results["buildercode_daily_metric"] = models.run_daily(
@@ -71,6 +75,30 @@ def run(spark: SparkSession, cat: C.SourceCatalog, paths: models.ModelPaths, sel
     return results
 
 
+def read_sizes(spark: SparkSession, cat: C.SourceCatalog, paths: models.ModelPaths, as_of: dt.datetime | None,
+               full_refresh: bool = False) -> list[int]:
+    """Bytes of the two large sources that the run will read, for sizing its shuffles."""
+    w = tx_window(as_of) if models.is_incremental(spark, paths.transactions_attributed, full_refresh) else None
+    since = None if w is None else w.date_bound
+    return [input_bytes(spark, cat.path(*source), "block_date", since) for source in (C.TRANSACTIONS, C.TRANSFERS)]
+
+
+def compact(spark: SparkSession, paths: models.ModelPaths, results: dict) -> dict[str, list[str]]:
+    """After the writes: compact the partitioned tables that this run wrote."""
+    tables = {"transactions_attributed": (paths.transactions_attributed, schemas.TX_PARTITION),
+              "transfers_attributed": (paths.transfers_attributed, schemas.TRANSFER_PARTITION)}
+    return {m: upsert.compact(spark, *tables[m]) for m in results if m in tables}
+
+
+def exported(paths: models.ModelPaths, selected: list[str], days: int = 1) -> list[export.ExportedModel]:
+    """The two attributed tables as exports: an incremental run sends the last ``days`` days."""
+    meta = {"export": {"enabled": True, "time_column": "block_time",
+                       "time_start_incremental": lambda as_of: as_of - dt.timedelta(days=days)}}
+    all_ = [export.ExportedModel("transactions_attributed", paths.transactions_attributed, schemas.TX_KEY, meta, partition_by=schemas.TX_PARTITION),
+            export.ExportedModel("transfers_attributed", paths.transfers_attributed, schemas.TRANSFER_KEY, meta, partition_by=schemas.TRANSFER_PARTITION)]
+    return [m for m in all_ if m.table in selected]
+
+
 def test(spark: SparkSession, paths: models.ModelPaths, selected: list[str]):
     """Declared rules of the selected models; returns the failing ones as rows."""
     where = {"transactions_attributed": (paths.transactions_attributed, schemas.TX_ATTRIBUTED),
@@ -85,7 +113,7 @@ def test(spark: SparkSession, paths: models.ModelPaths, selected: list[str]):
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("--sources", required=True, help="root of the source catalog")
-    ap.add_argument("--database", default="delta_prod")
+    ap.add_argument("--database", default="main", help="folder of the catalog that holds the sources")
     ap.add_argument("--target", required=True, help="root folder of the model tables")
     ap.add_argument("--as-of", default=None, help="run instant, ISO format, UTC")
     ap.add_argument("--select", nargs="*")
@@ -97,22 +125,25 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--price-floor", default=None, help="historical start instant of prices")
     ap.add_argument("--replace-days", action="store_true",
                     help="daily metric: replace whole recomputed days (drops codes that vanished upstream)")
+    ap.add_argument("--target-days", type=int, default=None,
+                    help="incremental runs look for old rows in the last so many days only (default: the whole table, exact)")
+    ap.add_argument("--no-compact", action="store_true", help="leave fragmented partitions as they are")
+    ap.add_argument("--export-root", default=None, help="export the tables of the run under this folder")
+    ap.add_argument("--export-start", default=None, help="manual export window, ISO instants")
+    ap.add_argument("--export-end", default=None)
+    ap.add_argument("--export-full", action="store_true", help="export afresh instead of merging")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
-                    help="default: sized from the source files, ~256 MB of input per partition")
+                    help="default: sized from what the run reads, ~256 MB per partition")
     args = ap.parse_args(argv)
 
     spark = (SparkSession.builder.appName("codetrail-models")
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+             .config(TIME_ZONE, "UTC")
              .getOrCreate())
     cat = C.SourceCatalog(args.sources, args.database)
-    if args.shuffle_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
-    else:
-        sources = [cat.path(*C.TRANSACTIONS), cat.path(*C.TRANSFERS), cat.path(*C.PRICES)]
-        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(spark, sources)))
-    as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc).replace(
-        tzinfo=None)
+    instant = lambda x: utc_naive(dt.datetime.fromisoformat(x)) if x else None
+    as_of = instant(args.as_of) or utc_naive(dt.datetime.now(dt.timezone.utc))
     selected = select_models(args.select)
     paths = models.ModelPaths.under(args.target)
     d = Floors()
@@ -121,7 +152,15 @@ def main(argv: list[str] | None = None) -> int:
         dt.datetime.fromisoformat(args.floor_time) if args.floor_time else d.time,
         dt.datetime.fromisoformat(args.price_floor) if args.price_floor else d.price_time,
     )
-    run(spark, cat, paths, selected, as_of, args.full_refresh, args.chain, floors, args.replace_days)
+    partitions = args.shuffle_partitions or shuffle_partitions_for(
+        spark, read_sizes(spark, cat, paths, as_of, args.full_refresh))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    results = run(spark, cat, paths, selected, as_of, args.full_refresh, args.chain, floors, args.replace_days, args.target_days)
+    if not args.no_compact:
+        compact(spark, paths, results)
+    if args.export_root:
+        export.sync_models(spark, exported(paths, selected), args.export_root, as_of, not args.full_refresh,
+                           True if args.export_full else None, instant(args.export_start), instant(args.export_end))
     if args.test:
         bad = test(spark, paths, selected)
         for r in bad:

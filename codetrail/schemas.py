@@ -95,7 +95,6 @@ DAILY_KEY = ["day", "builder_code"]
 # Partition columns chosen for the written tables.
 TX_PARTITION = "block_date"
 TRANSFER_PARTITION = "block_date"
-DAILY_PARTITION = "day"
 
 # Output schemas: tables are always read back with these, so an empty table (a partitioned
 # write of zero rows leaves no files) reads as empty instead of failing schema inference.

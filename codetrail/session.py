@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the models assume. UTC mirrors the reference profile's session time zone;
-# dynamic partition overwrite is what the keyed upsert writes with.
-REQUIRED_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-}
+# The models' days are UTC days.
+TIME_ZONE = "spark.sql.session.timeZone"
+UTC_NAMES = {"UTC", "Etc/UTC", "Z", "Zulu", "Etc/Zulu", "UCT", "Etc/UCT", "Universal", "Etc/Universal", "GMT", "Etc/GMT", "+00:00"}
 
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -33,7 +31,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
                   extra: dict | None = None) -> SparkSession:
     """Session for tests and local runs. On a cluster the launcher owns the session."""
     b = SparkSession.builder.master(master).appName(app)
-    conf = {**RECOMMENDED_CONF, **REQUIRED_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions)}
+    conf = {**RECOMMENDED_CONF, TIME_ZONE: "UTC", "spark.sql.shuffle.partitions": str(shuffle_partitions)}
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -42,29 +40,38 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+class WrongTimeZone(RuntimeError):
+    """The session's time zone is not UTC, so its days are not the models' days."""
+
+
 def ensure_conf(spark: SparkSession) -> SparkSession:
-    """Apply the session settings the operators need (UTC day boundaries, dynamic overwrite).
+    """Check what the operators need of the session (UTC day boundaries); the session is left as it is."""
+    zone = spark.conf.get(TIME_ZONE)
+    if zone not in UTC_NAMES:
+        raise WrongTimeZone(f"{TIME_ZONE} is {zone!r}; set it to UTC")
+    return spark
 
-    Called by every model operator and reader; two cheap conf reads when nothing changed.
-    """
-    for k, v in REQUIRED_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
+
+def use_utc(spark: SparkSession) -> SparkSession:
+    """For applications: put the session into UTC."""
+    if spark.conf.get(TIME_ZONE) not in UTC_NAMES:
+        spark.conf.set(TIME_ZONE, "UTC")
     return spark
 
 
-_ROOTS: dict[int, str] = {}
+_ROOTS: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the SparkContext checkpoint dir).
-    Only when neither is set -- local tests -- a private folder is created and registered.
-    The answer is fixed per SparkContext, so every caller sees the same folder.
+    Only when neither is set and the master is ``local`` -- tests -- a private folder is created
+    and registered; on a cluster that folder would be another one on every machine, so it is
+    refused. The answer is fixed per SparkContext, so every caller sees the same folder.
     """
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _ROOTS:
         return _ROOTS[key]
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -74,6 +81,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - older API
             root = None
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {sc.master} share")
         # spark.checkpoint.dir is a core setting and cannot be changed at run time; the
         # SparkContext checkpoint dir can.
         root = tempfile.mkdtemp(prefix="codetrail-ckpt-")
@@ -100,23 +109,24 @@ def hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def input_bytes(spark: SparkSession, paths) -> int:
-    """Total size of the files under ``paths`` (file-system metadata only)."""
-    total = 0
-    for path in paths:
-        fs, p = hadoop_fs(spark, path)
-        if fs.exists(p):
-            total += int(fs.getContentSummary(p).getLength())
-    return total
+def input_bytes(spark: SparkSession, path: str, column: str | None = None, since=None) -> int:
+    """Bytes of a table's files (file-system metadata only); with ``since``, of its partitions
+    ``column=value`` from that value on."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return 0
+    if since is not None:
+        days = [st.getPath() for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith(f"{column}=")]
+        if days:
+            return sum(int(fs.getContentSummary(x).getLength()) for x in days if x.getName() >= f"{column}={since}")
+    return int(fs.getContentSummary(p).getLength())
 
 
-def shuffle_partitions_for(spark: SparkSession, paths, bytes_per_partition: int = 256 * 1024 * 1024,
-                           cap: int = 100_000) -> int:
-    """Shuffle partitions so that each holds about ``bytes_per_partition`` of input.
+def shuffle_partitions_for(spark: SparkSession, sizes, bytes_per_partition: int = 256 * 1024 * 1024) -> int:
+    """Shuffle partitions so that each holds about ``bytes_per_partition`` of what a run reads.
 
-    Sized on the input rather than left at a fixed number, so a full refresh over the whole
-    history does not spill while an hourly run stays small (AQE coalesces what is too small).
+    ``sizes``: bytes of the sources inside the run's window, so an hourly run does not get the
+    partitions of the whole history. There is no upper limit; AQE coalesces what is too small.
     """
     floor = 2 * spark.sparkContext.defaultParallelism
-    need = -(-input_bytes(spark, paths) // bytes_per_partition)
-    return int(min(cap, max(floor, need)))
+    return int(max(floor, -(-sum(sizes) // bytes_per_partition)))

@@ -33,7 +33,7 @@ class SourceCatalog:
     """Maps (source, table) to a location: ``{root}/{database}/{source}/{table}`` unless pinned."""
 
     root: str
-    database: str = "delta_prod"
+    database: str = "main"
     pinned: dict[tuple[str, str], str] = field(default_factory=dict)
     fmt: str = "parquet"
 

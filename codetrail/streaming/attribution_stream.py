@@ -4,24 +4,28 @@
   delete+insert per micro-batch. The upsert is idempotent, so a micro-batch replayed after
   a failure (same batch id, same files) leaves the same table: exactly-once results with
   the checkpoint in the shared folder.
-* ``dedup_delay`` (T6): ``withWatermark(block_time).dropDuplicatesWithinWatermark(hash)``
-  drops re-delivered transactions while state is bounded by the lateness tolerance.
+* ``dedup=True`` (T6): transactions delivered twice in one micro-batch are dropped inside it,
+  after the filters; one delivered again later, however late, meets its old row in the keyed
+  upsert. No state is kept and no row is ever too late. ``target_days`` bounds how far back the
+  upsert looks for old rows.
 * :func:`start_daily_stream` (T7): exact ``COUNT(DISTINCT)`` is not available on streams, so
   each micro-batch recomputes the *days it touched* from the written tables -- transfers of
   those days re-attributed against transactions of the same days (a transfer shares its
   transaction's block and so its ``block_date``), then the daily metric of those days --
-  and replaces those days. The touched days come back from the upsert of the micro-batch
-  and are the only driver-side value.
+  and replaces those days, including days that became empty. Both transactions and transfers
+  that arrive touch their days. The touched days are the only driver-side value.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from codetrail.functions.literals import isin
 from pyspark.sql.streaming import StreamingQuery
 
+from codetrail.functions.literals import isin, typed_lit
+
 from codetrail import schemas
 from codetrail.functions.windows import Floors
 from codetrail.operators import attribution, metrics, upsert
@@ -30,42 +34,60 @@ from codetrail.session import ensure_conf
 from codetrail.sources.catalog import read_table
 
 
-def read_transactions_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+#: Files of one micro-batch: a backlog is taken in parts, since the batch is kept during its write.
+MAX_FILES = 1000
+
+
+def read_stream(spark: SparkSession, source_dir: str, schema, max_files_per_trigger: int | None = MAX_FILES) -> DataFrame:
     ensure_conf(spark)
-    r = spark.readStream.schema(schemas.TRANSACTIONS)
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.parquet(source_dir)
 
 
-def attributed_stream(stream: DataFrame, floors: Floors = Floors(), dedup_delay: str | None = None) -> DataFrame:
-    if dedup_delay is not None:
-        stream = stream.withWatermark("block_time", dedup_delay).dropDuplicatesWithinWatermark(["hash"])
+def read_transactions_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = MAX_FILES) -> DataFrame:
+    return read_stream(spark, source_dir, schemas.TRANSACTIONS, max_files_per_trigger)
+
+
+def attributed_stream(stream: DataFrame, floors: Floors = Floors()) -> DataFrame:
     return attribution.attribute_transactions(stream, floors, None)
 
 
-def start_transactions_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
-                              floors: Floors = Floors(), dedup_delay: str | None = None,
-                              max_files_per_trigger: int | None = None, available_now: bool = True,
-                              on_batch=None) -> StreamingQuery:
-    """Stream transactions into ``transactions_attributed`` with keyed upserts."""
-    out = attributed_stream(read_transactions_stream(spark, source_dir, max_files_per_trigger), floors, dedup_delay)
-
-    # Without dedup a micro-batch is a map-only decode of date-partitioned files: no rebalance
-    # needed before the write. The dedup shuffles by hash, so rows of many dates meet per task.
-    rebalance = dedup_delay is not None
-
-    def write_batch(bdf: DataFrame, batch_id: int) -> None:
-        result = upsert.delete_insert(bdf.sparkSession, bdf, target, schemas.TX_KEY, schemas.TX_PARTITION,
-                                      rebalance=rebalance)
-        if on_batch is not None:
-            on_batch(bdf.sparkSession, result, batch_id)
-
-    w = out.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+def _upsert_batch(rows: DataFrame, target: str, dedup: bool, as_of_days: int | None) -> upsert.UpsertResult:
+    """One micro-batch of attributed transactions into the table."""
+    if dedup:
+        rows = rows.dropDuplicates(schemas.TX_KEY)
+    predicate = None
+    if as_of_days is not None:
+        last = rows.agg(F.max("block_date")).first()[0]
+        predicate = None if last is None else F.col("block_date") >= typed_lit(last - dt.timedelta(days=as_of_days))
+    return upsert.delete_insert(rows.sparkSession, rows, target, schemas.TX_KEY, schemas.TX_PARTITION, target_predicate=predicate)
+
+
+def _start(stream: DataFrame, write_batch, checkpoint: str, available_now: bool) -> StreamingQuery:
+    w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def start_transactions_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
+                              floors: Floors = Floors(), dedup: bool = False,
+                              max_files_per_trigger: int | None = MAX_FILES, available_now: bool = True,
+                              target_days: int | None = None) -> StreamingQuery:
+    """Stream transactions into ``transactions_attributed`` with keyed upserts.
+
+    ``target_days``: old rows of a micro-batch's keys are looked for in the days up to so many
+    before its latest one; None looks at the whole table (exact).
+    """
+    out = attributed_stream(read_transactions_stream(spark, source_dir, max_files_per_trigger), floors)
+
+    def write_batch(rows: DataFrame, _: int) -> None:
+        _upsert_batch(rows, target, dedup, target_days)
+
+    return _start(out, write_batch, checkpoint, available_now)
+
+
 def recompute_days(spark: SparkSession, days: list, transfers_source: DataFrame, prices: DataFrame,
                    paths: ModelPaths, chain: str = "celo", floors: Floors = Floors()) -> None:
     """Rebuild transfers_attributed and the daily metric for ``days`` (dates) from the tables."""
@@ -80,20 +102,38 @@ def recompute_days(spark: SparkSession, days: list, transfers_source: DataFrame,
                          schemas.TRANSFER_PARTITION)
     tra = read_table(spark, paths.transfers_attributed, schemas.TRANSFERS_ATTRIBUTED).where(
         isin(F.col("block_date"), days))
-    day_prices = prices.where(isin(F.to_date("timestamp"), days))
-    dm = metrics.daily_metrics(tra, ta, day_prices, chain, floors, None)
-    # Replace whole days: keyed on day alone, so a (day, code) that vanished is removed too.
-    upsert.delete_insert(spark, dm, paths.daily_metric, ["day"], None)
+    # ranges of the timestamp, so the bound reaches the scan
+    midnights = [dt.datetime.combine(x, dt.time()) for x in days]
+    ts, in_day = F.col("timestamp"), F.lit(False)
+    for m in midnights:
+        in_day = in_day | ((ts >= typed_lit(m)) & (ts < typed_lit(m + dt.timedelta(days=1))))
+    dm = metrics.daily_metrics(tra, ta, prices.where(in_day), chain, floors, None)
+    # Replace the whole days of the list: a (day, code), or a day, that vanished is removed too.
+    upsert.replace_where(spark, dm, paths.daily_metric, isin(F.col("day"), midnights))
 
 
-def start_daily_stream(spark: SparkSession, source_dir: str, transfers_source: DataFrame, prices: DataFrame,
+def start_daily_stream(spark: SparkSession, source_dir: str, transfers_dir: str, prices: DataFrame,
                        paths: ModelPaths, checkpoint: str, chain: str = "celo", floors: Floors = Floors(),
-                       max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
-    """Transactions stream -> tx table upsert -> exact recompute of the touched days."""
-
-    def after(session: SparkSession, result: upsert.UpsertResult, batch_id: int) -> None:
-        # Touched partitions = days of the batch plus days an updated key moved away from.
-        recompute_days(session, result.touched_partitions, transfers_source, prices, paths, chain, floors)
-
-    return start_transactions_stream(spark, source_dir, paths.transactions_attributed, checkpoint, floors,
-                                     None, max_files_per_trigger, available_now, on_batch=after)
+                       max_files_per_trigger: int | None = MAX_FILES, available_now: bool = True,
+                       target_days: int | None = None) -> StreamingQuery:
+    """Transactions and transfers that arrive -> tx table upsert -> exact recompute of the touched days.
+
+    One query over both sources, so the tables have a single writer. Transfers are read again
+    from ``transfers_dir`` for the touched days, with what has arrived by then.
+    """
+    tx = read_transactions_stream(spark, source_dir, max_files_per_trigger)
+    tr = read_stream(spark, transfers_dir, schemas.TRANSFERS, max_files_per_trigger)
+    arrivals = tx.select(F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("tx"), F.lit(None).cast("date").alias("day")).unionByName(
+        tr.select(F.lit(None).cast(schemas.TRANSACTIONS).alias("tx"), F.col("block_date").alias("day")))
+
+    def write_batch(rows: DataFrame, _: int) -> None:
+        session = rows.sparkSession
+        late = rows.where("day is not null").select("day").distinct().limit(upsert.MAX_PARTITIONS).collect()
+        fresh = attribution.attribute_transactions(rows.where("tx is not null").select("tx.*"), floors, None)
+        result = _upsert_batch(fresh, paths.transactions_attributed, True, target_days)
+        # touched partitions = days of the batch plus days an updated key moved away from
+        days = sorted({*result.touched_partitions, *(r.day for r in late)})
+        transfers = session.read.schema(schemas.TRANSFERS).parquet(transfers_dir)
+        recompute_days(session, days, transfers, prices, paths, chain, floors)
+
+    return _start(arrivals, write_batch, checkpoint, available_now)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks import params as P
 from checks import spark_queries as Q
 from codetrail import schemas
+from codetrail.functions.windows import metric_window, target_bound
 from codetrail.operators import upsert
 from codetrail.plans import models as MD
 
@@ -135,12 +136,101 @@ def test_compaction_rewrites_fragmented_partitions(spark, scratch):
     for i in range(6):
         df.where(F.col("id") % 6 == i).write.mode("append").partitionBy("d").parquet(path)
     before = sorted(r[0] for r in spark.read.parquet(path).select("id").collect())
-    assert upsert.file_counts(spark, path, "d")["d=2024-01-01"][0] >= 6
+    files = lambda: {r.directory: r.files for r in upsert.file_counts(spark, path, "d").collect()}
+    assert files()["/d=2024-01-01"] >= 6
     assert upsert.compact(spark, path, "d", max_files=4) == ["d=2024-01-01"]
-    assert upsert.file_counts(spark, path, "d")["d=2024-01-01"][0] <= 4
+    assert files()["/d=2024-01-01"] == 1
+    assert upsert.compact(spark, path, "d", max_files=0) == []
     assert sorted(r[0] for r in spark.read.parquet(path).select("id").collect()) == before
 
 
+def test_compaction_settles_when_a_partition_needs_many_files(spark, scratch):
+    path = scratch + "/big"
+    df = spark.range(0, 60000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"), (F.col("id") % 2).cast("int").alias("m"),
+                                      F.lit("a b/é").alias("n"))
+    df.repartition(20).write.partitionBy("m", "n").parquet(path)
+    done = upsert.compact(spark, path, ["m", "n"], max_files=2, target_file_bytes=400_000)
+    assert len(done) == 2
+    sizes = upsert.file_counts(spark, path, ["m", "n"]).collect()
+    assert all(1 < r.files < 10 for r in sizes)
+    assert upsert.compact(spark, path, ["m", "n"], max_files=2, target_file_bytes=400_000) == []
+    assert spark.read.parquet(path).select("id").distinct().count() == 60000
+
+
+def test_changed_columns_are_refused(spark, scratch):
+    path = scratch + "/cols"
+    d1 = dt.date(2024, 1, 1)
+    wide = spark.createDataFrame([("a", d1, 1, 7), ("b", d1, 2, 8)], "k string, d date, v int, x int")
+    upsert.delete_insert(spark, wide, path, "k", "d")
+    with pytest.raises(upsert.SchemaChanged, match="x"):
+        upsert.delete_insert(spark, wide.drop("x"), path, "k", "d")
+    with pytest.raises(upsert.SchemaChanged, match="v"):
+        upsert.delete_insert(spark, wide.withColumn("v", F.col("v").cast("long")), path, "k", "d")
+    assert rows(spark.read.parquet(path), ["k", "x"]) == [("a", 7), ("b", 8)]
+
+
+def test_null_partition_values(spark, scratch):
+    path = scratch + "/nulls"
+    d1 = dt.date(2024, 1, 1)
+    with pytest.raises(upsert.UniqueKeyViolation, match="partition"):
+        upsert.delete_insert(spark, _frame(spark, [("a", None, 1), ("b", d1, 2)]), path, "k", "d")
+    # a table that has them already, written by other means, keeps those that the batch does not replace
+    _frame(spark, [("a", None, 1), ("b", None, 2), ("c", d1, 3)]).write.partitionBy("d").parquet(path)
+    upsert.delete_insert(spark, _frame(spark, [("a", d1, 9)]), path, "k", "d")
+    assert rows(spark.read.parquet(path), ["k", "v"]) == [("a", 9), ("b", 2), ("c", 3)]
+    upsert.delete_insert(spark, _frame(spark, [("b", d1, 8)]), path, "k", "d")
+    assert rows(spark.read.parquet(path), ["k", "v"]) == [("a", 9), ("b", 8), ("c", 3)]
+
+
+def test_too_many_partitions_are_refused(spark, scratch, monkeypatch):
+    monkeypatch.setattr(upsert, "MAX_PARTITIONS", 2)
+    days = [(f"k{i}", dt.date(2024, 1, 1 + i), i) for i in range(3)]
+    with pytest.raises(upsert.TooManyPartitions):
+        upsert.delete_insert(spark, _frame(spark, days), scratch + "/many", "k", "d")
+
+
+def test_two_partition_columns(spark, scratch):
+    path = scratch + "/two"
+    schema = "k string, month string, d date, v int"
+    row = lambda k, m, day, v: (k, m, dt.date(2024, m, day), v)
+    make = lambda *rs: spark.createDataFrame([(k, f"2024-{m:02d}", d, v) for k, m, d, v in rs], schema)
+    upsert.delete_insert(spark, make(row("a", 1, 1, 1), row("b", 1, 2, 2), row("c", 2, 1, 3)), path, "k", ["month", "d"])
+    r = upsert.delete_insert(spark, make(row("b", 2, 1, 20), row("e", 3, 1, 5)), path, "k", ["month", "d"])
+    assert r.emptied_partitions == [("2024-01", dt.date(2024, 1, 2))] and r.rows == 2
+    assert rows(spark.read.parquet(path), ["k", "month", "v"]) == [("a", "2024-01", 1), ("b", "2024-02", 20), ("c", "2024-02", 3), ("e", "2024-03", 5)]
+
+
+def test_target_bound_prunes_the_target_scan(spark, scratch):
+    """With a bound on the dates, the old-key lookup reads those directories only."""
+    path = scratch + "/bound"
+    days = [(f"k{i}", dt.date(2024, 1, 1 + i), i) for i in range(10)]
+    upsert.delete_insert(spark, _frame(spark, days), path, "k", "d")
+    target = spark.read.schema(_frame(spark, days).schema).parquet(path)
+    bound = target_bound(dt.datetime(2024, 1, 10), 2, "d")
+    plan = target.where(bound).join(_frame(spark, days).select("k"), "k", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and "2024-01-08" in plan
+    # rows before the bound are not looked at, as documented
+    upsert.delete_insert(spark, _frame(spark, [("k9", dt.date(2024, 1, 9), 90), ("k0", dt.date(2024, 1, 10), 5)]), path, "k", "d", target_predicate=bound)
+    got = rows(spark.read.parquet(path), ["k", "v"])
+    assert ("k9", 90) in got and ("k9", 9) not in got and ("k0", 0) in got and ("k0", 5) in got
+
+
+def test_replace_where(spark, scratch):
+    path = scratch + "/replace"
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    upsert.replace_where(spark, _frame(spark, [("a", d1, 1), ("b", d2, 2)]), path, F.lit(True))
+    upsert.replace_where(spark, _frame(spark, []), path, F.col("d") == F.lit(d1))  # a day that emptied
+    assert rows(spark.read.parquet(path), ["k", "v"]) == [("b", 2)]
+    with pytest.raises(ValueError, match="outside"):
+        upsert.replace_where(spark, _frame(spark, [("c", d2, 3)]), path, F.col("d") == F.lit(d1))
+
+
+def test_window_of_an_instant_with_an_offset():
+    zone = dt.timezone(dt.timedelta(hours=2))
+    with_offset = metric_window(dt.datetime(2026, 5, 10, 1, 0, tzinfo=zone))
+    assert with_offset.date_bound == metric_window(dt.datetime(2026, 5, 9, 23, 0)).date_bound == dt.date(2026, 5, 7)
+
+
 def test_full_refresh_swaps_whole_table(spark, scratch):
     path = scratch + "/fr"
     upsert.full_refresh(spark, _frame(spark, [("a", dt.date(2024, 1, 1), 1)]), path, "d")

@@ -42,6 +42,13 @@ def test_daily_metrics_plan_shape(spark):
     assert "partial_sum" in p  # map-side combine before the shuffle
 
 
+def test_daily_metrics_decodes_no_calldata(spark):
+    """The daily metric reads the written models: one narrow scan of transfers, two of transactions, one of prices."""
+    p = formatted(Q.q_daily_metrics(spark, SF_SMALL))
+    scans = [line for line in p.splitlines() if line.startswith("ReadSchema:")]
+    assert len(scans) == 4 and all("data:" not in x and "calldata" not in x for x in scans)
+
+
 def test_top_k_is_take_ordered(spark):
     p = plan(Q.q_top_codes(spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
@@ -64,14 +71,16 @@ def test_hot_tx_hash_is_split_by_aqe(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
+        from codetrail import schemas
+
         n = 120000
         h = F.unhex(F.sha2(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("string"), 256))
-        tr = spark.range(n).select(F.col("id").cast("string").alias("unique_key"), h.alias("tx_hash"))
+        own = {"unique_key": F.col("id").cast("string"), "tx_hash": h}
+        tr = spark.range(n).select(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.TRANSFERS.fields])
         keys = spark.range(n).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("hash"),
                                      F.lit(True).alias("has_builder_code"), F.lit("x").alias("multi_code"),
                                      F.lit("x").alias("builder_code"), F.lit(None).cast("string").alias("builder_code2"))
-        t, a = tr.alias("t"), keys.alias("a")
-        j = t.join(a, F.col("t.tx_hash") == F.col("a.hash"), "left").select("t.unique_key", "a.multi_code")
+        j = A.attribute_transfers(tr, keys).select("unique_key", "multi_code")
         assert len(j.collect()) == n
         p = plan(j)
         assert "SortMergeJoin(skew=true)" in p and "AQEShuffleRead skewed" in p
@@ -103,13 +112,18 @@ def test_time_bounds_do_not_depend_on_driver_time_zone(spark):
         time.tzset()
 
 
-def test_operators_pin_the_session_time_zone(spark):
-    """Day boundaries are UTC even if the session was switched to another zone."""
+def test_operators_refuse_another_time_zone(spark):
+    """Days are UTC days: in another zone the operators refuse to run, and leave the session as it is."""
+    import pytest
+
+    from codetrail.session import WrongTimeZone
+
+    tx = Q.tx_source(spark, SF_SMALL)
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        tx = Q.tx_source(spark, SF_SMALL)
-        A.attribute_transactions(tx, P.FLOORS)
-        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        with pytest.raises(WrongTimeZone):
+            A.attribute_transactions(tx, P.FLOORS)
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

@@ -98,3 +98,22 @@ def test_export_window_without_start(spark, scratch):
     assert n == 5
     latest = X.latest_runs(spark, f"{scratch}/log", 1).first()
     assert latest["time_start"] is None and latest["rows_synced"] == 5 and latest["full_refresh"]
+
+
+def test_window_rules_of_table_models_and_empty_settings():
+    meta = {"export": {"enabled": True, "time_column": "t", "time_start": dt.datetime(2024, 1, 2), "time_start_incremental": None}}
+    # a table model is always exported whole, whatever is asked
+    assert X.resolve_window(meta, "table", "k", AS_OF, True, full_refresh=False).full_refresh
+    # an empty incremental start falls back to the start
+    assert X.resolve_window(meta, "incremental", "k", AS_OF, True).time_start == dt.datetime(2024, 1, 2)
+
+
+def test_rows_synced_counts_the_batch(spark, scratch):
+    """A re-sync from which rows vanished logs what it sent, though the destination keeps them."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(10).select(F.col("id").cast("string").alias("k"), (F.lit("2024-01-01").cast("timestamp") + F.expr("make_interval(0,0,0,id)")).alias("t"))
+    w = X.ExportWindow("t", ["k"], dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), False)
+    assert X.sync(spark, df, "demo", w, f"{scratch}/d2", f"{scratch}/l2", dt.datetime(2024, 1, 6)) == 10
+    assert X.sync(spark, df.where("k < 4"), "demo", w, f"{scratch}/d2", f"{scratch}/l2", dt.datetime(2024, 1, 7)) == 4
+    assert spark.read.parquet(f"{scratch}/d2").count() == 10

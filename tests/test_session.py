@@ -31,3 +31,39 @@ def test_entry_without_checkpoint_setting():
     assert line, out.stderr[-3000:]
     _, n, m = line[0].split()
     assert int(n) > 0 and int(m) > 0
+
+
+def test_a_cluster_needs_a_shared_folder():
+    """Off local masters a machine-local folder is refused; a configured one is used as it is."""
+    import pytest
+
+    from codetrail import session
+
+    class Conf:
+        def __init__(self, **kw):
+            self.kw = kw
+
+        def get(self, key, default=None):
+            return self.kw.get(key, default)
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.applicationId = master, f"{master}-{id(self)}-{os.urandom(4).hex()}"
+
+        def getCheckpointDir(self):
+            return None
+
+        def setCheckpointDir(self, path):
+            self.path = path
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext, self.conf = Context(master), Conf(**conf)
+
+    for master in ("yarn", "spark://host:7077", "k8s://https://host", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="share"):
+            session.checkpoint_root(Session(master))
+        assert session.checkpoint_root(Session(master, **{"spark.checkpoint.dir": "hdfs:///x/"})) == "hdfs:///x"
+    for master in ("local", "local[4]", "local[*]"):
+        s = Session(master)
+        assert session.checkpoint_root(s) == s.sparkContext.path

@@ -2,14 +2,14 @@
 
 from codetrail import schemas
 from codetrail.sources import catalog as C
-from codetrail.sources import fixtures
+from checks import fixtures
 
 from .conftest import SF_SMALL
 
 
 def test_catalog_paths_and_override():
     cat = C.SourceCatalog("/data/")
-    assert cat.path("celo", "transactions") == "/data/delta_prod/celo/transactions"
+    assert cat.path("celo", "transactions") == "/data/main/celo/transactions"
     assert cat.with_database("dev").path("prices", "day") == "/data/dev/prices/day"
     pinned = C.SourceCatalog("/data", pinned={("tokens", "transfers"): "/elsewhere/transfers"})
     assert pinned.path("tokens", "transfers") == "/elsewhere/transfers"
