@@ -70,6 +70,15 @@ def count_summary(failing: DataFrame, model: str, rule: str, column: str) -> Dat
         F.lit(model).alias("model"), F.lit(rule).alias("rule"), F.lit(column).alias("column"), "failing_rows")
 
 
+def key_summary(df: DataFrame, column: str, model: str) -> DataFrame:
+    """``unique`` and the one-column ``unique_combination_of_columns`` from one grouped pass
+    (the second also counts a repeated NULL)."""
+    repeated = df.groupBy(_q(column).alias("v")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    both = repeated.agg(F.count("v").alias("unique"), F.count(F.lit(1)).alias("unique_combination_of_columns"))
+    long = both.select(F.expr("stack(2, 'unique', unique, 'unique_combination_of_columns', unique_combination_of_columns) as (rule, failing_rows)"))
+    return long.select(F.lit(model).alias("model"), "rule", F.lit(column).alias("column"), "failing_rows")
+
+
 # -- documented invariants of the models ----------------------------------------
 
 def tx_invariant_failures(ta: DataFrame) -> DataFrame:
@@ -111,9 +120,15 @@ class ModelRules:
         parts = []
         if self.not_null:
             parts.append(not_null_summary(df, self.not_null, self.model))
+        both = [c for c in self.unique if [c] in self.unique_combinations]
+        for c in both:
+            parts.append(key_summary(df, c, self.model))
         for c in self.unique:
-            parts.append(count_summary(unique_failures(df, c), self.model, "unique", c))
+            if c not in both:
+                parts.append(count_summary(unique_failures(df, c), self.model, "unique", c))
         for cols in self.unique_combinations:
+            if len(cols) == 1 and cols[0] in both:
+                continue
             parts.append(count_summary(unique_combination_failures(df, cols), self.model, "unique_combination_of_columns",
                                        ",".join(cols)))
         for c, vals in self.accepted_values.items():

@@ -58,12 +58,18 @@ def run(spark: SparkSession, cat: C.SourceCatalog, paths: models.ModelPaths, sel
         as_of: dt.datetime | None, full_refresh: bool = False, chain: str = "celo", floors: Floors = Floors(),
         replace_days: bool = False, target_days: int | None = None):
     results = {}
+
+    def since(target: str) -> dt.date | None:
+        """First date that an incremental run reads."""
+        window = tx_window(as_of) if models.is_incremental(spark, target, full_refresh) else None
+        return None if window is None else window.date_bound
+
     if "transactions_attributed" in selected:
-        tx = cat.read(spark, *C.TRANSACTIONS)
+        tx = cat.read(spark, *C.TRANSACTIONS, since=since(paths.transactions_attributed))
         results["transactions_attributed"] = models.run_transactions(
             spark, tx, paths.transactions_attributed, as_of, floors, full_refresh, target_days)
     if "transfers_attributed" in selected:
-        tr = cat.read(spark, *C.TRANSFERS)
+        tr = cat.read(spark, *C.TRANSFERS, since=since(paths.transfers_attributed))
         results["transfers_attributed"] = models.run_transfers(
             spark, tr, paths.transactions_attributed, paths.transfers_attributed, as_of, chain, floors, full_refresh,
             target_days=target_days)

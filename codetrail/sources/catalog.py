@@ -8,13 +8,14 @@ explicit schema, so no inference job runs and types are checked on read.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from codetrail import schemas
-from codetrail.session import ensure_conf
+from codetrail.session import ensure_conf, hadoop_fs
 
 # Logical source names used by the models.
 TRANSACTIONS = ("celo", "transactions")
@@ -46,13 +47,28 @@ class SourceCatalog:
     def with_database(self, database: str) -> "SourceCatalog":
         return SourceCatalog(self.root, database, dict(self.pinned), self.fmt)
 
-    def read(self, spark: SparkSession, source: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, spark: SparkSession, source: str, table: str, schema: T.StructType | None = None,
+             since: dt.date | None = None, column: str = "block_date") -> DataFrame:
+        """``since``: only the partitions ``column=date`` from that date on are given to Spark, so an
+        hourly run lists the files of its window and not of the whole history (tables partitioned
+        in another way are read whole; the caller's own filter applies either way)."""
         ensure_conf(spark)
         sch = schema or SOURCE_SCHEMAS.get((source, table))
         reader = spark.read.format(self.fmt)
         if sch is not None:
             reader = reader.schema(sch)
-        return reader.load(self.path(source, table))
+        path = self.path(source, table)
+        recent = partitions_since(spark, path, column, since) if since is not None else None
+        return reader.option("basePath", path).load(recent) if recent else reader.load(path)
+
+
+def partitions_since(spark: SparkSession, path: str, column: str, since: dt.date) -> list[str]:
+    """Directories ``column=date`` of a table from a date on (one listing of its top level); none if it has no such directories."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return [f"{path}/{n}" for n in sorted(names) if n.startswith(f"{column}=") and n >= f"{column}={since.isoformat()}"]
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:

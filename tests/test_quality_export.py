@@ -117,3 +117,12 @@ def test_rows_synced_counts_the_batch(spark, scratch):
     assert X.sync(spark, df, "demo", w, f"{scratch}/d2", f"{scratch}/l2", dt.datetime(2024, 1, 6)) == 10
     assert X.sync(spark, df.where("k < 4"), "demo", w, f"{scratch}/d2", f"{scratch}/l2", dt.datetime(2024, 1, 7)) == 4
     assert spark.read.parquet(f"{scratch}/d2").count() == 10
+
+
+def test_key_rules_from_one_pass_equal_the_single_rules(spark):
+    from codetrail.operators import quality as Q
+
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,), ("c",)], "k string")
+    got = {r.rule: r.failing_rows for r in Q.ModelRules("m", unique=["k"], unique_combinations=[["k"]]).run(df).collect()}
+    assert got == {"unique": Q.unique_failures(df, "k").count(), "unique_combination_of_columns": Q.unique_combination_failures(df, ["k"]).count()} == {
+        "unique": 1, "unique_combination_of_columns": 2}
