@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from codetrail.session import scratch_path
 
 #: Bytes of text that one vectorised step holds.
-SLICE = 1 << 21
+SLICE = 1 << 19
 #: Multiplier of the rolling word hash (odd, so it can be inverted modulo 2**64).
 MULT = 0x9E3779B97F4A7C15
 MULT_INV = pow(MULT, -1, 1 << 64)
@@ -27,16 +27,26 @@ MULT_INV = pow(MULT, -1, 1 << 64)
 BATCH_BYTES = 8 << 20
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def limit_batches(spark: SparkSession) -> str:
+    """Arrow batches of at most ``BATCH_BYTES`` for the session (a smaller setting stays); returns the setting before."""
+    before = spark.conf.get(_BATCH)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(_BATCH, BATCH_BYTES)
+    return before
+
+
 @contextmanager
 def small_batches(spark: SparkSession):
     """Smaller Arrow batches for the actions inside; the caller's setting comes back afterwards."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, BATCH_BYTES)
+    before = limit_batches(spark)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.set(_BATCH, before)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -120,19 +130,27 @@ def spans(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.diff(bounds)
 
 
-_POWERS: list[np.ndarray] = []
+class Powers:
+    """Powers of the hash's multiplier and of its inverse, made when needed in each process and never sent along."""
+
+    def __init__(self):
+        self.held: list[np.ndarray] = []
+
+    def __reduce__(self):
+        return Powers, ()
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if not self.held or len(self.held[0]) < n:
+            size = max(n, SLICE + 1)
+            self.held = []
+            for m in (MULT, MULT_INV):
+                p = np.full(size, m, np.uint64)
+                p[0] = 1
+                self.held.append(np.cumprod(p, dtype=np.uint64))
+        return self.held[0][:n], self.held[1][:n]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, SLICE + 1)
-        out = []
-        for m in (MULT, MULT_INV):
-            p = np.full(size, m, np.uint64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=np.uint64))
-        _POWERS[:] = out
-    return _POWERS[0][:n], _POWERS[1][:n]
+_powers = Powers()
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
