@@ -542,6 +542,15 @@ def q_full_refresh(spark, sf_dir):
     return portable(read_tx_table(spark, target))
 
 
+def q_full_refresh_switch(spark, sf_dir):
+    """K2/K6 by switching a catalog name: a wrong version, then the right one; no folder is renamed."""
+    root, name = scratch_path(spark, "switch"), "transactions_attributed_current"
+    ta = ta_full(spark, sf_dir)
+    U.refresh_switch(spark, ta.withColumn("gas_used", F.col("gas_used") + 1), name, root, S.TX_PARTITION)
+    U.refresh_switch(spark, ta, name, root, S.TX_PARTITION)
+    return portable(spark.table(name).select(*[F.col(f"`{c}`") for c in S.TX_ATTRIBUTED_COLUMNS]))
+
+
 def q_compaction(spark, sf_dir):
     """K9: a table written in many small increments, compacted: same rows, one file a day, and settled."""
     target = scratch_path(spark, "compaction") + "/transactions_attributed"

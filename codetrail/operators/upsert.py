@@ -24,6 +24,7 @@ are refused) and the pass/fail counts of the key checks.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -135,6 +136,32 @@ def full_refresh(spark: SparkSession, df: DataFrame, path: str, partition_by=Non
     return UpsertResult(path, "full_refresh", True, [], [])
 
 
+class EmptyRefresh(ValueError):
+    """A switched table cannot be rebuilt from no rows."""
+
+
+def refresh_switch(spark: SparkSession, df: DataFrame, name: str, root: str, partition_by=None, keep: int = 1) -> UpsertResult:
+    """K2/K6 without a rename: build a new version under ``root`` and switch the catalog name to it.
+
+    Nothing is copied and there is always a table: readers of ``name`` (a catalog view over the
+    version's files, so partitions are still pruned) see the old version until the switch and the
+    new one after it. ``keep`` older versions stay for readers that have started; older ones go.
+    A driver lost before the switch leaves the old version in place and an unused folder, which
+    the next refresh removes.
+    """
+    ensure_conf(spark)
+    version = f"{root.rstrip('/')}/v-{time.time_ns():020d}"
+    write_table(df, version, partition_by)
+    if not spark.read.schema(df.schema).parquet(version).inputFiles():
+        raise EmptyRefresh(f"no rows to build {name} from; the table is left as it is")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{version}`")
+    fs, p = hadoop_fs(spark, root)
+    versions = {st.getPath().getName(): st.getPath() for st in fs.listStatus(p) if st.getPath().getName().startswith("v-")}
+    for old in sorted(versions)[:-1 - keep]:
+        fs.delete(versions[old], True)
+    return UpsertResult(version, "switch", False, [], [])
+
+
 def _delete_partitions(spark: SparkSession, path: str, columns: list[str], values) -> None:
     """Remove the directories of the given partition values (found by listing level by level, so
     the directory-name escaping is Spark's own)."""

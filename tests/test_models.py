@@ -251,3 +251,18 @@ def test_empty_first_run_keeps_tables_readable(spark, scratch):
     assert Q.read_tx_table(spark, paths.transactions_attributed).count() == 0
     assert Q.read_transfer_table(spark, paths.transfers_attributed).count() == 0
     assert spark.read.schema(schemas.DAILY_METRIC).parquet(paths.daily_metric).count() == 0
+
+
+def test_switch_keeps_the_table_readable_and_drops_old_versions(spark, scratch):
+    import os
+
+    root, d1, d2 = scratch + "/sw", dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    for n in range(4):
+        upsert.refresh_switch(spark, _frame(spark, [("a", d1, n), ("b", d2, n)]), "switched", root, "d")
+        assert rows(spark.table("switched"), ["k", "v"]) == [("a", n), ("b", n)]
+    assert len([x for x in os.listdir(root.removeprefix("file:")) if x.startswith("v-")]) == 2
+    plan = spark.table("switched").where(F.col("d") == F.lit(d1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan
+    with pytest.raises(upsert.EmptyRefresh):
+        upsert.refresh_switch(spark, _frame(spark, []), "switched", root, "d")
+    assert spark.table("switched").count() == 2
