@@ -23,7 +23,7 @@ from .common import positional, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 SUPER = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
