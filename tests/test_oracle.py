@@ -1,4 +1,4 @@
-"""Every driver query against its DuckDB oracle on the smallest data set."""
+"""Every query of the reference's operators against its DuckDB oracle on the smallest data set."""
 
 import pytest
 
@@ -7,11 +7,11 @@ from checks.compare import compare
 
 from .conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(n for n, f in E.queries().items() if f.__module__ == "checks.spark_queries")
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
