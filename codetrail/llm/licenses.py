@@ -164,8 +164,8 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Clas
     vocabulary = sorted({g for *_, gs in notices() for g in gs})
     classes = [UNKNOWN, *NOTICES]
     texts = docs.select(F.col(text_col).cast("string").alias("t")).where(~F.col("t").rlike(gate()))
-    own = (texts.select("t", F.xxhash64("t").alias("h")).orderBy("h").limit(sample)
-           .select(F.element_at(F.split("t", "\n"), 1).alias("text"), F.lit(0.0).alias("label"), (F.pmod("h", F.lit(4)) == 0).alias("held")))
+    own = (texts.select(F.substring_index("t", "\n", 1).alias("text"), F.xxhash64("t").alias("h")).orderBy("h", "text").limit(sample)
+           .select("text", F.lit(0.0).alias("label"), (F.pmod("h", F.lit(4)) == 0).alias("held")))
     made = _values(spark, [(t, float(classes.index(c)), h) for t, c, h in variations()], "text string, label double, held boolean")
     rows = written(made.union(own).select(F.monotonically_increasing_id().alias("k"), "label", "held", grams(F.col("text")).alias("g")), "licence-training")
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="g", outputCol="features", minTF=1.0)
