@@ -28,14 +28,13 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .bitfilter import FILTER_BITS, BitFilter, build
 from .common import positional, texts, written
 
 #: Characters that normalisation deletes: U+0020 and U+0009 to U+000D.
 SPACES = b" \t\n\x0b\x0c\r"
 BLOCK_ROWS = 1 << 16
 OWNER_ROWS = 1 << 21
-FILTER_BITS = 1 << 27
-SEGMENT_BITS = 1 << 19
 
 
 # ---------------------------------------------------------------- Golomb-Rice coding
@@ -187,66 +186,6 @@ def _row_maker(bits: int, id_type: pa.DataType):
     return run
 
 
-def _segments(filter_bits: int):
-    """Fingerprints -> the non-empty segments of a bit filter of fixed size."""
-    def run(batches):
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            bits = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) % np.uint64(filter_bits)
-            bits = np.sort(bits.astype(np.int64))
-            seg = bits // SEGMENT_BITS
-            for s in np.unique(seg):
-                a, b = np.searchsorted(seg, [s, s + 1])
-                held.setdefault(int(s), np.zeros(SEGMENT_BITS, np.uint8))[bits[a:b] % SEGMENT_BITS] = 1
-                if len(held) > 64:
-                    yield _packed(held)
-        if held:
-            yield _packed(held)
-
-    return run
-
-
-def _packed(held: dict) -> pa.RecordBatch:
-    out = pa.record_batch({"seg": pa.array(list(held), pa.int64()),
-                           "bits": pa.array([np.packbits(x).tobytes() for x in held.values()], pa.binary())})
-    held.clear()
-    return out
-
-
-def _merge(batches):
-    """All parts of a segment stand together: OR them."""
-    now, total = None, None
-    for batch in batches:
-        for seg, bits in zip(batch.column("seg").to_pylist(), batch.column("bits").to_pylist()):
-            part = np.frombuffer(bits, np.uint8)
-            if seg != now:
-                if now is not None:
-                    yield pa.record_batch({"seg": pa.array([now], pa.int64()), "bits": pa.array([total.tobytes()])})
-                now, total = seg, part.copy()
-            else:
-                total |= part
-    if now is not None:
-        yield pa.record_batch({"seg": pa.array([now], pa.int64()), "bits": pa.array([total.tobytes()])})
-
-
-class SuspectFilter:
-    """Fixed-size bit filter over fingerprints: no false negatives."""
-
-    def __init__(self, parts: dict[int, bytes], bits: int):
-        self.parts, self.bits = parts, bits
-
-    def hits(self, fps: np.ndarray) -> np.ndarray:
-        at = (fps % np.uint64(self.bits)).astype(np.int64)
-        seg, out = at // SEGMENT_BITS, np.zeros(len(fps), bool)
-        for s in np.unique(seg):
-            if int(s) in self.parts:
-                m = seg == s
-                low = at[m] % SEGMENT_BITS
-                bits = np.frombuffer(self.parts[int(s)], np.uint8)
-                out[m] = (bits[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1
-        return out
-
-
 def _suspect_texts(shared):
     """Texts -> (fp, sha, normalised bytes, copies) of those in the filter, combined per batch."""
     def run(batches):
@@ -269,7 +208,7 @@ def _suspect_texts(shared):
 class ExactDedup:
     """The decisions on every row of ``docs`` and the filter that holds all suspects."""
 
-    def __init__(self, rows: DataFrame, suspects: SuspectFilter):
+    def __init__(self, rows: DataFrame, suspects: BitFilter):
         self.rows, self.suspects = rows, suspects
 
 
@@ -302,9 +241,7 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
     rows = written(blocks.join(answers, "block", "left").mapInArrow(_row_maker(bits, arrow_id), row_schema), "dedup-rows")
 
     suspects = rows.where("suspect")
-    segments = (suspects.select("fp").distinct().mapInArrow(_segments(filter_bits), "seg long, bits binary")
-                .repartition("seg").sortWithinPartitions("seg").mapInArrow(_merge, "seg long, bits binary"))
-    flt = SuspectFilter({r.seg: bytes(r.bits) for r in segments.collect()}, filter_bits)  # <= filter_bits / 8 bytes
+    flt = build(suspects.select("fp"), filter_bits)
     shared = spark.sparkContext.broadcast(flt)
 
     texts = two.select("text").mapInArrow(_suspect_texts(shared), "sha binary, bytes binary, n long")

@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from .bitfilter import without
 from .common import positional, texts, written
 from .components import components
 
@@ -257,7 +258,8 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("v", "fp").alias("root"))
     named = written(named, "simhash-roots")
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written first: the joins below are plain shuffles on both sides, so a hot class is split at run time
+    least = written(named.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     classes = written(named.join(least, "root").select("fp", "component_id"), "simhash-classes")
     return held.join(classes, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -271,4 +273,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     plain, names = positional(docs, id=id_col, text=text_col)
     classes = simhash_dedup(plain, "id", "text", **params)
     gone = written(classes.where("id != component_id").select(F.col("id").alias("__gone")).distinct(), "simhash-gone")
-    return plain.join(gone, F.col("id") == F.col("__gone"), "left_anti").toDF(*docs.columns)
+    return without(plain, "id", gone).toDF(*docs.columns)

@@ -114,3 +114,24 @@ def test_components_of_a_long_chain(spark):
     edges = [(i + 1, i) for i in range(n)] + [(200, 201), (5, 5), (None, 3)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert got == {**{i: 0 for i in range(1, n + 1)}, 201: 200}
+
+
+def test_joins_on_hot_keys_are_split(spark):
+    """A fingerprint that a third of all rows share: Spark splits its partition in the last join."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "24"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = [(i, "the same text" if i % 3 == 0 else f"own text number {i}") for i in range(12_000)]
+        df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA).repartition(12)
+        out = S.simhash_dedup(df)
+        got = {r.doc_id: r.component_id for r in out.collect()}
+        assert len(got) == 12_000 and all(got[i] == got[0] for i in range(0, 12_000, 3))
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
