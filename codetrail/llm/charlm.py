@@ -48,7 +48,8 @@ def _count(batches):
 
 def counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """4-gram counts over all texts; at most 28**4 rows come to the driver."""
-    parts = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(_count, "code long, n long")
+    texts = docs.select(F.col(text_col).cast("string").alias("t"))
+    parts = common.for_counting(texts).mapInArrow(_count, "code long, n long")
     with common.small_batches(docs.sparkSession):
         rows = parts.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(SIZE, np.int64)

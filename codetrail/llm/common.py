@@ -58,6 +58,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def for_counting(df: DataFrame, per_core: int = 16) -> DataFrame:
+    """At most ``per_core`` partitions for each core of the cluster, joined without a shuffle.
+
+    A counting task holds a table of fixed size and sends it once, so what the tasks send together
+    is bounded by the cluster and not by the number of input splits. Smaller inputs are unchanged.
+    """
+    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def positional(docs: DataFrame, **roles: str) -> tuple[DataFrame, list[str]]:
     """``docs`` under names by role and place, and those names: no column clashes with an operator's own.
 

@@ -133,7 +133,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l"))
     with common.small_batches(docs.sparkSession):
         langs = sorted(r.l for r in rows.select("l").distinct().collect())  # the label set
-        counted = rows.mapInArrow(_count(langs), "kind string, lang long, code long, n long")
+        counted = common.for_counting(rows).mapInArrow(_count(langs), "kind string, lang long, code long, n long")
         sums = counted.groupBy("kind", "lang", "code").agg(F.sum("n").alias("n")).toArrow()  # at most languages x table
     grams, scripts = np.zeros((len(langs), 1 << TABLE_BITS), np.int64), np.zeros((len(langs), len(NAMES)), np.int64)
     kind = np.array(sums["kind"].to_pylist(), dtype=object)

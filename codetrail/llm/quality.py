@@ -21,7 +21,7 @@ from . import common
 from .toxicity import labelled_sample, training_side
 
 BUCKETS, DIMS, NONZERO, WINDOW, SEED = 1 << 15, 48, 2, 2, 7
-BLOCK = 1024
+BLOCK, SALTS = 1024, 32
 SAMPLE_ROWS = 10_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 60, 256, 3e-3, 1e-4
 THRESHOLD = 0.5
@@ -107,8 +107,10 @@ def _merge(batches):
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Unit vectors of all buckets, from all texts; the table of sums that comes to the driver has a fixed size."""
-    parts = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(_count, "block long, part binary")
-    sums = parts.repartition("block").sortWithinPartitions("block").mapInArrow(_merge, "block long, part binary")
+    sums = common.for_counting(docs.select(F.col(text_col).cast("string").alias("t"))).mapInArrow(_count, "block long, part binary")
+    sums = sums.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    for keys in (["block", "salt"], ["block"]):  # many tasks add first, then one for each block
+        sums = sums.repartition(*keys).sortWithinPartitions(*keys).select("block", "part").mapInArrow(_merge, "block long, part binary")
     out = np.zeros((BUCKETS // BLOCK, BLOCK * DIMS))
     with common.small_batches(docs.sparkSession):
         for r in sums.toLocalIterator():
