@@ -67,7 +67,7 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_
         over = (F.col("weight") * F.lit(level) > cap) if capped >= 0 else F.lit(False)
         all_, held, n, rest = ranked.agg(
             F.sum("source_size"), F.sum(F.when(over, cap)), F.count(F.when(over, 1)), F.sum(F.when(~over, F.col("weight")))).first()
-        if n == capped or not rest:
+        if n <= capped or not rest:  # no further source stops
             break
         capped, level = n, float(Fraction(all_ or 0) * Fraction(share) - (held or 0)) / rest
     return ranked.withColumn("target", F.least(cap.cast("double"), F.col("weight") * F.lit(level)))
