@@ -14,7 +14,6 @@ block is run against all documents; one block at a time is held by a task. Nothi
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np

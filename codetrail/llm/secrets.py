@@ -14,7 +14,6 @@ broadcast (one file of about a megabyte).
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 
 import numpy as np

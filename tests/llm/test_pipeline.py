@@ -9,7 +9,6 @@ import corpus_pipeline as P
 from codetrail.llm import toxicity
 from codetrail.llm.common import table
 
-from .test_decontaminate import brute as brute_hits
 from .test_exact_dedup import brute as brute_exact
 from .test_mixing import brute as brute_mix
 from .test_simhash import brute_fp, classes

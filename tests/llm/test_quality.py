@@ -1,7 +1,6 @@
 import zlib
 
 import numpy as np
-import pytest
 from pyspark.sql import types as T
 
 from codetrail.llm import common, quality as Q
