@@ -40,7 +40,7 @@ def _count(batches):
     total = np.zeros(SIZE, np.int64)
     for batch in batches:
         raw, offs = common.utf8(batch.column(0))
-        for i, j in common.slices(offs):
+        for i, j in common.slices(offs, common.COUNT_SLICE):
             total += np.bincount(grams(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i]), minlength=SIZE)
     code = np.flatnonzero(total)
     yield pa.record_batch({"code": pa.array(code, pa.int64()), "n": pa.array(total[code])})

@@ -18,6 +18,8 @@ from codetrail.session import scratch_path
 
 #: Bytes of text that one vectorised step holds.
 SLICE = 1 << 19
+#: The same where each step adds a whole table of counts.
+COUNT_SLICE = 1 << 21
 #: Multiplier of the rolling word hash (odd, so it can be inverted modulo 2**64).
 MULT = 0x9E3779B97F4A7C15
 MULT_INV = pow(MULT, -1, 1 << 64)

@@ -89,7 +89,7 @@ def _count(langs: list[str]):
         for batch in batches:
             raw, offs = common.utf8(batch.column(0))
             lang = np.array([place[x] for x in batch.column(1).to_pylist()], np.int64)
-            for i, j in common.slices(offs):
+            for i, j in common.slices(offs, common.COUNT_SLICE):
                 w = Words(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
                 byte_lang = np.repeat(lang[i:j], np.diff(offs[i: j + 1]))[w.inside]
                 cells = byte_lang << TABLE_BITS | w.codes[w.inside].astype(np.int64)
