@@ -14,6 +14,8 @@ Spans, words and look-ups are array operations over an Arrow batch. The fitted m
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -75,7 +77,7 @@ def decode(span: str, logp: list[float]) -> str:
         if spaced and i % 2:
             units.append([((), JOIN), ((0,), 0.0)])
         elif c in LEET:
-            units.append([((ord(x) - 96,), SUBSTITUTE) for x in LEET[c]] + [((0,), LITERAL)])
+            units.append([((ord(x) - 96,), SUBSTITUTE) for x in LEET[c]] + [((0,), LITERAL)] + [((), JOIN)] * (spaced and c == "*"))
         else:
             units.append([((27,) if ord(c) > 127 else (0,), 0.0)])
         i += 1
@@ -115,6 +117,20 @@ def suspicious(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     n = len(raw)
     letters = np.zeros(n + 1, np.int32)
     np.cumsum(letter, out=letters[1:])
+    # single characters, letters or not, set apart by separators; also a span's only letter, with symbols about it,
+    # and the outer characters of a span of symbols (several stars are a separator)
+    lone = letters[ends] - letters[starts] == 1
+    other = np.zeros(n + 1, np.int32)
+    np.cumsum(~SEPARATOR[raw], out=other[1:])
+    signs = (letters[ends] == letters[starts]) & (other[ends] > other[starts])
+    p = np.unique(np.concatenate([starts[ends - starts == 1], np.flatnonzero(letter)[letters[ends[lone]] - 1], starts[signs], ends[signs] - 1]))
+    near = (np.diff(p) > 1) & (other[p[1:]] == other[p[:-1] + 1])
+    doc = np.searchsorted(offs, p, "right")
+    near &= doc[1:] == doc[:-1]
+    head = np.flatnonzero(np.concatenate([[True], ~near])) if len(p) else np.zeros(0, np.int64)
+    tailp = np.append(head[1:], len(p))[:len(head)] - 1
+    long = (tailp - head >= 2) & (letters[p[tailp] + 1] > letters[p[head]])
+    out = [(p[head[long]], p[tailp[long]] + 1)]
     has = letters[ends] > letters[starts]
     starts, ends = starts[has], ends[has]
     last = np.flatnonzero(letter)[letters[ends] - 1] + 1          # after the span's last letter
@@ -126,18 +142,7 @@ def suspicious(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     np.cumsum(np.concatenate([(raw[2:] == raw[1:-1]) & (raw[1:-1] == raw[:-2]) & letter[2:], [False, False]])[:n], out=run[1:])
     run3 = run[np.maximum(ends - 2, starts)] > run[starts]
     pick = odd | tail | run3
-    out = [(starts[pick], np.where(tail, ends, last)[pick])]
-    # single characters two apart
-    one = (ends - starts == 1) | (last - starts == 1)
-    p = starts[one]
-    if len(p) > 2:
-        near = (np.diff(p) == 2) & SEPARATOR[raw[p[:-1] + 1]]
-        doc = np.searchsorted(offs, p, "right")
-        near &= doc[1:] == doc[:-1]
-        head = np.flatnonzero(np.concatenate([[True], ~near]))
-        tailp = np.append(head[1:], len(p)) - 1
-        long = tailp - head >= 2
-        out.append((p[head[long]], p[tailp[long]] + 1))
+    out.append((starts[pick], np.where(tail, ends, last)[pick]))
     s, e = (np.concatenate(x) for x in zip(*out))
     order = np.lexsort((e, s))
     return s[order], e[order]
@@ -157,6 +162,18 @@ def word_features(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(docs), np.concatenate(feats)
 
 
+CHAIN_STAR = re.compile(rb"(?<=[ .\-_,/\n\t])\*(?=[ .\-_,/\n\t])")
+CHAIN_GAP = re.compile(rb"[ .\-_*,/\n\t]+")
+
+
+def flat(seen: bytes) -> str:
+    """A span as :func:`decode` takes it: between single characters any run of separators is one; a star by itself stays a character."""
+    one = CHAIN_GAP.sub(b" ", CHAIN_STAR.sub(b"\0", seen)).replace(b"\0", b"*")
+    if len(one) > 2 and not one[1::2].strip(b" "):
+        return one.decode()
+    return seen.replace(b"\n", b" ").replace(b"\t", b" ").decode()
+
+
 class Restorer:
     """Decodes the suspicious spans of a run of documents; equal spans are decoded once."""
 
@@ -174,7 +191,7 @@ class Restorer:
             if text is None:
                 if len(self.known) > 200_000:
                     self.known.clear()
-                text = self.known[seen] = decode(seen.replace(b"\n", b" ").replace(b"\t", b" ").decode(), self.logp).encode()
+                text = self.known[seen] = decode(flat(seen), self.logp).encode()
             if text != seen:
                 out.append((d, s - int(offs[d]), seen, text))
         return out

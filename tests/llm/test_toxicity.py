@@ -138,3 +138,22 @@ def test_empty_tables(spark):
     assert [r.predicted for r in X.report(some, labels).collect()] == [0, 0]
     odd = spark.createDataFrame([(None, 1, 1), (1, 1, None), (1, 1, 1), (1, 0, 0)], labels.schema)
     assert X.report(some, odd).count() == 2
+
+
+def restored(logp, text):
+    raw = text.lower().encode()
+    found = X.Restorer(logp)(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    return {seen.decode(): to.decode() for _, _, seen, to in found}
+
+
+@pytest.mark.parametrize("seen,text", [("m 0 r 0 n", "moron"), ("i d 1 0 t", "idiot"), ("i.d.1.0.t", "idiot"), ("s  t  u  p  i  d", "stupid"), ("m - o - r - o - n", "moron"),
+                                       ("i d 1 0 7", "idiot"), ("m * 0 * r * 0 * n", "moron"), ("s* t* u* p* i* d", "stupid"), ("$ c u m", "scum"), ("m ** 0 ** r ** 0 ** n", "moron")])
+def test_spaced_words_with_leet_are_decoded(logp, seen, text):
+    assert restored(logp, f"look, ({seen})! end")[seen] == text
+    assert restored(logp, seen)[seen] == text
+
+
+def test_chains_stay_in_their_document():
+    raw = np.frombuffer(b"m 0 r 0 n1 2 3", np.uint8)
+    assert [(a, b) for a, b in zip(*X.suspicious(raw, np.array([0, 9, 14]))) if b - a > 2] == [(0, 9)]
+    assert not len(X.suspicious(np.frombuffer(b"1 2 3 4", np.uint8), np.array([0, 7]))[0])
