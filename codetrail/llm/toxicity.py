@@ -2,8 +2,10 @@
 
 1. A character language model is counted over all documents (:mod:`charlm`).
 2. Spans whose spelling leaves a choice become character lattices: digits and symbols that stand
-   for letters, single characters set apart by separators, and repeated letters. Viterbi decoding
-   finds the reading with the best language-model and channel score. Any other span has one
+   for letters, single characters set apart by separators, and repeated letters (two or more).
+   Viterbi decoding finds the reading with the best language-model and channel score. A span that
+   ends in symbols is decoded up to its last letter and as a whole; symbols alone are decoded when
+   they are long enough for a word to cost less (:func:`least_symbols`). Any other span has one
    reading, itself, and is not decoded.
 3. Words and word beginnings of the plain and the restored text are looked up in a sparse
    logistic model, fitted on at most ``sample_rows`` labelled documents of each class.
@@ -139,9 +141,9 @@ def suspicious(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     odd = symbols[last] > symbols[starts]                           # a symbol before it
     tail = (last < ends) & (raw[np.minimum(last, n - 1)] >= 48) & (raw[np.minimum(last, n - 1)] <= 57) & (ends - last == 1)
     run = np.zeros(n + 1, np.int32)
-    np.cumsum(np.concatenate([(raw[2:] == raw[1:-1]) & (raw[1:-1] == raw[:-2]) & letter[2:], [False, False]])[:n], out=run[1:])
-    run3 = run[np.maximum(ends - 2, starts)] > run[starts]
-    pick = odd | tail | run3
+    np.cumsum(np.concatenate([(raw[1:] == raw[:-1]) & letter[1:], [False]]), out=run[1:])
+    run2 = run[ends - 1] > run[starts]
+    pick = odd | tail | run2
     out.append((starts[pick], np.where(tail, ends, last)[pick]))
     s, e = (np.concatenate(x) for x in zip(*out))
     order = np.lexsort((e, s))
@@ -165,6 +167,9 @@ def word_features(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
 CHAIN_STAR = re.compile(rb"(?<=[ .\-_,/\n\t])\*(?=[ .\-_,/\n\t])")
 CHAIN_GAP = re.compile(rb"[ .\-_*,/\n\t]+")
 
+#: Symbols at the end of a span, and what stands between the words of a span read as it is.
+SIGNS, PLAIN = re.compile(rb"[^a-z]$"), re.compile(r"[^a-z]+")
+
 
 def flat(seen: bytes) -> str:
     """A span as :func:`decode` takes it: between single characters any run of separators is one; a star by itself stays a character."""
@@ -174,16 +179,50 @@ def flat(seen: bytes) -> str:
     return seen.replace(b"\n", b" ").replace(b"\t", b" ").decode()
 
 
+def endings(raw: np.ndarray, offs: np.ndarray, longer: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Whole spans of lower-cased bytes that end in symbols: punctuation, or letters by other signs. Of symbols alone: those longer than ``longer``."""
+    starts, ends, _ = common.spans(LETTER[raw] | SYMBOL[raw], offs)
+    letters = np.zeros(len(raw) + 1, np.int32)
+    np.cumsum(LETTER[raw], out=letters[1:])
+    pick = np.where(letters[ends] > letters[starts], ~LETTER[raw[ends - 1]], ends - starts > longer) if len(starts) else np.zeros(0, bool)
+    return starts[pick], ends[pick]
+
+
+def least_symbols(logp: np.ndarray, limit: int = 64) -> int:
+    """Symbols alone, up to this many, read best as themselves under ``logp``: no letters that symbols stand for cost less."""
+    n = charlm.SYMBOLS
+    cost = -logp.astype(float).reshape((n,) * 4)
+    letters = sorted({ord(x) - 96 for xs in LEET.values() for x in xs})
+    best = np.full((n, n, n), np.inf)  # above the price of all symbols as themselves, by the last three characters
+    best[0, 0, 0] = 0.0
+    for k in range(limit):
+        after = np.full((n, n, n), np.inf)
+        after[:, :, 0] = best[:, :, 0]  # boundaries meet
+        after[:, 1:, 0] = np.minimum(after[:, 1:, 0], (best + cost[..., 0])[:, :, 1:].min(axis=0))
+        for x in letters:
+            after[:, :, x] = (best + cost[..., x]).min(axis=0) + SUBSTITUTE - LITERAL
+        best = after
+        if min((best + cost[..., 0])[:, :, 1:].min(), best[1:, :, 0].min(), best[0, 1:, 0].min()) <= 1e-6:
+            return k
+    return limit
+
+
+def words_of(span: bytes) -> str:
+    """The reading of a span whose symbols all mean themselves."""
+    return " ".join(PLAIN.split(span.decode())).strip()
+
+
 class Restorer:
-    """Decodes the suspicious spans of a run of documents; equal spans are decoded once."""
+    """Decodes the spans of a run of documents that leave a choice; equal spans are decoded once."""
 
     def __init__(self, logp: np.ndarray):
-        self.logp, self.known = logp.tolist(), {}
+        self.logp, self.known, self.least = logp.tolist(), {}, least_symbols(logp)
 
     def __call__(self, raw: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, bytes, bytes]]:
         """(document, place, seen, restored) of the spans that change."""
         out = []
-        starts, ends = suspicious(raw, offs)
+        starts, ends = (np.concatenate(x) for x in zip(suspicious(raw, offs), endings(raw, offs, self.least)))
+        starts, ends = np.unique(np.stack([starts, ends]), axis=1) if len(starts) else (starts, ends)
         docs = np.searchsorted(offs, starts, "right") - 1
         for d, s, e in zip(docs.tolist(), starts.tolist(), ends.tolist()):
             seen = raw[s:e].tobytes()
@@ -192,7 +231,9 @@ class Restorer:
                 if len(self.known) > 200_000:
                     self.known.clear()
                 text = self.known[seen] = decode(flat(seen), self.logp).encode()
-            if text != seen:
+            if text != seen and not (SIGNS.search(seen) and text.decode() == words_of(seen)):
+                if out and out[-1][:2] == (d, s - int(offs[d])) and out[-1][3] == text:
+                    continue  # the span without its last symbols reads the same
                 out.append((d, s - int(offs[d]), seen, text))
         return out
 

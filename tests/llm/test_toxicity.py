@@ -157,3 +157,30 @@ def test_chains_stay_in_their_document():
     raw = np.frombuffer(b"m 0 r 0 n1 2 3", np.uint8)
     assert [(a, b) for a, b in zip(*X.suspicious(raw, np.array([0, 9, 14]))) if b - a > 2] == [(0, 9)]
     assert not len(X.suspicious(np.frombuffer(b"1 2 3 4", np.uint8), np.array([0, 7]))[0])
+
+
+ENDINGS = ["shit hits the fan", "an idiot said shit", "you ass", "what a bit", "the ass and the idiot"] * 100
+
+
+@pytest.fixture(scope="module")
+def more():
+    return charlm.log_probabilities(np.bincount(grams(CORPUS + ENDINGS), minlength=charlm.SIZE))
+
+
+@pytest.mark.parametrize("seen,text", [("idi07", "idiot"), ("1d1075", "idiots"), ("a55", "ass"), ("a$$", "ass"), ("shi+", "shit"), ("5h17", "shit"), ("iddiot", "idiot"),
+                                       ("ssttuuppiidd", "stupid"), ("1d1o7", "idiot")])
+def test_symbol_endings_and_doubled_letters_are_decoded(more, seen, text):
+    lp = charlm.log_probabilities(np.bincount(grams(CORPUS + ENDINGS + ["idiots"] * 1000), minlength=charlm.SIZE))
+    assert restored(lp, f"an {seen} there")[seen] == text
+
+
+def test_plain_punctuation_and_numbers_stay(more):
+    assert restored(more, "the end! the moon!! the sun) 100 and 2024, 455 *** end(") == {}
+
+
+def test_symbols_alone_up_to_the_bound_read_as_themselves(more):
+    least, rng = X.least_symbols(more), np.random.default_rng(3)
+    assert least >= 1
+    for _ in range(100):
+        s = "".join(rng.choice(list("0123456789@$!|+("), int(rng.integers(1, int(least) + 1))))
+        assert X.decode(s, more.tolist()) == ""
