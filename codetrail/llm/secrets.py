@@ -1,10 +1,10 @@
 """Secret scan: fixed patterns, and random strings found by their token efficiency.
 
 A byte-pair vocabulary spells ordinary text with several characters a token and random strings
-with hardly more than one. Every run of key characters of at least ``MIN_LENGTH`` whose letters
-and digits mix is encoded with a tiktoken vocabulary; a ratio of characters to tokens below
-``max_ratio`` exposes it, unless it is a known kind of digest or an identifier made of words and
-numbers. Pattern spans always stay; a random string that overlaps one is not reported twice.
+with hardly more than one. Every run of key characters of at least ``MIN_LENGTH`` with a letter
+is encoded with a tiktoken vocabulary; a ratio of characters to tokens below ``max_ratio`` exposes
+it, unless it is a known kind of digest or an identifier made of words and numbers (a word's own
+ratio is at least ``max_ratio``). Pattern spans always stay; a random string that overlaps one is not reported twice.
 
 Runs are found by array operations on the bytes of a batch; only documents with a keyword or a
 long run are looked at one by one. The vocabulary is read by the driver from the given path and
@@ -36,7 +36,7 @@ RUN = re.compile(rb"[A-Za-z0-9+/_=-]+")
 # Digests by their length in hexadecimal digits, and UUIDs (fixed values).
 DIGESTS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(rb"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-#: Parts of an identifier: a word of three letters or more (or one of these short ones), or a number of up to eight digits.
+#: Parts of an identifier: a word (it must also have a word's ratio), or a number of up to eight digits.
 PART = re.compile(rb"[A-Z]?[a-z]{2,}|[A-Z]{3,}(?![a-z])|[0-9]{1,8}(?![0-9])|[_/+=-]+")
 
 
@@ -61,20 +61,6 @@ def is_digest(s: bytes) -> bool:
     return len(s) in DIGESTS and (re.fullmatch(rb"[0-9a-f]+", s) or re.fullmatch(rb"[0-9A-F]+", s)) is not None
 
 
-def is_identifier(s: bytes) -> bool:
-    """Words and numbers, joined by signs, cases or nothing; at most one number for two words."""
-    parts, at = [], 0
-    while at < len(s):
-        m = PART.match(s, at)
-        if not m:
-            return False
-        parts.append(m[0])
-        at = m.end()
-    words = sum(p[:1].isalpha() for p in parts)
-    numbers = sum(p[:1].isdigit() for p in parts)
-    return numbers <= max(1, words) and sum(len(p) for p in parts if p[:1].isalpha()) >= sum(len(p) for p in parts if p[:1].isdigit())
-
-
 class Scanner:
     """Spans of one text at a time; the encoder is made when the first candidate needs it."""
 
@@ -94,11 +80,26 @@ class Scanner:
             self.known[s] = len(s) / max(1, len(self.encoder.encode_ordinary(s.decode())))
         return self.known[s]
 
+    def is_identifier(self, s: bytes) -> bool:
+        """Words and numbers, joined by signs, cases or nothing; at most one number for two words. A word is spelled with as few tokens as words are."""
+        parts, at = [], 0
+        while at < len(s):
+            m = PART.match(s, at)
+            if not m:
+                return False
+            parts.append(m[0])
+            at = m.end()
+        words = [p for p in parts if p[:1].isalpha()]
+        numbers = [p for p in parts if p[:1].isdigit()]
+        if len(numbers) > max(1, len(words)) or sum(map(len, words)) < sum(map(len, numbers)):
+            return False
+        return all(self.ratio(p) >= self.max_ratio for p in words)
+
     def random(self, s: bytes) -> bool:
         core = s.strip(b"=-_/+")
-        if len(core) < MIN_LENGTH or not re.search(rb"[0-9]", core) or not re.search(rb"[A-Za-z]", core):
+        if len(core) < MIN_LENGTH or not re.search(rb"[A-Za-z]", core):
             return False
-        return not is_digest(core) and not is_identifier(core) and self.ratio(core) < self.max_ratio
+        return not is_digest(core) and self.ratio(core) < self.max_ratio and not self.is_identifier(core)
 
     def spans(self, text: bytes, candidate: bool, hexed: bool) -> list[tuple[int, int, int]]:
         """(start, kind, end) in bytes; ``candidate``, ``hexed``: the text may have a random string, a run of hex digits."""

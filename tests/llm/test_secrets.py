@@ -86,3 +86,21 @@ def test_long_runs_cover_every_run():
 
 def test_empty_table(spark):
     assert S.report(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("alphabet,least", [("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 0.97), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789abcdefghijklmnopqrstuvwxyz", 0.97),
+                                            ("abcdefghijklmnopqrstuvwxyz", 0.9), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.9)])
+def test_keys_without_digits_are_exposed(scanner, alphabet, least):
+    rng = np.random.default_rng(8)
+    keys = ["".join(rng.choice(list(alphabet), int(rng.integers(20, 60)))) for _ in range(300)]
+    assert sum(scanner.random(k.encode()) for k in keys) >= least * len(keys)
+
+
+@pytest.mark.parametrize("s", ["qzxkvjwpqhgfzbtrmkqs7", "xqzjvkwpqhgf_zbtrmkqs12"])
+def test_letters_that_are_no_words_make_no_identifier(scanner, s):
+    assert scanner.random(s.encode())
+
+
+@pytest.mark.parametrize("s", ["getElementsByClassNameAndId", "callback/integrations/production/webhooks", "Donaudampfschifffahrtsgesellschaft", "--------------------------", "SOME_LONG_CONSTANT_NAME"])
+def test_words_without_digits_are_not(scanner, s):
+    assert not scanner.random(s.encode())
