@@ -4,7 +4,8 @@ A byte-pair vocabulary spells ordinary text with several characters a token and
 with hardly more than one. Every run of key characters of at least ``MIN_LENGTH`` with a letter
 is encoded with a tiktoken vocabulary; a ratio of characters to tokens below ``max_ratio`` exposes
 it, unless it is a known kind of digest or an identifier made of words and numbers (a word's own
-ratio is at least ``max_ratio``). Pattern spans always stay; a random string that overlaps one is not reported twice.
+ratio is at least ``max_ratio``). Where a run as a whole is not exposed, the parts between its
+signs and their joined neighbours are, so that a path or a query string hides no key. Pattern spans always stay; a random string that overlaps one is not reported twice.
 
 Runs are found by array operations on the bytes of a batch; only documents with a keyword or a
 long run are looked at one by one. The vocabulary is read by the driver from the given path and
@@ -36,6 +37,8 @@ RUN = re.compile(rb"[A-Za-z0-9+/_=-]+")
 # Digests by their length in hexadecimal digits, and UUIDs (fixed values).
 DIGESTS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(rb"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: Parts of a run between '/', '=', '_' and '-'; a UUID is one part.
+BETWEEN = re.compile(rb"(?<![A-Za-z0-9+])" + UUID.pattern + rb"(?![A-Za-z0-9+])|[A-Za-z0-9+]+")
 #: Parts of an identifier: a word (it must also have a word's ratio), or a number of up to eight digits.
 PART = re.compile(rb"[A-Z]?[a-z]{2,}|[A-Z]{3,}(?![a-z])|[0-9]{1,8}(?![0-9])|[_/+=-]+")
 
@@ -61,6 +64,16 @@ def is_digest(s: bytes) -> bool:
     return len(s) in DIGESTS and (re.fullmatch(rb"[0-9a-f]+", s) or re.fullmatch(rb"[0-9A-F]+", s)) is not None
 
 
+def outside(a: int, b: int, base: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The pieces of ``a..b`` that no span of ``base`` (sorted) covers."""
+    out = []
+    for x, y in base:
+        if y > a and x < b:
+            out.append((a, x))
+            a = max(a, y)
+    return [(x, y) for x, y in [*out, (a, b)] if x < y]
+
+
 class Scanner:
     """Spans of one text at a time; the encoder is made when the first candidate needs it."""
 
@@ -101,6 +114,55 @@ class Scanner:
             return False
         return not is_digest(core) and self.ratio(core) < self.max_ratio and not self.is_identifier(core)
 
+    def plain(self, s: bytes) -> bool:
+        """A part that by itself is words and numbers."""
+        return s.isdigit() or self.is_identifier(s)
+
+    def exposed(self, s: bytes) -> list[tuple[int, int]]:
+        """Random stretches of a run: the run, or parts between signs and joined neighbours of ``MIN_LENGTH`` or more."""
+        if self.random(s):
+            return [(0, len(s))]
+        out: list[list[int]] = []
+        parts = [m.span() for m in BETWEEN.finditer(s)]
+        blocked = [is_digest(s[a:b]) for a, b in parts]
+        n, j, wall = len(parts), 0, 0
+        for i in range(n):
+            if blocked[i]:
+                continue
+            j, wall = max(j, i), max(wall, i)
+            while wall < n and not blocked[wall]:  # parts are joined up to the next digest
+                wall += 1
+            while j < n and parts[j][1] - parts[i][0] < MIN_LENGTH:
+                j += 1
+            if j >= wall:
+                continue
+            first, last = i, j
+            if not self.random(s[parts[first][0]:parts[last][1]]):
+                continue
+            while first < last and self.plain(s[slice(*parts[first])]):
+                first += 1
+            while first < last and self.plain(s[slice(*parts[last])]):
+                last -= 1
+            if self.random(s[parts[first][0]:parts[last][1]]):
+                if out and first <= out[-1][1]:
+                    out[-1][1] = max(last, out[-1][1])
+                else:
+                    out.append([first, last])
+        for k, (first, last) in enumerate(out):  # short ends of a key
+            while first > (out[k - 1][1] + 1 if k else 0) and self._joins(s, parts, blocked, first - 1, first):
+                first -= 1
+            while last + 1 < (out[k + 1][0] if k + 1 < len(out) else n) and self._joins(s, parts, blocked, last + 1, last):
+                last += 1
+            out[k] = [first, last]
+        return [(parts[first][0], parts[last][1]) for first, last in out]
+
+    def _joins(self, s: bytes, parts: list[tuple[int, int]], blocked: list[bool], new: int, end: int) -> bool:
+        """Does the part ``new`` carry on the random stretch that ends with its neighbour ``end``?"""
+        if blocked[new] or self.plain(s[slice(*parts[new])]):
+            return False
+        joined = s[min(parts[new][0], parts[end][0]):max(parts[new][1], parts[end][1])]
+        return self.ratio(joined) < self.max_ratio
+
     def spans(self, text: bytes, candidate: bool, hexed: bool) -> list[tuple[int, int, int]]:
         """(start, kind, end) in bytes; ``candidate``, ``hexed``: the text may have a random string, a run of hex digits."""
         out = []
@@ -112,11 +174,14 @@ class Scanner:
         if hexed:
             out += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= 32]
         if candidate:
-            base = list(out)
+            base = sorted((x, y) for x, _, y in out)
             for m in RUN.finditer(text):
                 a, b = m.span()
-                if b - a >= MIN_LENGTH and not any(s < b and a < e for s, _, e in base) and self.random(m[0]):
-                    out.append((a, 3, b))
+                if b - a < MIN_LENGTH:
+                    continue
+                for x, y in outside(a, b, base):
+                    if y - x >= MIN_LENGTH:
+                        out += [(x + f, 3, x + g) for f, g in self.exposed(text[x:y])]
         return sorted(out)
 
 

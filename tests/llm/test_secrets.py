@@ -104,3 +104,36 @@ def test_letters_that_are_no_words_make_no_identifier(scanner, s):
 @pytest.mark.parametrize("s", ["getElementsByClassNameAndId", "callback/integrations/production/webhooks", "Donaudampfschifffahrtsgesellschaft", "--------------------------", "SOME_LONG_CONSTANT_NAME"])
 def test_words_without_digits_are_not(scanner, s):
     assert not scanner.random(s.encode())
+
+
+KEYS = ["xK9vQ2mZ7pL4tR8wB3nY", "xK9vQ2mZ_7pL4tR8wB3nY6cJ1", "qZxKvJwPqHgFzBtRmKqS", "aB3x-K9vQ2mZ7pL4tR8wB3nY6cJ1-Zz9q"]
+
+
+@pytest.mark.parametrize("key", KEYS)
+@pytest.mark.parametrize("before,after", [("callback/integrations/production/webhooks/", ""), ("", "/documents/international/administration/settings"),
+                                          ("application/configuration/environment=", "/production/documents/international"), ("objects/123e4567-e89b-12d3-a456-426614174000/", "")])
+def test_keys_inside_paths_are_exposed(scanner, key, before, after):
+    text = (before + key + after).encode()
+    found = [text[a:b].decode() for a, _, b in scanner.spans(text, True, True)]
+    assert any(key in f for f in found), found
+
+
+def test_only_the_key_of_a_long_path_is_reported(scanner):
+    before = b"documentation/international/administration/integrations/production/webhooks/"
+    text = before + KEYS[0].encode() + b"/documentation/international/administration/settings"
+    assert scanner.spans(text, True, False) == [(len(before), 3, len(before) + len(KEYS[0]))]
+
+
+@pytest.mark.parametrize("s", ["objects/123e4567-e89b-12d3-a456-426614174000/documents/international", "commits/DA39A3EE5E6B4B0D3255BFEF95601890AFD80709/documents/production",
+                               "2024-01-02-release-notes-final", "archive/2024/01/02/documents/international/settings"])
+def test_paths_of_words_and_digests_hide_nothing(scanner, s):
+    assert scanner.spans(s.encode(), True, False) == []
+
+
+def test_keys_beside_a_base_span_are_reported(scanner):
+    text = b"0123456789abcdef0123456789abcdef/" + KEYS[0].encode()
+    assert scanner.spans(text, True, True) == [(0, 2, 32), (32, 3, 53)]
+
+
+def test_outside():
+    assert S.outside(0, 10, []) == [(0, 10)] and S.outside(0, 10, [(2, 4), (3, 6), (9, 12)]) == [(0, 2), (6, 9)] and S.outside(5, 8, [(0, 9)]) == []
