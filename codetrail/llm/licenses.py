@@ -8,8 +8,9 @@ probabilities. A prediction counts if its probability reaches ``threshold`` and
 contains at least ``containment`` of the n-grams of one notice of that family.
 
 A confirmed paragraph therefore holds most n-grams of a notice, and so at least one of the anchor
-words that :func:`anchors` derives from that bound. Paragraphs (lines) without an anchor word
-cannot be confirmed and are not scored; this loses nothing.
+words that :func:`anchors` derives from that bound. A paragraph is a line, or neighbouring lines
+of a block as far as a notice may be wrapped over them (:func:`windows`). Paragraphs without an
+anchor word cannot be confirmed and are not scored; this loses nothing.
 
 DataFrame operations only. Weights and notices are tables of a fixed size.
 """
@@ -190,14 +191,57 @@ def _sum(a: Column) -> Column:
 
 # ---------------------------------------------------------------- scan
 
+#: What stands between blocks of numbered lines: a line without a letter or digit.
+BLANK = r"\n\d+\t[^A-Za-z0-9\n]*(?=\n|\z)"
+
+
 def candidates(docs: DataFrame, id_col: str, text_col: str, containment: float) -> DataFrame:
-    """Per row: its id, a row number, its non-blank paragraphs counted, and those with an anchor word."""
+    """Per row: its id, a row number, its non-blank paragraphs counted, and the blocks of numbered lines that hold an anchor word."""
     text, pattern = F.coalesce(F.col(text_col).cast("string"), F.lit("")), gate(containment)
-    lines = F.transform(F.split(text, "\n"), lambda p, i: F.struct(i.cast("long").alias("paragraph"), p.alias("text")))
+    numbered = F.array_join(F.transform(F.split(text, "\n"), lambda p, i: F.concat(i.cast("string"), F.lit("\t"), p)), "\n")
     return written(docs.select(
         F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"),
         F.regexp_count(text, F.lit(r"\S[^\n]*")).cast("long").alias("n_paragraphs"),
-        F.when(text.rlike(pattern), F.filter(lines, lambda x: x["text"].rlike(pattern))).alias("lines")), "licence-candidates")
+        F.when(text.rlike(pattern), F.filter(F.split(numbered, BLANK), lambda x: x.rlike(pattern))).alias("blocks")), "licence-candidates")
+
+
+def windows(blocks: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
+    """``blocks(row, lines)`` -> ``row, paragraph, last, text``: neighbouring lines with an anchor word that a wrapped notice may take.
+
+    A window goes on until the lines after its first are as long as the longest notice; of its
+    first line the end and of the others the beginning counts, twice that length.
+    """
+    longest = max(len(" ".join("".join(c if c.isascii() and c.isalnum() else " " for c in t.lower()).split())) for _, _, t, _ in notices())
+    most = max(len(t.split()) for _, _, t, _ in notices()) + 1
+    short = blocks.select("row", F.transform("lines", lambda x: F.struct(
+        x["paragraph"].alias("paragraph"), F.trim(F.regexp_replace(F.lower(x["text"]), "[^a-z0-9]+", " ")).alias("text"))).alias("l")).where(F.size("l") > 1)
+    starts = short.select("row", F.posexplode("l").alias("i", "x"), "l").select(
+        "row", "x.paragraph", F.substring(F.col("x.text"), F.greatest(F.length("x.text") - 2 * longest, F.lit(0)) + 1, F.lit(2 * longest)).alias("t"),
+        F.slice("l", F.col("i") + 2, F.lit(most)).alias("next"))
+    empty = F.filter(F.array(F.struct(F.lit(0).cast("long").alias("last"), F.lit("").alias("text"))), lambda x: F.lit(False))
+
+    def grown(acc: Column, y: Column) -> Column:
+        t = F.concat(acc["t"], F.lit(" "), F.substring(y["text"], 1, 2 * longest))
+        return F.when(acc["n"] >= longest, acc).otherwise(F.struct(
+            t.alias("t"), (acc["n"] + F.length(y["text"])).alias("n"), F.concat(acc["w"], F.array(F.struct(y["paragraph"].alias("last"), t.alias("text")))).alias("w")))
+
+    grow = F.aggregate("next", F.struct(F.col("t").alias("t"), F.lit(0).alias("n"), empty.alias("w")), grown, lambda acc: acc["w"])
+    return starts.select("row", "paragraph", F.explode(grow).alias("w")).select("row", "paragraph", "w.last", "w.text").where(F.col("text").rlike(gate(containment)))
+
+
+def wrapped(found: DataFrame, lines: DataFrame) -> DataFrame:
+    """The windows ``found`` that stand for a notice each: without a line of the family that is confirmed alone, and without overlaps.
+
+    Of overlapping windows the one that contains most of its notice stays, then the shortest, then the first.
+    """
+    each = found.select("row", "family", "last", F.explode(F.sequence("paragraph", "last")).alias("paragraph"), F.col("paragraph").alias("first"))
+    told = each.join(lines.select("row", "paragraph", "family"), ["row", "paragraph", "family"], "left_semi").select("row", F.col("first").alias("paragraph"), "last").distinct()
+    order = F.struct((-F.col("contained")).alias("c"), (F.col("last") - F.col("paragraph")).alias("n"), "paragraph", "last", "family", "probability")
+    rows = found.join(told, ["row", "paragraph", "last"], "left_anti").groupBy("row").agg(F.array_sort(F.collect_list(order)).alias("w"))
+    apart = lambda x, y: (x["last"] < y["paragraph"]) | (y["last"] < x["paragraph"])
+    kept = F.aggregate("w", F.filter("w", lambda x: F.lit(False)),
+                       lambda acc, x: F.when(F.forall(acc, lambda y: apart(x, y)), F.concat(acc, F.array(x))).otherwise(acc))
+    return rows.select("row", F.explode(kept).alias("x")).select("row", "x.paragraph", "x.family", "x.probability")
 
 
 def classify(paragraphs: DataFrame, keys: list[str], model: Classifier, containment: float = CONTAINMENT, threshold: float = THRESHOLD) -> DataFrame:
@@ -221,17 +265,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     """Licences of every row: ``<id_col>, n_paragraphs, n_licensed, families, family, probability, paragraph``.
 
     ``families``: distinct confirmed families, sorted, comma-joined; ``family``, ``probability``
-    and ``paragraph`` (number of the line, from 0): the likeliest, then the first; null without
-    one. Null and empty texts have no paragraph. Every row gives one result row, repeated rows
+    and ``paragraph`` (number of the line, from 0; of a wrapped notice its first): the likeliest,
+    then the first; null without one. ``n_licensed`` counts confirmed lines and wrapped notices. Null and empty texts have no paragraph. Every row gives one result row, repeated rows
     too; an empty table gives none; other columns are ignored.
     """
     model = train(docs, text_col, sample)
     held = candidates(docs, id_col, text_col, containment)
-    lines = held.where("lines is not null").select("row", F.explode("lines").alias("x")).select("row", "x.paragraph", "x.text")
-    found = classify(lines, ["row", "paragraph"], model, containment, threshold)
+    parts = F.transform(F.filter(F.split("block", "\n"), lambda x: x != ""), lambda x: F.struct(
+        F.substring_index(x, "\t", 1).cast("long").alias("paragraph"), F.substring(x, F.instr(x, "\t") + 1, F.length(x)).alias("text")))
+    blocks = held.where("blocks is not null").select("row", F.explode("blocks").alias("block")).select("row", parts.alias("lines"))
+    lines = blocks.select("row", F.explode("lines").alias("x")).select("row", "x.paragraph", "x.text").where(F.col("text").rlike(gate(containment)))
+    alone = written(classify(lines, ["row", "paragraph"], model, containment, threshold).select("row", "paragraph", "family", "probability"), "licence-lines")
+    several = classify(written(windows(blocks, containment), "licence-windows"), ["row", "paragraph", "last"], model, containment, threshold)
+    several = wrapped(written(several.select("row", "paragraph", "last", "family", "probability", "contained"), "licence-wrapped"), alone)
+    found = alone.unionByName(several)
     best = F.min(F.struct((-F.col("probability")).alias("p"), "paragraph", "family")).alias("best")
     rows = found.groupBy("row").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("family")).alias("f"), best)
-    return held.drop("lines").join(rows, "row", "left").select(
+    return held.drop("blocks").join(rows, "row", "left").select(
         F.col("id").alias(id_col), "n_paragraphs", F.coalesce("n", F.lit(0).cast("long")).alias("n_licensed"),
         F.coalesce(F.array_join("f", ","), F.lit("")).alias("families"), F.col("best.family").alias("family"),
         (-F.col("best.p")).alias("probability"), F.col("best.paragraph").alias("paragraph"))

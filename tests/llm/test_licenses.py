@@ -94,3 +94,26 @@ def test_cases(spark):
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "All rights reserved.", "f", 1, "g")], SCHEMA)
     assert not re.search("Python|Pandas|Arrow", L.scan(df)._jdf.queryExecution().toString())
+
+
+def test_wrapped_notices(spark):
+    import textwrap
+
+    long = [(f, t) for _, f, t, _ in L.notices() if len(t) > 90]
+    rows, want = [], {}
+    for width in (30, 50, 72):
+        for lead in ("", "# "):
+            for f, t in long:
+                lines = [lead + x for x in textwrap.wrap(t, width)]
+                if len(lines) > 1:
+                    k = len(rows)
+                    rows.append((k, "\n".join(["Some words about the weather.", "", *lines, lead.strip(), "The end of the matter."])))
+                    want[k] = f
+    gpl, mit = (textwrap.wrap(next(t for f, t in long if f == x), 60) for x in ("GPL", "MIT"))
+    rows += [(1000, "\n".join([*gpl, "", *mit])), (1001, "\n".join(["Words before it stand here.", *gpl, "Released under the MIT License.", "and more"])),
+             (1002, "\n".join(["Released under the MIT License.", "It may be used by everybody.", "x"])), (1003, "\n".join([*mit, *mit])),
+             (1004, "\n".join(["This program is free software: " + gpl[0], *gpl[1:], "either version 3 of the License"]))]
+    got = {r.doc_id: r for r in L.scan(spark.createDataFrame([(i, t, "f", 1, "g") for i, t in rows], SCHEMA).repartition(3)).collect()}
+    assert {k: got[k].families for k in want} == want
+    assert all(got[k].n_licensed == 1 and got[k].paragraph == 2 for k in want), [(rows[k], got[k]) for k in want if got[k].n_licensed != 1 or got[k].paragraph != 2]
+    assert [(got[k].n_licensed, got[k].families) for k in range(1000, 1005)] == [(2, "GPL,MIT"), (2, "GPL,MIT"), (1, "MIT"), (2, "MIT"), (1, "GPL")]
