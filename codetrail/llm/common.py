@@ -14,8 +14,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from codetrail.session import scratch_path
-
 #: Bytes of text that one vectorised step holds.
 SLICE = 1 << 19
 #: The same where each step adds a whole table of counts.
@@ -53,6 +51,9 @@ def small_batches(spark: SparkSession):
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
+    # imported here: task functions carry this module by value and must not name the package
+    from codetrail.session import scratch_path
+
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with small_batches(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import decontaminate, langid, licenses, quality, secrets, token_count, toxicity
 from .common import table
 from .exact_dedup import exact_dedup
+from .filter_audit import audit
 from .mixing import mix
 from .simhash_dedup import simhash_dedup
 
@@ -51,7 +52,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op8_token_count, op9_quality, op10_exact_dedup)}
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op8_token_count, op9_quality, op10_exact_dedup, op12_filter_audit)}
 
 ORACLE_SQL = {
     "op3_decontaminate": r"""
@@ -120,4 +125,40 @@ ORACLE_SQL = {
         FROM n
         WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id ASC NULLS LAST)
     """,
+    "op12_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        firsts AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+        marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        flags AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   MAP {'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w),
+                        'C': 100 * len(regexp_extract_all(d.t, '[A-Z]')) > 10 * length(d.t),
+                        'D': regexp_matches(d.t, '[#$%&*|]'), 'E': coalesce(doc_id > first, false)} AS fails
+            FROM d JOIN firsts ON d.t = firsts.t LEFT JOIN marks USING (doc_id)),
+        letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+        orders AS (
+            SELECT a.x || b.x || c.x || e.x || f.x AS o
+            FROM letters a, letters b, letters c, letters e, letters f
+            WHERE len(list_distinct([a.x, b.x, c.x, e.x, f.x])) = 5),
+        cells AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM flags GROUP BY part, fails),
+        steps AS (
+            SELECT part, o, s, o[s] AS f, n, good, toxic, fails[o[s]] AS bad,
+                   len(list_filter(range(1, s), lambda i: fails[o[i]])) > 0 AS gone,
+                   len(list_filter(map_values(fails), lambda b: b)) AS n_bad
+            FROM cells, orders, range(1, 6) AS r(s)),
+        sums AS (
+            SELECT part, o AS filter_order, s, f,
+                   coalesce(sum(n) FILTER (WHERE NOT gone AND NOT bad), 0) AS kept, coalesce(sum(n) FILTER (WHERE NOT gone AND bad), 0) AS removed,
+                   coalesce(sum(n) FILTER (WHERE gone AND bad), 0) AS redundant, coalesce(sum(n) FILTER (WHERE bad AND n_bad = 1), 0) AS unique_fails,
+                   coalesce(sum(good) FILTER (WHERE NOT gone AND bad), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE NOT gone AND bad), 0) AS toxic_lost
+            FROM steps GROUP BY ALL)
+        SELECT part, filter_order, CAST(s AS INTEGER) AS step, f AS filter, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+        FROM sums
+    """,
 }
