@@ -9,6 +9,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .filter_audit import audit
 from .mixing import mix
+from .prefix_trie import prefix_trie
 from .simhash_dedup import simhash_dedup
 
 
@@ -56,7 +57,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op8_token_count, op9_quality, op10_exact_dedup, op12_filter_audit)}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"), every=5, heads=9)
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op8_token_count, op9_quality, op10_exact_dedup, op12_filter_audit, op13_prefix_trie)}
 
 ORACLE_SQL = {
     "op3_decontaminate": r"""
@@ -161,4 +166,35 @@ ORACLE_SQL = {
                CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
         FROM sums
     """,
+    "op13_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                      md5(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT c, list({'r': role, 't': text} ORDER BY pos) AS turns FROM t GROUP BY c),
+        -- CRC-32 of the decimal id, bit by bit
+        h AS (
+            SELECT c, turns, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                       lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                                lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 9 AS h
+            FROM own),
+        paths AS (
+            SELECT h.c, list_concat(coalesce(b.turns, [])[1:h.h], h.turns[h.h + 1:]) AS path
+            FROM h LEFT JOIN own b ON b.c = h.c - h.c % 5),
+        steps AS (SELECT c, d, path[1:d] AS k, len(path) AS n FROM (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM paths)),
+        nodes AS (
+            SELECT d, k, min(c) AS first, count(*) AS n, bool_and(n = d) AS childless,
+                   (count(*) - 1) * (CASE WHEN d = 0 THEN 0 ELSE strlen(k[d].t) END) AS saves,
+                   coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends
+            FROM steps GROUP BY d, k),
+        sums AS (
+            SELECT s.d, s.k, sum(saves) AS saved, count(*) FILTER (WHERE childless) AS leaves
+            FROM nodes x JOIN steps s ON s.c = x.first AND s.d <= x.d GROUP BY s.d, s.k),
+        kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL)
+        SELECT x.first AS conv_id, x.d AS depth, p.first AS parent_conv_id, x.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+               sums.leaves AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+        FROM nodes x JOIN sums ON sums.d = x.d AND sums.k = x.k LEFT JOIN kids ON kids.d = x.d AND kids.k = x.k
+        LEFT JOIN nodes p ON p.d = x.d - 1 AND p.k = x.k[1:x.d - 1]
+    """,
 }
