@@ -9,6 +9,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .filter_audit import audit
 from .mixing import mix
+from .ngram_join import ngram_join
 from .prefix_trie import prefix_trie
 from .simhash_dedup import simhash_dedup
 
@@ -53,6 +54,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"), shingle=4, threshold=85)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,7 +66,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"), every=5, heads=9)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op8_token_count, op9_quality, op10_exact_dedup, op12_filter_audit, op13_prefix_trie)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash_dedup, op3_decontaminate, op4_mixing, op5_licenses, op6_language_id, op7_secrets, op8_token_count, op9_quality, op10_exact_dedup, op11_ngram_join, op12_filter_audit, op13_prefix_trie)}
 
 ORACLE_SQL = {
     "op3_decontaminate": r"""
