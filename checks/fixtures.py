@@ -223,7 +223,7 @@ def fixture_catalog(spark: SparkSession, sf_dir: str):
     return SourceCatalog(fixture_root(spark, sf_dir))
 
 
-_MATERIALIZED: dict[tuple[int, str], dict[str, str]] = {}
+_MATERIALIZED: dict[tuple[str, str], dict[str, str]] = {}
 
 
 def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -233,7 +233,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     from codetrail.session import hadoop_fs
 
     use_utc(spark)
-    memo = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    memo = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if memo in _MATERIALIZED:
         return _MATERIALIZED[memo]
     cat = fixture_catalog(spark, sf_dir)

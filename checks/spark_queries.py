@@ -51,13 +51,13 @@ def tra_full(spark, sf_dir, ta: DataFrame | None = None) -> DataFrame:
                                  A.attribution_keys(ta, P.FLOORS))
 
 
-_MODEL_TABLES: dict[tuple[int, str], MD.ModelPaths] = {}
+_MODEL_TABLES: dict[tuple[str, str], MD.ModelPaths] = {}
 
 
 def model_tables(spark, sf_dir) -> MD.ModelPaths:
     """The first two models as written tables, built once for each session and data folder; the daily
     metric reads them, so calldata is decoded once, by the model that owns it."""
-    memo = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    memo = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if memo not in _MODEL_TABLES:
         paths = MD.ModelPaths.under(scratch_path(spark, "models"))
         MD.run_transactions(spark, tx_source(spark, sf_dir), paths.transactions_attributed, None, P.FLOORS)
@@ -481,36 +481,41 @@ def q_stream_attributed(spark, sf_dir):
     return portable(read_tx_table(spark, f"{root}/transactions_attributed"))
 
 
-def _deliver(df: DataFrame, path: str) -> None:
-    """One file that arrives after the ones before it."""
-    df.coalesce(1).write.mode("append").parquet(path)
+def _deliver(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Rows that arrive after the ones before them, in Spark's own files."""
+    w = df.write.mode("append")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
 
 
 def q_stream_dedup(spark, sf_dir):
-    """Four micro-batches, the newest days first, then everything once more: nothing is too late."""
+    """The newest days first, then older ones, then everything once more: nothing is too late."""
     root = scratch_path(spark, "stream-dedup")
     src = f"{root}/source"
     tx, day = tx_source(spark, sf_dir), F.dayofmonth("block_date")
     for part in (tx.where(day > 20), tx.where((day > 10) & (day <= 20)), tx.where(day <= 10), tx.unionByName(tx.where(day == 7))):
         _deliver(part, src)
-    q = ST.start_transactions_stream(spark, src, f"{root}/transactions_attributed", f"{root}/_checkpoint",
-                                     P.FLOORS, dedup=True, max_files_per_trigger=1)
-    q.awaitTermination()
+        ST.start_transactions_stream(spark, src, f"{root}/transactions_attributed", f"{root}/_checkpoint",
+                                     P.FLOORS, dedup=True).awaitTermination()
     return portable(read_tx_table(spark, f"{root}/transactions_attributed"))
 
 
 def q_stream_daily(spark, sf_dir):
-    """Transfers of some days arrive after their transactions' micro-batch, and touch their days again."""
+    """Transfers of some days, then prices of others, arrive after their days' micro-batch and touch them again."""
     root = scratch_path(spark, "stream-daily")
     paths = MD.ModelPaths.under(root)
-    tr, day = transfer_source(spark, sf_dir), F.dayofmonth("block_date")
-    late, ckpt = f"{root}/transfers", f"{root}/_checkpoint"
-    start = lambda: ST.start_daily_stream(spark, _tx_dir(spark, sf_dir), late, price_source(spark, sf_dir), paths, ckpt,
-                                          P.CHAIN, P.FLOORS, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
-    _deliver(tr.where(day % 3 != 0), late)
-    start().awaitTermination()
-    _deliver(tr.where(day % 3 == 0), late)
-    start().awaitTermination()
+    tr, pr = transfer_source(spark, sf_dir), price_source(spark, sf_dir)
+    day, price_day = F.dayofmonth("block_date"), F.dayofmonth("timestamp")
+    late, prices, ckpt = f"{root}/transfers", f"{root}/prices", f"{root}/_checkpoint"
+
+    def arrive(transfers, price_rows):
+        if transfers is not None:
+            _deliver(transfers, late, S.TRANSFER_PARTITION)
+        _deliver(price_rows, prices)
+        ST.start_daily_stream(spark, _tx_dir(spark, sf_dir), late, prices, paths, ckpt, P.CHAIN, P.FLOORS).awaitTermination()
+
+    arrive(tr.where(day % 3 != 0), pr.where(price_day % 4 == 0))
+    arrive(tr.where(day % 3 == 0), pr.where(price_day % 4 == 1))
+    arrive(None, pr.where(price_day % 4 > 1))
     return daily_output(spark.read.schema(S.DAILY_METRIC).parquet(paths.daily_metric))
 
 

@@ -24,6 +24,7 @@ are refused) and the pass/fail counts of the key checks.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 from dataclasses import dataclass
@@ -32,7 +33,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codetrail.functions.literals import isin
+from codetrail.functions.literals import isin, typed_lit
 from codetrail.session import ensure_conf, hadoop_fs, path_exists
 
 #: Partition values that one upsert may touch (they are listed on the driver).
@@ -186,20 +187,35 @@ def _delete_partitions(spark: SparkSession, path: str, columns: list[str], value
         fs.delete(folder, True)
 
 
-def _in_partitions(columns: list[str], values: list[tuple]) -> Column:
-    """Rows of the given partitions; literals, so the scan prunes directories."""
+def _partition_text(v) -> str | None:
+    """A partition value as Spark casts it to text; None if only Spark can tell."""
+    if v is None:
+        return NULL_DIRECTORY
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (str, int)):
+        return str(v)
+    if isinstance(v, dt.date) and not isinstance(v, dt.datetime):
+        return v.isoformat()
+    return None
+
+
+def _partition_key(columns) -> Column:
+    """The partition columns as one text, nulls included."""
+    return F.concat_ws("\x01", *[F.coalesce(c.cast("string"), F.lit(NULL_DIRECTORY)) for c in columns])
+
+
+def in_partitions(columns: list[str], values: list[tuple]) -> Column:
+    """Rows of the given partitions: one IN list whatever their number, over partition columns only, so the scan prunes directories."""
+    cols = [F.col(f"`{c}`") for c in columns]
     if len(columns) == 1:
-        c = F.col(f"`{columns[0]}`")
         some = [v[0] for v in values if v[0] is not None]
-        cond = isin(c, some) if some else F.lit(False)
-        return cond | c.isNull() if len(some) < len(values) else cond
-    by_first: dict = {}
-    for first, *rest in values:
-        by_first.setdefault(first, []).append(tuple(rest))
-    cond = F.lit(False)
-    for first, rest in by_first.items():
-        cond = cond | (_in_partitions(columns[:1], [(first,)]) & _in_partitions(columns[1:], rest))
-    return cond
+        cond = isin(cols[0], some) if some else F.lit(False)
+        return cond | cols[0].isNull() if len(some) < len(values) else cond
+    texts = [[_partition_text(x) for x in v] for v in values]
+    wanted = ["\x01".join(t) if None not in t else _partition_key([typed_lit(x) if x is not None else F.lit(None) for x in v])
+              for t, v in zip(texts, values)]
+    return _partition_key(cols).isin(wanted) if wanted else F.lit(False)
 
 
 def check_schema(spark: SparkSession, path: str, batch: DataFrame, partition_by: list[str]) -> None:
@@ -290,12 +306,12 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
         return UpsertResult(path, strategy, True, _plain(parts, touched), [], rows)
 
     candidates = _order(v for v, n in by_value.items() if not n)   # old rows only, nothing new
-    scope = target.where(_in_partitions(parts, touched)) if touched else target.limit(0)
+    scope = target.where(in_partitions(parts, touched)) if touched else target.limit(0)
     kept = _kept(scope, key_df, keys, target_predicate)
 
     emptied: list = []
     if candidates:
-        alive = {tuple(r) for r in kept.where(_in_partitions(parts, candidates)).select(*[F.col(f"`{c}`") for c in parts]).distinct().collect()}
+        alive = {tuple(r) for r in kept.where(in_partitions(parts, candidates)).select(*[F.col(f"`{c}`") for c in parts]).distinct().collect()}
         emptied = [v for v in candidates if v not in alive]
 
     new = kept.unionByName(batch)
@@ -336,6 +352,34 @@ def replace_where(spark: SparkSession, batch: DataFrame, path: str, predicate: C
         batch.unpersist()
 
 
+def replace_partitions(spark: SparkSession, batch: DataFrame, path: str, partition_by: str, values: list) -> UpsertResult:
+    """Replace whole partitions by the batch: its rows are all that the partitions ``values`` hold afterwards.
+
+    No key is looked up, so nothing of the target is read, and rows that vanished are removed.
+    Every row of the batch must lie in ``values``.
+    """
+    ensure_conf(spark)
+    if len(values) > MAX_PARTITIONS:
+        raise TooManyPartitions(f"{len(values)} partitions of {path} are to be replaced, more than {MAX_PARTITIONS}")
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = {r[0]: r["n"] for r in batch.groupBy(F.col(f"`{partition_by}`")).agg(F.count(F.lit(1)).alias("n")).limit(len(values) + 1).collect()}
+        if not counts.keys() <= set(values):
+            raise ValueError(f"rows of the batch lie outside the replaced partitions of {path}")
+        first = not path_exists(spark, path)
+        if not first:
+            check_schema(spark, path, batch, [partition_by])
+        if counts or first:
+            (balanced(batch, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(partition_by).parquet(path))
+        emptied = [v for v in values if v not in counts]
+        if not first:
+            _delete_partitions(spark, path, [partition_by], [(v,) for v in emptied])
+        return UpsertResult(path, "replace", first, sorted(counts), emptied, sum(counts.values()))
+    finally:
+        batch.unpersist()
+
+
 def _kept(scope: DataFrame, key_df: DataFrame, keys: list[str], target_predicate: Column | None) -> DataFrame:
     if target_predicate is None:
         return scope.join(key_df, keys, "left_anti")
@@ -401,43 +445,40 @@ def file_counts(spark: SparkSession, path: str, partition_by: str | list[str]) -
 
 
 def compact(spark: SparkSession, path: str, partition_by: str | list[str], max_files: int = 4,
-            target_file_bytes: int = 128 * 1024 * 1024) -> list[str]:
+            target_file_bytes: int = 128 * 1024 * 1024, round_partitions: int = 10_000) -> list[str]:
     """K9: rewrite fragmented partitions into files of about ``target_file_bytes``.
 
     A partition is fragmented if it has more than ``max_files`` files and more than its bytes
     need. Its rows are dealt by hash to just as many tasks as it needs files, so a second call
-    finds nothing to do. Returns the rewritten partition directories.
+    finds nothing to do. Any number of partitions is handled, ``round_partitions`` in one job.
+    Returns the rewritten partition directories.
     """
     from urllib.parse import unquote
 
     columns = _cols(partition_by)
     ensure_conf(spark)
     need = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_file_bytes)).cast("int")
-    chosen = (file_counts(spark, path, columns).withColumn("need", need)
-              .where((F.col("files") > max_files) & (F.col("files") > F.col("need"))).limit(MAX_PARTITIONS).collect())
-    if not chosen:
-        return []
+    done: set[str] = set()
+    while True:
+        chosen = (file_counts(spark, path, columns).withColumn("need", need)
+                  .where((F.col("files") > max_files) & (F.col("files") > F.col("need"))).limit(round_partitions).collect())
+        chosen = [r for r in chosen if r["directory"] not in done]   # a partition that stays fragmented is not tried again
+        if not chosen:
+            return sorted(d.strip("/") for d in done)
+        done |= {r["directory"] for r in chosen}
+        _compact_some(spark, path, columns, {tuple(unquote(x.split("=", 1)[1]) for x in r["directory"].strip("/").split("/")): r["need"] for r in chosen})
+
+
+def _compact_some(spark: SparkSession, path: str, columns: list[str], plan: dict[tuple, int]) -> None:
+    """Rewrite the partitions (directory values as text) into so many files each."""
     target = spark.read.parquet(path)
     dtypes = dict(target.dtypes)
-    plan = {}
-    for r in chosen:
-        names = [unquote(x.split("=", 1)[1]) for x in r["directory"].strip("/").split("/")]
-        plan[tuple(None if n == NULL_DIRECTORY else n for n in names)] = r["need"]
-    values = list(plan)
-    wanted = spark.createDataFrame([(*v, n) for v, n in plan.items()], ", ".join([*(f"_p{i} string" for i in range(len(columns))), "_need int"]))
-    typed = [[F.lit(v).cast(dtypes[c]) if v is not None else None for v, c in zip(vs, columns)] for vs in values]
-    cond = F.lit(False)
-    for vs in typed:
-        one = F.lit(True)
-        for v, c in zip(vs, columns):
-            one = one & (F.col(f"`{c}`").isNull() if v is None else F.col(f"`{c}`") == v)
-        cond = cond | one
-    rows = target.where(cond)
-    dealt = rows.join(F.broadcast(wanted), [F.col(f"`{c}`").cast("string").eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(columns)])
+    key = _partition_key([F.col(f"`{c}`") for c in columns])
+    names = {"\x01".join(v): n for v, n in plan.items()}
+    wanted = spark.createDataFrame(list(names.items()), "_key string, _need int")
+    dealt = target.where(key.isin(list(names))).withColumn("_key", key).join(F.broadcast(wanted), "_key")
     plain = [F.col(f"`{c}`") for c, t in dtypes.items() if "map<" not in t and c not in columns]
     dealt = dealt.withColumn("_file", F.pmod(F.xxhash64(*plain), F.col("_need")))
-    n = sum(plan.values())
-    (dealt.repartition(n, *[F.col(f"`{c}`") for c in columns], F.col("_file"))
+    (dealt.repartition(sum(plan.values()), "_key", "_file")
      .select(*[F.col(f"`{c}`") for c in target.columns]).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path))
-    return sorted(r["directory"].strip("/") for r in chosen)

@@ -9,19 +9,21 @@
   upsert. No state is kept and no row is ever too late. ``target_days`` bounds how far back the
   upsert looks for old rows.
 * :func:`start_daily_stream` (T7): exact ``COUNT(DISTINCT)`` is not available on streams, so
-  each micro-batch recomputes the *days it touched* from the written tables -- transfers of
-  those days re-attributed against transactions of the same days (a transfer shares its
-  transaction's block and so its ``block_date``), then the daily metric of those days --
-  and replaces those days, including days that became empty. Both transactions and transfers
-  that arrive touch their days. The touched days are the only driver-side value.
+  each micro-batch recomputes the *days it touched* from the written tables. Transactions,
+  transfers and prices are one stream of arrivals, and each arrival touches its day: a price that
+  comes after its day's batch repairs that day's fees. The touched days are kept in a table, the
+  day log (day, source, batch), and a batch recomputes what its log rows say: transfers of days
+  touched by transactions or transfers are re-attributed (a transfer shares its transaction's block
+  and so its ``block_date``), and the daily metric of all touched days is replaced, including days
+  that became empty. All three sources are read inside the batch, as they are by then.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from codetrail.functions.literals import isin, typed_lit
@@ -30,7 +32,7 @@ from codetrail import schemas
 from codetrail.functions.windows import Floors
 from codetrail.operators import attribution, metrics, upsert
 from codetrail.plans.models import ModelPaths
-from codetrail.session import ensure_conf
+from codetrail.session import ensure_conf, path_exists
 from codetrail.sources.catalog import read_table
 
 
@@ -56,8 +58,8 @@ def attributed_stream(stream: DataFrame, floors: Floors = Floors()) -> DataFrame
 
 def _upsert_batch(rows: DataFrame, target: str, dedup: bool, as_of_days: int | None) -> upsert.UpsertResult:
     """One micro-batch of attributed transactions into the table."""
-    if dedup:
-        rows = rows.dropDuplicates(schemas.TX_KEY)
+    if dedup:  # the latest of differing duplicates stays, whatever the order of arrival
+        rows = upsert.dedupe_latest(rows, schemas.TX_KEY, ["block_time", "block_number"])
     predicate = None
     if as_of_days is not None:
         last = rows.agg(F.max("block_date")).first()[0]
@@ -88,52 +90,86 @@ def start_transactions_stream(spark: SparkSession, source_dir: str, target: str,
     return _start(out, write_batch, checkpoint, available_now)
 
 
+#: The day log: which source touched which day in which micro-batch.
+DAY_LOG = T.StructType([T.StructField("day", T.DateType()), T.StructField("source", T.StringType()), T.StructField("batch", T.LongType())])
+
+
+def day_log(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, DAY_LOG)
+
+
+def log_days(spark: SparkSession, path: str, batch: int, touched: DataFrame) -> list:
+    """Write the touched ``(day, source)`` of a micro-batch and return them as rows. A batch that is run again replaces its rows."""
+    (touched.where("day is not null").distinct().withColumn("batch", F.lit(batch).cast("long")).coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+    found = day_log(spark, path).where(F.col("batch") == batch).limit(upsert.MAX_PARTITIONS + 1).collect()
+    if len(found) > upsert.MAX_PARTITIONS:
+        raise upsert.TooManyPartitions(f"batch {batch} touches more than {upsert.MAX_PARTITIONS} days")
+    return found
+
+
+def _in_days(column: str, days: list) -> Column:
+    """Instants of the given days: a range that reaches the scan, and one IN list."""
+    ts = F.col(column)
+    first, last = (dt.datetime.combine(x, dt.time()) for x in (min(days), max(days) + dt.timedelta(days=1)))
+    return (ts >= typed_lit(first)) & (ts < typed_lit(last)) & isin(F.to_date(ts), days)
+
+
 def recompute_days(spark: SparkSession, days: list, transfers_source: DataFrame, prices: DataFrame,
-                   paths: ModelPaths, chain: str = "celo", floors: Floors = Floors()) -> None:
-    """Rebuild transfers_attributed and the daily metric for ``days`` (dates) from the tables."""
+                   paths: ModelPaths, chain: str = "celo", floors: Floors = Floors(), attribute: list | None = None) -> None:
+    """Rebuild transfers_attributed for the days ``attribute`` (default: all) and the daily metric for ``days`` (dates) from the tables."""
     if not days:
         return
-    ta = read_table(spark, paths.transactions_attributed, schemas.TX_ATTRIBUTED).where(
-        isin(F.col("block_date"), days))
-    tr = attribution.select_transfers(transfers_source.where(isin(F.col("block_date"), days)), chain, floors)
-    keys = attribution.attribution_keys(ta, floors)
-    tra_batch = attribution.attribute_transfers(tr, keys)
-    upsert.delete_insert(spark, tra_batch, paths.transfers_attributed, schemas.TRANSFER_KEY,
-                         schemas.TRANSFER_PARTITION)
-    tra = read_table(spark, paths.transfers_attributed, schemas.TRANSFERS_ATTRIBUTED).where(
-        isin(F.col("block_date"), days))
-    # ranges of the timestamp, so the bound reaches the scan
-    midnights = [dt.datetime.combine(x, dt.time()) for x in days]
-    ts, in_day = F.col("timestamp"), F.lit(False)
-    for m in midnights:
-        in_day = in_day | ((ts >= typed_lit(m)) & (ts < typed_lit(m + dt.timedelta(days=1))))
-    dm = metrics.daily_metrics(tra, ta, prices.where(in_day), chain, floors, None)
+    attribute = days if attribute is None else attribute
+    ta = read_table(spark, paths.transactions_attributed, schemas.TX_ATTRIBUTED)
+    in_days = lambda some: isin(F.col("block_date"), some)
+    if attribute:
+        tr = attribution.select_transfers(transfers_source.where(in_days(attribute)), chain, floors)
+        keys = attribution.attribution_keys(ta.where(in_days(attribute)), floors)
+        upsert.replace_partitions(spark, attribution.attribute_transfers(tr, keys), paths.transfers_attributed,
+                                  schemas.TRANSFER_PARTITION, attribute)
+    tra = read_table(spark, paths.transfers_attributed, schemas.TRANSFERS_ATTRIBUTED) if path_exists(spark, paths.transfers_attributed) \
+        else spark.createDataFrame([], schemas.TRANSFERS_ATTRIBUTED)
+    dm = metrics.daily_metrics(tra.where(in_days(days)), ta.where(in_days(days)), prices.where(_in_days("timestamp", days)), chain, floors, None)
     # Replace the whole days of the list: a (day, code), or a day, that vanished is removed too.
-    upsert.replace_where(spark, dm, paths.daily_metric, isin(F.col("day"), midnights))
+    upsert.replace_where(spark, dm, paths.daily_metric, _in_days("day", days))
 
 
-def start_daily_stream(spark: SparkSession, source_dir: str, transfers_dir: str, prices: DataFrame,
+def start_daily_stream(spark: SparkSession, source_dir: str, transfers_dir: str, prices_dir: str,
                        paths: ModelPaths, checkpoint: str, chain: str = "celo", floors: Floors = Floors(),
                        max_files_per_trigger: int | None = MAX_FILES, available_now: bool = True,
                        target_days: int | None = None) -> StreamingQuery:
-    """Transactions and transfers that arrive -> tx table upsert -> exact recompute of the touched days.
+    """Transactions, transfers and prices that arrive -> tx table upsert -> exact recompute of the touched days.
 
-    One query over both sources, so the tables have a single writer. Transfers are read again
-    from ``transfers_dir`` for the touched days, with what has arrived by then.
+    One query over the three sources, so the tables have a single writer. Transfers and prices are
+    read again from their folders for the touched days, with what has arrived by then; transfers in
+    ``block_date=`` directories are pruned to those days. The day log lies beside the daily table.
     """
     tx = read_transactions_stream(spark, source_dir, max_files_per_trigger)
     tr = read_stream(spark, transfers_dir, schemas.TRANSFERS, max_files_per_trigger)
-    arrivals = tx.select(F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("tx"), F.lit(None).cast("date").alias("day")).unionByName(
-        tr.select(F.lit(None).cast(schemas.TRANSACTIONS).alias("tx"), F.col("block_date").alias("day")))
+    pr = read_stream(spark, prices_dir, schemas.PRICES, max_files_per_trigger).where(F.col("blockchain") == chain)
+    none = F.lit(None).cast(schemas.TRANSACTIONS)
 
-    def write_batch(rows: DataFrame, _: int) -> None:
+    def arrival(df: DataFrame, source: str, row: Column, day: Column) -> DataFrame:
+        return df.select(row.alias("tx"), day.cast("date").alias("day"), F.lit(source).alias("source"))
+
+    arrivals = (arrival(tx, "transactions", F.struct(*[F.col(f"`{c}`") for c in tx.columns]), F.lit(None))
+                .unionByName(arrival(tr, "transfers", none, F.col("block_date")))
+                .unionByName(arrival(pr, "prices", none, F.to_date("timestamp"))))
+
+    def write_batch(rows: DataFrame, batch: int) -> None:
         session = rows.sparkSession
-        late = rows.where("day is not null").select("day").distinct().limit(upsert.MAX_PARTITIONS).collect()
         fresh = attribution.attribute_transactions(rows.where("tx is not null").select("tx.*"), floors, None)
         result = _upsert_batch(fresh, paths.transactions_attributed, True, target_days)
         # touched partitions = days of the batch plus days an updated key moved away from
-        days = sorted({*result.touched_partitions, *(r.day for r in late)})
-        transfers = session.read.schema(schemas.TRANSFERS).parquet(transfers_dir)
-        recompute_days(session, days, transfers, prices, paths, chain, floors)
+        mine = session.createDataFrame([(d, "transactions") for d in result.touched_partitions], "day date, source string")
+        found = log_days(session, day_log_path(paths), batch, rows.where("day is not null").select("day", "source").unionByName(mine))
+        recompute_days(session, sorted({r.day for r in found}), session.read.schema(schemas.TRANSFERS).parquet(transfers_dir),
+                       session.read.schema(schemas.PRICES).parquet(prices_dir), paths, chain, floors,
+                       sorted({r.day for r in found if r.source != "prices"}))
 
     return _start(arrivals, write_batch, checkpoint, available_now)
+
+
+def day_log_path(paths: ModelPaths) -> str:
+    return f"{paths.daily_metric}_days"

@@ -1,0 +1,59 @@
+"""Thousands of partitions: compaction and upserts with one and two partition columns, and partition replacement."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from codetrail.operators import upsert as U
+
+DAYS, HOURS = 75, 20
+
+
+def rows(spark, shift=0):
+    """1,500 (day, part) pairs, one row each."""
+    i = F.col("id")
+    return spark.range(DAYS * HOURS).select(
+        i.alias("k"), (i + shift).alias("v"), F.date_add(F.lit("2020-01-01").cast("date"), (i / HOURS).cast("int")).alias("day"), (i % HOURS).cast("int").alias("part"))
+
+
+def test_compaction_and_two_column_upsert_of_many_partitions(spark, scratch):
+    for half in (0, 1):
+        U.write_table(rows(spark).where(F.col("k") >= 0).withColumn("v", F.col("v") * half), scratch, ["day", "part"], mode="append")
+    done = U.compact(spark, scratch, ["day", "part"], max_files=1, round_partitions=900)
+    assert len(done) == DAYS * HOURS
+    assert U.compact(spark, scratch, ["day", "part"], max_files=1) == []
+    result = U.delete_insert(spark, rows(spark, 7), scratch, "k", ["day", "part"])
+    assert len(result.touched_partitions) == DAYS * HOURS
+    stored = spark.read.schema(rows(spark).schema).parquet(scratch)
+    assert stored.count() == DAYS * HOURS
+    assert stored.where("v = k + 7").count() == DAYS * HOURS
+
+
+def test_one_column_scope_of_5000_values_prunes(spark, scratch):
+    U.write_table(rows(spark).where("k < 400"), scratch, ["day"])
+    days = [(dt.date(2020, 1, 1) + dt.timedelta(days=x),) for x in range(5000)]
+    some = spark.read.parquet(scratch).where(U.in_partitions(["day"], days[3:]))
+    assert some.count() == 400 - 3 * HOURS
+    assert "PartitionFilters: [" in some._jdf.queryExecution().executedPlan().toString()
+    assert spark.read.parquet(scratch).where(U.in_partitions(["day"], [])).count() == 0
+
+
+def test_two_column_scope_knows_nulls_and_types(spark, scratch):
+    df = spark.createDataFrame([(1, None, True), (2, "a/b=c", True), (3, "a", False), (4, None, None)], "k int, s string, b boolean")
+    U.write_table(df, scratch, ["s", "b"])
+    t = spark.read.schema(df.schema).parquet(scratch)
+    got = t.where(U.in_partitions(["s", "b"], [(None, True), ("a/b=c", True), ("a", True), (None, None)])).select("k").collect()
+    assert sorted(r.k for r in got) == [1, 2, 4]
+
+
+def test_replace_partitions(spark, scratch):
+    df = rows(spark).where("part < 2 and k < 100").drop("part")
+    days = sorted(r.day for r in df.select("day").distinct().collect())
+    U.replace_partitions(spark, df, scratch, "day", days)
+    result = U.replace_partitions(spark, df.where(F.col("day") == F.lit(days[0])).limit(1), scratch, "day", days[:2])
+    assert result.emptied_partitions == [days[1]] and result.rows == 1
+    left = spark.read.schema(df.schema).parquet(scratch).groupBy("day").count().orderBy("day").collect()
+    assert [(r.day, r["count"]) for r in left] == [(days[0], 1)] + [(d, 2) for d in days[2:]]
+    with pytest.raises(ValueError):
+        U.replace_partitions(spark, df, scratch, "day", days[:1])
