@@ -268,11 +268,16 @@ SQL: dict[str, str] = {
 SQL["incremental_window"] = with_models(calls("calls", P.AS_OF_NEXT, P.AS_OF_NEXT), body=f"SELECT {TX_OUT} FROM calls")
 for _name in ("upsert_delete_insert", "upsert_target_days", "full_refresh", "full_refresh_switch", "stream_attributed", "stream_dedup", "stream_restart"):
     SQL[_name] = SQL["tx_attributed"]
-for _name in ("upsert_merge", "transfers_attributed_tagged"):
+for _name in ("upsert_merge", "transfers_attributed_tagged", "transfers_attributed_bucketed"):
     SQL[_name] = SQL["transfers_attributed"]
 for _name in ("daily_recompute", "stream_daily", "daily_replace_days"):
     SQL[_name] = SQL["daily_metrics"]
 
+SQL["append_once"] = SQL["transfers_select"]
+# A restated day is sent again, an emptied one is deleted.
+SQL["export_changes"] = with_models(CALLS, body=(
+    f"SELECT hash, block_date, CASE WHEN block_date = {d(P.EMPTIED_DAY)} THEN NULL WHEN block_date = {d(P.RESTATED_DAY)} THEN 2 * gas_used ELSE gas_used END AS gas_used, "
+    f"CASE WHEN block_date = {d(P.EMPTIED_DAY)} THEN 'delete' WHEN block_date = {d(P.RESTATED_DAY)} THEN 'upsert' END AS op FROM calls"))
 # Rows above the first run's instant came in restated batches only.
 SQL["append_dedup"] = with_models(CALLS, MOVES, body=(
     f"SELECT {TR_ALL} FROM (SELECT * REPLACE (CASE WHEN late THEN _updated_at + INTERVAL 1 HOUR ELSE _updated_at END AS _updated_at, "

@@ -259,6 +259,15 @@ def q_append_dedup(spark, sf_dir):
     return portable(spark.read.parquet(target).select(*[F.col(f"`{c}`") for c in S.TRANSFER_PASSTHROUGH]))
 
 
+def q_append_once(spark, sf_dir):
+    """K5 exactly once: three batches, one of them delivered again; the ledger skips it."""
+    target = scratch_path(spark, "append-once") + "/transfers"
+    rows = A.select_transfers(transfer_source(spark, sf_dir), P.CHAIN, P.FLOORS)
+    for i in (0, 1, 1, 2):
+        U.append_once(spark, rows.where(F.dayofmonth("block_date") % 3 == i), target, f"batch-{i}", S.TRANSFER_PARTITION)
+    return portable(U.read_appended(spark, target, rows.schema))
+
+
 def q_upsert_target_predicate(spark, sf_dir):
     """Old rows before the predicate's instant are not looked at: later runs put theirs beside them."""
     target = scratch_path(spark, "upsert-predicate") + "/transactions_attributed"
@@ -446,6 +455,21 @@ def q_export_window(spark, sf_dir):
                                                     "builder_code"))
 
 
+CHANGES_FIRST, CHANGES_NEXT = P.EXPORT_END, P.EXPORT_END + _dt.timedelta(days=1)
+
+
+def q_export_changes(spark, sf_dir):
+    """K10 by content: a restated day is sent again, rows of an emptied day are deleted, the others are left alone."""
+    dest, day = scratch_path(spark, "export-changes") + "/transactions_attributed", F.col("block_date")
+    ta = ta_full(spark, sf_dir)
+    X.export_changes(spark, ta, dest, S.TX_KEY, S.TX_PARTITION, CHANGES_FIRST)
+    now = ta.where(day != typed_lit(P.EMPTIED_DAY)).withColumn("gas_used", F.when(day == typed_lit(P.RESTATED_DAY), F.col("gas_used") * 2).otherwise(F.col("gas_used")))
+    changes = X.export_changes(spark, now, dest, S.TX_KEY, S.TX_PARTITION, CHANGES_NEXT)
+    sent = spark.read.schema(S.TX_ATTRIBUTED).parquet(dest).select("hash", F.col("block_date").alias("day"), "gas_used")
+    both = sent.join(changes.select("hash", "op", F.col("block_date").alias("change_day")), "hash", "full")
+    return both.select(hex_text("hash").alias("hash"), F.coalesce("day", "change_day").alias("block_date"), "gas_used", "op")
+
+
 def _log_out(df):
     return portable(df.select("source_table", "time_column",
                               F.concat_ws(",", "unique_key_columns").alias("unique_key_columns"),
@@ -604,6 +628,25 @@ def q_transfers_attributed_tagged(spark, sf_dir):
     return portable(A.attribute_transfers(tr, keys))
 
 
+def bucketed_models(spark, sf_dir, buckets: int = 16) -> tuple[str, str]:
+    """Transfers and attributed transactions as bucketed catalog tables; their names."""
+    root = scratch_path(spark, "bucketed")
+    tag = root.rsplit("-", 1)[1]
+    names = f"transfers_{tag}", f"transactions_{tag}"
+    U.write_bucketed(transfer_source(spark, sf_dir), names[0], f"{root}/transfers", "tx_hash", buckets)
+    U.write_bucketed(ta_full(spark, sf_dir), names[1], f"{root}/transactions", "hash", buckets)
+    return names
+
+
+def attributed_from_buckets(spark, transfers: str, transactions: str) -> DataFrame:
+    return A.attribute_transfers(A.select_transfers(spark.table(transfers), P.CHAIN, P.FLOORS), A.attribution_keys(spark.table(transactions), P.FLOORS))
+
+
+def q_transfers_attributed_bucketed(spark, sf_dir):
+    """J1 between two bucketed tables: no shuffle under the join."""
+    return portable(attributed_from_buckets(spark, *bucketed_models(spark, sf_dir)))
+
+
 RESTART_SPLIT = _dt.date(2024, 1, 15)
 REDELIVERY_FROM = _dt.date(2024, 1, 10)
 

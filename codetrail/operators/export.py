@@ -84,12 +84,21 @@ def resolve_window(meta: dict | None, materialized: str, model_unique_key, as_of
     return ExportWindow(cfg.get("time_column") or "", key, ev(time_start), ev(time_end), bool(full_refresh))
 
 
-def window_rows(df: DataFrame, w: ExportWindow) -> DataFrame:
-    """Rows of the window; a missing start means no lower bound."""
+def window_rows(df: DataFrame, w: ExportWindow, partition_by: str | None = None) -> DataFrame:
+    """Rows of the window; a missing start means no lower bound.
+
+    ``partition_by``: a date column that holds the time column's date; its bounds are added, so
+    only the window's directories are read.
+    """
     c = F.col(f"`{w.time_column}`")
     cond = c < typed_lit(w.time_end)
     if w.time_start is not None:
         cond = (c >= typed_lit(w.time_start)) & cond
+    if partition_by and partition_by != w.time_column and isinstance(df.schema[partition_by].dataType, T.DateType):
+        day = F.col(f"`{partition_by}`")
+        cond = cond & (day <= typed_lit(w.time_end.date()))
+        if w.time_start is not None:
+            cond = cond & (day >= typed_lit(w.time_start.date()))
     return df.where(cond)
 
 
@@ -98,7 +107,7 @@ def sync(spark: SparkSession, df: DataFrame, source_table: str, w: ExportWindow,
     """Write the window to ``dest`` and append a run-log row. Returns rows synced: those of the
     window in the source, not what the destination holds."""
     ensure_conf(spark)
-    rows = window_rows(df, w)
+    rows = window_rows(df, w, partition_by)
     if w.full_refresh:
         upsert.full_refresh(spark, rows, dest, partition_by)
         n = spark.read.schema(rows.schema).parquet(dest).count()  # just what was written; from file footers
@@ -108,6 +117,46 @@ def sync(spark: SparkSession, df: DataFrame, source_table: str, w: ExportWindow,
     return int(n)
 
 
+def export_changes(spark: SparkSession, df: DataFrame, dest: str, unique_key, partition_by: str, as_of: dt.datetime) -> DataFrame:
+    """K10 by content: send the rows that are new or differ since the last export, and the keys that vanished.
+
+    A state table beside the export holds (key, partition, digest of the row) of what was sent. The
+    differences to it are written to ``<dest>_changes`` (``op`` upsert or delete, one directory for
+    each run) and applied to ``dest``; partitions without a change are not rewritten. Returns the
+    run's changes. A run that failed is run again from the same state: its directory is replaced,
+    and applying its changes twice leaves the same table.
+    """
+    ensure_conf(spark)
+    keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
+    upsert.assert_no_null_keys(df, [*keys, partition_by])
+    named = [F.col(f"`{c}`") for c in df.columns]
+    columns = [F.col(f"`{k}`") for k in keys] + ([] if partition_by in keys else [F.col(f"`{partition_by}`")])
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*named)), 256)).alias("_digest")
+    current = df.select(*columns, digest)
+    state_path, run = f"{dest}_state", f"{as_of:%Y%m%dT%H%M%S}"
+    version = spark.read.schema(f"{STATE_VERSION} string").parquet(state_path) if path_exists(spark, state_path) else None
+    last = None if version is None else version.agg(F.max(STATE_VERSION)).first()[0]
+    if last is None:
+        before = current.limit(0)
+    else:
+        before = spark.read.schema(current.schema).parquet(f"{state_path}/{STATE_VERSION}={last}")
+    fresh = df.withColumn("_digest", digest).join(before.select(*keys, "_digest"), [*keys, "_digest"], "left_anti").select(*named)
+    # old rows of changed keys, and of keys that are not there any more, each in the partition that holds it
+    old = before.join(current.select(*keys, "_digest"), [*keys, "_digest"], "left_anti").select(*columns)
+    vanished = old.join(current.select(*keys), keys, "left_anti")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name not in vanished.columns]
+    deletes = vanished.select(*columns, *empty).select(*named)
+    out = f"{dest}_changes/run={run}"
+    fresh.withColumn("op", F.lit("upsert")).unionByName(deletes.withColumn("op", F.lit("delete"))).write.mode("overwrite").parquet(out)
+    changes = spark.read.schema(fresh.withColumn("op", F.lit("upsert")).schema).parquet(out)
+    upsert.apply_changes(spark, changes.where("op = 'upsert'").drop("op"), old, dest, keys, partition_by)
+    current.write.mode("overwrite").parquet(f"{state_path}/{STATE_VERSION}={run}")
+    return changes
+
+
+STATE_VERSION = "version"
+
+
 def log_row(spark: SparkSession, source_table: str, w: ExportWindow, rows_synced: int, as_of: dt.datetime) -> DataFrame:
     """One run-log row, built from typed literals (instants are read in the session zone)."""
     vals = {

@@ -433,6 +433,91 @@ def append(spark: SparkSession, batch: DataFrame, path: str, unique_key=None, pa
     return UpsertResult(path, "append", first, [], [])
 
 
+BATCH = "_batch"
+
+
+def append_once(spark: SparkSession, batch: DataFrame, path: str, batch_id: str, partition_by: str | list[str] | None = None) -> UpsertResult:
+    """K5, exactly once: a batch that was appended before is skipped, without a look at the target's keys.
+
+    The batch's rows lie in a directory of their own (partition column ``_batch``), and a ledger
+    beside the table names the batches that are complete. A batch that failed half-way is not in
+    the ledger; its retry replaces its directory and nothing else.
+    """
+    ensure_conf(spark)
+    parts = [BATCH, *(_cols(partition_by) if partition_by else [])]
+    first = not path_exists(spark, path)
+    if batch_id in complete_batches(spark, path, batch_id):
+        return UpsertResult(path, "append", first, [], [], 0)
+    if first is False:
+        check_schema(spark, path, batch.withColumn(BATCH, F.lit(batch_id)), parts)
+    (balanced(batch.withColumn(BATCH, F.lit(batch_id)), parts).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    (spark.range(1).select(F.current_timestamp().alias("completed"), F.lit(batch_id).alias(BATCH)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(f"{path}_ledger"))
+    return UpsertResult(path, "append", first, [batch_id], [])
+
+
+def complete_batches(spark: SparkSession, path: str, batch_id: str) -> list[str]:
+    """``[batch_id]`` if the ledger names it, else none (one directory of the ledger is looked at)."""
+    ledger = f"{path}_ledger"
+    if not path_exists(spark, ledger):
+        return []
+    found = spark.read.schema(f"completed timestamp, {BATCH} string").parquet(ledger).where(F.col(BATCH) == batch_id)
+    return [batch_id] if found.limit(1).count() else []
+
+
+def read_appended(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows of a table written by :func:`append_once`: complete batches only."""
+    from pyspark.sql import types as T
+
+    wide = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
+    done = spark.read.schema(f"completed timestamp, {BATCH} string").parquet(f"{path}_ledger").select(BATCH)
+    return spark.read.schema(wide).parquet(path).join(done, BATCH, "left_semi").select(*[F.col(f"`{f.name}`") for f in schema.fields])
+
+
+def apply_changes(spark: SparkSession, upserts: DataFrame, gone: DataFrame, path: str, unique_key, partition_by: str) -> UpsertResult:
+    """Apply known changes to a table: rows to insert, and the keys of old rows with the partition that holds each.
+
+    ``gone``: key columns and the old row's partition; the partitions of both are rewritten, and no
+    key is looked for elsewhere.
+    """
+    ensure_conf(spark)
+    keys = _cols(unique_key)
+    part = F.col(f"`{partition_by}`")
+    touched = [r[0] for r in upserts.select(part).union(gone.select(part)).distinct().limit(MAX_PARTITIONS + 1).collect()]
+    if len(touched) > MAX_PARTITIONS:
+        raise TooManyPartitions(f"the changes touch more than {MAX_PARTITIONS} partitions of {path}")
+    touched = [v[0] for v in _order((v,) for v in touched)]
+    if not touched:
+        return UpsertResult(path, "changes", False, [], [], 0)
+    if not path_exists(spark, path):
+        write_table(upserts, path, partition_by)
+        return UpsertResult(path, "changes", True, touched, [])
+    target = spark.read.schema(upserts.schema).parquet(path).where(in_partitions([partition_by], [(v,) for v in touched]))
+    # keys of the inserted rows too: a run that is repeated meets its own rows
+    replaced = gone.select(*[F.col(f"`{k}`") for k in keys]).union(upserts.select(*[F.col(f"`{k}`") for k in keys]))
+    new = target.join(replaced, keys, "left_anti").select(*[F.col(f"`{c}`") for c in upserts.columns]).unionByName(upserts)
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        alive = {r[0] for r in new.select(part).distinct().collect()}
+        (balanced(new, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+    finally:
+        new.unpersist()
+    emptied = [v for v in touched if v not in alive]
+    _delete_partitions(spark, path, [partition_by], [(v,) for v in emptied])
+    return UpsertResult(path, "changes", False, touched, emptied)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """A catalog table whose rows lie in ``buckets`` files by hash of ``key``, sorted in each.
+
+    Two such tables with equal bucket counts join on their keys without a shuffle. The rows are
+    dealt by the same hash first, so each bucket is one file of one task.
+    """
+    (df.repartition(buckets, F.col(f"`{key}`")).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+
+
 def file_counts(spark: SparkSession, path: str, partition_by: str | list[str]) -> DataFrame:
     """``directory, files, bytes`` of every partition directory (metadata only, listed by Spark's own file source)."""
     columns = _cols(partition_by)
