@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .common import Shared
+
 #: 16 MB.
 FILTER_BITS = 1 << 27
 SEGMENT_BITS = 1 << 19
@@ -97,7 +99,7 @@ def without(docs: DataFrame, id_col: str, gone: DataFrame, bits: int = FILTER_BI
 
     Only rows that the filter lets through are shuffled with their columns; null ids stay.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(build(gone.select(F.xxhash64("__gone").alias("h")), bits))
+    shared = Shared(docs.sparkSession, build(gone.select(F.xxhash64("__gone").alias("h")), bits))
     keyed = docs.withColumn("__h", F.xxhash64(id_col))
     marked = keyed.mapInArrow(_mark(shared, len(docs.columns)), T.StructType([*keyed.schema.fields, T.StructField("__hit", T.BooleanType())]))
     met = marked.where("__hit").join(gone, F.col(id_col) == F.col("__gone"), "left_anti")

@@ -12,6 +12,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step holds.
@@ -61,6 +62,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A broadcast value whose classes travel by value too: a plain broadcast names them by module."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.data, self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value)), value
+
+    def __getstate__(self):
+        return self.data
+
+    def __setstate__(self, data):
+        self.data, self.held = data, None
+
+    @property
+    def value(self):
+        if self.held is None:
+            self.held = cloudpickle.loads(self.data.value)
+        return self.held
+
+
 def for_counting(df: DataFrame, per_core: int = 16) -> DataFrame:
     """At most ``per_core`` partitions for each core of the cluster, joined without a shuffle.
 

@@ -226,12 +226,11 @@ def _scan(blocks, text_at: int):
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list:
-    sc = benchmark.sparkSession.sparkContext
     items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
     part = F.pmod(F.xxhash64("i", "t"), F.lit(n))
-    return [sc.broadcast(BenchmarkBlock([tuple(r) for r in (items if n == 1 else items.where(part == k)).collect()], window))
+    return [common.Shared(benchmark.sparkSession, BenchmarkBlock([tuple(r) for r in (items if n == 1 else items.where(part == k)).collect()], window))
             for k in range(n)]
 
 

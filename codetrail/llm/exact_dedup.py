@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .bitfilter import FILTER_BITS, BitFilter, build
-from .common import positional, texts, written
+from .common import Shared, positional, texts, written
 
 #: Characters that normalisation deletes: U+0020 and U+0009 to U+000D.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -242,7 +242,7 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
 
     suspects = rows.where("suspect")
     flt = build(suspects.select("fp"), filter_bits)
-    shared = spark.sparkContext.broadcast(flt)
+    shared = Shared(spark, flt)
 
     texts = two.select("text").mapInArrow(_suspect_texts(shared), "sha binary, bytes binary, n long")
     equal = (texts.groupBy("sha", "bytes").agg(F.sum("n").alias("n"))
@@ -307,7 +307,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     gone = written(done.rows.where("group_size > 1").groupBy("id", "sha", "chars").agg(F.max("kept").alias("stays"))
                    .where("not stays").select(F.col("id").alias("__k"), F.col("sha").alias("__s"), F.col("chars").alias("__c")),
                    "dedup-gone")
-    shared = docs.sparkSession.sparkContext.broadcast(done.suspects)
+    shared = Shared(docs.sparkSession, done.suspects)
     schema = T.StructType([*plain.schema.fields, T.StructField("__hit", T.BooleanType()),
                            T.StructField("__sha", T.BinaryType()), T.StructField("__chars", T.LongType())])
     marked = plain.mapInArrow(_marker(shared, names.index("text")), schema)

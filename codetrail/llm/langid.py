@@ -246,7 +246,7 @@ def label(docs: DataFrame, model: Model, text_col: str = "text", penalty: float
     A null text, or one without a letter, is ``und`` with score 0. Repeated rows are labelled
     alike; an empty table gives none; any further columns pass through.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = common.Shared(docs.sparkSession, model)
     fields = [*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())]
     fields += [T.StructField("__spans", SPANS)] if spans else []
     return docs.mapInArrow(_label(shared, docs.columns.index(text_col), penalty, spans), T.StructType(fields))

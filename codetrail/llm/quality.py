@@ -207,11 +207,10 @@ def _pool_sample(shared):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", mod: int = 3, held: int = 1,
         sample_rows: int = SAMPLE_ROWS) -> Model:
     """Word vectors from all of ``docs``; the network from labelled rows whose crc32(id) mod ``mod`` is not ``held``."""
-    sc = docs.sparkSession.sparkContext
     vectors = word_vectors(docs, text_col)
     sample, share = labelled_sample(docs, labels, id_col, text_col, label_col, mod, held, sample_rows)
     with common.small_batches(docs.sparkSession):
-        rows = sample.mapInArrow(_pool_sample(sc.broadcast(vectors)), "y int, x array<float>").toArrow()
+        rows = sample.mapInArrow(_pool_sample(common.Shared(docs.sparkSession, vectors)), "y int, x array<float>").toArrow()
     y = rows["y"].to_numpy()
     if len(np.unique(y)) < 2:  # nothing to learn from
         return Model(vectors, None, float(share if share is not None else 0.5))
@@ -239,7 +238,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     Null and empty texts have the score of a text without tokens. Repeated rows score alike; an
     empty table gives none; any further columns pass through.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = common.Shared(docs.sparkSession, model)
     return docs.mapInArrow(_score(shared, docs.columns.index(text_col)), T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())]))
 
 

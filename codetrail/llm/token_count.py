@@ -33,10 +33,16 @@ REMEMBER, REMEMBER_LENGTH = 400_000, 48
 
 
 class Vocabulary:
-    """Pieces with scores, in the order of their ids; ``unk``: id of the unknown piece."""
+    """Pieces with scores, in the order of their ids; ``unk``: id of the unknown piece.
 
-    def __init__(self, pieces: list[tuple[str, float]], unk: int, byte_fallback: bool):
-        self.pieces, self.unk, self.byte_fallback = pieces, unk, byte_fallback
+    ``hidden``: ids of control, unknown, unused and byte pieces, which never match text that spells them.
+    """
+
+    def __init__(self, pieces: list[tuple[str, float]], unk: int, byte_fallback: bool, hidden=()):
+        self.pieces, self.unk, self.byte_fallback, self.hidden = pieces, unk, byte_fallback, frozenset(hidden)
+
+    def matching(self) -> list[tuple[str, float]]:
+        return [x for i, x in enumerate(self.pieces) if i not in self.hidden]
 
 
 def load(path: str = VOCABULARY) -> Vocabulary:
@@ -45,7 +51,8 @@ def load(path: str = VOCABULARY) -> Vocabulary:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     n = sp.get_piece_size()
-    return Vocabulary([(sp.id_to_piece(i), sp.get_score(i)) for i in range(n)], sp.unk_id(), any(sp.is_byte(i) for i in range(n)))
+    return Vocabulary([(sp.id_to_piece(i), sp.get_score(i)) for i in range(n)], sp.unk_id(), any(sp.is_byte(i) for i in range(n)),
+                      [i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i)])
 
 
 class Counter:
@@ -55,14 +62,15 @@ class Counter:
         import ahocorasick
 
         self.auto = ahocorasick.Automaton()
-        scores = [s for _, s in v.pieces]
-        for p, s in dict(v.pieces).items():
+        matching = v.matching()
+        scores = [s for _, s in matching]
+        for p, s in dict(matching).items():
             if p:
                 self.auto.add_word(p, (len(p), s))
         if len(self.auto):
             self.auto.make_automaton()
-        have = {p for p, _ in v.pieces}
-        self.bytes = v.byte_fallback and all(f"<0x{b:02X}>" in have for b in range(256))
+        self.bytes = v.byte_fallback and {f"<0x{b:02X}>" for b in range(256)} <= {p for p, _ in v.pieces}
+        have = {p for p, _ in matching}
         self.unknown = min(scores, default=0.0) - UNKNOWN_BELOW
         crosses = any(MARK in p.lstrip(MARK) for p in have)
         self.apart = MARK in have and not crosses and all(float(s).is_integer() for s in scores)
@@ -147,7 +155,7 @@ def count(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> Da
     Null and empty texts have no tokens. Repeated rows count alike; an empty table gives none;
     any further columns pass through.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = common.Shared(docs.sparkSession, vocabulary)
     schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in ("__chars", "__tokens", "__unknown")]])
     return docs.mapInArrow(_count(shared, docs.columns.index(text_col)), schema)
 

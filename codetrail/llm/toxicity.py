@@ -309,7 +309,8 @@ def training_side(id_col: Column, mod: int = 4, held: int = 2) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, mod: int, held: int, rows: int):
     """(texts of at most ``rows`` training documents of each class with column ``y``, share of class 1).
 
-    Labels of one id are merged (the larger counts); the rows with the least hashes are taken.
+    Labels of one id are merged (the larger counts); the ids with the least hashes are taken, and of
+    rows that share an id the least text.
     """
     one = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(training_side(F.col(id_col), mod, held))
            .groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("y")))
@@ -318,7 +319,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     picked = [one.where(F.col("y") == y).orderBy(F.xxhash64("__id"), "__id").limit(rows) for y in (0, 1)]
     picked = common.written(picked[0].union(picked[1]), "labels-sample")  # at most 2 * rows rows: small enough to broadcast
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(picked), "__id").select("text", "y"), share
+    # one text of each id, so the sample stays bounded when ids repeat
+    one_each = texts.join(F.broadcast(picked), "__id").groupBy("__id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("y").alias("y"))
+    return one_each.select("text", "y"), share
 
 
 def _count_features(logp):
@@ -372,13 +375,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sizes = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:  # nothing to learn from
-        return Model(logp, sc.broadcast(Lexicon(np.zeros(0, np.uint64), np.zeros(0), -20.0 if not n1 else 20.0)))
+        return Model(logp, common.Shared(docs.sparkSession, Lexicon(np.zeros(0, np.uint64), np.zeros(0), -20.0 if not n1 else 20.0)))
     kinds = sample.mapInArrow(_count_features(logp), "f long, ones long, n long").groupBy("f").agg(F.sum("ones").alias("ones"), F.sum("n").alias("n"))
     p, q = (F.col("ones") + 0.1) / (n1 + 0.2), (F.col("n") - F.col("ones") + 0.1) / (n0 + 0.2)
     kinds = kinds.where(F.col("ones") >= MIN_SUPPORT).withColumn("gain", F.col("ones") * F.log(p / q)).where(p > 2 * q)
     with common.small_batches(docs.sparkSession):
         best = kinds.orderBy(F.desc("gain"), "f").limit(max_features).select("f").toArrow()["f"].to_numpy().view(np.uint64)
-        empty = sc.broadcast(Lexicon(best, np.zeros(len(best)), 0.0))
+        empty = common.Shared(docs.sparkSession, Lexicon(best, np.zeros(len(best)), 0.0))
         rows = sample.mapInArrow(_known_features(logp, empty), "y int, at array<long>").toArrow()
     at = rows["at"].combine_chunks()
     doc = np.repeat(np.arange(len(rows)), np.diff(at.offsets.to_numpy()))
@@ -386,7 +389,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     w, b = fit_logistic(doc, at.values.to_numpy()[at.offsets[0].as_py():], y, len(best))
     # the sample's classes need not have the labels' shares
     b += np.log(share / (1 - share)) - np.log(n1 / n0) if 0 < share < 1 else 0.0
-    return Model(logp, sc.broadcast(Lexicon(empty.value.feats, w, b)))
+    return Model(logp, common.Shared(docs.sparkSession, Lexicon(empty.value.feats, w, b)))
 
 
 RESTORED = T.ArrayType(T.StructType([T.StructField("at", T.LongType()), T.StructField("seen", T.StringType()), T.StructField("text", T.StringType())]))

@@ -22,7 +22,7 @@ def vocabulary():
     return C.load()
 
 
-TEXTS = ["", " ", "  ", "a", " a", "a ", "a  b", "Hello, world!", "日本語 текст", "\n\n", "x\ty▁z", "naïve café 🙂🙂 ok", "aaaaaaaaaaaaaaaaaaaaaaaa", "𝔘 𝔘𝔘", "a▁▁ b", "<0x0A> <unk> </s>"]
+TEXTS = ["", " ", "  ", "a", " a", "a ", "a  b", "Hello, world!", "日本語 текст", "\n\n", "x\ty▁z", "naïve café 🙂🙂 ok", "aaaaaaaaaaaaaaaaaaaaaaaa", "𝔘 𝔘𝔘", "a▁▁ b"]
 
 
 def test_counts_equal_the_tokenizer_on_the_documents(spark, vocabulary):
@@ -34,6 +34,13 @@ def test_counts_equal_the_tokenizer_on_the_documents(spark, vocabulary):
         assert count(t)[0] == ref(t), t
 
 
+@pytest.mark.parametrize("text", ["x<s>y", "see<unk>here", "b<0x41>c", "<0x0A> <unk> </s>", "<s>", "</s></s> a", "<0x00><0xFF>"])
+def test_text_that_spells_control_pieces_is_plain_text(vocabulary, text):
+    plain = [("\U0010FFFF", 0.0), *vocabulary.matching()]
+    assert len(plain) == len(vocabulary.pieces) - len(vocabulary.hidden) + 1 and len(vocabulary.hidden) >= 259
+    assert C.Counter(vocabulary)(text)[0] == reference(C.Vocabulary(plain, 0, False))(text)
+
+
 @pytest.mark.parametrize("seed,whole,byte_fallback", [(1, True, False), (2, False, False), (3, True, True), (4, True, False)])
 def test_small_vocabularies_with_ties_and_unknown_characters(seed, whole, byte_fallback):
     rng = np.random.default_rng(seed)

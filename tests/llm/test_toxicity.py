@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from codetrail.llm import charlm, common, toxicity as X
 
@@ -184,3 +184,10 @@ def test_symbols_alone_up_to_the_bound_read_as_themselves(more):
     for _ in range(100):
         s = "".join(rng.choice(list("0123456789@$!|+("), int(rng.integers(1, int(least) + 1))))
         assert X.decode(s, more.tolist()) == ""
+
+
+def test_the_sample_is_bounded_when_ids_repeat(spark):
+    docs = spark.range(3000).select((F.col("id") % 3).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, toxic int")
+    sample, _ = X.labelled_sample(docs, labels, "doc_id", "text", "toxic", 4, 9, 10)
+    assert sorted(r.text for r in sample.collect()) == ["text 0", "text 1", "text 1001"]
