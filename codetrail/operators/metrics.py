@@ -1,8 +1,8 @@
 """Model 3: daily metrics per effective builder code.
 
 Shape at scale: each side is aggregated on its own before any join (no fan-out), so the
-three joins at the end are between small (day, code) aggregates that share one hash
-partitioning on ``(day, builder_code)``. A single code may own a large share of rows:
+joins at the end are between small (day, code) aggregates. The transaction table is scanned
+once (:func:`tx_sets`). A single code may own a large share of rows:
 SUM is absorbed by map-side partial aggregation, and the exact distinct counts are
 planned by Catalyst as an ``Expand`` whose first shuffle is keyed by (day, code, value),
 which spreads a hot code over all tasks.
@@ -143,19 +143,47 @@ def fee_metrics(totals: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
+def tx_sets(atx: DataFrame, mapping=None) -> DataFrame:
+    """The distinct hashes, senders and priced tokens of every (day, code) in one pass over the transactions.
+
+    GROUPING SETS: each transaction becomes three narrow rows keyed by (day, code, one value), so one
+    scan and one shuffle serve both distinct counts and the fee totals, and a hot code is spread by
+    value. ``part`` names the set; ``fee_token_amount`` is the sum of the set's rows.
+    """
+    rows = atx.select(*KEY, "tx_hash", "user_address", feefn.price_address(mapping=mapping).alias("price_address"),
+                      feefn.fee_token_amount().alias("fee_token_amount"))
+    values = ["tx_hash", "user_address", "price_address"]
+    sets = rows.groupingSets([[*KEY, v] for v in values], *KEY, *values).agg(
+        F.grouping_id().alias("gid"), F.sum("fee_token_amount").alias("fee_token_amount"))
+    # grouping_id has a bit for each column that a set leaves out, the last column in the lowest bit
+    part = F.when(F.col("gid") == 3, "tx_hash").when(F.col("gid") == 5, "user_address").otherwise("price_address")
+    return sets.select(*KEY, *values, part.alias("part"), "fee_token_amount")
+
+
+def tx_fee_metrics(sets: DataFrame, prices: DataFrame) -> DataFrame:
+    """C9 and C12 together, from :func:`tx_sets`: counts and fees in USD per (day, code)."""
+    is_part = lambda p: F.col("part") == p
+    small = sets.groupBy(*KEY, F.when(is_part("price_address"), F.col("price_address")).alias("price_address")).agg(
+        F.count(F.when(is_part("tx_hash"), F.col("tx_hash"))).alias("tx_count"),
+        F.count(F.when(is_part("user_address"), F.col("user_address"))).alias("unique_addresses"),
+        F.sum(F.when(is_part("price_address"), F.col("fee_token_amount"))).alias("fee_token_amount"))
+    p = prices.withColumnRenamed("contract_address", "price_address")
+    return small.join(p, ["day", "price_address"], "left").groupBy(*KEY).agg(
+        F.sum("tx_count").alias("tx_count"), F.sum("unique_addresses").alias("unique_addresses"),
+        F.sum(F.col("fee_token_amount") * F.coalesce(F.col("price"), F.lit(0.0))).alias("chain_fees_usd"))
+
+
 def daily_metrics(tra: DataFrame, ta: DataFrame, prices: DataFrame, chain: str = "celo", floors: Floors = Floors(),
                   window: Lookback | None = None, mapping=None) -> DataFrame:
     """C13 ``buildercode_daily_metric``: tx metrics LEFT JOIN transfer metrics LEFT JOIN fee metrics.
 
     The transaction side drives: a (day, code) seen only in transfers is dropped, one without
-    transfers gets volume 0 and 0 transfer transactions.
+    transfers gets volume 0 and 0 transfer transactions. The transaction table is scanned once:
+    its counts and its fees come out of one aggregation.
     """
-    atx = attributed_txs(ta, floors, window)
-    txm = tx_metrics(atx)
+    sets = tx_sets(attributed_txs(ta, floors, window), mapping)
     tm = transfer_metrics(attributed_transfers(tra, floors, window))
-    totals = fee_totals(tx_fees(atx, mapping))
-    fm = fee_metrics(totals, daily_prices(prices, chain, floors, window))
-    out = txm.join(tm, KEY, "left").join(fm, KEY, "left")
+    out = tx_fee_metrics(sets, daily_prices(prices, chain, floors, window)).join(tm, KEY, "left")
     return out.select(
         "day",
         "builder_code",

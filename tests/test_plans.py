@@ -43,10 +43,10 @@ def test_daily_metrics_plan_shape(spark):
 
 
 def test_daily_metrics_decodes_no_calldata(spark):
-    """The daily metric reads the written models: one narrow scan of transfers, two of transactions, one of prices."""
+    """The daily metric reads the written models: one narrow scan each of transfers, transactions and prices."""
     p = formatted(Q.q_daily_metrics(spark, SF_SMALL))
     scans = [line for line in p.splitlines() if line.startswith("ReadSchema:")]
-    assert len(scans) == 4 and all("data:" not in x and "calldata" not in x for x in scans)
+    assert len(scans) == 3 and all("data:" not in x and "calldata" not in x for x in scans)
 
 
 def test_top_k_is_take_ordered(spark):
