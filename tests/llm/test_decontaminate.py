@@ -86,3 +86,56 @@ def test_empty_tables(spark):
     r = D.report(docs, spark.createDataFrame([], ITEMS)).first()
     assert tuple(r)[:4] == (1, 2, 0, 0) and not r.contaminated
     assert D.report(docs, bench).first().contaminated
+
+
+def longest(doc, item, window):
+    """Matches of at least ``window`` words that no other match with the item contains, with the first place in the item."""
+    size, found = min(window, len(item)), {}
+    for p in range(len(doc)):
+        for q in range(len(item)):
+            n = 0
+            while p + n < len(doc) and q + n < len(item) and doc[p + n] == item[q + n]:
+                n += 1
+            if n >= size and n > found.get(p, (0, 0))[0]:
+                found[p] = (n, q)
+    return [(p, q, n) for p, (n, q) in sorted(found.items()) if found.get(p - 1, (0, 0))[0] != n + 1]
+
+
+@pytest.mark.parametrize("pairs", [1 << 20, 7])
+def test_repeated_words_in_document_and_item(spark, monkeypatch, pairs):
+    monkeypatch.setattr(D, "PAIRS", pairs)
+    rng = np.random.default_rng(3)
+    make = lambda n, v: " ".join(rng.choice(["la", "da", "na"][:v], n))
+    items = [(k, make(int(rng.integers(2, 40)), 1 + k % 3)) for k in range(12)]
+    docs = [(i, make(int(rng.integers(0, 60)), 1 + i % 3)) for i in range(30)]
+    block = D.BenchmarkBlock(items, 4)
+    for i, text in docs:
+        raw, found = text.encode(), {}
+        D._shard(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), block, found)
+        got = sorted((m["item_id"], m["doc_word"], m["item_word"], m["n_words"]) for m in (found[0].matches if found else []))
+        assert got == sorted((str(k), *m) for k, t in items for m in longest(words(text), words(t), 4)), i
+    if pairs > 7:
+        df = spark.createDataFrame([(i, t, "", 0) for i, t in docs], DOCS)
+        bench = spark.createDataFrame([(k, t, 0) for k, t in items], ITEMS)
+        assert sorted((tuple(r) for r in D.report(df, bench, window=4).collect()), key=str) == brute(docs, items, 4)
+
+
+def test_repeated_words_cost_no_product():
+    block, raw, found = D.BenchmarkBlock([(1, "la " * 1000)], 13), ("la " * 100_000).encode(), {}
+    assert len(block.repeats(0).size) < 2 * 1000
+    D._shard(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), block, found)
+    spans = found[0].matches
+    assert D._covered(found[0].covered) == 100_000 and len(spans) == 99_001
+    assert all(m["n_words"] == 1000 and m["item_word"] == 0 for m in spans)
+
+
+def test_a_block_is_sent_small():
+    import pickle
+
+    rng = np.random.default_rng(5)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 3000, 100_000))
+    block = D.BenchmarkBlock([(1, text)], 13)
+    sent = pickle.dumps(block)
+    assert len(sent) < 12 * len(text)
+    again = pickle.loads(sent)
+    assert (again.low == block.low).all() and (again.pairs == block.pairs).all()
