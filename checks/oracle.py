@@ -266,11 +266,11 @@ SQL: dict[str, str] = {
 # -- runs that end in a whole table ----------------------------------------------------------
 
 SQL["incremental_window"] = with_models(calls("calls", P.AS_OF_NEXT, P.AS_OF_NEXT), body=f"SELECT {TX_OUT} FROM calls")
-for _name in ("upsert_delete_insert", "upsert_target_days", "full_refresh", "full_refresh_switch", "stream_attributed", "stream_dedup", "stream_restart"):
+for _name in ("upsert_delete_insert", "upsert_target_days", "full_refresh", "full_refresh_switch", "stream_attributed", "stream_dedup", "stream_dedup_state", "stream_restart"):
     SQL[_name] = SQL["tx_attributed"]
 for _name in ("upsert_merge", "transfers_attributed_tagged", "transfers_attributed_bucketed"):
     SQL[_name] = SQL["transfers_attributed"]
-for _name in ("daily_recompute", "stream_daily", "daily_replace_days"):
+for _name in ("daily_recompute", "stream_daily", "daily_replace_days", "daily_partials"):
     SQL[_name] = SQL["daily_metrics"]
 
 SQL["append_once"] = SQL["transfers_select"]

@@ -17,6 +17,7 @@ from codetrail.functions.windows import tx_window
 from codetrail.operators import attribution as A
 from codetrail.operators import export as X
 from codetrail.operators import metrics as M
+from codetrail.operators import partials as PT
 from codetrail.operators import quality as QL
 from codetrail.operators import reports as R
 from codetrail.operators import upsert as U
@@ -523,6 +524,28 @@ def q_stream_dedup(spark, sf_dir):
     return portable(read_tx_table(spark, f"{root}/transactions_attributed"))
 
 
+def q_stream_dedup_state(spark, sf_dir):
+    """T6 with state: newer days, then days older than the watermark and some again, then everything once more."""
+    root = scratch_path(spark, "stream-dedup-state")
+    src, target, late = f"{root}/source", f"{root}/transactions_attributed", f"{root}/late"
+    tx, day = tx_source(spark, sf_dir), F.dayofmonth("block_date")
+    for part in (tx.where(day > 10), tx.where((day <= 10) | (day == 20)), tx):
+        _deliver(part, src)
+        ST.run_dedup_streams(spark, src, target, late, f"{root}/_checkpoint", P.FLOORS)
+    return portable(ST.read_with_late(spark, target, late))
+
+
+def q_daily_partials(spark, sf_dir):
+    """A2/A3/T3 by merging partials: six-hourly arrivals, transfers before their transactions, a batch sent twice."""
+    root = scratch_path(spark, "partials")
+    tx, tr, quarter = tx_source(spark, sf_dir), transfer_source(spark, sf_dir), F.floor(F.hour("block_time") / 6)
+    for k in (3, 0, 1, 2):
+        PT.add_transfers(spark, tr.where(quarter == k), root, f"q{k}", P.CHAIN, P.FLOORS)
+    for k in (0, 1, 2, 3, 3):
+        PT.add_transactions(spark, tx.where(quarter == k), root, f"q{k}", P.FLOORS)
+    return daily_output(PT.daily_from_parts(spark, root, price_source(spark, sf_dir), None, P.CHAIN, P.FLOORS))
+
+
 def q_stream_daily(spark, sf_dir):
     """Transfers of some days, then prices of others, arrive after their days' micro-batch and touch them again."""
     root = scratch_path(spark, "stream-daily")

@@ -8,6 +8,8 @@
   after the filters; one delivered again later, however late, meets its old row in the keyed
   upsert. No state is kept and no row is ever too late. ``target_days`` bounds how far back the
   upsert looks for old rows.
+* :func:`run_dedup_streams` (T6 with state): keys seen lately are kept in the RocksDB state store, so a
+  row delivered again never reaches the table; rows older than the watermark go to a side table.
 * :func:`start_daily_stream` (T7): exact ``COUNT(DISTINCT)`` is not available on streams, so
   each micro-batch recomputes the *days it touched* from the written tables. Transactions,
   transfers and prices are one stream of arrivals, and each arrival touches its day: a price that
@@ -90,6 +92,82 @@ def start_transactions_stream(spark: SparkSession, source_dir: str, target: str,
     return _start(out, write_batch, checkpoint, available_now)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _content() -> Column:
+    """Digest of a whole attributed row."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in schemas.TX_ATTRIBUTED_COLUMNS]), {"ignoreNullFields": "false"}), 256)
+
+
+def start_stateful_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str, floors: Floors = Floors(),
+                          delay: str = "2 days", max_files_per_trigger: int | None = MAX_FILES,
+                          available_now: bool = True) -> StreamingQuery:
+    """T6 with state: a row delivered again within ``delay`` of event time is dropped before the table is touched.
+
+    ``dropDuplicatesWithinWatermark`` on (hash, content) keeps two digests a row in the RocksDB state
+    store, bounded by the delay. Versions of a transaction that differ in content pass it and meet in
+    the keyed upsert: of one micro-batch the latest by (block_time, block_number, other columns) stays,
+    and the version of a later micro-batch replaces it. Rows older than the watermark are left out
+    here; :func:`start_late_stream` takes them.
+    """
+    out = attributed_stream(read_transactions_stream(spark, source_dir, max_files_per_trigger), floors).withColumn("_content", _content())
+    out = out.withWatermark("block_time", delay).dropDuplicatesWithinWatermark([*schemas.TX_KEY, "_content"]).drop("_content")
+
+    def write_batch(rows: DataFrame, _: int) -> None:
+        _upsert_batch(rows, target, True, None)
+
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, ROCKSDB)   # the query takes its settings when it starts
+    try:
+        return _start(out, write_batch, checkpoint, available_now)
+    finally:
+        spark.conf.set(_PROVIDER, before)
+
+
+def start_late_stream(spark: SparkSession, source_dir: str, target: str, late: str, checkpoint: str, floors: Floors = Floors(),
+                      max_files_per_trigger: int | None = MAX_FILES, available_now: bool = True) -> StreamingQuery:
+    """Rows that the stateful stream left out as too late: into the side table ``late``, none is lost.
+
+    Stateless, over the same source with a checkpoint of its own. An arrival whose hash the table does
+    not hold on its day is late; a file that the stateful stream has not taken yet looks the same, so
+    :func:`read_with_late` prefers the table's row.
+    """
+    out = attributed_stream(read_transactions_stream(spark, source_dir, max_files_per_trigger), floors)
+
+    def write_batch(rows: DataFrame, _: int) -> None:
+        session = rows.sparkSession
+        days = [r[0] for r in rows.select("block_date").distinct().limit(upsert.MAX_PARTITIONS + 1).collect()]
+        if len(days) > upsert.MAX_PARTITIONS:
+            raise upsert.TooManyPartitions(f"a micro-batch holds more than {upsert.MAX_PARTITIONS} days")
+        if not days:
+            return
+        if path_exists(session, target):
+            held = read_table(session, target, schemas.TX_ATTRIBUTED).where(isin(F.col("block_date"), days))
+            rows = rows.join(held.select("hash", "block_date"), ["hash", "block_date"], "left_anti").select(*[F.col(f"`{c}`") for c in rows.columns])
+        _upsert_batch(rows, late, True, None)
+
+    return _start(out, write_batch, checkpoint, available_now)
+
+
+def run_dedup_streams(spark: SparkSession, source_dir: str, target: str, late: str, checkpoint: str, floors: Floors = Floors(),
+                      delay: str = "2 days", max_files_per_trigger: int | None = MAX_FILES) -> None:
+    """Take what has arrived: the stateful stream first, then what it left out."""
+    start_stateful_stream(spark, source_dir, target, f"{checkpoint}/main", floors, delay, max_files_per_trigger).awaitTermination()
+    start_late_stream(spark, source_dir, target, late, f"{checkpoint}/late", floors, max_files_per_trigger).awaitTermination()
+
+
+def read_with_late(spark: SparkSession, target: str, late: str) -> DataFrame:
+    """The table and the late rows whose hash it does not hold: one row a hash, as the batch form has them."""
+    columns = [F.col(f"`{c}`") for c in schemas.TX_ATTRIBUTED_COLUMNS]
+    main = read_table(spark, target, schemas.TX_ATTRIBUTED).select(*columns)
+    if not path_exists(spark, late):
+        return main
+    side = read_table(spark, late, schemas.TX_ATTRIBUTED)
+    return main.unionByName(side.join(main.select("hash"), "hash", "left_anti").select(*columns))
+
+
 #: The day log: which source touched which day in which micro-batch.
 DAY_LOG = T.StructType([T.StructField("day", T.DateType()), T.StructField("source", T.StringType()), T.StructField("batch", T.LongType())])
 
