@@ -583,6 +583,17 @@ def q_view_spot_check(spark, sf_dir):
     """)
 
 
+def q_upsert_key_lookup(spark, sf_dir):
+    """K3 with key lookups: wrong fees of one transaction in fifty are mended by batches of few keys."""
+    target = scratch_path(spark, "key-lookup") + "/transactions_attributed"
+    ta = ta_full(spark, sf_dir)
+    part = F.pmod(F.col("block_number"), F.lit(500))
+    wrong = ta.withColumn("gas_used", F.when(part < 10, F.col("gas_used") + 1).otherwise(F.col("gas_used")).cast("long"))
+    for batch in (wrong, ta.where(part < 5), ta.where((part >= 5) & (part < 10))):
+        U.delete_insert(spark, batch, target, S.TX_KEY, S.TX_PARTITION, lookup_limit=10_000)
+    return portable(read_tx_table(spark, target))
+
+
 def q_full_refresh(spark, sf_dir):
     """K6: after runs over restated rows, a full refresh rebuilds the table from the floors."""
     target = scratch_path(spark, "full-refresh") + "/transactions_attributed"

@@ -13,7 +13,9 @@ There is no MERGE/DELETE on plain Parquet, so a keyed upsert rewrites only the
    shuffled or rewritten; partitions that became empty are removed afterwards.
 
 Step 2 reads the key column of the whole target unless ``target_predicate`` bounds it (a bound on
-the partition column prunes partitions) or the key contains the partition columns.
+the partition column prunes partitions) or the key contains the partition columns. A table written
+with ``lookup_limit`` has Parquet Bloom filters on the key, so a batch of few keys skips the row
+groups that cannot hold them (same result).
 
 Unpartitioned tables (the small daily metric table) are rewritten whole into a fresh
 directory that is then swapped in, mirroring temp -> rename -> drop.
@@ -27,6 +29,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -244,9 +247,12 @@ def _plain(columns: list[str], values: list[tuple]) -> list:
 
 def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key, partition_by: str | list[str] | None = None,
                   target_predicate: Column | None = None, strategy: str = "delete+insert",
-                  rebalance: bool = True) -> UpsertResult:
+                  rebalance: bool = True, lookup_limit: int = 0) -> UpsertResult:
     """K3: delete target rows whose key is in the batch, insert the whole batch.
 
+    ``lookup_limit`` (one key column, partitioned tables): files get Bloom filters on the key, and a
+    batch of at most so many distinct keys looks its old rows up by value; a larger one joins.
+
     ``target_predicate`` (K8) limits which target rows are looked at and may be deleted; rows
     outside it are kept even when their key is in the batch (so duplicates can remain, as
     documented). The batch is not de-duplicated (use :func:`dedupe_latest` first if needed).
@@ -256,13 +262,47 @@ def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key,
     # once. Lost blocks are recomputed from lineage, so executor loss is tolerated.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy, rebalance)
+        return _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy, rebalance, lookup_limit)
     finally:
         batch.unpersist()
 
 
+IN_PUSHDOWN = "spark.sql.parquet.pushdown.inFilterThreshold"
+
+
+@contextmanager
+def _pushed_keys(spark: SparkSession, n: int):
+    """An IN list of ``n`` values reaches the Parquet reader as values, not as their range; the setting comes back afterwards."""
+    before = spark.conf.get(IN_PUSHDOWN)
+    spark.conf.set(IN_PUSHDOWN, str(max(int(before), n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(IN_PUSHDOWN, before)
+
+
+def old_rows(seen: DataFrame, key_df: DataFrame, keys: list[str], lookup_limit: int) -> tuple[DataFrame, int]:
+    """Rows of ``seen`` whose key is in ``key_df``, and the number of key values looked up (0: by a join)."""
+    if lookup_limit and len(keys) == 1:
+        values = [r[0] for r in key_df.where(F.col(f"`{keys[0]}`").isNotNull()).distinct().limit(lookup_limit + 1).collect()]
+        if len(values) <= lookup_limit:
+            return seen.where(F.col(f"`{keys[0]}`").isin([F.lit(bytes(v) if isinstance(v, bytearray) else v) for v in values]) if values else F.lit(False)), len(values)
+    return seen.join(key_df, keys, "left_semi"), 0
+
+
+def _write_partitions(df: DataFrame, path: str, parts: list[str], rebalance: bool, index_key: str | None, dynamic: bool = True) -> None:
+    """Write partitions; with ``index_key`` with Bloom filters on it, sized by their distinct values."""
+    df = balanced(df, parts) if rebalance else df
+    w = df.write.mode("overwrite").partitionBy(*parts)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    if index_key:
+        w = w.option(f"parquet.bloom.filter.enabled#{index_key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+    w.parquet(path)
+
+
 def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicate, strategy,
-                   rebalance=True) -> UpsertResult:
+                   rebalance=True, lookup_limit=0) -> UpsertResult:
     keys, parts = _cols(unique_key), _cols(partition_by) if partition_by else []
     exists = path_exists(spark, path)
     if exists:
@@ -287,12 +327,14 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
     # may sit in another partition -- which partitions hold old rows of the batch keys.
     values = [F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(parts)]
     marks = batch.select(*values, F.when(null_key_rows(batch, keys), 1).otherwise(0).alias("_null"), F.lit(1).alias("_batch"))
+    looked_up, index_key = 0, keys[0] if lookup_limit and len(keys) == 1 else None
     if target is not None and not set(parts) <= set(keys):
         seen = target if target_predicate is None else target.where(target_predicate)
-        old = seen.join(key_df, keys, "left_semi")
+        old, looked_up = old_rows(seen, key_df, keys, lookup_limit)
         marks = marks.unionByName(old.select(*values, F.lit(0).alias("_null"), F.lit(0).alias("_batch")))
-    stats = (marks.groupBy(*[f"_p{i}" for i in range(len(parts))])
-             .agg(F.sum("_null").alias("null_keys"), F.sum("_batch").alias("n")).limit(MAX_PARTITIONS + 1).collect())
+    with _pushed_keys(spark, looked_up):
+        stats = (marks.groupBy(*[f"_p{i}" for i in range(len(parts))])
+                 .agg(F.sum("_null").alias("null_keys"), F.sum("_batch").alias("n")).limit(MAX_PARTITIONS + 1).collect())
     if len(stats) > MAX_PARTITIONS:
         raise TooManyPartitions(f"the batch touches more than {MAX_PARTITIONS} partitions of {path}")
     if any(r["null_keys"] for r in stats):
@@ -302,7 +344,7 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
         raise UniqueKeyViolation(f"batch has NULL values in partition columns {parts}")
     rows, touched = sum(by_value.values()), _order(by_value)
     if target is None:
-        write_table(batch, path, parts, rebalance=rebalance)
+        _write_partitions(batch, path, parts, rebalance, index_key, dynamic=False)
         return UpsertResult(path, strategy, True, _plain(parts, touched), [], rows)
 
     candidates = _order(v for v, n in by_value.items() if not n)   # old rows only, nothing new
@@ -316,8 +358,7 @@ def _delete_insert(spark, batch, path, unique_key, partition_by, target_predicat
 
     new = kept.unionByName(batch)
     # Dynamic overwrite replaces exactly the partitions present in `new`.
-    ((balanced(new, parts) if rebalance else new).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    _write_partitions(new, path, parts, rebalance, index_key)
     _delete_partitions(spark, path, parts, emptied)
     return UpsertResult(path, strategy, False, _plain(parts, touched), _plain(parts, emptied), rows)
 
