@@ -2,7 +2,8 @@
 
 1. A character language model is counted over all documents (:mod:`charlm`).
 2. Spans whose spelling leaves a choice become character lattices: digits and symbols that stand
-   for letters, single characters set apart by separators, and repeated letters (two or more).
+   for letters, single characters set apart by separators, words cut into pieces by a separator where
+   the model has the letters on both sides together (:func:`cuts`), and repeated letters (two or more).
    Viterbi decoding finds the reading with the best language-model and channel score. A span that
    ends in symbols is decoded up to its last letter and as a whole; symbols alone are decoded when
    they are long enough for a word to cost less (:func:`least_symbols`). Any other span has one
@@ -36,6 +37,10 @@ SEPARATORS = " .-_*,/"
 # Channel costs (negative log-probabilities): a substitution, a symbol meant as itself, a dropped
 # separator, a run of letters shortened.
 SUBSTITUTE, LITERAL, JOIN, SHORTEN, SHORTEN_TWO = 1.5, 2.0, 0.5, 1.0, 6.0
+# A symbol meant as itself between letters, or after the last letter of a span that has symbols between letters.
+INSIDE = 6.0
+# A separator dropped between pieces of words: a space, any other.
+SPACE_CUT, SIGN_CUT = 4.0, 1.5
 #: Word beginnings that are features beside the whole word, in bytes.
 BEGINNINGS = (4, 5, 6)
 
@@ -50,6 +55,13 @@ LOWER = common.lower_table()
 LETTER = _mask("abcdefghijklmnopqrstuvwxyz")
 SYMBOL = _mask("".join(LEET))
 SEPARATOR = _mask(SEPARATORS + "\n\t")
+CUT = _mask(SEPARATORS)
+# Letters, and the first letter that a digit, @ or $ stands for, as symbols of the language model.
+READ = np.zeros(256, np.uint8)
+READ[97:123] = np.arange(1, 27)
+for _c, _x in LEET.items():
+    if _c.isdigit() or _c in "@$":
+        READ[ord(_c)] = ord(_x[0]) - 96
 WORD = LETTER.copy()
 WORD[0x80:] = True
 
@@ -60,6 +72,7 @@ def decode(span: str, logp: list[float]) -> str:
     """Most probable reading of a lower-case span under ``logp`` (28**4 log-probabilities)."""
     units: list[list[tuple[tuple, float]]] = []
     spaced = len(span) > 2 and all(c in SEPARATORS for c in span[1::2])
+    literal = literal_prices(span, spaced)
     i = 0
     while i < len(span):
         c = span[i]
@@ -79,7 +92,9 @@ def decode(span: str, logp: list[float]) -> str:
         if spaced and i % 2:
             units.append([((), JOIN), ((0,), 0.0)])
         elif c in LEET:
-            units.append([((ord(x) - 96,), SUBSTITUTE) for x in LEET[c]] + [((0,), LITERAL)] + [((), JOIN)] * (spaced and c == "*"))
+            units.append([((ord(x) - 96,), SUBSTITUTE) for x in LEET[c]] + [((0,), literal[i])] + [((), JOIN if spaced else SIGN_CUT)] * (c == "*" and (spaced or literal[i] == INSIDE)))
+        elif c in SEPARATORS and 0 < i < len(span) - 1 and span[i - 1] not in SEPARATORS and span[i + 1] not in SEPARATORS:
+            units.append([((), SPACE_CUT if c == " " else SIGN_CUT), ((0,), 0.0)])
         else:
             units.append([((27,) if ord(c) > 127 else (0,), 0.0)])
         i += 1
@@ -110,6 +125,92 @@ def decode(span: str, logp: list[float]) -> str:
     return "".join(reversed(out)).strip()
 
 
+def literal_prices(span: str, spaced: bool = False) -> list[float]:
+    """What each character costs as itself: ``INSIDE`` for a symbol between letters (of one word, or of a
+    ``spaced`` chain), and for the symbols after a word's last letter where there is such a symbol; otherwise ``LITERAL``."""
+    prices = [LITERAL] * len(span)
+    if spaced:
+        letters = [i for i, c in enumerate(span) if "a" <= c <= "z"] or [0]
+        prices[letters[0]: letters[-1]] = [INSIDE] * (letters[-1] - letters[0])
+        return prices
+    for run in re.finditer(r"[^ .\-_,/]+", span):
+        letters = [i for i in range(run.start(), run.end()) if "a" <= span[i] <= "z"]
+        if letters:
+            inside = [i for i in range(letters[0], letters[-1]) if span[i] in LEET]
+            for i in inside + list(range(letters[-1] + 1, run.end())) * bool(inside):
+                prices[i] = INSIDE
+    return prices
+
+
+def cuts(raw: np.ndarray, offs: np.ndarray, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of lower-cased bytes that hold a separator between two letters which the model would rather have without it.
+
+    The price of the letters about each single separator is compared with and without a word end
+    there, also with the letter before a one- or two-letter piece; pieces of up to four letters
+    beside such a place that are set apart by the same separator belong to the span.
+    """
+    none = np.zeros(0, np.int64)
+    if len(raw) < 3:
+        return none, none
+    pure, letter = LETTER[raw], READ[raw] > 0
+    g = np.flatnonzero(CUT[raw[1:-1]] & letter[:-2] & letter[2:] & (pure[:-2] | pure[2:])) + 1
+    doc = np.searchsorted(offs, g, "right") - 1
+    lo, hi = offs[doc], offs[doc + 1]
+    keep = (g > lo) & (g + 1 < hi)
+    g, lo, hi = g[keep], lo[keep], hi[keep]
+    if not len(g):
+        return none, none
+    sym = np.where(letter, READ[raw], charlm.TABLE[raw]).astype(np.int32)
+
+    def at(pos):
+        return np.where((pos >= lo) & (pos < hi), sym[np.clip(pos, 0, len(raw) - 1)], 0)
+
+    def back(pos, through):
+        """Symbol before ``pos`` and its place; ``through``: a single separator is passed over."""
+        x = at(pos - 1)
+        if through:
+            skip = (x == 0) & (at(pos - 2) > 0) & CUT[raw[np.clip(pos - 1, 0, len(raw) - 1)]]
+            pos = np.where(skip, pos - 1, pos)
+            x = at(pos - 1)
+        return x, pos - 1
+
+    def price(a, b, c, d):
+        return logp[((a * charlm.SYMBOLS + b) * charlm.SYMBOLS + c) * charlm.SYMBOLS + d]
+
+    b1, b2 = at(g + 1), at(g + 2)
+    b3 = np.where(b2 > 0, at(g + 3), 0)
+    a3, two = at(g - 1), b2 > 0
+    p2, p1 = at(g - 2), at(g - 3)
+    p1 = np.where(p2 > 0, p1, 0)
+    split = price(p1, p2, a3, 0) + price(p2, a3, 0, b1) + price(a3, 0, b1, b2) + np.where(two, price(0, b1, b2, b3), 0)
+    t2, pos = back(g - 1, True)
+    t1 = np.where(t2 > 0, back(pos, True)[0], 0)
+    gain = -np.inf
+    for a1, a2 in ((p1, p2), (t1, t2)):
+        gain = np.maximum(gain, price(a1, a2, a3, b1) + price(a2, a3, b1, b2) + np.where(two, price(a3, b1, b2, b3), 0) - split)
+    linked = gain > np.where(raw[g] == 32, SPACE_CUT, SIGN_CUT)
+    count = np.zeros(len(raw) + 1, np.int32)
+    np.cumsum(letter, out=count[1:])
+    piece = g[1:] - g[:-1] - 1
+    # neighbouring gaps about one piece, all letters
+    beside = (count[g[1:]] - count[g[:-1]] == piece) & (lo[1:] == lo[:-1]) & (raw[g[1:]] == raw[g[:-1]])
+    short = beside & (piece <= 4)
+    for _ in range(3):
+        wide = linked.copy()
+        wide[1:] |= linked[:-1] & short
+        wide[:-1] |= linked[1:] & short
+        linked = wide
+    if not linked.any():
+        return none, none
+    at_gap = np.flatnonzero(linked)
+    new = np.ones(len(at_gap), bool)
+    new[1:] = ~((np.diff(at_gap) == 1) & beside[at_gap[:-1]])
+    head = np.flatnonzero(new)
+    first, last = g[at_gap[head]], g[at_gap[np.append(head[1:], len(at_gap)) - 1]]
+    starts, ends, _ = common.spans(pure | SYMBOL[raw], offs)
+    return starts[np.searchsorted(starts, first - 1, "right") - 1], ends[np.searchsorted(starts, last + 1, "right") - 1]
+
+
 def suspicious(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spans of lower-cased bytes whose lattice has more than one reading worth scoring."""
     letter, symbol = LETTER[raw], SYMBOL[raw]
@@ -216,12 +317,12 @@ class Restorer:
     """Decodes the spans of a run of documents that leave a choice; equal spans are decoded once."""
 
     def __init__(self, logp: np.ndarray):
-        self.logp, self.known, self.least = logp.tolist(), {}, least_symbols(logp)
+        self.table, self.logp, self.known, self.least = logp, logp.tolist(), {}, least_symbols(logp)
 
     def __call__(self, raw: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, bytes, bytes]]:
         """(document, place, seen, restored) of the spans that change."""
         out = []
-        starts, ends = (np.concatenate(x) for x in zip(suspicious(raw, offs), endings(raw, offs, self.least)))
+        starts, ends = (np.concatenate(x) for x in zip(suspicious(raw, offs), endings(raw, offs, self.least), cuts(raw, offs, self.table)))
         starts, ends = np.unique(np.stack([starts, ends]), axis=1) if len(starts) else (starts, ends)
         docs = np.searchsorted(offs, starts, "right") - 1
         for d, s, e in zip(docs.tolist(), starts.tolist(), ends.tolist()):

@@ -61,6 +61,10 @@ def test_readings(logp, seen, text):
 def brute_decode(span, logp):
     """All readings of a span, scored one by one."""
     units, i, spaced = [], 0, len(span) > 2 and all(c in X.SEPARATORS for c in span[1::2])
+    at = [k for k, c in enumerate(span) if c.isalpha()]
+    between = [k for k in range(at[0], at[-1]) if not span[k].isalpha() and (not spaced or k % 2 == 0)] if at else []
+    # a symbol between letters is dear as itself; without separators, so are those after the last letter then
+    dear = between + [k for k in range(at[-1], len(span)) if not span[k].isalpha()] * (not spaced) if between else []
     while i < len(span):
         c = span[i]
         if c.isascii() and c.isalpha():
@@ -68,7 +72,7 @@ def brute_decode(span, logp):
             units.append([(c * n, 0.0)] + ([] if n == 1 else [(c, X.SHORTEN_TWO)] if n == 2 else [(c * 2, X.SHORTEN), (c, X.SHORTEN)]))
             i += n
             continue
-        units.append([("", X.JOIN), (" ", 0.0)] if spaced and i % 2 else [(x, X.SUBSTITUTE) for x in X.LEET[c]] + [(" ", X.LITERAL)] if c in X.LEET else [(" ", 0.0)])
+        units.append([("", X.JOIN), (" ", 0.0)] if spaced and i % 2 else [(x, X.SUBSTITUTE) for x in X.LEET[c]] + [(" ", X.INSIDE if i in dear else X.LITERAL)] if c in X.LEET else [(" ", 0.0)])
         i += 1
     best = (math.inf, "")
     for choice in itertools.product(*units):
@@ -191,3 +195,74 @@ def test_the_sample_is_bounded_when_ids_repeat(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, toxic int")
     sample, _ = X.labelled_sample(docs, labels, "doc_id", "text", "toxic", 4, 9, 10)
     assert sorted(r.text for r in sample.collect()) == ["text 0", "text 1", "text 1001"]
+
+
+PIECES = ["what a worthless thing", "you stupid man", "an idiot", "a loser and a moron", "pathetic and disgusting", "the end of the road is near"] * 200
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return charlm.log_probabilities(np.bincount(grams(CORPUS + ENDINGS + PIECES), minlength=charlm.SIZE))
+
+
+@pytest.mark.parametrize("seen,word", [("stu pid", "stupid"), ("wor-th-less", "worthless"), ("st.up.id", "stupid"), ("pathe-tic", "pathetic"), ("disgus_ting", "disgusting"),
+                                       ("mo ron", "moron"), ("id iot", "idiot"), ("lo ser", "loser"), ("w0rthle55", "worthless"), ("l0ser5", "loser"), ("w0rthl3ss", "worthless"),
+                                       ("w0r-thl3ss", "worthless"), ("m.0.r.0.n", "moron"), ("st*up*id", "stupid")])
+def test_words_in_pieces_and_leet_are_read(pieces, seen, word):
+    for text in (seen, f"you {seen} man", f"look, ({seen})! end"):
+        assert any(word[:6] in t.split() or any(w.startswith(word) for w in t.split()) for t in restored(pieces, text).values()), text
+
+
+def test_plain_text_is_not_joined(pieces):
+    for text in PIECES + CORPUS[:7] + ["the end. the road, and the sun - up/down"]:
+        assert all(" ".join(t.split()) == " ".join(X.PLAIN.split(s)).strip() for s, t in restored(pieces, text).items()), restored(pieces, text)
+
+
+def test_cuts_stay_in_their_document(pieces):
+    raw = np.frombuffer(b"stu pidstu" + b" pid stu pid", np.uint8)
+    whole = X.cuts(raw, np.array([0, 10, 10, len(raw)]), pieces)
+    assert all((b <= 10) == (a < 10) for a, b in zip(*whole))
+    one = [X.cuts(np.frombuffer(t, np.uint8), np.array([0, len(t)]), pieces) for t in (b"stu pidstu", b" pid stu pid", b"", b"a", b" a ")]
+    want = sorted([(int(a), int(b)) for a, b in zip(*one[0])] + [(int(a) + 10, int(b) + 10) for a, b in zip(*one[1])])
+    assert sorted((int(a), int(b)) for a, b in zip(*whole)) == want and not sum(len(x[0]) for x in one[2:])
+
+
+# toxic words of the corpus, spelt in each way of the channel
+def spellings(word, rng):
+    yield "plain", word
+    leet = {"o": "0", "i": "1", "e": "3", "a": "4", "s": "5", "t": "7"}
+    k = int(rng.integers(2, len(word) - 1))
+    some = [i for i, c in enumerate(word) if c in leet]
+    pick = set(rng.permutation(some)[:max(1, len(some) // 2)].tolist())
+    digits = "".join(leet[c] if i in pick else c for i, c in enumerate(word))
+    yield "leet", digits
+    yield "spacing", word[:k] + str(rng.choice(list(" .-_"))) + word[k:]
+    yield "letters", str(rng.choice(list(" .-_"))).join(word)
+    yield "repetition", word[:k] + word[k] * 3 + word[k:]
+    yield "mixed", " ".join(digits)
+
+
+def test_recall_by_kind_of_spelling(spark):
+    docs, labels = common.table(spark, SF, "documents"), common.table(spark, SF, "labels")
+    model = X.fit(docs, labels)
+    held = docs.join(labels, "doc_id").where("crc32(cast(doc_id as string)) % 4 = 2")
+    clean = [r.text for r in held.where("toxic = 0 and quality = 1").orderBy("doc_id").limit(40).collect()]
+    # words of at least one in twenty toxic texts, and of hardly any clean one
+    split = docs.join(labels, "doc_id").select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("w")).where("length(w) > 4")
+    seen = split.groupBy("w").agg(F.sum((F.col("toxic") == 1).cast("int")).alias("bad"), F.sum((F.col("toxic") == 0).cast("int")).alias("good"))
+    n = labels.where("toxic = 1").count()
+    bad = sorted(r.w for r in seen.where((F.col("bad") * 20 >= n) & (F.col("good") * 50 < F.col("bad"))).collect())
+    assert len(bad) >= 5
+    rng, rows = np.random.default_rng(5), []
+    for i, text in enumerate(clean):
+        four = [dict(spellings(w, rng)) for w in rng.choice(bad, 4, replace=False)]  # as many as a toxic text holds at least
+        for kind in four[0]:
+            rows.append((i, kind, f"{text[:300]} {four[0][kind]}, {four[1][kind]} {text[300:600]} {four[2][kind]} ({four[3][kind]})"))
+    rows += [(i, "clean", t) for i, t in enumerate(clean)]
+    out = X.score(spark.createDataFrame(rows, "i int, kind string, text string").coalesce(2), model).select("i", "kind", "__score").toPandas()
+    found = out[out["__score"] >= 0.3].groupby("kind").i.agg(set).to_dict()
+    # of the texts that are found when plainly spelt
+    share = {k: len(found.get(k, set()) & found["plain"]) / len(found["plain"]) for k in out.kind.unique()}
+    print("plain", len(found["plain"]), "of", len(clean), "by kind", share)
+    assert "clean" not in found and len(found["plain"]) > 30
+    assert min(v for k, v in share.items() if k != "clean") >= 0.9, share
