@@ -294,6 +294,20 @@ SQL["upsert_changed_rows"] = with_models(CALLS, body=(
 SQL["compaction"] = with_models(CALLS, body=(
     "SELECT block_date, COUNT(*) AS n, CAST(SUM(block_number) AS BIGINT) AS numbers, COUNT(DISTINCT hash) AS hashes, "
     "true AS one_file, true AS settled FROM calls GROUP BY block_date"))
+SQL["compaction_clustered"] = with_models(CALLS, body=(
+    "SELECT block_date, COUNT(*) AS n, CAST(SUM(block_number) AS BIGINT) AS numbers, COUNT(DISTINCT hash) AS hashes, "
+    f"true AS clustered, true AS settled, block_date = {d(dt.date(2024, 1, 12))} AS due_again FROM calls GROUP BY block_date"))
+_LATE = f"""late AS (SELECT *, block_number % 11 = 0 AS twice FROM calls WHERE block_date >= {d(dt.date(2024, 1, 20))})"""
+_RULE = "SELECT 'transactions_attributed' AS model, '{}' AS rule, '{}' AS column, CAST(({}) AS BIGINT) AS failing_rows"
+SQL["dq_written"] = with_models(CALLS, _LATE, body=" UNION ALL ".join(
+    [_RULE.format("rows", "*", "SELECT COUNT(*) + COUNT(*) FILTER (twice) FROM late"),
+     # the repeated rows keep their sender
+     _RULE.format("not_null", "from", 'SELECT COUNT(*) FILTER (block_number % 7 = 0) + COUNT(*) FILTER ("from" IS NULL AND block_number % 7 <> 0) '
+                  '+ COUNT(*) FILTER ("from" IS NULL AND twice) FROM late')]
+    + [_RULE.format("not_null", c, f"SELECT COUNT(*) FILTER ({c} IS NULL) + COUNT(*) FILTER ({c} IS NULL AND twice) FROM late")
+       for c in ("block_time", "block_date", "block_number", "hash", "has_builder_code")]
+    + [_RULE.format(rule, "hash", "SELECT COUNT(*) FROM (SELECT hash FROM late GROUP BY hash HAVING COUNT(*) + COUNT(*) FILTER (twice) > 1)")
+       for rule in ("unique", "unique_combination_of_columns")]))
 SQL["daily_replace_days"] = with_models(
     calls("every"), f"calls AS (SELECT * FROM every WHERE block_date <> {d(P.EMPTIED_DAY)})", MOVES, PAID, DAYS, body=days_out())
 SQL["spot_check"] = with_models(CALLS, body=f"SELECT {P.SPOT_ROWS} AS n, COUNT(*) AS columns, true AS stored FROM (DESCRIBE SELECT {TX_OUT} FROM calls)")

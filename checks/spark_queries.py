@@ -15,6 +15,7 @@ from codetrail.functions.keys import hex_text, portable, surrogate_key
 from codetrail.functions.literals import typed_lit
 from codetrail.functions.windows import tx_window
 from codetrail.operators import attribution as A
+from codetrail.operators import clustering as CL
 from codetrail.operators import export as X
 from codetrail.operators import metrics as M
 from codetrail.operators import partials as PT
@@ -614,6 +615,9 @@ def q_full_refresh_switch(spark, sf_dir):
     return portable(spark.table(name).select(*[F.col(f"`{c}`") for c in S.TX_ATTRIBUTED_COLUMNS]))
 
 
+CLUSTER_DAY, DQ_FROM = _dt.date(2024, 1, 12), _dt.date(2024, 1, 20)
+
+
 def q_compaction(spark, sf_dir):
     """K9: a table written in many small increments, compacted: same rows, one file a day, and settled."""
     target = scratch_path(spark, "compaction") + "/transactions_attributed"
@@ -629,6 +633,38 @@ def q_compaction(spark, sf_dir):
     return rows.join(files, "block_date").withColumn("settled", F.lit(settled))
 
 
+def q_compaction_clustered(spark, sf_dir):
+    """K9 along a space-filling curve of (block_time, hash): same rows, settled, and only a changed day is due again."""
+    target = scratch_path(spark, "clustered") + "/transactions_attributed"
+    ta = ta_full(spark, sf_dir)
+    for part in range(2):
+        U.write_table(ta.where(F.pmod(F.hash("hash"), F.lit(2)) == part), target, S.TX_PARTITION, mode="append")
+    first = CL.cluster(spark, target, S.TX_PARTITION, ["block_time", "hash"])
+    settled = not CL.cluster(spark, target, S.TX_PARTITION, ["block_time", "hash"])
+    U.replace_partitions(spark, ta.where(F.col("block_date") == typed_lit(CLUSTER_DAY)), target, S.TX_PARTITION, [CLUSTER_DAY])
+    again = [x for x in CL.cluster(spark, target, S.TX_PARTITION, ["block_time", "hash"])]
+    days = spark.createDataFrame([(x.split("=")[1],) for x in first], "d string").select(F.to_date("d").alias("block_date"))
+    rows = read_tx_table(spark, target).groupBy("block_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("block_number").alias("numbers"), F.count_distinct("hash").alias("hashes"))
+    return rows.join(days.withColumn("clustered", F.lit(True)), "block_date", "left").select(
+        "*", F.lit(settled).alias("settled"), F.col("block_date").cast("string").isin([x.split("=")[1] for x in again]).alias("due_again"))
+
+
+def q_dq_written(spark, sf_dir):
+    """Q1-Q3 inside the write: a batch with NULL senders and repeated keys is upserted; the rules count what the write
+    saw and look at the keys of the touched days only."""
+    target = scratch_path(spark, "dq-written") + "/transactions_attributed"
+    ta = ta_full(spark, sf_dir)
+    U.write_table(ta, target, S.TX_PARTITION)
+    late = ta.where(F.col("block_date") >= typed_lit(DQ_FROM))
+    number = F.col("block_number")
+    late = late.withColumn("from", F.when(number % 7 != 0, F.col("from"))).unionByName(late.where(number % 11 == 0))
+    batch, seen = QL.observed(late, QL.TRANSACTIONS_RULES)
+    done = U.delete_insert(spark, batch, target, S.TX_KEY, S.TX_PARTITION)
+    scope = U.in_partitions([S.TX_PARTITION], [(v,) for v in done.touched_partitions])
+    return QL.observed_summary(read_tx_table(spark, target), QL.TRANSACTIONS_RULES, seen, scope)
+
+
 def q_spot_check(spark, sf_dir):
     """``select * limit n`` has no fixed rows; their number and columns are, and that they are the model's."""
     ta = ta_full(spark, sf_dir)

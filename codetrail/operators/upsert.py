@@ -33,7 +33,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from codetrail.functions.literals import isin, typed_lit
@@ -58,7 +58,8 @@ class TooManyPartitions(ValueError):
 
 @dataclass
 class UpsertResult:
-    """``touched_partitions``: values (tuples for several partition columns); ``rows``: rows of the batch, None if not counted."""
+    """``touched_partitions``: values (tuples for several partition columns); ``rows``: rows of the batch, None if not counted;
+    ``observed``: what the write counted for the quality rules, if asked."""
 
     path: str
     strategy: str
@@ -66,6 +67,7 @@ class UpsertResult:
     touched_partitions: list
     emptied_partitions: list
     rows: int | None = None
+    observed: Observation | None = None
 
 
 def _cols(keys) -> list[str]:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from codetrail import schemas
 from codetrail.functions.windows import Floors, metric_window, target_bound, tx_window
-from codetrail.operators import attribution, metrics, upsert
+from codetrail.operators import attribution, metrics, quality, upsert
 from codetrail.sources.catalog import read_table
 from codetrail.session import ensure_conf, path_exists
 
@@ -41,11 +41,17 @@ STRATEGIES = {"delete+insert": upsert.delete_insert, "merge": upsert.merge}
 
 
 def _materialize(spark, df, target, key, partition_by, incremental, strategy="delete+insert",
-                 rebalance=True, target_predicate: Column | None = None) -> upsert.UpsertResult:
+                 rebalance=True, target_predicate: Column | None = None, rules: quality.ModelRules | None = None) -> upsert.UpsertResult:
+    seen = None
+    if rules is not None:
+        df, seen = quality.observed(df, rules)
     if incremental:
         # rows of one date come out of many tasks once the anti join shuffles: always rebalance
-        return STRATEGIES[strategy](spark, df, target, key, partition_by, target_predicate=target_predicate)
-    return upsert.full_refresh(spark, df, target, partition_by, rebalance=rebalance)
+        result = STRATEGIES[strategy](spark, df, target, key, partition_by, target_predicate=target_predicate)
+    else:
+        result = upsert.full_refresh(spark, df, target, partition_by, rebalance=rebalance)
+    result.observed = seen
+    return result
 
 
 def _bound(as_of, target_days, target_predicate, date_col) -> Column | None:
@@ -58,26 +64,28 @@ def _key(key: list[str], partition: str, date_in_key: bool) -> list[str]:
 
 def run_transactions(spark: SparkSession, tx: DataFrame, target: str, as_of: dt.datetime | None = None,
                      floors: Floors = Floors(), full_refresh: bool = False, target_days: int | None = None,
-                     target_predicate: Column | None = None, date_in_key: bool = False) -> upsert.UpsertResult:
+                     target_predicate: Column | None = None, date_in_key: bool = False, observe: bool = False) -> upsert.UpsertResult:
     """An incremental run looks for old rows of its keys in the whole table (exact) unless it is bounded:
     ``target_days`` looks at the last days only (partition pruning), ``target_predicate`` at any
     part, ``date_in_key=True`` at the batch's own dates. An old row outside the bound is then not
-    replaced, so a bound must cover how far back a key's date can move."""
+    replaced, so a bound must cover how far back a key's date can move.
+    ``observe=True`` counts rows and NULLs for the quality rules during the write."""
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
     df = attribution.attribute_transactions(tx, floors, tx_window(as_of) if inc else None)
     # First run: map-only over a source partitioned by the same date, every task already writes one
     # date, so no rebalance shuffle of the largest table (models 2 and 3 come out of shuffles).
     return _materialize(spark, df, target, _key(schemas.TX_KEY, schemas.TX_PARTITION, date_in_key), schemas.TX_PARTITION, inc,
-                        rebalance=False, target_predicate=_bound(as_of, target_days, target_predicate, schemas.TX_PARTITION))
+                        rebalance=False, target_predicate=_bound(as_of, target_days, target_predicate, schemas.TX_PARTITION),
+                        rules=quality.TRANSACTIONS_RULES if observe else None)
 
 
 def run_transfers(spark: SparkSession, tr: DataFrame, tx_attributed_path: str, target: str,
                   as_of: dt.datetime | None = None, chain: str = "celo", floors: Floors = Floors(),
                   full_refresh: bool = False, tagged_only: bool = False, strategy: str = "delete+insert",
                   target_days: int | None = None, target_predicate: Column | None = None,
-                  date_in_key: bool = False) -> upsert.UpsertResult:
-    """Bounds as in :func:`run_transactions`."""
+                  date_in_key: bool = False, observe: bool = False) -> upsert.UpsertResult:
+    """Bounds and ``observe`` as in :func:`run_transactions`."""
     ensure_conf(spark)
     inc = is_incremental(spark, target, full_refresh)
     w = tx_window(as_of) if inc else None
@@ -86,7 +94,8 @@ def run_transfers(spark: SparkSession, tr: DataFrame, tx_attributed_path: str, t
     df = attribution.attribute_transfers(attribution.select_transfers(tr, chain, floors, w), keys)
     return _materialize(spark, df, target, _key(schemas.TRANSFER_KEY, schemas.TRANSFER_PARTITION, date_in_key),
                         schemas.TRANSFER_PARTITION, inc, strategy,
-                        target_predicate=_bound(as_of, target_days, target_predicate, schemas.TRANSFER_PARTITION))
+                        target_predicate=_bound(as_of, target_days, target_predicate, schemas.TRANSFER_PARTITION),
+                        rules=quality.TRANSFERS_RULES if observe else None)
 
 
 def run_daily(spark: SparkSession, prices: DataFrame, tx_attributed_path: str, transfers_attributed_path: str,
