@@ -47,3 +47,15 @@ def test_same_table_with_and_without(spark, scratch, limit):
     assert got == want
     with pytest.raises(U.UniqueKeyViolation):
         U.delete_insert(spark, moved.withColumn("k", F.lit(None).cast("binary")), path, "k", "day", lookup_limit=limit)
+
+
+def test_thousands_of_keys_are_looked_up_by_value(spark, scratch):
+    """One flat IN list of so many keys overflowed the stack of the Parquet reader's filter."""
+    n, path = 12_000, f"{scratch}/t"
+    U.delete_insert(spark, table(spark, n), path, "k", "day", lookup_limit=10_000)
+    batch = table(spark, 9_001, add=100)
+    keys = batch.select("k")
+    found, looked_up = U.old_rows(spark.read.parquet(path), keys, ["k"], 10_000)
+    assert looked_up == 9_001 and found.count() == 9_001
+    U.delete_insert(spark, batch, path, "k", "day", lookup_limit=10_000)
+    assert spark.read.parquet(path).groupBy().agg(F.count("k"), F.sum("v")).first() == (n, n * (n - 1) // 2 + 9_001 * 100)
