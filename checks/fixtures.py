@@ -47,6 +47,21 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Events of one task of the derivation.
+EVENTS_PER_TASK, LEAST_EVENTS_PER_TASK = 250_000, 20_000
+
+
+def dealt(spark: SparkSession, rows: DataFrame, n_events: int) -> DataFrame:
+    """Events, still narrow, dealt over tasks by their day and sorted by it.
+
+    A table of few, well compressed files is read by few tasks, and one that holds all days sorts its wide
+    rows by day before it writes them; here the wide rows come out of each task in the order they are written.
+    """
+    tasks = max(-(-n_events // EVENTS_PER_TASK), min(spark.sparkContext.defaultParallelism, -(-n_events // LEAST_EVENTS_PER_TASK)), 1)
+    by_day = rows.withColumn("block_date", F.to_date("ts"))
+    return by_day.repartitionByRange(tasks, "block_date", "event_id").sortWithinPartitions("block_date")
+
+
 def calldata_hex(event_id: Column, user_id: Column) -> Column:
     """Hex text of the calldata for an event, by case k = event_id % 11."""
     k = event_id % TRAILER_CASES
@@ -61,10 +76,14 @@ def calldata_hex(event_id: Column, user_id: Column) -> Column:
     ll = F.lower(F.lpad(F.hex(F.octet_length(F.encode(code, "UTF-8"))), 2, "0"))
     p = F.lit(TRANSFER_SELECTOR_HEX)
     m = F.lit(MARKER_HEX)
+    # what follows the code; the code's own text is built once (generated code over 8,000 bytes is never compiled)
+    end = (
+        F.when(k.isin(0, 1, 8, 9), F.concat(F.lit("00"), m))
+        .when(k == 2, F.lit("00ff" + MARKER_HEX[2:]))
+        .when(k == 3, F.concat(F.lit("01"), m))
+    )
     return (
-        F.when(k.isin(0, 1, 8, 9), F.concat(p, code_hex, ll, F.lit("00"), m))
-        .when(k == 2, F.concat(p, code_hex, ll, F.lit("00"), F.lit("ff"), F.lit(MARKER_HEX[2:])))
-        .when(k == 3, F.concat(p, code_hex, ll, F.lit("01"), m))
+        F.when(k.isin(0, 1, 2, 3, 8, 9), F.concat(p, code_hex, ll, end))
         .when(k == 4, F.concat(p, F.lit("0000"), m))
         .when(k == 5, F.concat(F.lit("0000"), m))
         .when(k == 6, F.concat(F.lit("61ff00"), m))
@@ -86,12 +105,13 @@ def fee_currency_hex(user_id: Column) -> Column:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per event, typed as ``schemas.TRANSACTIONS``."""
     ev = load_events(spark, sf_dir)
+    ev = dealt(spark, ev, ev.count())
     eid, uid = F.col("event_id"), F.col("user_id")
     gas_price = (F.lit(25_000_000_000) + (eid % 7) * F.lit(1_000_000_000)).cast(schemas.WEI)
     gwei = F.lit(1_000_000_000).cast(schemas.WEI)
     df = ev.select(
         F.col("ts").alias("block_time"),
-        F.to_date("ts").alias("block_date"),
+        F.col("block_date"),
         eid.alias("block_number"),
         F.round(F.col("value") * 100).cast(schemas.WEI).alias("value"),
         F.lit(200_000).cast("long").alias("gas_limit"),
@@ -123,6 +143,7 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ex = ev.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("i")).where(
         F.col("i") < eid % TRANSFER_FANOUT
     )
+    ex = dealt(spark, ex, ev.count())
     i = F.col("i")
     amount = F.col("value") * (i + 1)
     contract = (
@@ -131,8 +152,8 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.select(
         _sha_hex("tr-", F.concat_ws("-", eid.cast("string"), i.cast("string"))).alias("unique_key"),
         F.when((i == 1) & (eid % OTHER_CHAIN_EVERY == 0), F.lit(OTHER_CHAIN)).otherwise(F.lit(CHAIN)).alias("blockchain"),
-        F.trunc(F.to_date("ts"), "month").alias("block_month"),
-        F.to_date("ts").alias("block_date"),
+        F.trunc("block_date", "month").alias("block_month"),
+        F.col("block_date"),
         F.col("ts").alias("block_time"),
         eid.alias("block_number"),
         F.unhex(_sha_hex("tx-", eid)).alias("tx_hash"),

@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from checks import fixtures
 from checks import spark_queries as Q
 from codetrail.functions.windows import Floors
 from codetrail.operators import attribution as A
@@ -31,3 +34,16 @@ def test_documented_facts_at_sf001(spark):
         assert abs(first["chain_fees_usd"] - 0.00048952875) < 1e-15
     finally:
         dm.unpersist()
+
+
+def test_one_file_of_events_is_derived_by_many_tasks(spark, scratch):
+    """Few, well compressed files hold many events: no task takes all days or sorts its wide rows by day."""
+    n = 90_000
+    (spark.range(n).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 7919 % (30 * 86_400)).alias("ts"),
+                           (F.col("id") % 50).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"))
+     .coalesce(1).write.parquet(f"{scratch}/events.parquet"))
+    for derive, rows in ((fixtures.transactions, n), (fixtures.transfers, n * 3 // 2)):
+        df = derive(spark, scratch).select("block_date", F.spark_partition_id().alias("task"))
+        tasks = df.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("block_date").alias("days")).collect()
+        assert sum(t.n for t in tasks) == rows
+        assert len(tasks) == 4 and max(t.n for t in tasks) < rows / 2 and max(t.days for t in tasks) < 16
