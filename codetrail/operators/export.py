@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,26 +133,33 @@ def export_changes(spark: SparkSession, df: DataFrame, dest: str, unique_key, pa
     named = [F.col(f"`{c}`") for c in df.columns]
     columns = [F.col(f"`{k}`") for k in keys] + ([] if partition_by in keys else [F.col(f"`{partition_by}`")])
     digest = F.unhex(F.sha2(F.to_json(F.struct(*named)), 256)).alias("_digest")
-    current = df.select(*columns, digest)
-    state_path, run = f"{dest}_state", f"{as_of:%Y%m%dT%H%M%S}"
-    version = spark.read.schema(f"{STATE_VERSION} string").parquet(state_path) if path_exists(spark, state_path) else None
-    last = None if version is None else version.agg(F.max(STATE_VERSION)).first()[0]
-    if last is None:
-        before = current.limit(0)
-    else:
-        before = spark.read.schema(current.schema).parquet(f"{state_path}/{STATE_VERSION}={last}")
-    fresh = df.withColumn("_digest", digest).join(before.select(*keys, "_digest"), [*keys, "_digest"], "left_anti").select(*named)
-    # old rows of changed keys, and of keys that are not there any more, each in the partition that holds it
-    old = before.join(current.select(*keys, "_digest"), [*keys, "_digest"], "left_anti").select(*columns)
-    vanished = old.join(current.select(*keys), keys, "left_anti")
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name not in vanished.columns]
-    deletes = vanished.select(*columns, *empty).select(*named)
-    out = f"{dest}_changes/run={run}"
-    fresh.withColumn("op", F.lit("upsert")).unionByName(deletes.withColumn("op", F.lit("delete"))).write.mode("overwrite").parquet(out)
-    changes = spark.read.schema(fresh.withColumn("op", F.lit("upsert")).schema).parquet(out)
-    upsert.apply_changes(spark, changes.where("op = 'upsert'").drop("op"), old, dest, keys, partition_by)
-    current.write.mode("overwrite").parquet(f"{state_path}/{STATE_VERSION}={run}")
-    return changes
+    # Keys and digests are narrow and are compared several times: decoded and digested once.
+    current = df.select(*columns, digest).persist(StorageLevel.MEMORY_AND_DISK)
+    old = None
+    try:
+        state_path, run = f"{dest}_state", f"{as_of:%Y%m%dT%H%M%S}"
+        version = spark.read.schema(f"{STATE_VERSION} string").parquet(state_path) if path_exists(spark, state_path) else None
+        last = None if version is None else version.agg(F.max(STATE_VERSION)).first()[0]
+        if last is None:
+            before = current.limit(0)
+        else:
+            before = spark.read.schema(current.schema).parquet(f"{state_path}/{STATE_VERSION}={last}")
+        fresh = df.withColumn("_digest", digest).join(before.select(*keys, "_digest"), [*keys, "_digest"], "left_anti").select(*named)
+        # old rows of changed keys, and of keys that are not there any more, each in the partition that holds it
+        old = before.join(current.select(*keys, "_digest"), [*keys, "_digest"], "left_anti").select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+        vanished = old.join(current.select(*keys), keys, "left_anti")
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name not in vanished.columns]
+        deletes = vanished.select(*columns, *empty).select(*named)
+        out = f"{dest}_changes/run={run}"
+        fresh.withColumn("op", F.lit("upsert")).unionByName(deletes.withColumn("op", F.lit("delete"))).write.mode("overwrite").parquet(out)
+        changes = spark.read.schema(fresh.withColumn("op", F.lit("upsert")).schema).parquet(out)
+        upsert.apply_changes(spark, changes.where("op = 'upsert'").drop("op"), old, dest, keys, partition_by)
+        current.write.mode("overwrite").parquet(f"{state_path}/{STATE_VERSION}={run}")
+        return changes
+    finally:
+        current.unpersist()
+        if old is not None:
+            old.unpersist()
 
 
 STATE_VERSION = "version"

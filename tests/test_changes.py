@@ -83,3 +83,20 @@ def test_export_window_prunes_directories(spark, scratch):
     got = X.window_rows(df, w, S.TX_PARTITION)
     assert "PartitionFilters: [isnotnull(block_date" in got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == X.window_rows(df, w).count() > 0
+
+
+def test_the_source_is_derived_twice_a_run(spark, scratch):
+    """Once for the keys and digests, once for the rows to send, however often the differences are used."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(v):
+        seen.add(1)
+        return v
+
+    n, touched = 300, F.udf(touch, "string")
+    df = lambda add: spark.range(n).select(F.col("id").alias("k"), F.lit(D[0]).alias("day"), touched((F.col("id") % 7 + add).cast("string")).alias("v"))
+    X.export_changes(spark, df(0), f"{scratch}/t", "k", "day", T0)
+    seen.value = 0
+    changes = X.export_changes(spark, df(1), f"{scratch}/t", "k", "day", T0 + dt.timedelta(days=1))
+    assert seen.value <= 2 * n
+    assert changes.where("op = 'upsert'").count() == n
