@@ -296,7 +296,7 @@ def q_daily_replace_days(spark, sf_dir):
     tx, tr, pr = tx_source(spark, sf_dir), transfer_source(spark, sf_dir), price_source(spark, sf_dir)
     MD.run_all(spark, tx, tr, pr, paths, None, P.CHAIN, P.FLOORS)
     gone = F.col("block_date") == typed_lit(P.EMPTIED_DAY)
-    U.full_refresh(spark, A.attribute_transactions(tx.where(~gone), P.FLOORS), paths.transactions_attributed, S.TX_PARTITION)
+    MD.run_transactions(spark, tx.where(~gone), paths.transactions_attributed, None, P.FLOORS, full_refresh=True)
     MD.run_daily(spark, pr, paths.transactions_attributed, paths.transfers_attributed, paths.daily_metric, P.AS_OF_METRIC,
                  P.CHAIN, P.FLOORS, replace_days=True)
     return daily_output(spark.read.schema(S.DAILY_METRIC).parquet(paths.daily_metric))

@@ -6,7 +6,7 @@ source columns so they reach the Parquet scan as pushed filters / partition filt
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codetrail import schemas
@@ -101,7 +101,10 @@ def attribute_transfers(transfers: DataFrame, keys: DataFrame) -> DataFrame:
     """
     t = transfers.alias("t")
     a = keys.alias("a")
-    joined = t.join(a, F.col("t.tx_hash") == F.col("a.hash"), "left")
+    return _attributed(t.join(a, F.col("t.tx_hash") == F.col("a.hash"), "left"))
+
+
+def _attributed(joined: DataFrame) -> DataFrame:
     return joined.select(
         *[F.col(f"t.`{c}`") for c in schemas.TRANSFER_PASSTHROUGH],
         F.coalesce(F.col("a.has_builder_code"), F.lit(False)).alias("has_builder_code"),
@@ -109,3 +112,45 @@ def attribute_transfers(transfers: DataFrame, keys: DataFrame) -> DataFrame:
         F.col("a.builder_code"),
         F.col("a.builder_code2"),
     )
+
+
+#: Transfers of one file of a day, as :func:`attribute_by_day` deals them.
+TRANSFERS_PER_FILE = 250_000
+
+
+def rows_by_day(transfers: DataFrame, most: int) -> dict | None:
+    """Transfers of each day; None if they lie on more than ``most`` days."""
+    days = transfers.groupBy("block_date").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
+    return {r["block_date"]: r["n"] for r in days} if len(days) <= most else None
+
+
+def attribute_by_day(transfers: DataFrame, keys: DataFrame, counts: dict) -> DataFrame:
+    """C7 for a table written by day: the rows of :func:`attribute_transfers`, already dealt by day.
+
+    Joined by hash, wide transfers move twice: to the join and, gathered by day, to the write. Here they move
+    once, by (day, file), and are written as they come out of the join; narrow rows move more often: the days of a
+    hash's transfers (a transaction lies on one day; where a hash has more, the days between are tried too)
+    send each transaction's attribution to those days. ``counts`` (:func:`rows_by_day`) sizes the files; a day
+    that it lacks is one file. Written under :func:`~codetrail.session.join_as_dealt`.
+    """
+    spark = transfers.sparkSession
+    files = {d: -(-n // TRANSFERS_PER_FILE) for d, n in counts.items()}
+    tasks = min(sum(files.values()), 2 * -(-sum(counts.values()) // TRANSFERS_PER_FILE))
+    # with fewer tasks than the session's shuffles have, the join would deal its sides anew
+    number = [tasks] if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
+    of_day = F.broadcast(spark.createDataFrame(list(files.items()), "_day date, _files int"))
+
+    def dealt(df: DataFrame, spread: Column) -> DataFrame:
+        with_files = df.join(of_day, "_day", "left")
+        return with_files.withColumn("_file", F.pmod(spread, F.coalesce("_files", F.lit(1)))).repartition(*number, "_day", "_file")
+
+    spans = (transfers.where(F.col("tx_hash").isNotNull()).groupBy("tx_hash")
+             .agg(F.min("block_date").alias("_first"), F.max("block_date").alias("_last")))
+    sent = (keys.join(spans, F.col("hash") == F.col("tx_hash"))
+            .select(*keys.columns, F.explode(F.sequence("_first", "_last")).alias("_day")))
+    # transfers without a hash match nothing and are spread by their own key
+    spread = F.when(F.col("tx_hash").isNull(), F.xxhash64("unique_key")).otherwise(F.xxhash64("tx_hash"))
+    t = dealt(transfers.withColumn("_day", F.col("block_date")), spread).alias("t")
+    a = dealt(sent, F.xxhash64("hash")).alias("a")
+    on = (F.col("t._day") == F.col("a._day")) & (F.col("t._file") == F.col("a._file")) & (F.col("t.tx_hash") == F.col("a.hash"))
+    return _attributed(t.join(a, on, "left"))

@@ -9,6 +9,7 @@ cuts the lineage between models.
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,7 @@ from codetrail import schemas
 from codetrail.functions.windows import Floors, metric_window, target_bound, tx_window
 from codetrail.operators import attribution, metrics, quality, upsert
 from codetrail.sources.catalog import read_table
-from codetrail.session import ensure_conf, path_exists
+from codetrail.session import ensure_conf, join_as_dealt, path_exists
 
 
 @dataclass(frozen=True)
@@ -74,7 +75,7 @@ def run_transactions(spark: SparkSession, tx: DataFrame, target: str, as_of: dt.
     inc = is_incremental(spark, target, full_refresh)
     df = attribution.attribute_transactions(tx, floors, tx_window(as_of) if inc else None)
     # First run: map-only over a source partitioned by the same date, every task already writes one
-    # date, so no rebalance shuffle of the largest table (models 2 and 3 come out of shuffles).
+    # date, so no rebalance shuffle of the largest table (models 2 and 3 come out of shuffles; 2's deals by date).
     return _materialize(spark, df, target, _key(schemas.TX_KEY, schemas.TX_PARTITION, date_in_key), schemas.TX_PARTITION, inc,
                         rebalance=False, target_predicate=_bound(as_of, target_days, target_predicate, schemas.TX_PARTITION),
                         rules=quality.TRANSACTIONS_RULES if observe else None)
@@ -91,11 +92,15 @@ def run_transfers(spark: SparkSession, tr: DataFrame, tx_attributed_path: str, t
     w = tx_window(as_of) if inc else None
     ta = read_table(spark, tx_attributed_path, schemas.TX_ATTRIBUTED)
     keys = attribution.attribution_keys(ta, floors, w, tagged_only=tagged_only)
-    df = attribution.attribute_transfers(attribution.select_transfers(tr, chain, floors, w), keys)
-    return _materialize(spark, df, target, _key(schemas.TRANSFER_KEY, schemas.TRANSFER_PARTITION, date_in_key),
-                        schemas.TRANSFER_PARTITION, inc, strategy,
-                        target_predicate=_bound(as_of, target_days, target_predicate, schemas.TRANSFER_PARTITION),
-                        rules=quality.TRANSFERS_RULES if observe else None)
+    transfers = attribution.select_transfers(tr, chain, floors, w)
+    # A first run writes what the join deals by day; an incremental one is rebalanced with the rows that stay.
+    counts = None if inc else attribution.rows_by_day(transfers, upsert.MAX_PARTITIONS)
+    df = attribution.attribute_transfers(transfers, keys) if counts is None else attribution.attribute_by_day(transfers, keys, counts)
+    with nullcontext() if counts is None else join_as_dealt(spark):
+        return _materialize(spark, df, target, _key(schemas.TRANSFER_KEY, schemas.TRANSFER_PARTITION, date_in_key),
+                            schemas.TRANSFER_PARTITION, inc, strategy, rebalance=counts is None,
+                            target_predicate=_bound(as_of, target_days, target_predicate, schemas.TRANSFER_PARTITION),
+                            rules=quality.TRANSFERS_RULES if observe else None)
 
 
 def run_daily(spark: SparkSession, prices: DataFrame, tx_attributed_path: str, transfers_attributed_path: str,
